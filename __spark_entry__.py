@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import oracles
 from tasador.functions import geo, markup, parsing, scoring
 from tasador.functions.markup import Element
-from tasador.layers import gold_layer, silver_layer
+from tasador.layers import gold_layer, pages_layer, silver_layer
 from tasador.operators import (
     cleaning, extraction, indexes, lookups, radius, sampling, serving, validation,
 )
@@ -579,8 +579,7 @@ def q_extract_cards(spark, sf_dir):
 @_register
 def q_extract_listings(spark, sf_dir):
     """E1, E2, F8 on result pages rendered from all listings."""
-    pages = listings.portal_pages(listings.raw_listings(spark, sf_dir))
-    return extraction.extract_cards(pages).select(
+    return extraction.extract_cards(pages_layer(spark, sf_dir)).select(
         "page_id", "position", "source", "url", "title", "raw_price", "raw_area", "raw_rooms",
         "neighborhood", "district",
     )
@@ -607,8 +606,7 @@ def q_next_page(spark, sf_dir):
 @_register
 def q_next_listing_page(spark, sf_dir):
     """E3 on rendered result pages, in both portals' markup."""
-    pages = listings.portal_pages(listings.raw_listings(spark, sf_dir))
-    return extraction.next_page(pages).select("page_id", "source", "next_url")
+    return extraction.next_page(pages_layer(spark, sf_dir)).select("page_id", "source", "next_url")
 
 
 @_register
@@ -635,7 +633,7 @@ def q_blocked_defaults(spark, sf_dir):
 def q_source_dispatch(spark, sf_dir):
     """Records per source over a mixed set of pages."""
     mixed = extraction.union_records(
-        listings.portal_pages(listings.raw_listings(spark, sf_dir)),
+        pages_layer(spark, sf_dir),
         _site_pages(spark, sf_dir).withColumn("page_id", F.col("page_id").cast("string")),
     )
     records = extraction.extract_cards(mixed)

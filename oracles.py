@@ -220,7 +220,7 @@ def statements() -> dict[str, str]:
     )
     title = "regexp_extract(html, '(?is)<title>(.*?)</title>', 1)"
     unescaped_title = (
-        f"replace(replace(replace({title}, '&quot;', '\"'), '&copy;', '©'), '&amp;', '&')"
+        f"trim(replace(replace(replace({title}, '&quot;', '\"'), '&copy;', '©'), '&amp;', '&'))"
     )
     return {
         # Sources and sinks

@@ -6,6 +6,7 @@ possessive: they neither backtrack nor recurse on long pages.
 """
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from html.entities import name2codepoint
 
@@ -58,6 +59,19 @@ class Element:
         return f"(?s){before}({self.opening}({_content(self.tag)})</(?i:{self.tag})\\s*>)"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used.
+
+    Written out, a regular expression would run again for every use.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def some(text: Column) -> Column:
+    """The text, or null when it is empty."""
+    return let(text, lambda t: F.when(t != "", t))
+
+
 def without_code(html: Column) -> Column:
     """The page without comments, scripts and styles, which hold no elements."""
     return F.regexp_replace(
@@ -72,14 +86,13 @@ def elements(html: Column, element: Element) -> Column:
 
 def opening_tag(html: Column, element: Element) -> Column:
     """The opening tag of the first such element; null without one."""
-    return F.nullif(F.regexp_extract(html, f"(?s){element.opening}", 0), F.lit(""))
+    return some(F.regexp_extract(html, f"(?s){element.opening}", 0))
 
 
 def attribute(tag: Column, name: str) -> Column:
     """The value of an attribute of an opening tag; empty when absent."""
-    value = F.regexp_extract(tag, f"(?is)\\s{name}=(?:\"([^\"]*)\"|'([^']*)')", 0)
-    value = F.regexp_replace(value, f"(?is)^\\s{name}=[\"']|[\"']$", "")
-    return decode_entities(value)
+    found = F.regexp_extract(tag, f"(?s)\\s(?i:{name})=(?:\"[^\"]*\"|'[^']*')", 0)
+    return decode_entities(F.regexp_replace(found, "(?s)^[^=]*=[\"']|[\"']$", ""))
 
 
 def strip(text: Column) -> Column:
@@ -93,8 +106,7 @@ def text_content(markup: Column) -> Column:
 
 def element_text(html: Column, element: Element) -> Column:
     """Stripped text of the first such element; null when missing or empty."""
-    inner = F.regexp_extract(html, element.pattern, 3)
-    return F.nullif(strip(text_content(inner)), F.lit(""))
+    return some(strip(text_content(F.regexp_extract(html, element.pattern, 3))))
 
 
 def _entity(reference: Column) -> Column:
@@ -117,10 +129,12 @@ def decode_entities(text: Column) -> Column:
     def piece(part, position):
         reference = F.regexp_extract(part, "^(#[xX][0-9a-fA-F]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*);", 1)
         rest = F.regexp_replace(part, "^[^;]*;", "")
-        decoded = F.when(reference != "", F.concat(_entity(reference), rest))
+        character = F.when(reference != "", F.concat(_entity(reference), rest))
         return F.when(position == 0, part).otherwise(
-            F.coalesce(decoded, F.concat(F.lit("&"), part))
+            F.coalesce(character, F.concat(F.lit("&"), part))
         )
 
-    pieces = F.transform(F.split(text, "&"), piece)
-    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
+    def decoded(whole):
+        return F.array_join(F.transform(F.split(whole, "&"), piece), "")
+
+    return let(text, lambda t: F.when(t.contains("&"), decoded(t)).otherwise(t))

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 UNKNOWN = "Desconocido"
 
 
-def _first_match(text: Column, pattern: str) -> Column:
-    return F.nullif(F.regexp_extract(text, pattern, 0), F.lit(""))
-
-
 def parse_price(raw: Column) -> Column:
     """``350.000 €`` -> 350000.0: digits and the decimal comma are all that counts."""
     kept = F.regexp_replace(raw, "[^0-9,]", "")
@@ -25,12 +21,12 @@ def parse_area(raw: Column) -> Column:
 
     A thousands point ends the run, so ``1.200 m²`` is 1.0.
     """
-    return F.translate(_first_match(raw, "[0-9,]+"), ",", ".").try_cast("double")
+    return F.translate(F.regexp_extract(raw, "[0-9,]+", 0), ",", ".").try_cast("double")
 
 
 def parse_rooms(raw: Column) -> Column:
     """``3 hab.`` -> 3: the first run of digits, null beyond the int range."""
-    return _first_match(raw, "[0-9]+").try_cast("int")
+    return F.regexp_extract(raw, "[0-9]+", 0).try_cast("int")
 
 
 def price_per_sqm(price: Column, area: Column) -> Column:

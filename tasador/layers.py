@@ -11,17 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from tasador.operators.cleaning import silver
 from tasador.operators.indexes import index_a
 from tasador.plans.workspace import materialize
-from tasador.sources.listings import raw_listings
+from tasador.sources.listings import portal_pages, raw_listings
 
 _written: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _layer(
-    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
+    partition_by: tuple[str, ...] = ("scrape_date",),
 ) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
-        _written[key] = materialize(build(), name, partition_by=("scrape_date",))
+        _written[key] = materialize(build(), name, partition_by)
     return _written[key]
 
 
@@ -33,6 +34,13 @@ def gold_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _layer(spark, sf_dir, "gold", lambda: index_a(silver_layer(spark, sf_dir)))
 
 
+def pages_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result pages of both portals, rendered from the raw listings and stored."""
+    return _layer(
+        spark, sf_dir, "pages", lambda: portal_pages(raw_listings(spark, sf_dir)), ()
+    )
+
+
 def forget_layers() -> None:
     """Build the layers anew on the next use (for timing)."""
     _written.clear()

@@ -97,21 +97,25 @@ def first_found(candidates: Iterable[Element], find: Callable[[Element], Column]
 
 def cards(html: Column, candidates: tuple[Element, ...]) -> Column:
     """Cards of a page: of the first kind of element that occurs at all."""
-    found = [M.elements(html, c) for c in candidates]
-    result = found[-1]
-    for earlier in reversed(found[:-1]):
-        result = F.when(F.size(earlier) > 0, earlier).otherwise(result)
-    return result
+    found = M.elements(html, candidates[0])
+    if len(candidates) == 1:
+        return found
+    others = cards(html, candidates[1:])
+    return M.let(found, lambda first: F.when(F.size(first) > 0, first).otherwise(others))
 
 
 def _per_source(portals: list[Portal], of: Callable[[Portal], Column]) -> Column:
     """A value by the page's source, so that pages are read once for all portals."""
     chain = F
     for p in portals:
-        chain = chain.when(F.lower(F.trim("source")) == p.source, of(p))
+        chain = chain.when(F.col("source") == p.source.lower().strip(), of(p))
     return chain
 
 
+def _by_known_source(pages: DataFrame) -> DataFrame:
+    return pages.withColumn("source", F.lower(F.trim("source")))
+
+
 def extract_cards(
     pages: DataFrame, sources: list[str] | None = None, scraped_at: Column | None = None
 ) -> DataFrame:
@@ -130,21 +134,24 @@ def extract_cards(
             getattr(p, kind), lambda e: M.element_text(card, e)
         ))
 
-    found = pages.select(
+    found = _by_known_source(pages).select(
         "page_id", "source", scraped_at.alias("scraped_at"),
-        F.posexplode(_per_source(
-            portals, lambda p: cards(M.without_code(F.col("html")), p.cards)
+        F.posexplode(M.let(
+            M.without_code(F.col("html")),
+            lambda html: _per_source(portals, lambda p: cards(html, p.cards)),
         )).alias("position", "_card"),
     )
     linked = found.withColumn("_link", _per_source(portals, lambda p: first_found(
         p.link, lambda e: M.opening_tag(card, e)
     ))).filter(F.col("_link").isNotNull())
-    neighborhood, district = split_location(F.coalesce(text("location"), F.lit("")))
+    linked = linked.withColumn("_location", F.coalesce(text("location"), F.lit("")))
+    neighborhood, district = split_location(F.col("_location"))
     no_place = F.lit(None).cast("double")
     return linked.select(
-        "page_id", "position", F.lower(F.trim("source")).alias("source"),
-        absolute_url(
-            M.attribute(F.col("_link"), "href"), _per_source(portals, lambda p: F.lit(p.host))
+        "page_id", "position", "source",
+        M.let(
+            M.attribute(F.col("_link"), "href"),
+            lambda href: absolute_url(href, _per_source(portals, lambda p: F.lit(p.host))),
         ).alias("url"),
         F.coalesce(text("title"), F.lit(NO_TITLE)).alias("title"),
         F.coalesce(text("price"), F.lit("")).alias("raw_price"),
@@ -162,14 +169,20 @@ def extract_cards(
 def next_page(pages: DataFrame, sources: list[str] | None = None) -> DataFrame:
     """Add ``next_url``: the absolute link to the next page, or null."""
     portals = [portal(s) for s in (available_sources() if sources is None else sources)]
-    html = M.without_code(F.col("html"))
 
-    def link(p):
-        tag = first_found(p.next_page, lambda e: M.opening_tag(html, e))
-        href = F.nullif(M.attribute(tag, "href"), F.lit(""))
-        return F.when(href.isNotNull(), absolute_url(href, p.host))
+    def tag(html):
+        return _per_source(portals, lambda p: first_found(
+            p.next_page, lambda e: M.opening_tag(html, e)
+        ))
 
-    return pages.withColumn("next_url", _per_source(portals, link))
+    host = _per_source(portals, lambda p: F.lit(p.host))
+    tagged = _by_known_source(pages).withColumn(
+        "_next", M.let(M.without_code(F.col("html")), tag)
+    )
+    return tagged.withColumn("next_url", M.let(
+        M.attribute(F.col("_next"), "href"),
+        lambda href: F.when(href != "", absolute_url(href, host)),
+    )).drop("_next")
 
 
 def union_records(*batches: DataFrame) -> DataFrame:

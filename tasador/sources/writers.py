@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from tasador.functions.parsing import source_slug
 from tasador.operators.validation import check_records
 from tasador.schemas import BRONZE, GOLD, INCOMING, SILVER
-from tasador.sources.readers import read_gold, require_rows
+from tasador.sources.readers import read_gold
 
 GOLD_TABLE = "gold_listings"
 
@@ -41,28 +41,27 @@ def ingest(
     """Check records, append the good ones to Bronze and the others to quarantine.
 
     The directory key is ``source`` (else each record's own) and ``scrape_date``
-    (else today, UTC). Fails when there is no record, or no good one. Returns
-    the counts of both writes. A second ingest of the same day adds to the
+    (else today, UTC). Returns the counts of both writes; fails when there is no
+    good record. A second ingest of the same day adds to the
     first; Silver keeps the latest copy of a listing.
     """
     today = datetime.now(timezone.utc).strftime("%Y-%m-%d")
-    require_rows(incoming, "the set of incoming records")
+    date = F.lit(scrape_date or today)
     checked = check_records(incoming)
-    good = require_rows(checked.filter("is_valid"), "the set of valid records")
+    good = checked.filter("is_valid")
     if source is not None:
         good = good.withColumn("source", F.lit(source))
-    rows, written = _counted(
-        bronze_rows(good, F.lit(scrape_date or today)).hint("rebalance", "source", "date")
-    )
+    rows, written = _counted(bronze_rows(good, date).hint("rebalance", "source", "date"))
     rows.write.mode("append").option("compression", "snappy").partitionBy(
         "source", "date"
     ).parquet(bronze_path)
 
     bad, refused = _counted(checked.filter(~F.col("is_valid")).drop("is_valid"))
-    bad.withColumn("date", F.lit(scrape_date or today)).write.mode("append").partitionBy(
-        "date"
-    ).parquet(rejected_path)
-    return {"valid": written.get["rows"], "rejected": refused.get["rows"]}
+    bad.withColumn("date", date).write.mode("append").partitionBy("date").parquet(rejected_path)
+    counts = {"valid": written.get["rows"], "rejected": refused.get["rows"]}
+    if counts["valid"] == 0:
+        raise ValueError(f"no valid record to ingest, {counts['rejected']} rejected")
+    return counts
 
 
 def ingest_records(
