@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import oracles
 from tasador.functions import geo, markup, parsing, scoring
 from tasador.functions.markup import Element
-from tasador.layers import gold_layer, pages_layer, silver_layer
+from tasador.layers import bronze_layer, gold_layer, pages_layer, silver_layer
 from tasador.operators import (
     cleaning, extraction, indexes, lookups, radius, sampling, serving, validation,
 )
@@ -62,7 +62,7 @@ AVERAGE = "neighborhood_avg_price_per_sqm"
 
 def _incoming(spark, sf_dir) -> DataFrame:
     """Raw listings as unchecked text, some of them incomplete or unreadable."""
-    raw = listings.raw_listings(spark, sf_dir)
+    raw = bronze_layer(spark, sf_dir)
     asking = F.col("raw_price") == "A consultar"
     texts = raw.select(*[F.col(c).cast("string") for c in INCOMING.fieldNames()])
     return texts.withColumns({
@@ -81,6 +81,12 @@ def _places(spark, sf_dir) -> DataFrame:
     )
 
 
+@_register
+def q_raw_listings(spark, sf_dir):
+    """The adapter: raw listings from the star-schema tables."""
+    return listings.raw_listings(spark, sf_dir)
+
+
 @_register
 def q_csv_scan(spark, sf_dir):
     """Write the synthetic Bronze form as CSV and scan it."""
@@ -115,7 +121,7 @@ def q_validate_split(spark, sf_dir):
 @_register
 def q_cleaned_bounds(spark, sf_dir):
     """bounds of cleaned values, on all parsed rows."""
-    parsed = cleaning.parse_values(listings.raw_listings(spark, sf_dir)).withColumn(
+    parsed = cleaning.parse_values(bronze_layer(spark, sf_dir)).withColumn(
         "price_per_sqm", parsing.price_per_sqm(F.col("price_eur"), F.col("area_sqm"))
     )
     return validation.check_cleaned(parsed).groupBy("is_valid", "reject_reason").agg(
@@ -188,7 +194,7 @@ def q_adhoc_sql(spark, sf_dir):
 
 
 def _parsed(spark, sf_dir, name, parse):
-    raw = listings.raw_listings(spark, sf_dir)
+    raw = bronze_layer(spark, sf_dir)
     texts = ["raw_price", "raw_area", "raw_rooms"]
     return raw.select(*KEY, *texts, *[
         parse(F.col(t)).alias(f"{name}_of_{t}") for t in texts
@@ -216,7 +222,7 @@ def q_parse_rooms(spark, sf_dir):
 @_register
 def q_price_per_sqm(spark, sf_dir):
     """P4, null where the area is missing or zero."""
-    parsed = cleaning.parse_values(listings.raw_listings(spark, sf_dir))
+    parsed = cleaning.parse_values(bronze_layer(spark, sf_dir))
     area = F.when(F.col("rooms") == 7, 0.0).otherwise(F.col("area_sqm"))
     return parsed.select(*KEY, "scraped_at", parsing.price_per_sqm(
         F.col("price_eur"), area
@@ -239,7 +245,7 @@ def q_normalize_text(spark, sf_dir):
 @_register
 def q_split_location(spark, sf_dir):
     """P6, with whole, partial, empty and missing locations."""
-    raw = listings.raw_listings(spark, sf_dir)
+    raw = bronze_layer(spark, sf_dir)
     text = (
         F.when(F.col("raw_rooms").isNull(), F.col("neighborhood"))
         .when(F.col("latitude").isNull(), "")
@@ -276,7 +282,7 @@ def q_synthetic_url(spark, sf_dir):
 @_register
 def q_default_date(spark, sf_dir):
     """The given date, else the day of the scrape."""
-    raw = listings.raw_listings(spark, sf_dir)
+    raw = bronze_layer(spark, sf_dir)
     given = (
         F.when(F.col("raw_rooms").isNull(), "")
         .when(F.col("latitude").isNull(), None)
@@ -330,20 +336,20 @@ def q_geo_jitter(spark, sf_dir):
 @_register
 def q_valid_rows(spark, sf_dir):
     """all copies with a price and an area."""
-    valid = cleaning.keep_valid(cleaning.parse_values(listings.raw_listings(spark, sf_dir)))
+    valid = cleaning.keep_valid(cleaning.parse_values(bronze_layer(spark, sf_dir)))
     return valid.select(*KEY, "scraped_at", "price_eur", "area_sqm", "rooms")
 
 
 @_register
 def q_silver(spark, sf_dir):
     """Silver in one plan: parse, filter, normalise, remove copies."""
-    return cleaning.silver(listings.raw_listings(spark, sf_dir))
+    return cleaning.silver(bronze_layer(spark, sf_dir))
 
 
 @_register
 def q_dedup_latest(spark, sf_dir):
     """D1 on the raw records."""
-    return cleaning.latest_copy(listings.raw_listings(spark, sf_dir)).select(
+    return cleaning.latest_copy(bronze_layer(spark, sf_dir)).select(
         *KEY, "scraped_at", "raw_price", "raw_area", "raw_rooms", "source"
     )
 
@@ -351,7 +357,7 @@ def q_dedup_latest(spark, sf_dir):
 @_register
 def q_dedup_stats(spark, sf_dir):
     """Rows before, remaining and removed."""
-    return cleaning.copy_counts(cleaning.clean(listings.raw_listings(spark, sf_dir)))
+    return cleaning.copy_counts(cleaning.clean(bronze_layer(spark, sf_dir)))
 
 
 @_register
@@ -645,7 +651,7 @@ def q_source_dispatch(spark, sf_dir):
 @_register
 def q_union_sources(spark, sf_dir):
     """Batches of both portals, one of them without coordinates."""
-    raw = listings.raw_listings(spark, sf_dir)
+    raw = bronze_layer(spark, sf_dir)
     first = raw.filter(F.col("source") == "portal_a").drop("latitude", "longitude")
     second = raw.filter(F.col("source") == "portal_b")
     return extraction.union_records(first, second).select(

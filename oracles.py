@@ -224,6 +224,7 @@ def statements() -> dict[str, str]:
     )
     return {
         # Sources and sinks
+        "q_raw_listings": _with(RAW, "SELECT * FROM raw"),
         "q_csv_scan": _with(INDEX_C, """
             SELECT title, CAST(trunc(price_eur) AS INTEGER) AS price, price_per_sqm,
               CAST(trunc(area_sqm) AS INTEGER) AS area_sqm, rooms,

@@ -104,34 +104,46 @@ def text_content(markup: Column) -> Column:
     return decode_entities(F.regexp_replace(markup, f"(?s){_COMMENT}|<[^>]*>", ""))
 
 
-def element_text(html: Column, element: Element) -> Column:
-    """Stripped text of the first such element; null when missing or empty."""
-    return some(strip(text_content(F.regexp_extract(html, element.pattern, 3))))
+def element_markup(html: Column, element: Element) -> Column:
+    """What the first such element holds; empty when there is none."""
+    return F.regexp_extract(html, element.pattern, 3)
 
 
-def _entity(reference: Column) -> Column:
-    """Character for ``amp``, ``#233`` or ``#xe9``; null when unknown."""
-    names = F.create_map(*[
-        F.lit(v) for name, point in name2codepoint.items() for v in (name, chr(point))
-    ])
+def clean_text(markup: Column) -> Column:
+    """Stripped text of a piece of markup; null when there is none."""
+    return some(strip(text_content(markup)))
+
+
+# Named entities: those of the standard library's table.
+_NAMED = {name: chr(point) for name, point in name2codepoint.items()}
+_REFERENCE = "^(#[xX][0-9a-fA-F]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*);"
+
+
+def _numbered(digits: Column) -> Column:
+    """Character of ``233`` or ``xe9``, up to U+FFFF; null when out of range."""
     point = F.when(
-        reference.rlike("^#[xX]"), F.conv(F.substring(reference, 3, 9), 16, 10)
-    ).otherwise(F.substring(reference, 2, 9)).try_cast("int")
-    in_plane = point.between(1, 0xFFFF) & ~point.between(0xD800, 0xDFFF)
-    char = F.decode(F.unhex(F.lpad(F.hex(point), 4, "0")), "UTF-16BE")
-    return F.when(reference.startswith("#"), F.when(in_plane, char)).otherwise(
-        F.try_element_at(names, reference)
-    )
+        F.lower(digits).startswith("x"), F.conv(F.substring(digits, 2, 8), 16, 10)
+    ).otherwise(F.substring(digits, 1, 8)).try_cast("int")
+    return let(point, lambda p: F.when(
+        p.between(1, 0xFFFF) & ~p.between(0xD800, 0xDFFF),
+        F.decode(F.unhex(F.lpad(F.hex(p), 4, "0")), "UTF-16BE"),
+    ))
 
 
 def decode_entities(text: Column) -> Column:
     """Named Latin-1, Greek and symbol entities, and numeric ones up to U+FFFF."""
+    named = F.create_map(*[F.lit(x) for pair in _NAMED.items() for x in pair])
+
+    def character(reference):
+        return F.when(
+            reference.startswith("#"), _numbered(F.substring(reference, 2, 9))
+        ).otherwise(F.try_element_at(named, reference))
+
     def piece(part, position):
-        reference = F.regexp_extract(part, "^(#[xX][0-9a-fA-F]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*);", 1)
+        char = let(F.regexp_extract(part, _REFERENCE, 1), character)
         rest = F.regexp_replace(part, "^[^;]*;", "")
-        character = F.when(reference != "", F.concat(_entity(reference), rest))
         return F.when(position == 0, part).otherwise(
-            F.coalesce(character, F.concat(F.lit("&"), part))
+            F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), part))
         )
 
     def decoded(whole):

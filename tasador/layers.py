@@ -1,4 +1,4 @@
-"""Silver and Gold of a data folder, written once per application.
+"""Bronze, Silver and Gold of a data folder, written once per application.
 
 Serving queries read published layers; they do not rebuild them. The first
 query that needs a layer writes it to the shared folder.
@@ -26,8 +26,13 @@ def _layer(
     return _written[key]
 
 
+def bronze_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw listings."""
+    return _layer(spark, sf_dir, "bronze", lambda: raw_listings(spark, sf_dir))
+
+
 def silver_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _layer(spark, sf_dir, "silver", lambda: silver(raw_listings(spark, sf_dir)))
+    return _layer(spark, sf_dir, "silver", lambda: silver(bronze_layer(spark, sf_dir)))
 
 
 def gold_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +42,7 @@ def gold_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pages_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result pages of both portals, rendered from the raw listings and stored."""
     return _layer(
-        spark, sf_dir, "pages", lambda: portal_pages(raw_listings(spark, sf_dir)), ()
+        spark, sf_dir, "pages", lambda: portal_pages(bronze_layer(spark, sf_dir)), ()
     )
 
 

@@ -129,9 +129,9 @@ def extract_cards(
     scraped_at = utc_now() if scraped_at is None else scraped_at
     card = F.col("_card")
 
-    def text(kind):
+    def markup(kind):
         return _per_source(portals, lambda p: first_found(
-            getattr(p, kind), lambda e: M.element_text(card, e)
+            getattr(p, kind), lambda e: M.some(M.element_markup(card, e))
         ))
 
     found = _by_known_source(pages).select(
@@ -144,19 +144,23 @@ def extract_cards(
     linked = found.withColumn("_link", _per_source(portals, lambda p: first_found(
         p.link, lambda e: M.opening_tag(card, e)
     ))).filter(F.col("_link").isNotNull())
-    linked = linked.withColumn("_location", F.coalesce(text("location"), F.lit("")))
-    neighborhood, district = split_location(F.col("_location"))
+    kinds = ("title", "price", "area", "rooms", "location")
+    read = linked.withColumn(
+        "_texts", F.transform(F.array(*[markup(k) for k in kinds]), M.clean_text)
+    )
+    title, price, area, rooms, location = [F.get("_texts", F.lit(i)) for i in range(len(kinds))]
+    neighborhood, district = split_location(F.coalesce(location, F.lit("")))
     no_place = F.lit(None).cast("double")
-    return linked.select(
+    return read.select(
         "page_id", "position", "source",
         M.let(
             M.attribute(F.col("_link"), "href"),
             lambda href: absolute_url(href, _per_source(portals, lambda p: F.lit(p.host))),
         ).alias("url"),
-        F.coalesce(text("title"), F.lit(NO_TITLE)).alias("title"),
-        F.coalesce(text("price"), F.lit("")).alias("raw_price"),
-        F.coalesce(text("area"), F.lit("")).alias("raw_area"),
-        text("rooms").alias("raw_rooms"),
+        F.coalesce(title, F.lit(NO_TITLE)).alias("title"),
+        F.coalesce(price, F.lit("")).alias("raw_price"),
+        F.coalesce(area, F.lit("")).alias("raw_area"),
+        rooms.alias("raw_rooms"),
         neighborhood.alias("neighborhood"),
         district.alias("district"),
         no_place.alias("latitude"),
