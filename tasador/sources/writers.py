@@ -94,15 +94,16 @@ def write_silver(silver: DataFrame, path: str) -> int:
     return written.get["rows"]
 
 
-def write_gold(gold: DataFrame, path: str) -> int:
+def write_gold(gold: DataFrame, path: str, tasks: int | None = None) -> int:
     """Replace the written dates, rows ordered by rank; returns the row count.
 
-    The range includes the url, so rows that share a rank can be split.
+    The range includes the url, so rows that share a rank can be split. Pass
+    ``tasks`` where the session's shuffle partitions do not suit the size.
     """
     order = ["scrape_date", "rank", "url"]
-    laid_out = (
-        gold.select(*GOLD.fieldNames()).repartitionByRange(*order).sortWithinPartitions(*order)
-    )
+    rows = gold.select(*GOLD.fieldNames())
+    ranges = rows.repartitionByRange(*order) if tasks is None else rows.repartitionByRange(tasks, *order)
+    laid_out = ranges.sortWithinPartitions(*order)
     rows, written = _counted(laid_out)
     (
         rows.write.mode("overwrite")
