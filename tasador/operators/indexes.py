@@ -15,7 +15,7 @@ from tasador.functions import scoring
 from tasador.functions.parsing import synthetic_url
 from tasador.operators.cleaning import LISTING_KEY
 from tasador.plans.joins import DEFAULT_LIMITS, Limits, lookup_join
-from tasador.plans.workspace import materialize
+from tasador.plans.workspace import materialize_measured
 from tasador.schemas import GOLD
 
 GROUP = ["neighborhood", "scrape_date"]
@@ -30,10 +30,10 @@ def group_averages(listings: DataFrame) -> DataFrame:
 
 
 def with_group_average(listings: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    stats = materialize(group_averages(listings), "group-averages")
+    stats, size = materialize_measured(group_averages(listings), "group-averages")
     return lookup_join(
         listings, stats, GROUP, list(LISTING_KEY), "inner", limits,
-        key_counts=stats.select(*GROUP, F.col("listing_count").alias("n")),
+        key_counts=stats.select(*GROUP, F.col("listing_count").alias("n")), lookup_bytes=size,
     )
 
 
@@ -68,10 +68,10 @@ def rank_offsets(scored: DataFrame) -> DataFrame:
 def with_deal_rank(scored: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """Add ``rank``: 1 + the number of listings of the day with a larger index."""
     keys = ["scrape_date", "opportunity_index"]
-    offsets = materialize(rank_offsets(scored), "rank-offsets")
+    offsets, size = materialize_measured(rank_offsets(scored), "rank-offsets")
     return lookup_join(
         scored, offsets.select(*keys, "rank"), keys, ["url"], "inner", limits,
-        key_counts=offsets.select(*keys, F.col("listing_count").alias("n")),
+        key_counts=offsets.select(*keys, F.col("listing_count").alias("n")), lookup_bytes=size,
     )
 
 
@@ -108,10 +108,13 @@ def index_b(
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Index B: share below the neighbourhood's average price over all days."""
-    stats = materialize(neighborhood_average_price(listings, price), "neighborhood-averages")
+    stats, size = materialize_measured(
+        neighborhood_average_price(listings, price), "neighborhood-averages"
+    )
     joined = lookup_join(
         listings, stats.drop("listing_count"), ["neighborhood"], list(row_key), "inner", limits,
         key_counts=stats.select("neighborhood", F.col("listing_count").alias("n")),
+        lookup_bytes=size,
     )
     return joined.withColumns({
         "opportunity_index": scoring.relative_to_average_price(

@@ -46,14 +46,18 @@ def lookup_join(
     how: str = "left",
     limits: Limits = DEFAULT_LIMITS,
     key_counts: DataFrame | None = None,
+    lookup_bytes: int | None = None,
 ) -> DataFrame:
     """Join ``lookup`` to ``big`` on ``keys``; null matches null.
 
     ``lookup`` is read more than once, so pass a stored table. ``spread_by``
-    names columns of ``big`` that tell the rows of one key apart.
-    ``key_counts`` (keys and ``n``) saves the count pass where it is known.
+    names columns of ``big`` that tell the rows of one key apart. What is
+    already known saves a pass: ``key_counts`` (keys and ``n``) of ``big`` and
+    ``lookup_bytes``, the measured size of ``lookup`` or more.
     """
-    if measured_bytes(lookup) <= limits.broadcast_bytes:
+    if lookup_bytes is None:
+        lookup_bytes = measured_bytes(lookup)
+    if lookup_bytes <= limits.broadcast_bytes:
         right, names = _prefixed(lookup, keys, "_lookup_")
         return big.join(F.broadcast(right), _on(keys, names), how).drop(*names)
     return spread_join(big, lookup, keys, spread_by, how, limits, key_counts)

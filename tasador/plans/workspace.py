@@ -9,7 +9,7 @@ columnar and prunes, and a lost executor costs no recomputation.
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
@@ -32,23 +32,33 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _size_columns(df: DataFrame) -> list[Column]:
+    """Aggregates for the size of the rows in memory: fixed parts and text lengths."""
+    row = F.lit(16 + 16 * len(df.columns))
+    for name, dtype in df.dtypes:
+        if dtype in ("string", "binary"):
+            row = row + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
+    return [F.coalesce(F.sum(row), F.lit(0)).alias("bytes")]
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a table as rows in memory."""
+    return df.agg(*_size_columns(df)).first()["bytes"]
+
+
 def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as a table in the shared folder and return the scan of it."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    if partition_by:
-        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
-    else:
-        df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    return materialize_measured(df, name, partition_by)[0]
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of a table as rows in memory, from its row count and text lengths."""
-    texts = [name for name, dtype in df.dtypes if dtype in ("string", "binary")]
-    measured = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.sum(F.octet_length(F.col(name))).alias(f"text_{i}") for i, name in enumerate(texts)],
-    ).first()
-    text_bytes = sum(measured[f"text_{i}"] or 0 for i in range(len(texts)))
-    return measured["rows"] * (16 + 16 * len(df.columns)) + text_bytes
+def materialize_measured(
+    df: DataFrame, name: str, partition_by: tuple[str, ...] = ()
+) -> tuple[DataFrame, int]:
+    """``materialize``, with the size of the rows measured by the write itself."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    size = Observation()
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    rows.observe(size, *_size_columns(df)).write.partitionBy(*partition_by).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    return stored, size.get["bytes"]
