@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tasador.operators.cleaning import silver
 from tasador.operators.indexes import index_a
-from tasador.plans.workspace import materialize
+from tasador.plans.workspace import read_stored, store
 from tasador.sources.listings import portal_pages, raw_listings
 
-_written: dict[tuple[str, str, str], DataFrame] = {}
+_written: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
 
 
 def _layer(
@@ -22,8 +22,12 @@ def _layer(
 ) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
-        _written[key] = materialize(build(), name, partition_by)
-    return _written[key]
+        layer = build()
+        path, _ = store(layer, name, partition_by)
+        _written[key] = path, read_stored(spark, path, layer.schema)
+    path, scan = _written[key]
+    # Another session of the application reads the same files with its own scan.
+    return scan if scan.sparkSession is spark else read_stored(spark, path, scan.schema)
 
 
 def bronze_layer(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,25 +6,30 @@ folder the cluster names in ``spark.checkpoint.dir``. Reading it back is
 columnar and prunes, and a lost executor costs no recomputation.
 """
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _local_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only in local mode."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     application = spark.sparkContext.applicationId
     if application not in _local_dirs:
-        _local_dirs[application] = tempfile.mkdtemp(prefix="tasador-")
+        own = tempfile.mkdtemp(prefix="tasador-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        _local_dirs[application] = own
     return _local_dirs[application]
 
 
@@ -55,10 +60,18 @@ def materialize_measured(
     df: DataFrame, name: str, partition_by: tuple[str, ...] = ()
 ) -> tuple[DataFrame, int]:
     """``materialize``, with the size of the rows measured by the write itself."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
+    path, size = store(df, name, partition_by)
+    return read_stored(df.sparkSession, path, df.schema), size
+
+
+def store(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> tuple[str, int]:
+    """Write ``df`` to the shared folder; returns its path and the size of its rows."""
+    path = fresh_path(df.sparkSession, name)
     size = Observation()
     rows = df.hint("rebalance", *partition_by) if partition_by else df
     rows.observe(size, *_size_columns(df)).write.partitionBy(*partition_by).parquet(path)
-    stored = spark.read.schema(df.schema).parquet(path).select(*df.columns)
-    return stored, size.get["bytes"]
+    return path, size.get["bytes"]
+
+
+def read_stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())

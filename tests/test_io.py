@@ -104,3 +104,48 @@ def test_require_rows(spark, sf_dir):
     assert readers.require_rows(silver, "Silver") is silver
     with pytest.raises(ValueError, match="Silver is empty"):
         readers.require_rows(silver.filter("false"), "Silver")
+
+
+@pytest.fixture
+def small_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    yield
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def one_day(spark, rows):
+    """Silver rows of one source and one day, all alike but for the url."""
+    return spark.range(rows).select(
+        F.lit("s").alias("source"), F.sha2(F.col("id").cast("string"), 256).alias("url"),
+        F.lit("t").alias("title"), F.lit(1.0).alias("price_eur"), F.lit(1.0).alias("area_sqm"),
+        F.lit(1).alias("rooms"), F.lit(1.0).alias("price_per_sqm"), F.lit("n").alias("neighborhood"),
+        F.lit("d").alias("district"), F.lit(0.0).alias("latitude"), F.lit(0.0).alias("longitude"),
+        F.lit(None).cast("timestamp_ntz").alias("scraped_at"), F.lit("1").alias("scrape_date"),
+    )
+
+
+def test_a_huge_day_is_split_over_tasks(spark, small_tasks, tmp_path):
+    path = str(tmp_path / "silver")
+    assert writers.write_silver(one_day(spark, 40_000), path) == 40_000
+    assert len(readers.read_silver(spark, path).inputFiles()) > 3
+
+
+def test_rows_of_one_rank_are_split_over_tasks(spark, tmp_path):
+    path = str(tmp_path / "gold")
+    gold = one_day(spark, 40_000).withColumns({
+        "neighborhood_avg_price_per_sqm": F.lit(1.0), "opportunity_index": F.lit(-1.0),
+        "rank": F.lit(1).cast("bigint"),
+    })
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert writers.write_gold(gold, path, tasks=6) == 40_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(readers.read_gold(spark, path).inputFiles()) == 6
+
+
+def test_layers_serve_other_sessions(spark, sf_dir):
+    other = spark.newSession()
+    layer = gold_layer(other, sf_dir)
+    layer.createOrReplaceTempView("seen_by_other")
+    assert other.sql("SELECT * FROM seen_by_other").count() == gold_layer(spark, sf_dir).count()
