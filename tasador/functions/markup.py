@@ -2,7 +2,8 @@
 
 ``Element`` names an element by tag and attribute. Its pattern follows nested
 elements of the same tag down to ``_DEPTH`` levels. All repetitions are
-possessive: they neither backtrack nor recurse on long pages.
+possessive: they neither backtrack nor recurse on long pages. Every pattern
+starts with a plain ``<``, which lets the matcher skip the text between tags.
 """
 
 import re
@@ -50,13 +51,28 @@ class Element:
 
     @property
     def pattern(self) -> str:
-        """The whole element is group 2, its content group 3."""
-        before = "()"
-        if self.child is not None:
-            parent = f"<(?!{_VOID}\\b)[a-zA-Z][^>]*(?<!/)>{_GAP}"
-            sibling = f"(?:<{_VOID}\\b[^>]*>|<([a-zA-Z][a-zA-Z0-9]*)\\b[^>]*>(?:[^<]++|<(?!/?\\1\\b))*+</\\1\\s*>)"
-            before = parent + (f"{sibling}{_GAP}" if self.child == 2 else "()")
-        return f"(?s){before}({self.opening}({_content(self.tag)})</(?i:{self.tag})\\s*>)"
+        """Groups: the tag of an earlier sibling, the whole element, its content.
+
+        Without ``child`` the first two are absent, for the first child the first.
+        """
+        element = f"{self.opening}({_content(self.tag)})</(?i:{self.tag})\\s*>"
+        if self.child is None:
+            return f"(?s){element}"
+        before = f"<(?!{_VOID}\\b)[a-zA-Z][^>]*(?<!/)>{_GAP}"
+        if self.child == 2:
+            sibling = "<([a-zA-Z][a-zA-Z0-9]*)\\b[^>]*>(?:[^<]++|<(?!/?\\1\\b))*+</\\1\\s*>"
+            before += f"(?:<{_VOID}\\b[^>]*>|{sibling}){_GAP}"
+        return f"(?s){before}({element})"
+
+    @property
+    def whole(self) -> int:
+        """Group of the whole element."""
+        return self.child or 0
+
+    @property
+    def content(self) -> int:
+        """Group of the content."""
+        return self.whole + 1
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -75,13 +91,13 @@ def some(text: Column) -> Column:
 def without_code(html: Column) -> Column:
     """The page without comments, scripts and styles, which hold no elements."""
     return F.regexp_replace(
-        html, f"(?is){_COMMENT}|<(script|style)\\b[^>]*>.*?</\\1\\s*>", ""
+        html, r"(?is)<(?:!--.*?--|(script|style)\b[^>]*>.*?</\1\s*)>", ""
     )
 
 
 def elements(html: Column, element: Element) -> Column:
     """All elements of a page, as an array of their markup."""
-    return F.regexp_extract_all(html, F.lit(element.pattern), F.lit(2))
+    return F.regexp_extract_all(html, F.lit(element.pattern), F.lit(element.whole))
 
 
 def opening_tag(html: Column, element: Element) -> Column:
@@ -95,18 +111,21 @@ def attribute(tag: Column, name: str) -> Column:
     return decode_entities(F.regexp_replace(found, "(?s)^[^=]*=[\"']|[\"']$", ""))
 
 
+_WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(_WHITESPACE))
 
 
 def text_content(markup: Column) -> Column:
     """The text of a piece of markup, without tags and with entities decoded."""
-    return decode_entities(F.regexp_replace(markup, f"(?s){_COMMENT}|<[^>]*>", ""))
+    return decode_entities(F.regexp_replace(markup, r"(?s)<(?:!--.*?--|[^>]*)>", ""))
 
 
 def element_markup(html: Column, element: Element) -> Column:
     """What the first such element holds; empty when there is none."""
-    return F.regexp_extract(html, element.pattern, 3)
+    return F.regexp_extract(html, element.pattern, element.content)
 
 
 def clean_text(markup: Column) -> Column:

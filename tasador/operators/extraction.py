@@ -127,29 +127,29 @@ def extract_cards(
     """
     portals = [portal(s) for s in (available_sources() if sources is None else sources)]
     scraped_at = utc_now() if scraped_at is None else scraped_at
-    card = F.col("_card")
 
-    def markup(kind):
-        return _per_source(portals, lambda p: first_found(
-            getattr(p, kind), lambda e: M.some(M.element_markup(card, e))
+    def entries(html, p):
+        """Position, markup and opening link tag of each card that has a link."""
+        found = F.transform(cards(html, p.cards), lambda card, i: F.struct(
+            i.alias("position"), card.alias("card"),
+            first_found(p.link, lambda e: M.opening_tag(card, e)).alias("link"),
         ))
+        return F.filter(found, lambda entry: entry["link"].isNotNull())
+
+    def text(kind):
+        return _per_source(portals, lambda p: first_found(getattr(p, kind), lambda e: M.clean_text(
+            M.element_markup(F.col("_card"), e)
+        )))
 
-    found = _by_known_source(pages).select(
+    linked = _by_known_source(pages).select(
         "page_id", "source", scraped_at.alias("scraped_at"),
-        F.posexplode(M.let(
+        F.inline(M.let(
             M.without_code(F.col("html")),
-            lambda html: _per_source(portals, lambda p: cards(html, p.cards)),
-        )).alias("position", "_card"),
-    )
-    linked = found.withColumn("_link", _per_source(portals, lambda p: first_found(
-        p.link, lambda e: M.opening_tag(card, e)
-    ))).filter(F.col("_link").isNotNull())
-    kinds = ("title", "price", "area", "rooms", "location")
-    read = linked.withColumn(
-        "_texts", F.transform(F.array(*[markup(k) for k in kinds]), M.clean_text)
+            lambda html: _per_source(portals, lambda p: entries(html, p)),
+        )).alias("position", "_card", "_link"),
     )
-    title, price, area, rooms, location = [F.get("_texts", F.lit(i)) for i in range(len(kinds))]
-    neighborhood, district = split_location(F.coalesce(location, F.lit("")))
+    read = linked.withColumn("_location", F.coalesce(text("location"), F.lit("")))
+    neighborhood, district = split_location(F.col("_location"))
     no_place = F.lit(None).cast("double")
     return read.select(
         "page_id", "position", "source",
@@ -157,10 +157,10 @@ def extract_cards(
             M.attribute(F.col("_link"), "href"),
             lambda href: absolute_url(href, _per_source(portals, lambda p: F.lit(p.host))),
         ).alias("url"),
-        F.coalesce(title, F.lit(NO_TITLE)).alias("title"),
-        F.coalesce(price, F.lit("")).alias("raw_price"),
-        F.coalesce(area, F.lit("")).alias("raw_area"),
-        rooms.alias("raw_rooms"),
+        F.coalesce(text("title"), F.lit(NO_TITLE)).alias("title"),
+        F.coalesce(text("price"), F.lit("")).alias("raw_price"),
+        F.coalesce(text("area"), F.lit("")).alias("raw_area"),
+        text("rooms").alias("raw_rooms"),
         neighborhood.alias("neighborhood"),
         district.alias("district"),
         no_place.alias("latitude"),
