@@ -38,12 +38,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_top_deals(spark, "/root/testdata/sf0.001")
 
 
+def _llm() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the subpackage ``llm`` and of the pipeline, where they exist."""
+    try:
+        import corpus_pipeline
+        from tasador.llm import queries as llm
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "tasador.llm"):
+            raise
+        return {}, {}
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, llm.ORACLES
+
+
 def queries() -> dict[str, Query]:
-    return dict(_queries)
+    return {**_queries, **_llm()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.statements()
+    return {**oracles.statements(), **_llm()[1]}
 
 
 def _steady(df: DataFrame, *averages: str) -> DataFrame:
