@@ -10,8 +10,8 @@ candidates, and candidates are verified on the full sets.
 Documents with equal sets are one class with one sketch, so copies never meet
 in pairs. A bucket of up to ``direct`` classes is compared pair by pair. In a
 larger one, the least class of each component found so far is compared with
-all classes of other components, up to ``pivots`` of them a round, until its
-classes are one component or all pivots are spent. No candidate is left out.
+all classes of other components, up to ``pivots`` of them a round, and
+twice as many in the next, until its classes are one component or all have been pivots. No candidate is left out.
 
 With similarity 0.85, 3 rows and 24 bands, a pair at the threshold is missed
 with probability (1 - 0.85**3)**24, about 1e-10.
@@ -48,7 +48,7 @@ class Settings:
     percent: int = 85
     bands: int = 24
     rows: int = 3
-    direct: int = 24
+    direct: int = 64
     pivots: int = 24
 
 
@@ -81,10 +81,11 @@ def shingle_sets(data: np.ndarray, starts: np.ndarray, k: int) -> tuple[np.ndarr
 def sketch(sets: np.ndarray, rows: np.ndarray, n: int, size: int) -> np.ndarray:
     """Coordinates (n, size) of the sets; those of an empty set are all full."""
     cells = np.full(n * size, _FULL)
+    salts = mix(np.arange(1, 2 * size + 1, dtype="u8"))
     for i in range(2 * size):
         if not len(sets):
             break
-        h = mix(sets + _STEP * np.uint64(i + 1))
+        h = mix(sets + salts[i])
         if i < size:
             place = ((h >> np.uint64(32)) * np.uint64(size)) >> np.uint64(32)
             slot = rows * size + place.astype("i8")
@@ -192,9 +193,10 @@ def near_links(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, Da
     small = members.filter(F.col("members") <= s.direct)
     links = _links(docs, _pairs(small, small, s, F.col("a") < F.col("b")), s)
     large = members.filter(F.col("members") > s.direct).select("key", "doc_id", "n_shingles")
+    groups, pivots = None, s.pivots
     while not large.isEmpty():
-        groups = components(links).withColumnRenamed("id", "doc_id")
-        large = large.join(groups, "doc_id", "left").withColumn(
+        groups = components(links) if groups is None else groups
+        large = large.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
             "component", F.coalesce("component", "doc_id")
         )
         # A bucket is settled when its members are one component.
@@ -207,14 +209,16 @@ def near_links(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, Da
         ).select("key", "component", "head.*")
         order = Window.partitionBy("key").orderBy("doc_id")
         heads = heads.withColumn("at", F.row_number().over(order)).filter(
-            F.col("at") <= s.pivots
+            F.col("at") <= pivots
         ).drop("at")
-        pairs = _pairs(heads, large, s, F.col("c_a") != F.col("c_b"))
-        links = materialize(links.unionAll(_links(docs, pairs, s)), "near-links")
+        found = _links(docs, _pairs(heads, large, s, F.col("c_a") != F.col("c_b")), s)
         # A pivot has met all the others now.
         large = large.join(heads.select("key", "doc_id"), ["key", "doc_id"], "left_anti").select(
             "key", "doc_id", "n_shingles"
         )
+        pivots *= 2
+        if not found.isEmpty():
+            links, groups = materialize(links.unionAll(found), "near-links"), None
     return signs, links
 
 
