@@ -16,8 +16,10 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers: dict[int, np.ndarray] = {}
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about ``CHUNK_BYTES`` of text; a longer text is one slice."""
+def chunks(
+    batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about ``limit`` bytes of text; a longer text is one slice."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -26,7 +28,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
         start = 0
         while start < batch.num_rows:
             done = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, done + CHUNK_BYTES, "right")))
+            stop = max(start + 1, int(np.searchsorted(ends, done + limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop
 
