@@ -10,11 +10,15 @@ candidates, and candidates are verified on the full sets.
 Documents with equal sets are one class with one sketch, so copies never meet
 in pairs. A bucket of up to ``direct`` classes is compared pair by pair. In a
 larger one, the least class of each component found so far is compared with
-all classes of other components, up to ``pivots`` of them a round, and
-twice as many in the next, until its classes are one component or all have been pivots. No candidate is left out.
+all classes of other components: one of them in the first round and four times as
+many in each next one, until a bucket's classes are one component or all have
+been compared. So a bucket of near copies of one text costs one comparison for
+each. Pairs whose whole sketches differ too much are not verified; the full
+sets are read only for documents of the remaining pairs.
 
-With similarity 0.85, 3 rows and 24 bands, a pair at the threshold is missed
-with probability (1 - 0.85**3)**24, about 1e-10.
+With similarity 0.85, 4 rows and 30 bands, a pair at the threshold shares no
+band with probability (1 - 0.85**4)**30, about 2e-10, and has a sketch that
+differs too much (``sure`` standard deviations) about as rarely.
 
 Defined results: null and blank texts have an empty set and are linked with
 nothing; a text of fewer words than a shingle has one shingle. A row without
@@ -46,10 +50,16 @@ _LOW = np.uint64(0xFFFFFFFF)
 class Settings:
     shingle: int = 5
     percent: int = 85
-    bands: int = 24
-    rows: int = 3
-    direct: int = 64
-    pivots: int = 24
+    bands: int = 30
+    rows: int = 4
+    direct: int = 8
+    sure: float = 6.5
+
+    @property
+    def agreeing(self) -> int:
+        """Coordinates in which the sketches of a pair worth verifying agree, at least."""
+        n, p = self.bands * self.rows, self.percent / 100
+        return max(0, int(n * p - self.sure * (n * p * (1 - p)) ** 0.5))
 
 
 def shingle_sets(data: np.ndarray, starts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +128,8 @@ def _signatures(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.R
             pa.ListArray.from_arrays(
                 np.arange(0, n * s.bands + 1, s.bands, dtype="i4"), pa.array(signed(keys.reshape(-1)))
             ),
-        ], names=["doc_id", "n_shingles", "set_a", "set_b", "bands"])
+            pa.array([x.tobytes() for x in mix(cells).astype("u1").reshape(n, -1)], pa.binary()),
+        ], names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
@@ -142,11 +153,45 @@ def _verified(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.Rec
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _links(docs: DataFrame, pairs: DataFrame, s: Settings) -> DataFrame:
+def _alike(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        x, y = (
+            np.frombuffer(b"".join(batch.column(c).to_pylist()), "u1").reshape(batch.num_rows, -1)
+            for c in ("sketch_x", "sketch_y")
+        )
+        keep = (x == y).sum(axis=1) >= s.agreeing
+        yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+
+#: Bits of the filter for documents whose sets are read: 4 MB at most.
+_FILTER_BITS = 1 << 25
+
+
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose doc_id is in ``ids``: most others go before the join, by a bitmap of
+    bounded size."""
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(_FILTER_BITS))
+    maps = ids.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap")
+    )
+    at = F.bitmap_bit_position(bit).cast("int")
+    byte = F.conv(F.hex(F.substring("bitmap", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    hit = F.call_function("shiftright", byte.cast("int"), at % 8).bitwiseAND(1) == 1
+    some = docs.join(F.broadcast(maps), F.bitmap_bucket_number(bit) == F.col("bucket")).filter(hit)
+    return some.drop("bucket", "bitmap").join(ids, "doc_id", "left_semi")
+
+
+def _links(docs: DataFrame, sketches: DataFrame, pairs: DataFrame, s: Settings) -> DataFrame:
     """Those pairs (a, b) whose full sets are as similar as asked."""
-    pairs = materialize(pairs, "near-pairs")
+    x = sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sketch_x"))
+    y = sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sketch_y"))
+    pairs = materialize(pairs.join(x, "a").join(y, "b").mapInArrow(
+        lambda batches: _alike(batches, s), "a long, b long"
+    ), "near-pairs")
+    if pairs.isEmpty():
+        return pairs
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(
+    sets = _only(docs, ids).mapInArrow(
         lambda batches: _sets(batches, s), "doc_id long, shingles binary"
     )
     sets = materialize(sets, "near-sets")
@@ -178,22 +223,23 @@ def near_links(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, Da
     docs = docs.select("doc_id", "text")
     signs = materialize(docs.mapInArrow(
         lambda batches: _signatures(batches, s),
-        "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>",
+        "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, "
+        "sketch binary",
     ), "signatures")
     full = signs.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     first = full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
     kept = ["doc_id", "set_a", "set_b", "n_shingles"]
-    members = full.join(first, kept, "left_semi").dropDuplicates(kept).select(
-        "doc_id", "n_shingles", F.explode("bands").alias("key")
-    )
+    heads = full.join(first, kept, "left_semi").dropDuplicates(kept)
+    sketches = heads.select("doc_id", "sketch")
+    members = heads.select("doc_id", "n_shingles", F.explode("bands").alias("key"))
     sizes = members.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
     members = materialize(
         members.join(sizes, "key").withColumn("component", F.col("doc_id")), "near-members"
     )
     small = members.filter(F.col("members") <= s.direct)
-    links = _links(docs, _pairs(small, small, s, F.col("a") < F.col("b")), s)
+    links = _links(docs, sketches, _pairs(small, small, s, F.col("a") < F.col("b")), s)
     large = members.filter(F.col("members") > s.direct).select("key", "doc_id", "n_shingles")
-    groups, pivots = None, s.pivots
+    groups, pivots = None, 1
     while not large.isEmpty():
         groups = components(links) if groups is None else groups
         large = large.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
@@ -211,12 +257,12 @@ def near_links(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, Da
         heads = heads.withColumn("at", F.row_number().over(order)).filter(
             F.col("at") <= pivots
         ).drop("at")
-        found = _links(docs, _pairs(heads, large, s, F.col("c_a") != F.col("c_b")), s)
+        found = _links(docs, sketches, _pairs(heads, large, s, F.col("c_a") != F.col("c_b")), s)
         # A pivot has met all the others now.
         large = large.join(heads.select("key", "doc_id"), ["key", "doc_id"], "left_anti").select(
             "key", "doc_id", "n_shingles"
         )
-        pivots *= 2
+        pivots *= 4
         if not found.isEmpty():
             links, groups = materialize(links.unionAll(found), "near-links"), None
     return signs, links

@@ -4,14 +4,61 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tasador.llm import language_id, minhash
+from tasador.llm import ctph, language_id, minhash, mixing, ngram_lm, packing, pii
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_pii(spark, sf_dir):
+    """Personal data in all documents, with the spans that the classifier adds."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    found = pii.annotate(docs, pii.fit(docs)).drop("text")
+
+    def count(code):
+        return F.size(F.filter("pii", lambda s: s["kind"] == code)).cast("long")
+
+    return found.select(
+        "doc_id", *[count(i).alias(f"n_{kind}") for i, kind in enumerate(pii.BASE_KINDS)],
+        F.sha2(pii.digest(pii.base_only(F.col("pii"))), 256).alias("base_sha256"),
+        pii.digest(F.col("pii")).alias("spans"),
+        F.size("pii").cast("long").alias("n_spans"),
+    )
+
+
+def op3_ctph(spark, sf_dir):
+    """Fingerprints of all documents and of their edited texts."""
+    return ctph.edited_pairs(_documents(spark, sf_dir))
+
+
+def op4_temperature_mixing(spark, sf_dir):
+    """A mixture of as many tokens as there are, flattened towards equal sources."""
+    mixed = mixing.mix(_documents(spark, sf_dir).select("doc_id", "source", "text"))
+    slots = Window.partitionBy("mix_block").orderBy("mix_order")
+    return mixed.drop("text").select(
+        "doc_id", "source", F.col("mix_tokens").alias("n_tokens"), "mix_pass", "mix_weight",
+        "mix_block", F.row_number().over(slots).cast("long").alias("mix_slot"),
+    )
+
+
+def op5_packing(spark, sf_dir):
+    """All documents, packed into sequences of up to 2048 tokens."""
+    return packing.pack_documents(_documents(spark, sf_dir), packing.public_settings())
+
+
+def op7_ngram_lm(spark, sf_dir):
+    """Log probabilities of all documents, learned from six of seven folds."""
+    docs = _documents(spark, sf_dir)
+    held_out = language_id.fold(7) == 2
+    return ngram_lm.score(docs, ~held_out).select(
+        "doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "n_tokens", "n_known",
+        "train_tokens", "base_score", "score",
+    )
+
+
 def op8_minhash_near_dedup(spark, sf_dir):
     """Near-duplicate components of all documents."""
     return minhash.near_duplicates(_documents(spark, sf_dir))
@@ -28,6 +75,9 @@ def op10_language_id(spark, sf_dir):
 
 QUERIES = {
     q.__name__: q
-    for q in (op8_minhash_near_dedup, op10_language_id)
+    for q in (
+        op2_pii, op3_ctph, op4_temperature_mixing, op5_packing, op7_ngram_lm,
+        op8_minhash_near_dedup, op10_language_id,
+    )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_temperature_mixing": mixing.oracle(mixing.Settings())}
