@@ -200,29 +200,30 @@ def _cells(batches: Iterator[pa.RecordBatch], plan: _Plan) -> Iterator[pa.Record
 
 
 class _Shard:
-    """The cells of one shard as flat arrays, in a fixed order of the cells."""
+    """The cells of one shard as flat arrays, by block."""
 
     def __init__(self, table: pa.Table):
-        table = table.sort_by("block") if table.num_rows else table
+        blocks = table.column("block").to_numpy()
+        order = np.argsort(blocks)
 
         def column(name, kind):
-            parts = [np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]
+            cells = table.column(name)
+            parts = [np.frombuffer(cells[i].as_buffer(), kind) for i in order.tolist()]
             return np.concatenate(parts) if parts else np.zeros(0, kind)
 
-        blocks = np.asarray(table.column("block").to_pylist(), "i8")
-        vn, pn = column("vn", "u4"), column("pn", "u4")
-        self.v = np.repeat(column("v", "u8"), vn)
-        self.w, self.n, self.docs, self.pn = column("w", "u8"), column("n", "u4"), column("docs", "u2"), pn
-        self.key = pair_keys(self.v, self.w)
-        posted = np.asarray([len(x.as_buffer()) // 2 for x in table.column("docs")], "i8")
-        self.block = np.repeat(blocks, posted)
+        self.blocks = blocks[order]
+        self.v = np.repeat(column("v", "u8"), column("vn", "u4"))
+        self.w, self.n = column("w", "u8"), column("n", "u4")
+        self.pn, self.docs = column("pn", "u4"), column("docs", "u2")
+        # Where the pairs and the occurrences of each cell start.
+        self.edges, self.posted = (
+            np.cumsum([0, *(len(table.column(c)[i].as_buffer()) // size for i in order.tolist())])
+            for c, size in (("w", 8), ("docs", 2))
+        )
         self.heads = [
-            (b, *(np.frombuffer(row[c].as_buffer(), k) for c, k in (
+            (self.blocks[at], *(np.frombuffer(table.column(c)[i].as_buffer(), kind) for c, kind in (
                 ("ids", "i8"), ("nulls", "u1"), ("tokens", "u4"))))
-            for b, row in zip(blocks, (
-                {c: table.column(c)[i] for c in ("ids", "nulls", "tokens")}
-                for i in range(table.num_rows)
-            )) if len(row["ids"].as_buffer())
+            for at, i in enumerate(order.tolist()) if len(table.column("ids")[i].as_buffer())
         ]
 
     def pairs(self, plan: _Plan):
@@ -230,7 +231,9 @@ class _Shard:
 
         A hot pair occurs here without its count unless its home is here.
         """
-        keys, first, back = np.unique(self.key, return_index=True, return_inverse=True)
+        keys, first, back = np.unique(
+            pair_keys(self.v, self.w), return_index=True, return_inverse=True
+        )
         counts = np.bincount(back, weights=self.n, minlength=len(keys)).astype("i8")
         return keys, self.v[first], self.w[first], counts
 
@@ -452,20 +455,22 @@ def _scores(table: pa.Table, told: pa.Table, plan: _Plan) -> pa.Table:
     index = mapped(keys)
     logs, base, is_known = mapped(logs), mapped(base), mapped((count[at_w] > 0).astype("f8"))
 
-    # Every occurrence: its pair's values, summed by text.
-    at = np.repeat(np.searchsorted(index, shard.key), shard.pn)
-    text = (shard.block << 16) | (shard.docs >> 1).astype("i8")
-    order = np.argsort(text, kind="stable")
-    at, text = at[order], text[order]
-    starts = _runs(text)
-    text = text[starts]
-    sums = [np.add.reduceat(x[at], starts) if len(starts) else np.zeros(0) for x in (
-        is_known, base, logs)]
-    columns = [text, None, np.zeros(len(text), "i8"), sums[0].astype("i8"), sums[1], sums[2]]
-    parts = [pa.table([
-        pa.array(columns[0]), pa.nulls(len(text), pa.int64()), *map(pa.array, columns[2:]),
-        pa.array(np.full(len(text), int(total), "i8")),
-    ], names=_SCORED_NAMES)]
+    # Every occurrence: its pair's values, summed by text, cell by cell.
+    parts = [_no_scores()]
+    values = (is_known, base, logs)
+    for i, block in enumerate(shard.blocks):
+        own, posts = slice(*shard.edges[i : i + 2]), slice(*shard.posted[i : i + 2])
+        if posts.start == posts.stop:
+            continue
+        at = np.searchsorted(index, pair_keys(shard.v[own], shard.w[own]))
+        times, docs = shard.pn[own], shard.docs[posts] >> 1
+        here = np.flatnonzero(np.bincount(docs))
+        sums = [np.bincount(docs, weights=np.repeat(x[at], times))[here] for x in values]
+        parts.append(pa.table([
+            pa.array((int(block) << 16) + here), pa.nulls(len(here), pa.int64()),
+            pa.array(np.zeros(len(here), "i8")), pa.array(np.rint(sums[0]).astype("i8")),
+            pa.array(sums[1]), pa.array(sums[2]), pa.array(np.full(len(here), int(total), "i8")),
+        ], names=_SCORED_NAMES))
     for block, ids, nulls, tokens in shard.heads:
         n = len(ids)
         zero = pa.array(np.zeros(n))
