@@ -167,9 +167,9 @@ def _alike(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.Record
 _FILTER_BITS = 1 << 25
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose doc_id is in ``ids``: most others go before the join, by a bitmap of
-    bounded size."""
+def _split(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose doc_id may be in ``ids``, and rows whose doc_id is surely not, by a bitmap
+    of bounded size."""
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(_FILTER_BITS))
     maps = ids.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap")
@@ -177,8 +177,10 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     at = F.bitmap_bit_position(bit).cast("int")
     byte = F.conv(F.hex(F.substring("bitmap", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10)
     hit = F.call_function("shiftright", byte.cast("int"), at % 8).bitwiseAND(1) == 1
-    some = docs.join(F.broadcast(maps), F.bitmap_bucket_number(bit) == F.col("bucket")).filter(hit)
-    return some.drop("bucket", "bitmap").join(ids, "doc_id", "left_semi")
+    marked = docs.join(
+        F.broadcast(maps), F.bitmap_bucket_number(bit) == F.col("bucket"), "left"
+    ).withColumn("hit", F.coalesce(hit, F.lit(False))).drop("bucket", "bitmap")
+    return marked.filter("hit").drop("hit"), marked.filter("NOT hit").drop("hit")
 
 
 def _links(docs: DataFrame, sketches: DataFrame, pairs: DataFrame, s: Settings) -> DataFrame:
@@ -191,7 +193,8 @@ def _links(docs: DataFrame, sketches: DataFrame, pairs: DataFrame, s: Settings)
     if pairs.isEmpty():
         return pairs
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = _only(docs, ids).mapInArrow(
+    some, _ = _split(docs, ids)
+    sets = some.join(ids, "doc_id", "left_semi").mapInArrow(
         lambda batches: _sets(batches, s), "doc_id long, shingles binary"
     )
     sets = materialize(sets, "near-sets")
@@ -270,7 +273,30 @@ def near_links(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, Da
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row."""
-    signs, links = near_links(docs, s)
+    return _labelled(*near_links(docs, s))
+
+
+def without_near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """The rows of one document of each component, with all their columns.
+
+    Rows without doc_id stay; of several rows with one doc_id one stays. Only
+    rows whose ids are concerned are shuffled.
+    """
+    found = _labelled(*near_links(docs, s))
+    per_id = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.count("*").alias("rows"), F.max("kept").alias("kept")
+    ).filter("rows > 1 OR NOT kept")
+    concerned = materialize(per_id, "near-dropped")
+    some, others = _split(docs, concerned.select("doc_id"))
+    names = docs.columns
+    some = some.join(concerned.select("doc_id", "rows", F.col("kept").alias("stays")), "doc_id", "left")
+    stays = some.filter(F.coalesce("stays", F.lit(True)))
+    once = stays.filter("rows > 1").dropDuplicates(["doc_id"]).select(names)
+    rest = stays.filter("rows IS NULL OR rows = 1").select(names)
+    return others.select(names).unionByName(rest).unionByName(once)
+
+
+def _labelled(signs: DataFrame, links: DataFrame) -> DataFrame:
     groups = components(links)
     keys = ["set_a", "set_b", "n_shingles"]
     classes = signs.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*keys).agg(

@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tasador.plans.workspace import materialize
+from tasador.plans.joins import lookup_join
+from tasador.plans.workspace import materialize, materialize_measured
 
 
 @dataclass(frozen=True)
@@ -138,10 +139,11 @@ def mix(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     runs = plan.select("*", F.explode(F.sequence(
         F.lit(0).cast("long"), F.floor((F.col("budget") - 1) / F.col("tokens"))
     )).alias("mix_pass")).filter("budget > 0")
-    # Whether every source's plan is small is not known, so this join is not forced to broadcast.
-    used = rows.join(runs, "mix_source").withColumn(
-        "mix_hash", _hash(s, "mix_pass", "doc_id")
-    )
+    # Broadcast up to a measured size; with more sources than that, large ones are spread.
+    runs, size = materialize_measured(runs, "mix-runs")
+    used = lookup_join(
+        rows, runs, ["mix_source"], ["doc_id"], how="inner", lookup_bytes=size
+    ).withColumn("mix_hash", _hash(s, "mix_pass", "doc_id"))
     share = F.conv(F.substring("mix_hash", 1, 13), 16, 10).cast("double") / float(1 << 52)
     used = used.withColumn(
         "mix_bucket", F.floor(share * F.ceil(F.col("docs") / s.bucket_rows)).cast("long")

@@ -6,13 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tasador.llm import ctph, language_id, minhash, mixing, ngram_lm, packing, pii
+from tasador.llm import (
+    ctph, language_id, minhash, mixing, ngram_lm, packing, pii, projections, suffix_dedup, wrappers,
+)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_projected_neighbours(spark, sf_dir):
+    """The 20 nearest rows of every twentieth embedding."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return projections.nearest(rows, F.col("id") % 20 == 0)
+
+
 def op2_pii(spark, sf_dir):
     """Personal data in all documents, with the spans that the classifier adds."""
     docs = _documents(spark, sf_dir).select("doc_id", "text")
@@ -49,6 +57,11 @@ def op5_packing(spark, sf_dir):
     return packing.pack_documents(_documents(spark, sf_dir), packing.public_settings())
 
 
+def op6_wrappers(spark, sf_dir):
+    """Main texts of all pages."""
+    return wrappers.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op7_ngram_lm(spark, sf_dir):
     """Log probabilities of all documents, learned from six of seven folds."""
     docs = _documents(spark, sf_dir)
@@ -64,6 +77,11 @@ def op8_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(_documents(spark, sf_dir))
 
 
+def op9_suffix_array_dedup(spark, sf_dir):
+    """All documents without bytes of repeated strings of 100 bytes."""
+    return suffix_dedup.remove_repeats(_documents(spark, sf_dir))
+
+
 def op10_language_id(spark, sf_dir):
     """Languages of all documents, learned from three of four folds."""
     docs = _documents(spark, sf_dir)
@@ -76,8 +94,9 @@ def op10_language_id(spark, sf_dir):
 QUERIES = {
     q.__name__: q
     for q in (
-        op2_pii, op3_ctph, op4_temperature_mixing, op5_packing, op7_ngram_lm,
-        op8_minhash_near_dedup, op10_language_id,
+        op1_projected_neighbours, op2_pii, op3_ctph, op4_temperature_mixing, op5_packing,
+        op6_wrappers, op7_ngram_lm, op8_minhash_near_dedup, op9_suffix_array_dedup,
+        op10_language_id,
     )
 }
 ORACLES: dict[str, str] = {"op4_temperature_mixing": mixing.oracle(mixing.Settings())}
