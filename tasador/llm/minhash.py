@@ -171,16 +171,16 @@ def _split(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows whose doc_id may be in ``ids``, and rows whose doc_id is surely not, by a bitmap
     of bounded size."""
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(_FILTER_BITS))
-    maps = ids.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap")
+    maps = ids.select(bit.alias("_near_bit")).groupBy(F.bitmap_bucket_number("_near_bit").alias("_near_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_near_bit")).alias("_near_bitmap")
     )
     at = F.bitmap_bit_position(bit).cast("int")
-    byte = F.conv(F.hex(F.substring("bitmap", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    byte = F.conv(F.hex(F.substring("_near_bitmap", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10)
     hit = F.call_function("shiftright", byte.cast("int"), at % 8).bitwiseAND(1) == 1
     marked = docs.join(
-        F.broadcast(maps), F.bitmap_bucket_number(bit) == F.col("bucket"), "left"
-    ).withColumn("hit", F.coalesce(hit, F.lit(False))).drop("bucket", "bitmap")
-    return marked.filter("hit").drop("hit"), marked.filter("NOT hit").drop("hit")
+        F.broadcast(maps), F.bitmap_bucket_number(bit) == F.col("_near_bucket"), "left"
+    ).withColumn("_near_hit", F.coalesce(hit, F.lit(False))).drop("_near_bucket", "_near_bitmap")
+    return marked.filter("_near_hit").drop("_near_hit"), marked.filter("NOT _near_hit").drop("_near_hit")
 
 
 def _links(docs: DataFrame, sketches: DataFrame, pairs: DataFrame, s: Settings) -> DataFrame:
@@ -284,15 +284,15 @@ def without_near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFr
     """
     found = _labelled(*near_links(docs, s))
     per_id = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.count("*").alias("rows"), F.max("kept").alias("kept")
-    ).filter("rows > 1 OR NOT kept")
+        F.count("*").alias("_near_rows"), F.max("kept").alias("kept")
+    ).filter("_near_rows > 1 OR NOT kept")
     concerned = materialize(per_id, "near-dropped")
     some, others = _split(docs, concerned.select("doc_id"))
     names = docs.columns
-    some = some.join(concerned.select("doc_id", "rows", F.col("kept").alias("stays")), "doc_id", "left")
-    stays = some.filter(F.coalesce("stays", F.lit(True)))
-    once = stays.filter("rows > 1").dropDuplicates(["doc_id"]).select(names)
-    rest = stays.filter("rows IS NULL OR rows = 1").select(names)
+    some = some.join(concerned.select("doc_id", "_near_rows", F.col("kept").alias("_near_stays")), "doc_id", "left")
+    stays = some.filter(F.coalesce("_near_stays", F.lit(True)))
+    once = stays.filter("_near_rows > 1").dropDuplicates(["doc_id"]).select(names)
+    rest = stays.filter("_near_rows IS NULL OR _near_rows = 1").select(names)
     return others.select(names).unionByName(rest).unionByName(once)
 
 
