@@ -36,7 +36,7 @@ from tasador.plans.workspace import materialize_measured
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*>?"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-zA-Z][^<>]*$", re.S
 )
 _ATTRIBUTE = re.compile(r"\s(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Elements whose content is no markup.
@@ -62,6 +62,10 @@ _ASIDE_WORDS = set(
 _ARTICLE_WORDS = set("article content entry main post story".split())
 
 
+#: Deeper elements only end a block; their texts belong to the element they are in.
+_DEEPEST = 150
+
+
 class Node:
     """An element with its block elements and texts, in order."""
 
@@ -111,7 +115,7 @@ def parse(page: str | None) -> Node:
             stack.pop()  # a block element ends an open paragraph
         node = Node(_label(tag, token[3]))
         stack[-1].parts.append(node)
-        if tag not in _VOID:
+        if tag not in _VOID and len(stack) < _DEEPEST:
             stack.append(node)
     if at < len(page):
         stack[-1].parts.append(page[at:])

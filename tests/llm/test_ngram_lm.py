@@ -51,9 +51,9 @@ def rows_of(table, train, s=N.Settings()):
             for r in N.score(table, train, s).collect()]
 
 
-@pytest.mark.parametrize("s", [N.Settings(), N.Settings(shards=40, block_tokens=500)])
+@pytest.mark.parametrize("s", [N.Settings(), N.Settings(shards=200, block_tokens=500)])
 def test_equals_plain_model(docs, corpus, s):
-    """With 40 shards, frequent words and pairs are hot."""
+    """With 200 shards, frequent words and pairs are hot."""
     model = Plain([r[1] for r in corpus if r[0] % 3])
     texts = {r[0]: r[1] for r in corpus}
     found = rows_of(docs, F.col("doc_id") % 3 != 0, s)
@@ -63,8 +63,8 @@ def test_equals_plain_model(docs, corpus, s):
 
 
 def test_hot_keys_are_found(docs):
-    words, pairs = N._hot(docs.select("doc_id", "text"), 40, N.Settings())
-    assert len(words) and len(pairs) and len(words) <= 40 and len(pairs) <= 40
+    words, pairs = N._hot(docs.select("doc_id", "text"), 200, N.Settings())
+    assert len(words) and len(pairs) and len(words) <= 200 and len(pairs) <= 200
 
 
 def test_probabilities_sum_to_one(corpus):

@@ -32,7 +32,7 @@ def test_given_pages(spark, sf_dir):
     ("<div><div><p>long text of the page, much of it</p><p>and more</p></div><footer>f</footer></div>",
      "long text of the page, much of it\nand more"),
     ("plain", "plain"), ("", ""), (None, ""), ("<p", ""), ("<article></article>", ""),
-    ("<article>" + "<div>" * 300 + "deep" + "</div>" * 300 + "</article>", "deep"),
+    ("<article>" + "<div>" * 5_000 + "deep<p>er" + "</div>" * 5_000 + "</article>", "deep\ner"),
 ])
 def test_main_text(page, text):
     assert W.main_text(page, "") == text
