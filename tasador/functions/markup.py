@@ -1,29 +1,46 @@
-"""Elements and text of stored HTML, as regular expressions on a string column.
-
-``Element`` names an element by tag and attribute. Its pattern follows nested
-elements of the same tag down to ``_DEPTH`` levels. All repetitions are
-possessive: they neither backtrack nor recurse on long pages. Every pattern
-starts with a plain ``<``, which lets the matcher skip the text between tags.
+"""Elements and text of stored HTML, as expressions on a string column.
+
+``Element`` names an element by tag and attribute. Attributes follow HTML's
+grammar: white space, a name, and optionally a value in double quotes, in
+single quotes or bare, so a ``>`` inside quotes ends no tag. An element's end
+is found by counting the tags of its kind, to any depth; where none of its own
+kind is inside, a plain pattern finds it. Repetitions are possessive or run
+over attributes, and neither backtrack nor recurse on long pages.
 """
 
+import json
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_DEPTH = 4
+_VALUE = r"(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++)"
+_ATTRIBUTE = rf"\s++[^\s\"'>=/]++(?:\s*+=\s*+{_VALUE})?+"
+#: The rest of a tag.
+_REST = "(?:[^\"'>]|\"[^\"]*+\"|'[^']*+')*+>"
 _VOID = "(?i:area|br|col|hr|img|input|link|meta|source|wbr)"
-_COMMENT = "<!--.*?-->"
-_GAP = f"[^<]*+(?:{_COMMENT}[^<]*+)*+"
 
 
-def _content(tag: str, depth: int = _DEPTH) -> str:
-    name = f"(?i:{tag})"
-    nested = f"|<{name}\\b{_content(tag, depth - 1)}</{name}\\s*>" if depth else ""
-    return f"(?:[^<]++|<(?!/?{name}\\b){nested})*+"
+def has_attribute(tag: str, name: str, quoted: str, bare: str) -> str:
+    """Pattern of an opening tag with an attribute whose value, quoted or bare, matches."""
+    value = f"(?:\"{quoted.replace('QUOTE', '"')}\"|'{quoted.replace('QUOTE', "'")}'|{bare})"
+    return f"<{tag}(?:{_ATTRIBUTE})*?\\s++(?i:{name})\\s*+=\\s*+{value}(?=[\\s/>]){_REST}"
+
+
+def attribute_contains(tag: str, name: str, part: str) -> str:
+    """The same for a value that contains a text, in any case."""
+    return has_attribute(
+        f"(?i:{tag})", name, f"[^QUOTE]*(?i:{part})[^QUOTE]*", f"[^\\s\"'>]*(?i:{part})[^\\s\"'>]*"
+    )
+
+
+def _listed(value: str) -> tuple[str, str]:
+    """Quoted and bare pattern of a list of names that holds one."""
+    name = re.escape(value)
+    return f"(?:[^QUOTE]*\\s)?{name}(?:\\s[^QUOTE]*)?", name
 
 
 @dataclass(frozen=True)
@@ -42,37 +59,15 @@ class Element:
     @property
     def opening(self) -> str:
         if self.value is None:
-            return f"<(?i:{self.tag})\\b[^>]*>"
-        if self.attribute == "class":
-            wanted = f"(?:[^\"'>]*\\s)?{re.escape(self.value)}(?:\\s[^\"'>]*)?"
-        else:
-            wanted = re.escape(self.value)
-        return f"<(?i:{self.tag})\\b[^>]*\\b(?i:{self.attribute})=[\"']{wanted}[\"'][^>]*>"
-
-    @property
-    def pattern(self) -> str:
-        """Groups: the tag of an earlier sibling, the whole element, its content.
-
-        Without ``child`` the first two are absent, for the first child the first.
-        """
-        element = f"{self.opening}({_content(self.tag)})</(?i:{self.tag})\\s*>"
-        if self.child is None:
-            return f"(?s){element}"
-        before = f"<(?!{_VOID}\\b)[a-zA-Z][^>]*(?<!/)>{_GAP}"
-        if self.child == 2:
-            sibling = "<([a-zA-Z][a-zA-Z0-9]*)\\b[^>]*>(?:[^<]++|<(?!/?\\1\\b))*+</\\1\\s*>"
-            before += f"(?:<{_VOID}\\b[^>]*>|{sibling}){_GAP}"
-        return f"(?s){before}({element})"
-
-    @property
-    def whole(self) -> int:
-        """Group of the whole element."""
-        return self.child or 0
+            return f"<(?i:{self.tag})(?=[\\s/>]){_REST}"
+        name = re.escape(self.value)
+        value = _listed(self.value) if self.attribute == "class" else (name, name)
+        return has_attribute(f"(?i:{self.tag})", self.attribute, *value)
 
     @property
-    def content(self) -> int:
-        """Group of the content."""
-        return self.whole + 1
+    def own_tags(self) -> str:
+        """Opening and closing tags of the element's kind."""
+        return f"(?s)</?(?i:{self.tag})(?=[\\s/>]){_REST}"
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -95,9 +90,156 @@ def without_code(html: Column) -> Column:
     )
 
 
+def _join(tags: Column, texts: Column, first: Column, last: Column) -> Column:
+    """Markup from after the tag number ``first`` (from 0) up to the tag ``last``."""
+    inner = F.transform(F.sequence(first + 1, last), lambda i: F.concat(
+        F.get(texts, i), F.when(i < last, F.get(tags, i)).otherwise(F.lit(""))
+    ))
+    return F.array_join(inner, "")
+
+
+_OPEN = "struct<at:int,wanted:boolean>"
+_FOUND = "struct<at:int,last:int>"
+
+
+def _spans(tags: Column, opening: str) -> Column:
+    """First and last tag of every wanted element, by their start.
+
+    An element without an end tag reaches to the end.
+    """
+    def step(state, tag):
+        at, open_ = state["at"], state["open"]
+        depth = F.size(open_)
+        top = F.get(open_, depth - 1)
+        started = F.concat(open_, F.array(F.struct(
+            at.alias("at"), tag.rlike(f"(?s)^{opening}").alias("wanted")
+        ).cast(_OPEN)))
+        ended = F.when(depth > 0, F.slice(open_, 1, depth - 1)).otherwise(open_)
+        hit = F.array(F.struct(top["at"].alias("at"), at.alias("last")).cast(_FOUND))
+        closes = tag.startswith("</")
+        return F.struct(
+            (at + 1).alias("at"),
+            F.when(closes, ended).otherwise(started).alias("open"),
+            F.when(closes & (depth > 0) & top["wanted"], F.concat(state["found"], hit))
+            .otherwise(state["found"]).alias("found"),
+        )
+
+    start = F.struct(
+        F.lit(0).alias("at"), F.array().cast(f"array<{_OPEN}>").alias("open"),
+        F.array().cast(f"array<{_FOUND}>").alias("found"),
+    )
+
+    def finish(state):
+        unended = F.transform(F.filter(state["open"], lambda o: o["wanted"]), lambda o: F.struct(
+            o["at"].alias("at"), state["at"].alias("last")
+        ).cast(_FOUND))
+        return F.array_sort(F.concat(state["found"], unended))
+
+    return F.aggregate(tags, start, step, finish)
+
+
+def _pieces(html: Column, pattern: str, use: Callable[[Column, Column], Column]) -> Column:
+    """``use`` of the matches of a pattern and of the texts around them."""
+    parts = F.struct(
+        F.regexp_extract_all(html, F.lit(pattern), F.lit(0)).alias("tags"),
+        F.split(html, pattern, -1).alias("texts"),
+    )
+    return let(parts, lambda p: use(p["tags"], p["texts"]))
+
+
 def elements(html: Column, element: Element) -> Column:
-    """All elements of a page, as an array of their markup."""
-    return F.regexp_extract_all(html, F.lit(element.pattern), F.lit(element.whole))
+    """Contents and opening tags of all such elements, as an array of their markup."""
+    def cut(tags, texts):
+        return F.transform(_spans(tags, element.opening), lambda span: F.concat(
+            F.get(tags, span["at"]), _join(tags, texts, span["at"], span["last"]),
+            F.coalesce(F.get(tags, span["last"]), F.lit("")),
+        ))
+
+    present = html.rlike(f"(?s){element.opening}")
+    return F.when(present, _pieces(html, element.own_tags, cut)).otherwise(
+        F.array().cast("array<string>")
+    )
+
+
+def _first_content(html: Column, element: Element) -> Column:
+    """What the first such element holds, read on from its opening tag."""
+    kind = f"(?i:{element.tag})"
+    flat = f"(?:[^<]++|<(?!/?{kind}[\\s/>]))*+"
+    rest = F.regexp_extract(html, f"(?s){element.opening}(.*)$", 1)
+
+    def after(text):
+        plain = F.regexp_extract(text, f"(?s)^({flat})</{kind}", 1)
+        return F.when(text.rlike(f"(?s)^{flat}</{kind}"), plain).otherwise(nested(text))
+
+    def nested(text):
+        def cut(tags, texts):
+            # The whole rest is inside the element, whose own tag is put before it.
+            whole = F.concat(F.array(F.lit("<>")), tags)
+            parts = F.concat(F.array(F.lit("")), texts)
+            depth = F.aggregate(whole, F.struct(
+                F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(-1).alias("last")
+            ), lambda state, tag: F.struct(
+                (state["at"] + 1).alias("at"),
+                (state["depth"] + F.when(tag.startswith("</"), -1).otherwise(1)).alias("depth"),
+                F.when(
+                    (state["last"] < 0) & tag.startswith("</") & (state["depth"] == 1), state["at"]
+                ).otherwise(state["last"]).alias("last"),
+            ))
+            return let(depth, lambda d: _join(
+                whole, parts, F.lit(0), F.when(d["last"] < 0, d["at"]).otherwise(d["last"])
+            ))
+
+        return _pieces(text, element.own_tags, cut)
+
+    return let(rest, lambda text: F.when(text != "", after(text)).otherwise(F.lit("")))
+
+
+_NODE = "struct<at:int,tag:string,place:int,children:int>"
+_CHILD = "struct<at:int,last:int>"
+_ANY_TAG = f"(?s)</?[a-zA-Z][^\\s/>]*+{_REST}|<!--.*?-->"
+
+
+def _children(tags: Column, opening: str, place: int) -> Column:
+    """First and last tag of the wanted elements that are so many-th children."""
+    def step(state, tag):
+        at, open_ = state["at"], state["open"]
+        depth = F.size(open_)
+        name = F.lower(F.regexp_extract(tag, "^</?([a-zA-Z][^\\s/>]*)", 1))
+        top = F.get(open_, depth - 1)
+        number = F.coalesce(top["children"], F.lit(0)) + 1
+        counted = F.when(depth > 0, F.concat(F.slice(open_, 1, depth - 1), F.array(F.struct(
+            top["at"].alias("at"), top["tag"].alias("tag"), top["place"].alias("place"),
+            number.alias("children"),
+        ).cast(_NODE)))).otherwise(open_)
+        wanted = (number == place) & (depth > 0) & tag.rlike(f"(?s)^{opening}")
+        node = F.array(F.struct(
+            at.alias("at"), name.alias("tag"), F.when(wanted, place).otherwise(0).alias("place"),
+            F.lit(0).alias("children"),
+        ).cast(_NODE))
+        # An end tag closes the innermost element of its name and all inside that.
+        back = F.array_position(F.reverse(F.transform(open_, lambda o: o["tag"])), name).cast("int")
+        closed = F.slice(open_, depth - back + 1, back)
+        hits = F.transform(F.filter(closed, lambda o: o["place"] > 0), lambda o: F.struct(
+            o["at"].alias("at"), at.alias("last")
+        ).cast(_CHILD))
+        ends = tag.startswith("</")
+        comment = tag.startswith("<!")
+        found = state["found"]
+        return F.struct(
+            (at + 1).alias("at"),
+            F.when(comment, open_)
+            .when(ends & (back > 0), F.slice(open_, 1, depth - back))
+            .when(ends, open_)
+            .when(tag.rlike(f"^<{_VOID}(?=[\\s/>])"), counted)
+            .otherwise(F.concat(counted, node)).alias("open"),
+            F.when(ends & (back > 0), F.concat(found, hits)).otherwise(found).alias("found"),
+        )
+
+    start = F.struct(
+        F.lit(0).alias("at"), F.array().cast(f"array<{_NODE}>").alias("open"),
+        F.array().cast(f"array<{_CHILD}>").alias("found"),
+    )
+    return F.aggregate(tags, start, step, lambda state: F.array_sort(state["found"]))
 
 
 def opening_tag(html: Column, element: Element) -> Column:
@@ -107,8 +249,10 @@ def opening_tag(html: Column, element: Element) -> Column:
 
 def attribute(tag: Column, name: str) -> Column:
     """The value of an attribute of an opening tag; empty when absent."""
-    found = F.regexp_extract(tag, f"(?s)\\s(?i:{name})=(?:\"[^\"]*\"|'[^']*')", 0)
-    return decode_entities(F.regexp_replace(found, "(?s)^[^=]*=[\"']|[\"']$", ""))
+    found = F.regexp_extract(
+        tag, f"(?s)^<[a-zA-Z][^\\s/>]*+(?:{_ATTRIBUTE})*?\\s++(?i:{name})\\s*+=\\s*+({_VALUE})", 1
+    )
+    return decode_entities(F.regexp_replace(found, "(?s)^[\"']|[\"']$", ""))
 
 
 _WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
@@ -120,12 +264,26 @@ def strip(text: Column) -> Column:
 
 def text_content(markup: Column) -> Column:
     """The text of a piece of markup, without tags and with entities decoded."""
-    return decode_entities(F.regexp_replace(markup, r"(?s)<(?:!--.*?--|[^>]*)>", ""))
+    return decode_entities(F.regexp_replace(
+        markup, f"(?s)<!--.*?-->|</?[a-zA-Z][^\\s/>]*+{_REST}|<[^>]*>", ""
+    ))
 
 
 def element_markup(html: Column, element: Element) -> Column:
     """What the first such element holds; empty when there is none."""
-    return F.regexp_extract(html, element.pattern, element.content)
+    if element.child is None:
+        return _first_content(html, element)
+
+    def cut(tags, texts):
+        first = F.get(_children(tags, element.opening, element.child), F.lit(0))
+        return let(first, lambda span: F.when(
+            span.isNotNull(), _join(tags, texts, span["at"], span["last"])
+        ).otherwise(F.lit("")))
+
+    present = html.rlike(f"(?s){element.opening}")
+    # The piece of markup is the content of one more element, which is no child itself.
+    whole = F.concat(F.lit("<html>"), html)
+    return F.when(present, _pieces(whole, _ANY_TAG, cut)).otherwise(F.lit(""))
 
 
 def clean_text(markup: Column) -> Column:
@@ -133,30 +291,37 @@ def clean_text(markup: Column) -> Column:
     return some(strip(text_content(markup)))
 
 
-# Named entities: those of the standard library's table.
-_NAMED = {name: chr(point) for name, point in name2codepoint.items()}
+# Named entities: those of the standard library's table that end with a semicolon, as one
+# literal, which is read once for a whole query.
+_NAMED = json.dumps({name[:-1]: text for name, text in html5.items() if name.endswith(";")})
+_COMMON = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "nbsp": "\u00a0"}
 _REFERENCE = "^(#[xX][0-9a-fA-F]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*);"
 
 
 def _numbered(digits: Column) -> Column:
-    """Character of ``233`` or ``xe9``, up to U+FFFF; null when out of range."""
-    point = F.when(
-        F.lower(digits).startswith("x"), F.conv(F.substring(digits, 2, 8), 16, 10)
-    ).otherwise(F.substring(digits, 1, 8)).try_cast("int")
-    return let(point, lambda p: F.when(
-        p.between(1, 0xFFFF) & ~p.between(0xD800, 0xDFFF),
-        F.decode(F.unhex(F.lpad(F.hex(p), 4, "0")), "UTF-16BE"),
-    ))
+    """Character of ``233`` or ``xe9``; null when there is none of that number."""
+    bare = F.regexp_replace(digits, "^[xX]?0*+(?=.)", "")
+    hexadecimal = F.lower(digits).startswith("x")
+    point = F.when(F.length(bare) <= 8, F.when(
+        hexadecimal, F.conv(bare, 16, 10)
+    ).otherwise(bare)).try_cast("int")
+
+    def character(p):
+        known = p.between(1, 0x10FFFF) & ~p.between(0xD800, 0xDFFF)
+        return F.when(known, F.decode(F.unhex(F.lpad(F.hex(p), 8, "0")), "UTF-32"))
+
+    return let(point, character)
 
 
 def decode_entities(text: Column) -> Column:
-    """Named Latin-1, Greek and symbol entities, and numeric ones up to U+FFFF."""
-    named = F.create_map(*[F.lit(x) for pair in _NAMED.items() for x in pair])
+    """Named and numeric character references that end with a semicolon, decoded."""
+    named = F.from_json(F.lit(_NAMED), "map<string,string>")
 
     def character(reference):
-        return F.when(
-            reference.startswith("#"), _numbered(F.substring(reference, 2, 9))
-        ).otherwise(F.try_element_at(named, reference))
+        chain = F.when(reference.startswith("#"), _numbered(F.substring(reference, 2, 1 << 30)))
+        for name, sign in _COMMON.items():
+            chain = chain.when(reference == name, F.lit(sign))
+        return chain.when(reference != "", F.try_element_at(named, reference))
 
     def piece(part, position):
         char = let(F.regexp_extract(part, _REFERENCE, 1), character)

@@ -194,16 +194,19 @@ def union_records(*batches: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches)
 
 
+_ANY = r"[a-zA-Z][^\s/>]*+"
 # Signs of a challenge, in order, with the text of each selector.
 CAPTCHA_SIGNS = (
-    ("iframe[src*='captcha']", r"(?i)<iframe\b[^>]*\bsrc=[\"'][^\"'>]*captcha"),
-    ("iframe[src*='recaptcha']", r"(?i)<iframe\b[^>]*\bsrc=[\"'][^\"'>]*recaptcha"),
-    ("iframe[src*='hcaptcha']", r"(?i)<iframe\b[^>]*\bsrc=[\"'][^\"'>]*hcaptcha"),
-    ("div[class*='captcha']", r"(?i)<div\b[^>]*\bclass=[\"'][^\"'>]*captcha"),
-    ("div[id*='captcha']", r"(?i)<div\b[^>]*\bid=[\"'][^\"'>]*captcha"),
-    ("#challenge-running", r"(?i)<[a-z][^>]*\bid=[\"']challenge-running[\"']"),
-    ("#challenge-form", r"(?i)<[a-z][^>]*\bid=[\"']challenge-form[\"']"),
-    (".cf-turnstile", r"(?i)<[a-z][^>]*\bclass=[\"'](?:[^\"'>]*\s)?cf-turnstile(?:\s[^\"'>]*)?[\"']"),
+    ("iframe[src*='captcha']", M.attribute_contains("iframe", "src", "captcha")),
+    ("iframe[src*='recaptcha']", M.attribute_contains("iframe", "src", "recaptcha")),
+    ("iframe[src*='hcaptcha']", M.attribute_contains("iframe", "src", "hcaptcha")),
+    ("div[class*='captcha']", M.attribute_contains("div", "class", "captcha")),
+    ("div[id*='captcha']", M.attribute_contains("div", "id", "captcha")),
+    ("#challenge-running", M.has_attribute(_ANY, "id", "challenge-running", "challenge-running")),
+    ("#challenge-form", M.has_attribute(_ANY, "id", "challenge-form", "challenge-form")),
+    (".cf-turnstile", M.has_attribute(
+        _ANY, "class", r"(?:[^QUOTE]*\s)?cf-turnstile(?:\s[^QUOTE]*)?", "cf-turnstile"
+    )),
 )
 # Texts of block pages, compared without case.
 BLOCK_TEXTS = (
@@ -217,9 +220,12 @@ BLOCK_TITLES = ("403", "429", "Access Denied", "Blocked")
 
 
 def body_text(html: Column) -> Column:
-    """Text of the body, up to the end of a page that is cut off."""
+    """Text of the body, up to the end of a page that is cut off; without a body tag, all
+    text after the head."""
     body = F.regexp_extract(html, r"(?is)<body\b[^>]*>(.*)$", 1)
-    return M.text_content(F.regexp_replace(body, r"(?is)</body\s*>.*$", ""))
+    bare = F.regexp_replace(html, r"(?is)^.*?</head\s*>|<title\b[^>]*>.*?</title\s*>", "")
+    whole = F.when(html.rlike(r"(?i)<body\b"), body).otherwise(bare)
+    return M.text_content(F.regexp_replace(whole, r"(?is)</body\s*>.*$", ""))
 
 
 def page_title(html: Column) -> Column:

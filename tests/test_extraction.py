@@ -122,3 +122,52 @@ def test_registry():
 def test_union_fills_missing_columns(spark):
     a, b = spark.createDataFrame([(1,)], "x int"), spark.createDataFrame([(2, "y")], "x int, y string")
     assert sorted(tuple(r) for r in X.union_records(a, b).collect()) == [(1, None), (2, "y")]
+
+
+def nested(depth, inner):
+    return "<article>" * depth + inner + "</article>" * depth
+
+
+def test_markup_of_any_depth_and_quoting(spark):
+    link = '<a class="item-link" href="/a">T</a>'
+    htmls = [
+        f'<article class="item">{nested(40, "x")}{link}</article>',
+        '<article class="item"><a title="a>b" class="item-link" href="/a">T</a></article>',
+        "<article data-class='x>' class=item><a class=item-link href=/a>T</a></article>",
+        f'<article data-class="item">{link}</article>',
+        f'<article class="item">{link}<div><span class="item-detail"><span>80</span> m²</span>'
+        '<span class="item-detail">3 hab.</span></div></article>',
+        f'<article class="item">{link}<article class="item">{link}</article></article>',
+        f'<article class="item">{link}',
+    ]
+    rows = X.extract_cards(pages(spark, "idealista", *htmls), ["idealista"]).collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r.page_id, []).append((r.url, r.title, r.raw_area, r.raw_rooms))
+    plain = ("https://www.idealista.com/a", "T", "", None)
+    assert found == {
+        0: [plain], 1: [plain], 2: [plain],
+        4: [("https://www.idealista.com/a", "T", "80 m²", "3 hab.")], 5: [plain, plain], 6: [plain],
+    }
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("&#000000233;&#xE9;&#128512;&#x1F600;", "éé😀😀"), ("L&apos;H &amp;amp; &notin;&Aacute;", "L'H &amp; ∉Á"),
+    ("&#0;&#xD800;&#1114112;&#99999999999;&nope;&amp", "&#0;&#xD800;&#1114112;&#99999999999;&nope;&amp"),
+])
+def test_references(spark, text, expected):
+    frame = spark.createDataFrame([(text,)], "t string")
+    assert frame.select(M.decode_entities(F.col("t"))).first()[0] == expected
+
+
+def test_block_notices_without_body_and_quotes(spark):
+    htmls = [
+        "<h1>Access Denied</h1>", "<iframe src=//x/recaptcha/a></iframe><body>x</body>",
+        '<body><iframe data-src="//x/captcha.js"></iframe></body>',
+        "<head><title>403</title></head>nothing", "<body><p id=challenge-form></p></body>",
+    ]
+    rows = X.detect_blocking(pages(spark, "s", *htmls)).orderBy("page_id").collect()
+    assert [r.reason for r in rows] == [
+        "Block text detected: 'Access Denied'", "CAPTCHA detected: iframe[src*='captcha']", "",
+        "Block page title: '403'", "CAPTCHA detected: #challenge-form",
+    ]
