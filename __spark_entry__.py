@@ -59,11 +59,9 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _steady(df: DataFrame, *averages: str) -> DataFrame:
-    """Averages in the 32-bit precision of a report.
-
-    The last digits of a sum of doubles depend on the order of the rows.
-    """
-    return df.withColumns({c: F.col(c).cast("float").cast("double") for c in averages})
+    """Averages to four places: the last digits of a sum of doubles depend on the order of
+    the rows. They are cut at 0.63 of a place, where unlike at 0.5 no average of prices lies."""
+    return df.withColumns({c: F.floor(F.col(c) * 10000 + 0.37) / 10000 for c in averages})
 
 
 AVERAGE = "neighborhood_avg_price_per_sqm"
@@ -132,10 +130,16 @@ def q_validate_split(spark, sf_dir):
 
 @_register
 def q_cleaned_bounds(spark, sf_dir):
-    """bounds of cleaned values, on all parsed rows."""
-    parsed = cleaning.parse_values(bronze_layer(spark, sf_dir)).withColumn(
-        "price_per_sqm", parsing.price_per_sqm(F.col("price_eur"), F.col("area_sqm"))
-    )
+    """bounds of cleaned values, on all parsed rows, some of them negative or zero."""
+    rooms = F.col("rooms")
+    parsed = cleaning.parse_values(bronze_layer(spark, sf_dir)).withColumns({
+        "price_eur": F.when(rooms == 1, -F.col("price_eur")).otherwise(F.col("price_eur")),
+        "area_sqm": F.when(rooms == 2, 0.0).when(rooms == 3, -F.col("area_sqm"))
+        .otherwise(F.col("area_sqm")),
+    }).withColumns({
+        "rooms": F.when(rooms == 4, -rooms).otherwise(rooms),
+        "price_per_sqm": parsing.price_per_sqm(F.col("price_eur"), F.col("area_sqm")),
+    })
     return validation.check_cleaned(parsed).groupBy("is_valid", "reject_reason").agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -144,8 +148,11 @@ def q_cleaned_bounds(spark, sf_dir):
 @_register
 def q_source_slug(spark, sf_dir):
     """K2: directory-safe names, from supplier and brand names."""
+    foreign = F.when(F.col("p_size") % 3 == 0, " España").when(
+        F.col("p_size") % 3 == 1, " Espaßa 日本"
+    ).otherwise("")
     names = listings.table(spark, sf_dir, "part").select(
-        F.concat_ws(". ", "p_brand", "p_name").alias("source")
+        F.concat(F.concat_ws(". ", "p_brand", "p_name"), foreign).alias("source")
     )
     return names.groupBy("source").agg(F.count(F.lit(1)).alias("n")).withColumn(
         "slug", parsing.source_slug(F.col("source"))
@@ -565,30 +572,71 @@ def q_districts(spark, sf_dir):
 
 @_register
 def q_deals_envelope(spark, sf_dir):
-    """A7."""
-    return serving.deals_envelope(serving.top_deals(gold_layer(spark, sf_dir), n=10))
+    """The combined query without a point; the list as text."""
+    envelope = serving.deals(gold_layer(spark, sf_dir), n=10)
+    index = F.transform("deals", lambda d: F.concat_ws(
+        "=", d["url"], F.round(d["opportunity_index"] * 1_000_000).cast("long").cast("string")
+    ))
+    return envelope.withColumn("deals", F.array_join(index, ";"))
+
+
+@_register
+def q_require_rows(spark, sf_dir):
+    """A table that must not be empty."""
+    part = listings.table(spark, sf_dir, "part")
+    return readers.require_rows(part, "part").select("p_partkey", "p_name")
+
+
+@_register
+def q_save_records(spark, sf_dir):
+    """K7: records of a small table, saved and read by name."""
+    nation = listings.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    writers.save(spark, [r.asDict() for r in nation.collect()], "saved_nations", nation.schema)
+    return spark.table("saved_nations")
+
+
+@_register
+def q_gold_replaced(spark, sf_dir):
+    """K4: a full rebuild that has lost a day leaves nothing of that day."""
+    path, gold = fresh_path(spark, "gold-replaced"), gold_layer(spark, sf_dir)
+    writers.write_gold(gold, path)
+    writers.write_gold(gold.filter("scrape_date <> '1998-03'"), path, replace_all=True)
+    return readers.read_gold(spark, path).groupBy("scrape_date").agg(F.count("*").alias("n"))
+
+
+@_register
+def q_all_places(spark, sf_dir):
+    """All barrios and all districts of the gazetteer."""
+    barrios = lookups.all_barrios(listings.gazetteer_barrios(spark, sf_dir))
+    districts = lookups.all_districts(listings.gazetteer_districts(spark, sf_dir))
+    return barrios.withColumnRenamed("barrio", "place").unionAll(
+        districts.select("district", F.lit(None).cast("string"))
+    )
 
 
 # --- Extraction -------------------------------------------------------------
 
 
+#: A source whose cards are menu entries.
+WEB = extraction.Portal(
+    source="web",
+    host="https://listings.example",
+    cards=(Element("article", "listing"), Element("li")),
+    link=(Element("a", "main"), Element("a")),
+    title=(Element("h2"), Element("a")),
+    next_page=(Element("a", "/the", "href"), Element("a")),
+)
+
+
 def _site_pages(spark, sf_dir) -> DataFrame:
-    """The stored web pages, as pages of a source whose cards are menu entries."""
-    extraction.register(extraction.Portal(
-        source="web",
-        host="https://listings.example",
-        cards=(Element("article", "listing"), Element("li")),
-        link=(Element("a", "main"), Element("a")),
-        title=(Element("h2"), Element("a")),
-        next_page=(Element("a", "/the", "href"), Element("a")),
-    ))
+    """The stored web pages, as pages of the source ``web``."""
     return listings.table(spark, sf_dir, "pages").withColumn("source", F.lit("Web "))
 
 
 @_register
 def q_extract_cards(spark, sf_dir):
     """E1, F8 on the stored web pages."""
-    return extraction.extract_cards(_site_pages(spark, sf_dir), ["web"]).select(
+    return extraction.extract_cards(_site_pages(spark, sf_dir), [WEB]).select(
         "page_id", "position", "source", "url", "title", "raw_price", "raw_rooms",
         "neighborhood", "district",
     )
@@ -618,7 +666,7 @@ def q_extract_fallback(spark, sf_dir):
 def q_next_page(spark, sf_dir):
     """E3 on the stored web pages."""
     pages = _site_pages(spark, sf_dir)
-    return extraction.next_page(pages, ["web"]).select("page_id", "next_url")
+    return extraction.next_page(pages, [WEB]).select("page_id", "next_url")
 
 
 @_register
@@ -654,12 +702,31 @@ def q_source_dispatch(spark, sf_dir):
         pages_layer(spark, sf_dir),
         _site_pages(spark, sf_dir).withColumn("page_id", F.col("page_id").cast("string")),
     )
-    records = extraction.extract_cards(mixed)
+    records = extraction.extract_cards(mixed, ["idealista", "fotocasa", WEB])
     return records.groupBy("source").agg(
         F.count(F.lit(1)).alias("records"), F.count("raw_rooms").alias("with_rooms")
     )
 
 
+@_register
+def q_unknown_sources(spark, sf_dir):
+    """E5: pages of a source without a portal are reported, with the known names."""
+    pages = pages_layer(spark, sf_dir)
+    strange = bronze_layer(spark, sf_dir).filter("raw_rooms = '3 hab.'").select(
+        F.concat_ws("#", "url", "scrape_date").alias("page_id"), F.lit(" Habitaclia").alias("source"),
+        F.lit("").alias("html"),
+    )
+    unknown = extraction.unknown_sources(pages.unionByName(strange), ["idealista", "fotocasa"])
+    return unknown.groupBy("source", "available").agg(F.count("*").alias("pages"))
+
+
+@_register
+def q_readable_pages(spark, sf_dir):
+    """E4 as a filter: pages without a notice, here by words of the title."""
+    pages = listings.table(spark, sf_dir, "pages")
+    return extraction.readable(pages, captcha_signs=(), texts=(), titles=("403", "The")).select("page_id")
+
+
 @_register
 def q_union_sources(spark, sf_dir):
     """Batches of both portals, one of them without coordinates."""

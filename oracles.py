@@ -55,7 +55,7 @@ raw AS (
     CASE WHEN l_quantity <> 50
          THEN l_orderkey % 1000 * 0.00022::DOUBLE + (-3.80)::DOUBLE END AS longitude,
     l_shipdate AS scraped_at,
-    least(strftime(o_orderdate, '%Y-%m'), '2001-07') AS scrape_date
+    strftime(o_orderdate, '%Y-%m') AS scrape_date
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
   JOIN part ON l_partkey = p_partkey
@@ -108,7 +108,7 @@ ranked AS (
 GOLD = SCORED + """,
 gold AS (
   SELECT * EXCLUDE (average, scraped_at, listing_count),
-    average::FLOAT::DOUBLE AS neighborhood_avg_price_per_sqm
+    floor(average * 10000 + 0.37::DOUBLE) / 10000 AS neighborhood_avg_price_per_sqm
   FROM ranked WHERE listing_count > 1
 )"""
 
@@ -238,21 +238,26 @@ def statements() -> dict[str, str]:
         "q_validate_split": _with(INCOMING, """
             SELECT url, scrape_date, reject_reason = '' AS is_valid, reject_reason FROM checked"""),
         "q_cleaned_bounds": _with(PARSED, """
-            , reasons AS (SELECT concat_ws('; ',
+            , moved AS (SELECT CASE WHEN rooms = 1 THEN -price_eur ELSE price_eur END AS price_eur,
+                CASE rooms WHEN 2 THEN 0.0 WHEN 3 THEN -area_sqm ELSE area_sqm END AS area_sqm,
+                CASE WHEN rooms = 4 THEN -rooms ELSE rooms END AS rooms FROM parsed),
+            reasons AS (SELECT concat_ws('; ',
               CASE WHEN price_eur IS NULL THEN 'price_eur missing' END,
               CASE WHEN price_eur < 0 THEN 'price_eur below 0' END,
               CASE WHEN area_sqm IS NULL THEN 'area_sqm missing' END,
               CASE WHEN area_sqm <= 0 THEN 'area_sqm not above 0' END,
               CASE WHEN rooms < 0 THEN 'rooms below 0' END,
-              CASE WHEN price_eur / area_sqm IS NULL THEN 'price_per_sqm missing' END,
-              CASE WHEN price_eur / area_sqm < 0 THEN 'price_per_sqm below 0' END) AS reject_reason
-              FROM parsed)
+              CASE WHEN price_eur / nullif(area_sqm, 0) IS NULL THEN 'price_per_sqm missing' END,
+              CASE WHEN price_eur / nullif(area_sqm, 0) < 0 THEN 'price_per_sqm below 0' END) AS reject_reason
+              FROM moved)
             SELECT reject_reason = '' AS is_valid, reject_reason, count(*) AS n
             FROM reasons GROUP BY ALL"""),
         "q_source_slug": """
-            SELECT p_brand || '. ' || p_name AS source, count(*) AS n,
-              regexp_replace(lower(p_brand || '. ' || p_name), '[^0-9a-z_-]', '_', 'g') AS slug
-            FROM part GROUP BY ALL""",
+            WITH named AS (SELECT p_brand || '. ' || p_name || CASE p_size % 3
+              WHEN 0 THEN ' España' WHEN 1 THEN ' Espaßa 日本' ELSE '' END AS source FROM part)
+            SELECT source, count(*) AS n,
+              regexp_replace(lower(source), '[^\\p{L}\\p{N}_-]', '_', 'g') AS slug
+            FROM named GROUP BY ALL""",
         "q_silver_roundtrip": _with(SILVER, """
             SELECT source, scrape_date, count(*) AS n, sum(price_eur::DECIMAL(18, 2))::DOUBLE AS price_sum,
               strftime(max(scraped_at), '%Y-%m-%d') AS last_day
@@ -361,7 +366,7 @@ def statements() -> dict[str, str]:
               title, price_eur, area_sqm, area_sqm AS area_m2,
               price_eur / area_sqm AS price_per_sqm, neighborhood, scrape_date,
               round((average - price_eur) / average, 6) + 0.0 AS opportunity_index,
-              average::FLOAT::DOUBLE AS avg_neighborhood_price
+              floor(average * 10000 + 0.37::DOUBLE) / 10000 AS avg_neighborhood_price
             FROM silver JOIN averages USING (neighborhood)"""),
         "q_index_c": _with(INDEX_C, """
             SELECT url, scrape_date, district, reference_price_sqm, opportunity_index
@@ -418,12 +423,12 @@ def statements() -> dict[str, str]:
             SELECT url, scrape_date, price_eur, area_sqm FROM silver
             WHERE scrape_date = (SELECT max(scrape_date) FROM silver)"""),
         "q_neighborhood_avg": _with(SILVER, """
-            SELECT neighborhood, avg(price_eur)::FLOAT::DOUBLE AS avg_neighborhood_price,
+            SELECT neighborhood, floor(avg(price_eur) * 10000 + 0.37::DOUBLE) / 10000 AS avg_neighborhood_price,
               count(*) AS listing_count
             FROM silver GROUP BY neighborhood"""),
         "q_neighborhood_stats": _with(GOLD, f"""
             SELECT neighborhood, district, scrape_date,
-              avg(price_per_sqm)::FLOAT::DOUBLE AS avg_price_per_sqm,
+              floor(avg(price_per_sqm) * 10000 + 0.37::DOUBLE) / 10000 AS avg_price_per_sqm,
               sum(CAST(round(opportunity_index * 1e6) AS BIGINT))::DOUBLE / count(*) / 1e6
                 AS avg_opportunity_index,
               count(*) AS listing_count, min(price_eur) AS min_price_eur,
@@ -431,20 +436,31 @@ def statements() -> dict[str, str]:
             FROM gold WHERE {LATEST} GROUP BY neighborhood, district, scrape_date"""),
         "q_kpis": _with(GOLD, f"""
             SELECT max(opportunity_index) AS best_opportunity_index,
-              avg(price_eur)::FLOAT::DOUBLE AS avg_price_eur,
-              avg(price_per_sqm)::FLOAT::DOUBLE AS avg_price_per_sqm, count(*) AS total_listings
+              floor(avg(price_eur) * 10000 + 0.37::DOUBLE) / 10000 AS avg_price_eur,
+              floor(avg(price_per_sqm) * 10000 + 0.37::DOUBLE) / 10000 AS avg_price_per_sqm, count(*) AS total_listings
             FROM gold WHERE {LATEST} AND opportunity_index > 0"""),
         "q_top_neighborhoods": _with(GOLD, """
-            SELECT neighborhood, avg(price_per_sqm)::FLOAT::DOUBLE AS avg_price_per_sqm
+            SELECT neighborhood, floor(avg(price_per_sqm) * 10000 + 0.37::DOUBLE) / 10000 AS avg_price_per_sqm
             FROM gold GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20"""),
         "q_dataset_summary": _with(INDEX_C, """
             SELECT count(*) AS listings, count(DISTINCT district) AS districts,
               count(DISTINCT neighborhood) AS neighborhoods,
               count(*) FILTER (opportunity_index > 0) AS opportunity_deals,
-              avg(price_per_sqm)::FLOAT::DOUBLE AS avg_price_per_sqm,
+              floor(avg(price_per_sqm) * 10000 + 0.37::DOUBLE) / 10000 AS avg_price_per_sqm,
               round_even(count(*) FILTER (opportunity_index > 0) * 1000.0::DOUBLE / count(*), 0) / 10
                 AS opportunity_share_pct
             FROM index_c"""),
+        "q_deals_envelope": _with(GOLD, f"""
+            , best AS (SELECT * FROM gold WHERE opportunity_index > 0 AND {LATEST} {BEST} LIMIT 10)
+            SELECT count(*) AS total, max(scrape_date) AS scrape_date, string_agg(
+              url || '=' || CAST(round(opportunity_index * 1e6) AS BIGINT), ';' {BEST}) AS deals
+            FROM best"""),
+        "q_require_rows": "SELECT p_partkey, p_name FROM part",
+        "q_save_records": "SELECT n_nationkey, n_name FROM nation",
+        "q_gold_replaced": _with(GOLD, """
+            SELECT scrape_date, count(*) AS n FROM gold WHERE scrape_date <> '1998-03' GROUP BY 1"""),
+        "q_all_places": "WITH " + GAZETTEER.strip() + """
+            SELECT barrio AS place, district FROM barrios UNION SELECT district, NULL FROM districts""",
         "q_districts": _with(GOLD, "SELECT DISTINCT district FROM gold ORDER BY district"),
         # Extraction
         "q_extract_cards": f"""
@@ -508,6 +524,11 @@ def statements() -> dict[str, str]:
               CASE WHEN source = 'portal_b' THEN latitude END AS latitude,
               CASE WHEN source = 'portal_b' THEN longitude END AS longitude
             FROM raw"""),
+        "q_unknown_sources": _with(RAW, """
+            SELECT 'habitaclia' AS source, count(*) AS pages, 'fotocasa, idealista' AS available
+            FROM raw WHERE raw_rooms = '3 hab.'"""),
+        "q_readable_pages": f"""
+            SELECT page_id FROM pages WHERE NOT (contains({title}, '403') OR contains({title}, 'The'))""",
         # Sampling
         "q_exact_sample": f"""
             SELECT o_orderkey, o_totalprice, true AS is_sampled FROM orders

@@ -6,6 +6,8 @@ All functions take and return Columns and stay inside generated code.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tasador.functions.markup import strip
+
 # Fixed value: the name given to a missing place or title.
 UNKNOWN = "Desconocido"
 
@@ -47,8 +49,7 @@ def split_location(text: Column) -> tuple[Column, Column]:
     parts = F.split(text, ",")
 
     def part(i):
-        stripped = F.regexp_replace(F.get(parts, F.lit(i)), r"^\s+|\s+$", "")
-        return F.coalesce(F.nullif(stripped, F.lit("")), F.lit(UNKNOWN))
+        return F.coalesce(F.nullif(strip(F.get(parts, F.lit(i))), F.lit("")), F.lit(UNKNOWN))
 
     return part(0), part(1)
 
@@ -66,8 +67,8 @@ def synthetic_url(prefix: str, *key: Column) -> Column:
 
 
 def source_slug(source: Column) -> Column:
-    """A source name that is safe as a directory key."""
-    return F.regexp_replace(F.lower(source), r"[^\w\-]", "_")
+    """A source name that is safe as a directory key; letters and digits of any script stay."""
+    return F.regexp_replace(F.lower(source), r"[^\p{L}\p{N}_\-]", "_")
 
 
 def utc_now() -> Column:

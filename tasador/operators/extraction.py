@@ -77,7 +77,9 @@ def available_sources() -> list[str]:
     return sorted(_portals)
 
 
-def portal(source: str) -> Portal:
+def portal(source: str | Portal) -> Portal:
+    if isinstance(source, Portal):
+        return source
     try:
         return _portals[source.lower().strip()]
     except KeyError:
@@ -116,13 +118,36 @@ def _by_known_source(pages: DataFrame) -> DataFrame:
     return pages.withColumn("source", F.lower(F.trim("source")))
 
 
+def unknown_sources(pages: DataFrame, sources: list[str | Portal] | None = None) -> DataFrame:
+    """Pages whose source no portal is known for, with ``available``: the known names."""
+    known = [portal(s).source.lower() for s in (available_sources() if sources is None else sources)]
+    return _by_known_source(pages).filter(
+        ~F.coalesce(F.col("source").isin(known), F.lit(False))
+    ).withColumn("available", F.lit(", ".join(sorted(known))))
+
+
+def _refuse_unknown(pages: DataFrame, portals: list[Portal]) -> DataFrame:
+    """Fails on a page whose source is not among the portals."""
+    known = [p.source.lower().strip() for p in portals]
+    message = F.concat(
+        F.lit("unknown source '"), F.coalesce("source", F.lit("null")),
+        F.lit(f"', available: {sorted(known)}"),
+    )
+    return pages.withColumn("source", F.when(
+        F.col("source").isin(known), F.col("source")
+    ).otherwise(F.raise_error(message).cast("string")))
+
+
 def extract_cards(
-    pages: DataFrame, sources: list[str] | None = None, scraped_at: Column | None = None
+    pages: DataFrame, sources: list[str | Portal] | None = None,
+    scraped_at: Column | None = None,
 ) -> DataFrame:
     """Raw records of all cards that have a link.
 
-    ``pages`` carries the ``source`` of each page; a page of a source that is
-    not asked for gives no records. ``page_id`` and ``position`` tell where a
+    ``pages`` carries the ``source`` of each page. Of named ``sources``, only those
+    give records; without any, all registered portals do, and a page of another
+    source fails the query (``unknown_sources`` finds them before).
+    ``page_id`` and ``position`` tell where a
     record comes from.
     """
     portals = [portal(s) for s in (available_sources() if sources is None else sources)]
@@ -141,7 +166,8 @@ def extract_cards(
             M.element_markup(F.col("_card"), e)
         )))
 
-    linked = _by_known_source(pages).select(
+    named = _by_known_source(pages)
+    linked = (_refuse_unknown(named, portals) if sources is None else named).select(
         "page_id", "source", scraped_at.alias("scraped_at"),
         F.inline(M.let(
             M.without_code(F.col("html")),
@@ -170,7 +196,7 @@ def extract_cards(
     )
 
 
-def next_page(pages: DataFrame, sources: list[str] | None = None) -> DataFrame:
+def next_page(pages: DataFrame, sources: list[str | Portal] | None = None) -> DataFrame:
     """Add ``next_url``: the absolute link to the next page, or null."""
     portals = [portal(s) for s in (available_sources() if sources is None else sources)]
 
@@ -233,6 +259,11 @@ def page_title(html: Column) -> Column:
     return M.strip(F.regexp_replace(text, r"\s+", " "))
 
 
+def readable(pages: DataFrame, **signs) -> DataFrame:
+    """Pages without a block notice: the filter before cards are extracted."""
+    return detect_blocking(pages, **signs).filter(~F.col("blocked")).drop("blocked", "reason")
+
+
 def detect_blocking(
     pages: DataFrame,
     captcha_signs=CAPTCHA_SIGNS,

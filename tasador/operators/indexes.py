@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tasador.functions import scoring
 from tasador.functions.parsing import synthetic_url
 from tasador.operators.cleaning import LISTING_KEY
+from tasador.operators.lookups import one_each
 from tasador.plans.joins import DEFAULT_LIMITS, Limits, lookup_join
 from tasador.plans.workspace import materialize_measured
 from tasador.schemas import GOLD
@@ -136,8 +137,8 @@ def index_c(
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Index C: percent below the reference price of the listing's district."""
-    reference = districts.select(
-        "district", F.col("avg_price_sqm").alias("reference_price_sqm")
+    reference = one_each(districts, "avg_price_sqm").withColumnRenamed(
+        "avg_price_sqm", "reference_price_sqm"
     )
     joined = lookup_join(
         listings, reference, ["district"], list(LISTING_KEY), "left", limits

@@ -53,6 +53,21 @@ def locate(
     return lookup_join(keyed, renamed, ["_place"], spread_by, "left", limits).drop("_place")
 
 
+def one_each(districts: DataFrame, *columns: str) -> DataFrame:
+    """A row for each district, with the greatest values of a name that is there twice."""
+    return districts.groupBy("district").agg(
+        F.max(F.struct(*columns)).alias("_row")
+    ).select("district", "_row.*")
+
+
+def all_barrios(barrios: DataFrame) -> DataFrame:
+    return barrios.select("barrio", "district").distinct().orderBy("barrio", "district")
+
+
+def all_districts(districts: DataFrame) -> DataFrame:
+    return districts.select("district").distinct().orderBy("district")
+
+
 def district_center(
     named: DataFrame,
     districts: DataFrame,
@@ -60,7 +75,7 @@ def district_center(
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Add ``center_lat`` and ``center_lon`` of the exactly named district."""
-    centers = districts.select(
+    centers = one_each(districts, "lat", "lon").select(
         "district", F.col("lat").alias("center_lat"), F.col("lon").alias("center_lon")
     )
     return lookup_join(named, centers, ["district"], spread_by, "left", limits)

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tasador.functions.hashing import HASH_BITS, hash60
+from tasador.plans.workspace import materialize
 
 _LEVEL_BITS = 16
 
@@ -18,23 +19,26 @@ def tag_exact_sample(
 ) -> DataFrame:
     """Add ``tag``, true for exactly ``sample_size`` rows chosen at random.
 
-    ``key`` must be unique. The rows with the smallest hashes are chosen; the
+    ``key`` must be unique; rows without one are not counted and not chosen. The rows with the smallest hashes are chosen; the
     hash of the last one is found from counts per hash range, so the data is
     not sorted and not shuffled: two counting passes narrow the place down to a
     2^-32 share of the rows, and the tag itself is a comparison.
     """
-    hashed = df.select(F.col(key).alias("key"), hash60(F.col(key), salt).alias("hash"))
-    rows = df.count()
-    if rows == 0:
-        return df.withColumn(tag, F.lit(False))
-    wanted = min(rows, sample_size(rows, fraction))
-
-    low, shift = 0, HASH_BITS
+    hashed = df.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("key"), hash60(F.col(key), salt).alias("hash")
+    )
+    low, shift, wanted = 0, HASH_BITS, 0
     scope = hashed
-    for _ in range(2):
+    for level in range(2):
         shift -= _LEVEL_BITS
         cell = F.shiftright("hash", shift)
         counts = scope.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+        if level == 0:  # the counts also tell the number of rows
+            counts = materialize(counts, "sample-cells")
+            rows = counts.agg(F.sum("n")).first()[0]
+            if not rows:
+                return df.withColumn(tag, F.lit(False))
+            wanted = min(rows, sample_size(rows, fraction))
         # One row per cell, 65,536 at most.
         upto = F.sum("n").over(Window.orderBy("cell"))
         place = (

@@ -1,5 +1,6 @@
 """Queries on the published Gold table."""
 
+import re
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -163,11 +164,9 @@ def dataset_summary(listings: DataFrame) -> DataFrame:
     return summary.withColumn("opportunity_share_pct", tidy(share, 1))
 
 
-def deals_envelope(deals: DataFrame) -> DataFrame:
-    """One row: total, date used and the list of deals, best first.
-
-    ``deals`` is the result of a limited query, so the list holds at most 100.
-    """
+def deals_envelope(deals: DataFrame, n: int = DEAL_COUNT_BOUNDS[1]) -> DataFrame:
+    """One row: total, date used and the list of the n best deals, best first."""
+    deals = _best_first(deals, n)
     coerced = deals.withColumn("scrape_date", iso_text(deals, "scrape_date"))
     ordered = coerced.select(
         F.struct(
@@ -192,10 +191,23 @@ def iso_text(df: DataFrame, name: str) -> Column:
 def query(
     spark: SparkSession, sql: str, params: Mapping[str, Any] | Sequence[Any] | None = None
 ) -> DataFrame:
-    """Ad-hoc SQL; ``?`` markers take the values in order, ``:name`` takes by name."""
+    """Ad-hoc SQL; ``?`` markers take the values in order, ``:name`` takes by name.
+
+    A mapping goes by name unless the SQL has ``?`` outside quotes.
+    """
     if not params:
         return spark.sql(sql)
     if isinstance(params, Mapping):
-        named = any(f":{name}" in sql for name in params)
-        return spark.sql(sql, args=dict(params) if named else list(params.values()))
+        bare = re.sub(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*", "", sql)
+        return spark.sql(sql, args=list(params.values()) if "?" in bare else dict(params))
     return spark.sql(sql, args=list(params))
+
+
+def deals(
+    gold: DataFrame, n: int, lat: float | None = None, lon: float | None = None,
+    radius_km: float = DEFAULT_RADIUS_KM, scrape_date: str | None = None,
+) -> DataFrame:
+    """The envelope of the deals around a point, or of the top deals without one."""
+    if lat is not None and lon is not None:
+        return deals_envelope(nearby_deals(gold, lat, lon, radius_km, n, scrape_date), n)
+    return deals_envelope(top_deals(gold, n, scrape_date), n)

@@ -9,8 +9,26 @@ REQUIRED = ("source", "url", "title", "raw_price", "raw_area")
 COORDINATES = ("latitude", "longitude")
 
 
-def _reasons(*checks: tuple[Column, str]) -> Column:
-    return F.concat_ws("; ", *[F.when(failed, F.lit(text)) for failed, text in checks])
+#: What was wrong with a record's types before it became texts; null if nothing.
+TYPE_PROBLEM = "type_problem"
+
+
+def _reasons(*checks: tuple[Column, str | Column]) -> Column:
+    return F.concat_ws("; ", *[
+        F.when(failed, text if isinstance(text, Column) else F.lit(text)) for failed, text in checks
+    ])
+
+
+def utc_time(text: Column) -> Column:
+    """The time of a text in UTC: with an offset or zone it is converted, without one it
+    counts as UTC. Null when unreadable."""
+    zoned = text.rlike(r"[0-9]:[0-9]{2}.*(?:[zZ]|[+-][0-9]{1,2}(?::?[0-9]{2})?|[A-Za-z]/?[A-Za-z_]+)\s*$")
+    seconds = (F.unix_micros(text.try_cast("timestamp")).cast("decimal(20,0)") * F.lit("0.000001").cast(
+        "decimal(7,6)")).cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.when(zoned, epoch + F.make_dt_interval(secs=seconds)).otherwise(
+        text.try_cast("timestamp_ntz")
+    )
 
 
 def check_records(incoming: DataFrame, now: Column | None = None) -> DataFrame:
@@ -21,14 +39,16 @@ def check_records(incoming: DataFrame, now: Column | None = None) -> DataFrame:
     """
     now = utc_now() if now is None else now
     typed = {name: F.col(name).try_cast("double") for name in COORDINATES}
-    at = F.col("scraped_at").try_cast("timestamp_ntz")
+    at = utc_time(F.col("scraped_at"))
     checks = [(F.col(name).isNull(), f"{name} missing") for name in REQUIRED]
     checks += [
         (F.col(name).isNotNull() & value.isNull(), f"{name} not a number")
         for name, value in typed.items()
     ]
     checks.append((F.col("scraped_at").isNotNull() & at.isNull(), "scraped_at not a time"))
-    checked = incoming.withColumn("reject_reason", _reasons(*checks))
+    if TYPE_PROBLEM in incoming.columns:
+        checks.append((F.col(TYPE_PROBLEM).isNotNull(), F.col(TYPE_PROBLEM)))
+    checked = incoming.withColumn("reject_reason", _reasons(*checks)).drop(TYPE_PROBLEM)
     checked = checked.withColumns(
         {**typed, "scraped_at": F.when(F.col("scraped_at").isNull(), now).otherwise(at)}
     )

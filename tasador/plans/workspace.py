@@ -34,7 +34,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; what is written there goes when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
 
 
 def _size_columns(df: DataFrame) -> list[Column]:
@@ -43,6 +47,8 @@ def _size_columns(df: DataFrame) -> list[Column]:
     for name, dtype in df.dtypes:
         if dtype in ("string", "binary"):
             row = row + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
+        elif dtype.startswith(("array", "map", "struct")):
+            row = row + F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0)) * 2
     return [F.coalesce(F.sum(row), F.lit(0)).alias("bytes")]
 
 

@@ -7,9 +7,6 @@ of a listing, and texts are rendered the way portals write them.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The last month of the data holds a few rows only; it counts to the one before.
-LAST_SNAPSHOT = "2001-07"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -41,8 +38,7 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(has_place, F.col("l_partkey") % 1000 * F.lit(0.00018) + F.lit(40.35)).alias("latitude"),
         F.when(has_place, F.col("l_orderkey") % 1000 * F.lit(0.00022) + F.lit(-3.80)).alias("longitude"),
         F.col("l_shipdate").alias("scraped_at"),
-        F.least(F.substring(F.col("o_orderdate").cast("string"), 1, 7), F.lit(LAST_SNAPSHOT))
-        .alias("scrape_date"),
+        F.substring(F.col("o_orderdate").cast("string"), 1, 7).alias("scrape_date"),
     )
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tasador.functions.parsing import source_slug
-from tasador.operators.validation import check_records
+from tasador.operators.validation import TYPE_PROBLEM, check_records
+from tasador.plans.workspace import materialize
 from tasador.schemas import BRONZE, GOLD, INCOMING, SILVER
 from tasador.sources.readers import read_gold
 
@@ -42,12 +43,19 @@ def ingest(
 
     The directory key is ``source`` (else each record's own) and ``scrape_date``
     (else today, UTC). Returns the counts of both writes; fails when there is no
-    good record. A second ingest of the same day adds to the
-    first; Silver keeps the latest copy of a listing.
+    good record. The input is read once: checked records are stored in the shared
+    folder, and the good ones are appended last, so a failed ingest leaves Bronze
+    as it was. A second ingest of the same day adds to the first; Silver keeps
+    the latest copy of a listing.
     """
     today = datetime.now(timezone.utc).strftime("%Y-%m-%d")
     date = F.lit(scrape_date or today)
-    checked = check_records(incoming)
+    checked = materialize(check_records(incoming), "checked")
+    bad, refused = _counted(checked.filter(~F.col("is_valid")).drop("is_valid"))
+    bad.withColumn("date", date).write.mode("append").partitionBy("date").parquet(rejected_path)
+    rejected = refused.get["rows"]
+    if checked.filter("is_valid").isEmpty():
+        raise ValueError(f"no valid record to ingest, {rejected} rejected")
     good = checked.filter("is_valid")
     if source is not None:
         good = good.withColumn("source", F.lit(source))
@@ -55,13 +63,25 @@ def ingest(
     rows.write.mode("append").option("compression", "snappy").partitionBy(
         "source", "date"
     ).parquet(bronze_path)
+    return {"valid": written.get["rows"], "rejected": rejected}
+
+
+#: Fields that need not be text.
+_NUMBERS, _TIMES = ("latitude", "longitude"), ("scraped_at",)
 
-    bad, refused = _counted(checked.filter(~F.col("is_valid")).drop("is_valid"))
-    bad.withColumn("date", date).write.mode("append").partitionBy("date").parquet(rejected_path)
-    counts = {"valid": written.get["rows"], "rejected": refused.get["rows"]}
-    if counts["valid"] == 0:
-        raise ValueError(f"no valid record to ingest, {counts['rejected']} rejected")
-    return counts
+
+def _type_problem(record: dict) -> str | None:
+    """Fields whose value has a type that Bronze does not take."""
+    problems = []
+    for name in INCOMING.fieldNames():
+        value = record.get(name)
+        number = isinstance(value, (int, float)) and not isinstance(value, bool)
+        if not (
+            value is None or isinstance(value, str) or name in _NUMBERS and number
+            or name in _TIMES and isinstance(value, datetime)
+        ):
+            problems.append(f"{name} not a {'number' if name in _NUMBERS else 'text'}")
+    return "; ".join(problems) or None
 
 
 def ingest_records(
@@ -75,39 +95,44 @@ def ingest_records(
     """``ingest`` for a batch of dicts; keys that Bronze does not know are ignored."""
     names = INCOMING.fieldNames()
     texts = [
-        tuple(None if r.get(n) is None else str(r[n]) for n in names) for r in records
+        (*(None if r.get(n) is None else str(r[n]) for n in names), _type_problem(r))
+        for r in records
     ]
-    incoming = spark.createDataFrame(texts, INCOMING)
+    incoming = spark.createDataFrame(texts, StructType(INCOMING.fields).add(TYPE_PROBLEM, "string"))
     return ingest(incoming, bronze_path, rejected_path, source, scrape_date)
 
 
-def write_silver(silver: DataFrame, path: str) -> int:
-    """Replace the written (source, scrape_date) partitions; returns the row count."""
+def write_silver(silver: DataFrame, path: str, replace_all: bool = False) -> int:
+    """Replace the written (source, scrape_date) partitions, or after a full rebuild all of
+    them; returns the row count."""
     laid_out = silver.select(*SILVER.fieldNames()).hint("rebalance", "source", "scrape_date")
     rows, written = _counted(laid_out)
     (
         rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy("source", "scrape_date")
         .parquet(path)
     )
     return written.get["rows"]
 
 
-def write_gold(gold: DataFrame, path: str, tasks: int | None = None) -> int:
-    """Replace the written dates, rows ordered by rank; returns the row count.
+def write_gold(
+    gold: DataFrame, path: str, tasks: int | None = None, replace_all: bool = False
+) -> int:
+    """Replace the written dates, or after a full rebuild all of them, files ordered by rank;
+    returns the row count.
 
-    The range includes the url, so rows that share a rank can be split. Pass
-    ``tasks`` where the session's shuffle partitions do not suit the size.
+    Small days share a task and a large one is split. With ``tasks`` the rows are
+    cut into that many ranges, the url included; then the plan runs a second
+    time for the ranges' bounds, so pass stored rows.
     """
     order = ["scrape_date", "rank", "url"]
     rows = gold.select(*GOLD.fieldNames())
-    ranges = rows.repartitionByRange(*order) if tasks is None else rows.repartitionByRange(tasks, *order)
-    laid_out = ranges.sortWithinPartitions(*order)
-    rows, written = _counted(laid_out)
+    dealt = rows.hint("rebalance", "scrape_date") if tasks is None else rows.repartitionByRange(tasks, *order)
+    rows, written = _counted(dealt.sortWithinPartitions(*order))
     (
         rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy("scrape_date")
         .parquet(path)
     )
@@ -119,9 +144,22 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def publish(spark: SparkSession, gold_path: str, name: str = GOLD_TABLE) -> int:
-    """Serve the Gold files under ``name``; returns the row count, from file footers."""
+    """Serve the Gold files under ``name`` in the catalog, for all sessions; returns the row
+    count, from file footers.
+
+    The table names the files and does not copy them. How long it lasts is up to
+    the catalog: with a metastore, other applications see it, too.
+    """
     gold = read_gold(spark, gold_path)
-    gold.createOrReplaceTempView(name)
+    spark.catalog.dropTempView(name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in gold.schema)
+    location = gold_path.replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (scrape_date) "
+        f"LOCATION '{location}'"
+    )
+    spark.catalog.recoverPartitions(name)
     return gold.count()
 
 
