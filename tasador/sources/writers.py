@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tasador.functions.parsing import source_slug
 from tasador.operators.validation import TYPE_PROBLEM, check_records
@@ -98,7 +98,8 @@ def ingest_records(
         (*(None if r.get(n) is None else str(r[n]) for n in names), _type_problem(r))
         for r in records
     ]
-    incoming = spark.createDataFrame(texts, StructType(INCOMING.fields).add(TYPE_PROBLEM, "string"))
+    schema = StructType([*INCOMING.fields, StructField(TYPE_PROBLEM, StringType())])
+    incoming = spark.createDataFrame(texts, schema)
     return ingest(incoming, bronze_path, rejected_path, source, scrape_date)
 
 

@@ -44,6 +44,31 @@ def test_default_directory_date_is_today(spark, tmp_path):
     assert row.scrape_date == "2024-01-15" and row.date > "2024-01-15"
 
 
+def test_types_and_offsets(spark, tmp_path):
+    good, bad = str(tmp_path / "bronze"), str(tmp_path / "rejected")
+    batch = [
+        record("u1", scraped_at="2024-01-15T23:30:00+05:00"), record("u2", scraped_at="2024-01-15T23:30:00Z"),
+        record("u3", scraped_at="2024-01-15 23:30:00"), record("u4", scraped_at="2024-01-15T23:30:00-05:00"),
+        record(["x"]), record("u5", title=5, raw_area={"a": 1}), record("u6", latitude=40.5),
+        record("u7", longitude=True),
+    ]
+    assert writers.ingest_records(spark, batch, good, bad, "x") == {"valid": 5, "rejected": 3}
+    rows = {r.url: str(r.scraped_at) for r in readers.read_bronze(spark, good).collect()}
+    assert rows["u1"] == "2024-01-15 18:30:00" and rows["u4"] == "2024-01-16 04:30:00"
+    assert rows["u2"] == rows["u3"] == "2024-01-15 23:30:00"
+    reasons = {r.url: r.reject_reason for r in spark.read.parquet(bad).collect()}
+    assert reasons["['x']"] == "url not a text"
+    assert reasons["u5"] == "title not a text; raw_area not a text"
+    assert reasons["u7"] == "longitude not a number; longitude not a number"
+
+
+def test_full_replacement(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    writers.write_silver(silver_row(spark, "a", "1", "old").union(silver_row(spark, "a", "2", "gone")), path)
+    assert writers.write_silver(silver_row(spark, "a", "1", "new"), path, replace_all=True) == 1
+    assert [r.url for r in readers.read_silver(spark, path).collect()] == ["new"]
+
+
 def silver_row(spark, source, date, url):
     return spark.createDataFrame(
         [(source, url, "t", 1.0, 1.0, 1, 1.0, "n", "d", None, None, None, date)], SILVER
@@ -77,6 +102,9 @@ def test_gold_files_are_ordered(spark, sf_dir, tmp_path):
     assert all(v == sorted(v) for v in ranks.values())
     assert writers.publish(spark, path, "published_gold") == gold.count()
     assert spark.table("published_gold").columns == written.columns
+    # Another session of the catalog reads it, too, and a rebuilt table replaces it.
+    assert spark.newSession().table("published_gold").count() == gold.count()
+    assert writers.publish(spark, path, "published_gold") == gold.count()
 
 
 def test_csv(spark, tmp_path):

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tasador.functions.hashing import hash60
-from tasador.operators import cleaning, indexes, lookups, radius, sampling, serving, validation
+from tasador.operators import (
+    cleaning, extraction, indexes, lookups, radius, sampling, serving, validation,
+)
 from tasador.schemas import GAZETTEER_BARRIO, GAZETTEER_DISTRICT, INCOMING, SILVER
 
 
@@ -212,3 +214,33 @@ def test_dataset_summary(spark):
         "listings": 3, "districts": 2, "neighborhoods": 2, "opportunity_deals": 1,
         "avg_price_per_sqm": 20.0, "opportunity_share_pct": 33.3,
     }
+
+
+def test_sample_ignores_null_keys(spark):
+    rows = spark.createDataFrame([(i if i % 3 else None,) for i in range(30)], "k int")
+    tagged = sampling.tag_exact_sample(rows, "k", 0.5)
+    assert tagged.filter("is_sampled").count() == 10
+    assert tagged.filter("k IS NULL AND is_sampled").count() == 0
+    none = spark.createDataFrame([(None,)], "k int")
+    assert sampling.tag_exact_sample(none, "k", 0.5).filter("is_sampled").count() == 0
+
+
+def test_parameter_styles(spark):
+    assert serving.query(spark, "SELECT '10:now' AS a, ? AS b", {"n": 0}).first() == ("10:now", 0)
+    assert serving.query(spark, "SELECT 'why?' AS a, :n AS b", {"n": 1}).first() == ("why?", 1)
+
+
+def test_a_district_listed_twice_multiplies_nothing(spark):
+    twice = spark.createDataFrame([("d", 1.0, 2.0), ("d", 1.5, 0.0)], "district string, lat double, lon double")
+    named = spark.createDataFrame([("d", 1), ("e", 2)], "district string, id int")
+    rows = lookups.district_center(named, twice, ["id"]).orderBy("id").collect()
+    assert [(r.id, r.center_lat, r.center_lon) for r in rows] == [(1, 1.5, 0.0), (2, None, None)]
+
+
+def test_unknown_sources_are_reported_and_refused(spark):
+    pages = spark.createDataFrame(
+        [(1, "Fotocasa ", ""), (2, "habitaclia", ""), (3, None, "")], "page_id int, source string, html string")
+    found = extraction.unknown_sources(pages, ["fotocasa", "idealista"])
+    assert sorted(r.page_id for r in found.collect()) == [2, 3]
+    with pytest.raises(Exception, match="habitaclia|null"):
+        extraction.extract_cards(pages).collect()
