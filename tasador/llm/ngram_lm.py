@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tasador.llm.texts import chunks, flat, mix, words
+from tasador.llm.texts import chunks, flat, give_back, mix, words
 
 _END, _START = np.uint64(0xE2D0000000000001), np.uint64(0x57A2700000000001)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -192,6 +192,8 @@ def _cells(batches: Iterator[pa.RecordBatch], plan: _Plan) -> Iterator[pa.Record
                 block.size >= plan.block_tokens or block.rows + part.num_rows > 30_000
             ):
                 yield block.cells()
+                block = None
+                give_back()
                 number += 1
                 block = _Block(plan, number)
             block.add(part)
@@ -214,6 +216,7 @@ class _Shard:
         self.blocks = blocks[order]
         self.v = np.repeat(column("v", "u8"), column("vn", "u4"))
         self.w, self.n = column("w", "u8"), column("n", "u4")
+        self.key = pair_keys(self.v, self.w)
         self.pn, self.docs = column("pn", "u4"), column("docs", "u2")
         # Where the pairs and the occurrences of each cell start.
         self.edges, self.posted = (
@@ -226,16 +229,19 @@ class _Shard:
             for at, i in enumerate(order.tolist()) if len(table.column("ids")[i].as_buffer())
         ]
 
-    def pairs(self, plan: _Plan):
+    def pairs(self):
         """Distinct pairs sorted by key: keys, first words, second words, training counts.
 
-        A hot pair occurs here without its count unless its home is here.
+        A hot pair occurs here without its count unless its home is here. Only
+        the cells' keys stay afterwards.
         """
-        keys, first, back = np.unique(
-            pair_keys(self.v, self.w), return_index=True, return_inverse=True
-        )
-        counts = np.bincount(back, weights=self.n, minlength=len(keys)).astype("i8")
-        return keys, self.v[first], self.w[first], counts
+        order = np.argsort(self.key)
+        starts = _runs(self.key[order])
+        first = order[starts]
+        counts = np.add.reduceat(self.n[order], starts, dtype="i8") if len(starts) else np.zeros(0, "i8")
+        found = self.key[first], self.v[first], self.w[first], counts
+        del self.v, self.w, self.n
+        return found
 
 
 # --- What shards ask, and what they are told --------------------------------
@@ -264,9 +270,11 @@ def _discount_counts(counts: np.ndarray) -> np.ndarray:
 
 def _asks(table: pa.Table, plan: _Plan) -> pa.Table:
     """Of each second word: its count and first words here. Target -1: for all shards."""
+    give_back()
     number = table.column("shard")[0].as_py()
     shard = _Shard(table)
-    keys, v, w, c = shard.pairs(plan)
+    keys, v, w, c = shard.pairs()
+    del shard, table
     rows = []
     seen = np.argsort(w, kind="stable")
     starts = _runs(w[seen])
@@ -406,8 +414,10 @@ _SCORED_NAMES = [part.split()[0] for part in _SCORED.split(", ")]
 
 
 def _scores(table: pa.Table, told: pa.Table, plan: _Plan) -> pa.Table:
+    give_back()
     shard = _Shard(table)
-    keys, v, w, c = shard.pairs(plan)
+    keys, v, w, c = shard.pairs()
+    del table
     common, words_ = {}, []
     for kind, target, key, a, b in zip(
         *(told.column(x).to_pylist() for x in ("kind", "target", "key", "a", "b"))
@@ -450,6 +460,7 @@ def _scores(table: pa.Table, told: pa.Table, plan: _Plan) -> pa.Table:
     at_w = np.searchsorted(names, w)
     discounted = np.maximum(c - d2[np.minimum(c, 3).astype("i8")], 0)
     p = np.where(total_v > 0, discounted / np.maximum(total_v, 1) + left_v * single[at_w], single[at_w])
+    del total_v, left_v, discounted, v, w, c
     logs = np.log10(np.maximum(p, 1e-300))
     base = np.log10((count[at_w] + 1) / (total + known + 1))
     index = mapped(keys)
@@ -462,7 +473,7 @@ def _scores(table: pa.Table, told: pa.Table, plan: _Plan) -> pa.Table:
         own, posts = slice(*shard.edges[i : i + 2]), slice(*shard.posted[i : i + 2])
         if posts.start == posts.stop:
             continue
-        at = np.searchsorted(index, pair_keys(shard.v[own], shard.w[own]))
+        at = np.searchsorted(index, shard.key[own])
         times, docs = shard.pn[own], shard.docs[posts] >> 1
         here = np.flatnonzero(np.bincount(docs))
         sums = [np.bincount(docs, weights=np.repeat(x[at], times))[here] for x in values]

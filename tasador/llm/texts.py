@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,14 @@ def chunks(
             start = stop
 
 
+def give_back() -> None:
+    """Return freed memory to the system; a worker that is used again keeps it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes, and where each text starts (one more entry at the end). Null is empty."""
     if isinstance(texts, pa.ChunkedArray):
