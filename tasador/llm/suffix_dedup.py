@@ -45,6 +45,10 @@ class Settings:
     hot_pieces: int = 2_000
     batch_bytes: int = 2 << 20
 
+    def __post_init__(self):
+        if not 8 <= self.gram <= self.length <= self.gram + 254:
+            raise ValueError("a window must be at most 254 bytes longer than a gram")
+
 
 _LOW_BITS = np.uint64(28)
 
@@ -86,9 +90,9 @@ def pieces(data: np.ndarray, starts: np.ndarray, s: Settings):
     return row[first], begin - starts[row[first]], size, grams[anchor[first]], content
 
 
-_PIECES = (
-    "key long, copy int, first int, windows int, anchor long, content long, covered boolean"
-)
+#: ``place`` holds the first window, the copy, the number of windows and whether the piece is
+#: covered, in 32, 23, 8 and one bit.
+_PIECES = "key long, place long, anchor long, content long"
 
 
 def _find(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
@@ -103,10 +107,11 @@ def _find(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordB
         spread = mix(content + np.arange(len(row), dtype="u8"))
         key, copy = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "copy"))
         yield pa.RecordBatch.from_arrays([
-            pa.array(key[row]), pa.array(copy[row].astype("i4")), pa.array(first.astype("i4")),
-            pa.array(windows.astype("i4")), pa.array(signed(np.where(covered, spread, anchor))),
-            pa.array(signed(content)), pa.array(covered),
-        ], names=["key", "copy", "first", "windows", "anchor", "content", "covered"])
+            pa.array(key[row]),
+            pa.array((copy[row].astype("i8") << 41) | (first << 9) | (windows << 1) | covered),
+            pa.array(signed(np.where(covered, spread, anchor))),
+            pa.array(np.where(covered, 0, signed(content))),
+        ], names=["key", "place", "anchor", "content"])
 
 
 _SHARD = "shard long, key long, copy int, first int, windows int, piece binary"
@@ -145,6 +150,12 @@ def _batch(rows, kinds, names) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on, as a number; zeros follow the end."""
+    padded = np.concatenate([data, np.zeros(8, "u1")])
+    return np.ndarray((len(data),), ">u8", padded, strides=(1,)).astype("u8")
+
+
 def suffix_array(data: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions sorted by their first ``depth`` bytes up to the end of their piece, and ranks.
 
@@ -152,13 +163,12 @@ def suffix_array(data: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.nda
     only positions whose group has several members.
     """
     n = len(data)
+    left = np.minimum(ends - np.arange(n), 7)
+    # Seven bytes of each suffix, and how many of them are its own.
+    masks = np.asarray([((1 << 8 * k) - 1) << 8 * (8 - k) for k in range(8)], "u8")
+    keys = (_words(data) & masks[left]) | left.astype("u8")
     left = ends - np.arange(n)
-    padded = np.concatenate([data, np.zeros(8, "u1")])
-    keys = np.zeros(n, "u8")
-    for i in range(7):
-        keys = (keys << np.uint64(8)) | np.where(left > i, padded[i : n + i], 0).astype("u8")
-    keys = (keys << np.uint64(8)) | np.minimum(left, 7).astype("u8")
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     new = np.ones(n, bool)
     new[1:] = keys[order][1:] != keys[order][:-1]
     done = 7
@@ -173,7 +183,7 @@ def suffix_array(data: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.nda
         at = order[todo]
         after = np.where(left[at] > done, rank[np.minimum(at + done, n - 1)] + 1, 0)
         # Groups stay in place: sort by group, then by the rank of what follows.
-        within = np.lexsort((after, rank[at]))
+        within = np.argsort(rank[at] * np.int64(n + 2) + after)
         order[todo] = at = at[within]
         after = after[within]
         group = rank[at]
@@ -204,17 +214,16 @@ def common_prefixes(data: np.ndarray, ends: np.ndarray, order: np.ndarray, most:
     shared = np.zeros(n, "i8")
     open_ = np.flatnonzero(~reducible & (before >= 0))
     longest = np.minimum(ends[open_] - open_, ends[before[open_]] - before[open_])
-    padded = np.concatenate([data, np.zeros(8, "u1")])
-    done = 0
+    words, done = np.append(_words(data), np.uint64(0)), 0
     while len(open_):
-        x, y = open_ + done, before[open_] + done
-        same = np.ones(len(open_), bool)
-        for i in range(8):
-            live = same & (longest > done + i)
-            same = live & (padded[np.minimum(x + i, n)] == padded[np.minimum(y + i, n)])
-            shared[open_[same]] = done + i + 1
+        differ = words[np.minimum(open_ + done, n)] ^ words[np.minimum(before[open_] + done, n)]
+        equal = np.full(len(open_), 8)
+        for k in range(1, 9):  # leading equal bytes
+            equal[differ >= np.uint64(1 << 8 * (k - 1))] = 8 - k
+        shared[open_] = np.minimum(done + equal, longest)
         done += 8
-        open_, longest = open_[same], longest[same]
+        on = (equal == 8) & (longest > done)
+        open_, longest = open_[on], longest[on]
     last = np.maximum.accumulate(np.where(reducible, 0, at))
     plcp = np.where(reducible, np.maximum(shared[last] - (at - last), 0), shared)
     return np.minimum(plcp[order[1:]], most)
@@ -333,6 +342,15 @@ def remove_repeats(docs: DataFrame, s: Settings = Settings(), keep_bytes: bool =
     rows = rows.withColumn("copy", F.row_number().over(copies))
     found = rows.select("key", "copy", "text").mapInArrow(lambda batches: _find(batches, s), _PIECES)
 
+    # Copies and positions are in the high bits of a place, so it sorts by them. Dealt by
+    # anchor once, for both windows.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = found.repartition(parts, "anchor").select(
+        "key", F.shiftright("place", 41).cast("int").alias("copy"),
+        F.shiftright("place", 9).bitwiseAND(0xFFFFFFFF).cast("int").alias("first"),
+        F.shiftright("place", 1).bitwiseAND(0xFF).cast("int").alias("windows"),
+        (F.col("place").bitwiseAND(1) == 1).alias("covered"), "anchor", "content",
+    )
     same = Window.partitionBy("anchor", "content").orderBy("key", "copy", "first")
     anchors = Window.partitionBy("anchor")
     ranked = found.withColumn("covered", F.col("covered") | (F.row_number().over(same) > 1))
@@ -346,7 +364,6 @@ def remove_repeats(docs: DataFrame, s: Settings = Settings(), keep_bytes: bool =
     cut = rows.join(per_text, "key").select("key", "copy", "text", "found").mapInArrow(
         lambda batches: _cut(batches, s), _SHARD
     )
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = cut.repartition(parts, "shard").sortWithinPartitions("key", "copy", "first").mapInArrow(
         lambda batches: _shards(batches, s), _RUNS
     )
