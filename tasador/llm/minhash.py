@@ -9,12 +9,13 @@ candidates, and candidates are verified on the full sets.
 
 Documents with equal sets are one class with one sketch, so copies never meet
 in pairs. A bucket of up to ``direct`` classes is compared pair by pair. In a
-larger one, the least class of each component found so far is compared with
-all classes of other components: one of them in the first round and four times as
-many in each next one, until a bucket's classes are one component or all have
-been compared. So a bucket of near copies of one text costs one comparison for
-each. Pairs whose whole sketches differ too much are not verified; the full
-sets are read only for documents of the remaining pairs.
+larger one, all classes are compared with one pivot: the class that shares most
+with the others, as the text has that they were derived from. Classes that are
+not linked with it can only be linked with each other where they differ from it
+in the same shingles, which an index of a few of their differences finds. So a
+bucket of near copies of one text costs one comparison for each, and no
+candidate is left out. Of other pairs, those whose whole sketches differ too
+much are not verified; full sets are read only for documents that are compared.
 
 With similarity 0.85, 4 rows and 30 bands, a pair at the threshold shares no
 band with probability (1 - 0.85**4)**30, about 2e-10, and has a sketch that
@@ -29,13 +30,13 @@ that share a doc_id count as one document.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tasador.llm.components import components
 from tasador.llm.texts import chunks, flat, mix, powers, row_starts, signed, words
@@ -55,6 +56,10 @@ class Settings:
     direct: int = 8
     sure: float = 6.5
 
+    def difference(self, size: int) -> int:
+        """Shingles in which a set of this size differs at most from one linked with it."""
+        return (100 - self.percent) * (size + size * 100 // self.percent + 1) // (100 + self.percent)
+
     @property
     def agreeing(self) -> int:
         """Coordinates in which the sketches of a pair worth verifying agree, at least."""
@@ -183,6 +188,27 @@ def _split(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     return marked.filter("_near_hit").drop("_near_hit"), marked.filter("NOT _near_hit").drop("_near_hit")
 
 
+@contextmanager
+def _few_rows(spark):
+    """Small Arrow batches while rows carry two full sets."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "500")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _set_table(docs: DataFrame, ids: DataFrame, s: Settings) -> DataFrame:
+    """The full sets of some documents."""
+    ids = ids.distinct()
+    some, _ = _split(docs, ids)
+    return materialize(some.join(ids, "doc_id", "left_semi").mapInArrow(
+        lambda batches: _sets(batches, s), "doc_id long, shingles binary"
+    ), "near-sets")
+
+
 def _links(docs: DataFrame, sketches: DataFrame, pairs: DataFrame, s: Settings) -> DataFrame:
     """Those pairs (a, b) whose full sets are as similar as asked."""
     x = sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sketch_x"))
@@ -192,18 +218,14 @@ def _links(docs: DataFrame, sketches: DataFrame, pairs: DataFrame, s: Settings)
     ), "near-pairs")
     if pairs.isEmpty():
         return pairs
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    some, _ = _split(docs, ids)
-    sets = some.join(ids, "doc_id", "left_semi").mapInArrow(
-        lambda batches: _sets(batches, s), "doc_id long, shingles binary"
-    )
-    sets = materialize(sets, "near-sets")
+    sets = _set_table(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), s)
     x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_x"))
     y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_y"))
     verified = pairs.join(x, "a").join(y, "b").select("a", "b", "set_x", "set_y").mapInArrow(
         lambda batches: _verified(batches, s), "a long, b long"
     )
-    return materialize(verified, "near-links")
+    with _few_rows(docs.sparkSession):
+        return materialize(verified, "near-links")
 
 
 def _similar_size(s: Settings):
@@ -211,14 +233,94 @@ def _similar_size(s: Settings):
     return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * s.percent
 
 
-def _pairs(left: DataFrame, right: DataFrame, s: Settings, where) -> DataFrame:
-    x = left.select("key", F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"),
-                    F.col("component").alias("c_a"))
-    y = right.select("key", F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"),
-                     F.col("component").alias("c_b"))
-    return x.join(y, "key").filter(where & _similar_size(s)).select(
+def _pairs(left: DataFrame, right: DataFrame, s: Settings, where, key: str = "key") -> DataFrame:
+    """Pairs (a, b) of rows of both sides with one key, a condition and similar sizes."""
+    x, y = (side.select(key, *[F.col(c).alias(f"{c}_{tag}") for c in side.columns if c != key])
+            for side, tag in ((left, "a"), (right, "b")))
+    x, y = x.withColumnRenamed("doc_id_a", "a"), y.withColumnRenamed("doc_id_b", "b")
+    x, y = x.withColumnRenamed("n_shingles_a", "n_a"), y.withColumnRenamed("n_shingles_b", "n_b")
+    return x.join(y, key).filter(where & _similar_size(s)).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    ).distinct()
+    ).filter("a < b").distinct()
+
+
+def _compared(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
+    """Members against their pivots: whether they link, and how they differ from the pivot."""
+    for batch in batches:
+        linked, sizes, index, probe = [], [], [], []
+        for x, y in zip(batch.column("set_x"), batch.column("set_y")):
+            pivot, own = (np.frombuffer(v.as_buffer(), "u8") for v in (x, y))
+            added = own[~_inside(own, pivot)]
+            gone = pivot[~_inside(pivot, own)]
+            both = len(own) - len(added)
+            linked.append(100 * both >= s.percent * (len(pivot) + len(own) - both))
+            sizes.append(len(added) + len(gone))
+            most = s.difference(len(own))
+            first = signed(np.concatenate([added, gone])[: most + 1])
+            index.append(first[: most // 2 + 1])
+            probe.append(first[most // 2 + 1 :])
+        yield pa.RecordBatch.from_arrays([
+            batch.column("pivot"), batch.column("doc_id"), batch.column("n_shingles"),
+            pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64()),
+            pa.array(index, pa.list_(pa.int64())), pa.array(probe, pa.list_(pa.int64())),
+        ], names=["pivot", "doc_id", "n_shingles", "linked", "differ", "index", "probe"])
+
+
+def _inside(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+
+
+def _large_links(
+    docs: DataFrame, sketches: DataFrame, large: DataFrame, links: DataFrame, s: Settings
+) -> DataFrame:
+    """Links within large buckets, without their pairs.
+
+    Every member is compared with its bucket's pivot. Let D(x) be the shingles in
+    which x and the pivot differ. Two members b, c differ in as many shingles as
+    D(b) and D(c) do. If those have fewer elements together than linked texts may
+    differ in, both are linked with the pivot. Else linked members share an
+    element of D, and one of the first ones in any fixed order: with t the most
+    that a text linked with x may differ in, among the first t // 2 + 1 of the one
+    with the smaller D and the first t + 1 of the other (prefix filtering).
+    Shingles that aren't in the pivot come first; they are the rarest ones.
+    """
+    heads = large.groupBy("key").agg(F.min(F.struct("weight", "doc_id")).alias("head"))
+    pairs = materialize(
+        large.join(heads.select("key", F.col("head.doc_id").alias("pivot")), "key")
+        .select("pivot", "doc_id", "n_shingles").filter("pivot <> doc_id").distinct(),
+        "near-pivots",
+    )
+    sets = _set_table(docs, pairs.select(F.explode(F.array("pivot", "doc_id")).alias("doc_id")), s)
+    x = sets.select(F.col("doc_id").alias("pivot"), F.col("shingles").alias("set_x"))
+    y = sets.select("doc_id", F.col("shingles").alias("set_y"))
+    both = pairs.join(y, "doc_id").join(x, "pivot").select(
+        "pivot", "doc_id", "n_shingles", "set_x", "set_y"
+    )
+    with _few_rows(docs.sparkSession):
+        compared = materialize(both.mapInArrow(
+            lambda batches: _compared(batches, s),
+            "pivot long, doc_id long, n_shingles long, linked boolean, differ long, "
+            "index array<long>, probe array<long>",
+        ), "near-compared")
+    near = compared.filter("linked").select(
+        F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")
+    )
+    # Where all members are linked with the pivot there is nothing more to find.
+    open_ = compared.filter("NOT linked").select("pivot").distinct()
+    groups = components(materialize(links.unionAll(near), "near-links"))
+    rest = compared.join(open_, "pivot", "left_semi").join(
+        groups.withColumnRenamed("id", "doc_id"), "doc_id", "left"
+    ).withColumn("component", F.coalesce("component", "doc_id"))
+    element = F.xxhash64("pivot", "element").alias("key")
+    kept = ["doc_id", "n_shingles", "differ", "component"]
+    index = rest.select("pivot", *kept, F.explode("index").alias("element")).select(element, *kept)
+    probe = rest.select("pivot", *kept, F.explode(F.concat("index", "probe")).alias("element"))
+    probe = probe.select(element, *kept)
+    shared = _pairs(index, probe, s, (F.col("component_a") != F.col("component_b")) & (
+        (F.col("differ_a") < F.col("differ_b"))
+        | ((F.col("differ_a") == F.col("differ_b")) & (F.col("a") < F.col("b")))
+    ))
+    return near.unionAll(_links(docs, sketches, shared, s))
 
 
 def near_links(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
@@ -236,38 +338,18 @@ def near_links(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, Da
     sketches = heads.select("doc_id", "sketch")
     members = heads.select("doc_id", "n_shingles", F.explode("bands").alias("key"))
     sizes = members.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
-    members = materialize(
-        members.join(sizes, "key").withColumn("component", F.col("doc_id")), "near-members"
-    )
+    members = materialize(members.join(sizes, "key"), "near-members")
+    # A text that others were derived from shares more buckets with them than they do with
+    # each other. So the class with the fullest buckets is the best pivot.
+    weights = members.groupBy("doc_id").agg((-F.sum("members")).alias("weight"))
+    members = materialize(members.join(weights, "doc_id"), "near-members")
     small = members.filter(F.col("members") <= s.direct)
     links = _links(docs, sketches, _pairs(small, small, s, F.col("a") < F.col("b")), s)
-    large = members.filter(F.col("members") > s.direct).select("key", "doc_id", "n_shingles")
-    groups, pivots = None, 1
-    while not large.isEmpty():
-        groups = components(links) if groups is None else groups
-        large = large.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
-            "component", F.coalesce("component", "doc_id")
-        )
-        # A bucket is settled when its members are one component.
-        open_ = large.groupBy("key").agg(
-            F.min("component").alias("c0"), F.max("component").alias("c1")
-        ).filter("c0 < c1").select("key")
-        large = materialize(large.join(open_, "key", "left_semi"), "near-open")
-        heads = large.groupBy("key", "component").agg(
-            F.min(F.struct("doc_id", "n_shingles")).alias("head")
-        ).select("key", "component", "head.*")
-        order = Window.partitionBy("key").orderBy("doc_id")
-        heads = heads.withColumn("at", F.row_number().over(order)).filter(
-            F.col("at") <= pivots
-        ).drop("at")
-        found = _links(docs, sketches, _pairs(heads, large, s, F.col("c_a") != F.col("c_b")), s)
-        # A pivot has met all the others now.
-        large = large.join(heads.select("key", "doc_id"), ["key", "doc_id"], "left_anti").select(
-            "key", "doc_id", "n_shingles"
+    large = members.filter(F.col("members") > s.direct)
+    if not large.isEmpty():
+        links = materialize(
+            links.unionAll(_large_links(docs, sketches, large, links, s)), "near-links"
         )
-        pivots *= 4
-        if not found.isEmpty():
-            links, groups = materialize(links.unionAll(found), "near-links"), None
     return signs, links
 
 
