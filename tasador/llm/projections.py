@@ -9,7 +9,8 @@ leaves. A query takes the points of a leaf by projected distance and verifies
 them on the original vectors, until the projected distance exceeds the
 distance of its ``k``-th neighbour by so much that a nearer point would have
 been met before with probability ``sure``. It starts in its own leaf and then
-visits all leaves that this radius reaches; so the expected recall is ``sure``.
+visits the other leaves that this radius reaches, nearest first and twice as
+many in each round; so the expected recall is ``sure``.
 
 Equal vectors are one point that keeps its ``k + 1`` smallest ids, all that a
 result can need; equal queries are answered once. The tree's splits come from
@@ -150,9 +151,10 @@ _VISIT = "query long, vector array<double>, leaf long, block long, least double"
 
 
 def _visits(
-    batches: Iterator[pa.RecordBatch], index: _Index, first: bool
+    batches: Iterator[pa.RecordBatch], index: _Index, start_at: int, stop_at: int
 ) -> Iterator[pa.RecordBatch]:
-    """Where queries go: first to their own leaf, then to all others within their radius.
+    """Where queries go: to their leaves number ``start_at`` up to ``stop_at``, nearest first,
+    of those within their radius. The own leaf has number 0.
 
     ``least`` is the score that the k-th neighbour has at least, so far.
     """
@@ -161,16 +163,13 @@ def _visits(
         for start in range(0, len(vectors), 1024):
             part = vectors[start : start + 1024]
             projected = _queries(part, index.longest) @ index.directions
-            own = _leaves(projected, index)
-            least = np.full(len(part), -np.inf)
-            if first:
-                row, leaf = np.arange(len(part)), own
-            else:
-                least = batch.column("least").to_numpy(zero_copy_only=False)[start : start + 1024]
-                radius = index.settings.radius() * _distances(least, part, index)
-                inside = _reach(projected, index) <= radius[:, None]
-                inside[np.arange(len(part)), own] = False
-                row, leaf = np.nonzero(inside)
+            least = batch.column("least").to_numpy(zero_copy_only=False)[start : start + 1024]
+            radius = index.settings.radius() * _distances(least, part, index)
+            reach = _reach(projected, index)
+            reach[np.arange(len(part)), _leaves(projected, index)] = -1
+            turn = np.argsort(reach, axis=1, kind="stable")[:, start_at:stop_at]
+            inside = np.take_along_axis(reach, turn, axis=1) <= radius[:, None]
+            row, leaf = np.nonzero(inside)[0], turn[inside]
             times = index.blocks[leaf]
             row, leaf = np.repeat(row, times), np.repeat(leaf, times)
             block = np.arange(len(leaf)) - np.repeat(np.cumsum(times) - times, times)
@@ -219,10 +218,12 @@ def _verify(points: pa.Table, visits: pa.Table, index: _Index) -> pa.Table:
                 if len(scores) > s.k:
                     # The point itself may be among them, so one more than k.
                     bound = max(bound, np.partition(scores, -s.k - 1)[-s.k - 1])
-            best = order[:done]
+            # Ties at the edge stay; the ids decide between them later.
+            edge = least[q]
             if done > s.k + 1:
-                # Ties at the edge stay; the ids decide between them later.
-                edge = np.partition(scores, -s.k - 1)[-s.k - 1]
+                edge = max(edge, np.partition(scores, -s.k - 1)[-s.k - 1])
+            best = order[:done]
+            if np.isfinite(edge):
                 best = best[scores >= edge - 1e-9 * max(1.0, abs(edge))]
             exact = np.einsum("ij,j->i", vectors[best], asked[q])
             for column, values in zip(out, (
@@ -313,22 +314,29 @@ def nearest(
         "part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     )
 
-    def visit(queries: DataFrame, first: bool) -> DataFrame:
-        visits = queries.mapInArrow(lambda batches: _visits(batches, index, first), _VISIT)
+    def visit(queries: DataFrame, start: int, stop: int) -> DataFrame:
+        visits = queries.mapInArrow(
+            lambda batches: _visits(batches, index, start, stop), _VISIT
+        )
         visits = visits.withColumn("part", F.pmod(F.xxhash64("query"), F.lit(parts)).cast("int"))
         keys = ["leaf", "block", "part"]
         return held.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInArrow(
             lambda points, visits: _verify(points, visits, index), _FOUND
         )
 
-    near = materialize(visit(asked, True), "near")
-    kth = _best(near, s.k + 1).filter(F.col("place") == s.k + 1).select(
-        F.col("query").alias("id"), F.col("score").alias("least")
-    )
-    told = asked.join(kth, "id", "left").withColumn(
-        "least", F.coalesce("least", F.lit(float("-inf")))
-    )
-    found = _best(near.unionAll(visit(told, False)), s.k + 1)
+    # Twice as many leaves in each round, so that a query brings back no more than about k
+    # points of each, and the radius shrinks in between.
+    unknown = F.lit(float("-inf"))
+    told, found = asked.withColumn("least", unknown), None
+    start, stop = 0, 1
+    while start < len(index.low):
+        new = visit(told, start, stop)
+        every = new if found is None else found.unionAll(new)
+        found = materialize(_best(every, s.k + 1).drop("place"), "near")
+        kth = found.groupBy("query").agg(F.count("*").alias("n"), F.min("score").alias("least"))
+        kth = kth.filter(F.col("n") > s.k).select(F.col("query").alias("id"), "least")
+        told = asked.join(kth, "id", "left").withColumn("least", F.coalesce("least", unknown))
+        start, stop = stop, 2 * stop
     ids = points.select("id", "ids")
     single = found.join(ids, "id").select("query", F.explode("ids").alias("id"), "score")
     lists = _best(single, s.k + 1).groupBy("query").agg(
