@@ -49,12 +49,12 @@ _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Settings:
-    """``shards``: 0 takes three for every two of the session's shuffle partitions; a task
+    """``shards``: 0 takes the session's shuffle partitions; a task
     holds one shard at a time. ``block_tokens``: tokens of a
     block, at most 30,000 texts. ``sample_docs``: about so many texts tell hot keys."""
 
     shards: int = 0
-    block_tokens: int = 2_500_000
+    block_tokens: int = 1_500_000
     sample_docs: int = 4_000
 
 
@@ -538,7 +538,7 @@ def score(docs: DataFrame, train, s: Settings = Settings()) -> DataFrame:
     """
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text", F.coalesce(train, F.lit(False)).alias("train"))
-    shards = s.shards or -(-int(spark.conf.get("spark.sql.shuffle.partitions")) * 3 // 2)
+    shards = s.shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     plan = _Plan(shards, s.block_tokens, *_hot(texts, shards, s))
     cells = texts.mapInArrow(lambda batches: _cells(batches, plan), _CELL)
     asks = cells.groupBy("shard").applyInArrow(lambda table: _asks(table, plan), _ASK)
