@@ -49,8 +49,8 @@ _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Settings:
-    """``shards``: 0 takes the session's shuffle partitions; a task
-    holds one shard at a time. ``block_tokens``: tokens of a
+    """``shards``: 0 takes the session's shuffle partitions; a task holds
+    one shard at a time. ``block_tokens``: tokens of a
     block, at most 30,000 texts. ``sample_docs``: about so many texts tell hot keys."""
 
     shards: int = 0
@@ -543,7 +543,7 @@ def score(docs: DataFrame, train, s: Settings = Settings()) -> DataFrame:
     cells = texts.mapInArrow(lambda batches: _cells(batches, plan), _CELL)
     asks = cells.groupBy("shard").applyInArrow(lambda table: _asks(table, plan), _ASK)
     told = asks.groupBy("target").applyInArrow(lambda table: _totals(table, plan), _TOLD)
-    common = told.filter("shard < 0"    ).groupBy(F.lit(0).alias("all")).applyInArrow(
+    common = told.filter("shard < 0").groupBy(F.lit(0).alias("all")).applyInArrow(
         lambda table: _common(table, shards), _TOLD
     )
     answers = told.filter("shard >= 0").unionAll(common)
