@@ -392,3 +392,28 @@ def _labelled(signs: DataFrame, links: DataFrame) -> DataFrame:
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+#: The same for DuckDB, from all pairs of texts that share a shingle.
+ORACLE = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(
+      range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words),
+sized AS (SELECT doc_id, len(s) AS n, s FROM sets),
+flat AS MATERIALIZED (SELECT doc_id, n, unnest(s) AS shingle FROM sized),
+pairs AS MATERIALIZED (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM flat a JOIN flat b USING (shingle)
+  WHERE a.doc_id < b.doc_id GROUP BY x, y
+  HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))),
+links AS MATERIALIZED (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM sized
+  UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON r.other = l.x)
+SELECT doc_id, any_value(n)::BIGINT AS n_shingles, min(other) AS component_id,
+       doc_id = min(other) AS kept
+FROM reach JOIN sized USING (doc_id) GROUP BY doc_id
+"""

@@ -99,4 +99,7 @@ QUERIES = {
         op10_language_id,
     )
 }
-ORACLES: dict[str, str] = {"op4_temperature_mixing": mixing.oracle(mixing.Settings())}
+ORACLES: dict[str, str] = {
+    "op4_temperature_mixing": mixing.oracle(mixing.Settings()),
+    "op8_minhash_near_dedup": minhash.ORACLE,
+}
