@@ -60,6 +60,9 @@ _ASIDE_WORDS = set(
     "subscribe toolbar widget".split()
 )
 _ARTICLE_WORDS = set("article content entry main post story".split())
+#: Names of an article's own header, and words of names that speak of another element.
+_TITLED = _ARTICLE_WORDS - {"main"}
+_BESIDE = set("has no with without".split())
 
 
 #: Deeper elements only end a block; their texts belong to the element they are in.
@@ -78,11 +81,16 @@ class Node:
 
 def _label(tag: str, attributes: str) -> str:
     """Tag, and the words of class, id and role that tell elements apart."""
-    words = set()
+    known = set()
     for name, *values in _ATTRIBUTE.findall(attributes):
-        words.update(re.split(r"[^a-z]+", next((v for v in values if v), "").lower()))
-    known = sorted(words & (_ASIDE_WORDS | _ARTICLE_WORDS))
-    return ".".join([tag, *known])
+        for token in next((v for v in values if v), "").lower().split():
+            words = set(re.split(r"[^a-z]+", token))
+            if "header" in words and words & _TITLED:
+                continue  # entry-header holds the article's title
+            if words & _BESIDE or tag in ("html", "body"):
+                words -= _ASIDE_WORDS  # with-sidebar tells about the rest of the page
+            known |= words & (_ASIDE_WORDS | _ARTICLE_WORDS)
+    return ".".join([tag, *sorted(known)])
 
 
 def parse(page: str | None) -> Node:
@@ -210,12 +218,14 @@ def expression(item: list) -> str:
 
 def _aside(label: str) -> bool:
     tag, *words = label.split(".")
-    return tag in _ASIDE_TAGS or (bool(_ASIDE_WORDS & set(words)) and not _ARTICLE_WORDS & set(words))
+    return tag in _ASIDE_TAGS or (tag not in ("article", "main") and bool(_ASIDE_WORDS & set(words)))
 
 
 def _rank(label: str) -> int:
     """How plainly a label names an article: 3, 2, 1 or 0."""
     tag, *words = label.split(".")
+    if _ASIDE_WORDS & set(words):
+        return 0
     return 3 if tag == "article" else 2 if tag == "main" else 1 if _ARTICLE_WORDS & set(words) else 0
 
 

@@ -62,3 +62,16 @@ def test_one_wrapper_for_a_host(spark):
     texts = {r["page_id"]: r["text"] for r in found}
     assert texts[100] == "" and texts[101] == "z" and texts[3] == "x\nx\nx\ny"
     assert W.extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<div class='main-menu'>m</div><div class='content'><p>a</p></div>", "a"),
+    ("<div id=content><p>a</p><div class='post-comments'>no</div><div class='content-sidebar'>no</div></div>", "a"),
+    ("<main class='main-menu'><p>a</p><div class='post-navigation'>no</div></main>", "a"),
+    ("<body class='post has-sidebar'><div class='entry-header'><h1>t</h1></div>"
+     "<div class='content with-sidebar'>a</div></body>", "t\na"),
+])
+def test_aside_words_win_over_article_words(page, text):
+    assert W.main_text(page, "") == text
+    if "main-menu" in page and "content" in page:
+        assert W.region(layout(page)) == "div.content"
