@@ -25,6 +25,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -65,18 +66,25 @@ _TITLED = _ARTICLE_WORDS - {"main"}
 _BESIDE = set("has no with without".split())
 
 
-#: Deeper elements only end a block; their texts belong to the element they are in.
+#: A wrapper has no elements below this depth, only their texts; extraction has no limit.
 _DEEPEST = 150
 
 
 class Node:
-    """An element with its block elements and texts, in order."""
+    """An element with its block elements and blocks, in order; a block is a list of pieces of text."""
 
-    __slots__ = ("label", "parts")
+    __slots__ = ("label", "tag", "parts")
 
-    def __init__(self, label: str):
+    def __init__(self, label: str, tag: str = ""):
         self.label = label
-        self.parts: list[Node | str] = []
+        self.tag = tag
+        self.parts: list[Node | list[str]] = []
+
+    def add(self, piece: str):
+        if self.parts and isinstance(self.parts[-1], list):
+            self.parts[-1].append(piece)
+        else:
+            self.parts.append([piece])
 
 
 def _label(tag: str, attributes: str) -> str:
@@ -94,12 +102,16 @@ def _label(tag: str, attributes: str) -> str:
 
 
 def parse(page: str | None) -> Node:
-    """The page as a tree. Missing end tags are put in; stray ones are dropped."""
+    """The page as a tree of any depth. Missing end tags are put in; stray ones are dropped."""
     root = Node("")
-    stack, at, page = [root], 0, page or ""
+    stack, opened, at, page = [root], Counter(), 0, page or ""
+
+    def pop():
+        opened[stack.pop().tag] -= 1
+
     for token in iter(lambda: _TOKEN.search(page, at), None):
         if token.start() > at:
-            stack[-1].parts.append(page[at : token.start()])
+            stack[-1].add(page[at : token.start()])
         at = token.end()
         tag = (token[2] or "").lower()
         if not tag:
@@ -110,23 +122,23 @@ def parse(page: str | None) -> Node:
             continue
         if tag in _INLINE:
             if tag == "br":
-                stack[-1].parts.append(" ")
+                stack[-1].add(" ")
             continue
         if token[1]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1)
-                          if stack[i].label.split(".")[0] == tag), 0)
-            if depth:
-                del stack[depth:]
+            if opened[tag]:
+                while stack[-1].tag != tag:
+                    pop()
+                pop()
             continue
-        closes = _CLOSES.get(tag, set())
-        if stack[-1].label.split(".")[0] in closes | {"p"}:
-            stack.pop()  # a block element ends an open paragraph
-        node = Node(_label(tag, token[3]))
+        if stack[-1].tag == "p" or stack[-1].tag in _CLOSES.get(tag, ()):
+            pop()  # a block element ends an open paragraph
+        node = Node(_label(tag, token[3]), tag)
         stack[-1].parts.append(node)
-        if tag not in _VOID and len(stack) < _DEEPEST:
+        if tag not in _VOID:
             stack.append(node)
+            opened[tag] += 1
     if at < len(page):
-        stack[-1].parts.append(page[at:])
+        stack[-1].add(page[at:])
     return root
 
 
@@ -144,14 +156,15 @@ def _key(item) -> str:
     return item[0] if item[0] != "()" else "(" + ",".join(_key(i) for i in item[1]) + ")"
 
 
-def wrapper_of(node: Node) -> list:
+def wrapper_of(node: Node, depth: int = 0) -> list:
     items: list[list] = []
+    if depth == _DEEPEST:
+        return [node.label, [["#", [], False, False]] if _blocks(node) else [], False, False]
     for part in node.parts:
-        if isinstance(part, str):
-            if part.strip() and not (items and items[-1][0] == "#"):
-                items.append(["#", [], False, False])
-        else:
-            items.append(wrapper_of(part))
+        if isinstance(part, Node):
+            items.append(wrapper_of(part, depth + 1))
+        elif text_of(part):
+            items.append(["#", [], False, False])
     return [node.label, fold(items), False, False]
 
 
@@ -246,33 +259,40 @@ def region(wrapper: list) -> str:
 # --- Extraction -------------------------------------------------------------
 
 
+def _outside(node: Node) -> Iterator[Node | list[str]]:
+    """The parts below an element in page order, without asides."""
+    stack = list(reversed(node.parts))
+    while stack:
+        part = stack.pop()
+        if isinstance(part, list):
+            yield part
+        elif not _aside(part.label):
+            yield part
+            stack.extend(reversed(part.parts))
+
+
 def _blocks(node: Node) -> list[str]:
     """Texts of an element's blocks in page order, without asides."""
-    out, open_ = [], []
+    texts = (text_of(part) for part in _outside(node) if isinstance(part, list))
+    return [text for text in texts if text]
 
-    def close():
-        text = text_of(open_)
-        open_.clear()
-        if text:
-            out.append(text)
 
-    for part in node.parts:
-        if isinstance(part, str):
-            open_.append(part)
-        else:
-            close()
-            if not _aside(part.label):
-                out.extend(_blocks(part))
-    close()
-    return out
+def _named(root: Node) -> str:
+    """Label of the first of the elements that name an article most plainly; '' if none does."""
+    labels = [part.label for part in _outside(root) if isinstance(part, Node)]
+    best = max(labels, key=_rank, default="")
+    return best if _rank(best) else ""
 
 
 def _find(node: Node, label: str) -> list[Node]:
     """Topmost elements with a label, outside asides."""
-    found = []
-    for part in node.parts:
-        if isinstance(part, Node) and not _aside(part.label):
-            found += [part] if part.label == label else _find(part, label)
+    found, stack = [], [node]
+    while stack:
+        here = stack.pop()
+        if here.label == label and here is not node:
+            found.append(here)
+        elif not _aside(here.label):
+            stack.extend(p for p in reversed(here.parts) if isinstance(p, Node))
     return found
 
 
@@ -282,21 +302,25 @@ def _densest(node: Node) -> Node:
     stack = [node]
     while stack:
         here = stack.pop()
-        own = sum(len(p) for p in here.parts if isinstance(p, str))
+        own = _own(here)
         children = [p for p in here.parts if isinstance(p, Node) and not _aside(p.label)]
-        own += sum(len(t) for c in children for t in c.parts if isinstance(t, str))
+        own += sum(map(_own, children))
         if own > most:
             best, most = here, own
         stack.extend(children)
     return best
 
 
+def _own(node: Node) -> int:
+    return sum(len(piece) for part in node.parts if isinstance(part, list) for piece in part)
+
+
 def main_text(page: str | None, label: str) -> str:
     """Blocks of the page's article, one to a line; ``label`` comes from its host's wrapper."""
     root = parse(page)
     nodes = _find(root, label) if label else []
     if not nodes:
-        own = region(wrapper_of(root))
+        own = _named(root)
         nodes = _find(root, own) if own else [_densest(root)]
     return "\n".join(text for node in nodes for text in _blocks(node))
 

@@ -75,3 +75,17 @@ def test_aside_words_win_over_article_words(page, text):
     assert W.main_text(page, "") == text
     if "main-menu" in page and "content" in page:
         assert W.region(layout(page)) == "div.content"
+
+
+@pytest.mark.parametrize("depth", [10, 200, 5_000])
+def test_deep_elements_end_nothing_else_and_keep_their_asides_out(depth):
+    down, up = "<div>" * depth, "</div>" * depth
+    page = f"<div><article>{down}deep<nav>no<p>no</p></nav><div class=comments>no</div>er{up}<p>after</p></article></div>x"
+    assert W.main_text(page, "") == W.main_text(page, "article") == "deep\ner\nafter"
+    assert W.main_text(f"{down}<nav>no</nav><article>a</article>{up}<footer>no</footer>", "") == "a"
+    assert W.expression(layout(page))
+
+
+def test_unclosed_tags_and_stray_end_tags_cost_no_search():
+    page = "<div>" * 30_000 + "</section>" * 30_000 + "<nav>no</nav><p>a"
+    assert W.main_text(page, "") == "a"
