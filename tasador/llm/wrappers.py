@@ -2,18 +2,24 @@
 
 A page is read as a stream of block tags and texts; inline tags belong to the
 text. A wrapper is a regular expression over such streams without unions:
-tags, text slots, optional items and repeated groups. A page's own stream is
-the first wrapper of it, with neighbouring repetitions folded into groups. Two
+tags, texts, optional items and repeated groups. A page's own stream is the
+first wrapper of it, with neighbouring repetitions folded into groups. Two
 wrappers are aligned tag by tag along their longest common sequence: what only
-one of them has becomes optional, what repeats becomes a group, texts become
-slots, and the parts of matching tags are aligned in turn.
+one of them has becomes optional, what repeats becomes a group, and the parts
+of matching tags are aligned in turn. A text stays literal while all pages have
+it and becomes a slot where pages differ; of a repeated group, the literals
+that every page has in it stay.
 
-Pages with equal wrappers are counted first, so a host with a third of all
+Pages of one shape are merged within their task, so a host with a third of all
 pages sends each of its few layouts once per task. The layouts of a host are
-aligned in parallel by salt and then together. The wrapper of a host says
-where its article is: an ``article`` or ``main`` element, an element named like
-one, or else the element that holds most of the text blocks. Menus, headers,
-footers and the like are marked and left out.
+aligned in parallel by salt and then together; literals are merged alike in any
+order. If the pages of a host differ at all, its article is what varies: texts
+that all pages have at the same place are template and left out, except
+headings right before a varying text. Names only narrow this down, if slots lie
+in what they name: an ``article`` or ``main`` element, which is kept whole, or
+an element named like one, by the most slots. Where nothing tells template from
+article (a single page, equal pages) names alone decide, and without names all
+texts stay. Menus, headers, footers and the like are marked and left out.
 
 Defined results: null and empty html, and a page without an article, give an
 empty text. Pages without a readable host share the host ''. Rows are
@@ -27,6 +33,7 @@ import json
 import re
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -61,6 +68,7 @@ _ASIDE_WORDS = set(
     "subscribe toolbar widget".split()
 )
 _ARTICLE_WORDS = set("article content entry main post story".split())
+_HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 #: Names of an article's own header, and words of names that speak of another element.
 _TITLED = _ARTICLE_WORDS - {"main"}
 _BESIDE = set("has no with without".split())
@@ -148,23 +156,44 @@ def text_of(pieces: list[str]) -> str:
 
 
 # --- Wrappers ---------------------------------------------------------------
-# An item is [label, items, optional, repeated]; a slot has the label "#", and
-# a group of several items the label "()".
+# An item is [label, items, optional, repeated]; a group of several items has the
+# label "()". A text has the label "#" and, as items, the numbers of its
+# literals: positive if all pages have it here, negative if not, 0 for a slot.
 
 
 def _key(item) -> str:
     return item[0] if item[0] != "()" else "(" + ",".join(_key(i) for i in item[1]) + ")"
 
 
-def wrapper_of(node: Node, depth: int = 0) -> list:
+def _literal(block: list[str]) -> int:
+    """Number of a block's text, 0 of a blank one."""
+    text = text_of(block)
+    return 1 + int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=6).digest()) if text else 0
+
+
+def _seen(literals: list[int]) -> tuple[set[int], set[int], bool]:
+    """Literals of all pages, those of some, and whether the text is a slot."""
+    every = {n for n in literals if n > 0}
+    some = {-n for n in literals if n < 0} - every
+    return every, some, 0 in literals or len(some) > 1
+
+
+def _literals(every: set[int], some: set[int], slot: bool) -> list[int]:
+    return sorted(every) + ([0] if slot or len(some) > 1 else [-n for n in some])
+
+
+def wrapper_of(node: Node, number=_literal, depth: int = 0) -> list:
+    """The stream below an element; ``number`` gives the number of a block, 0 if it is blank."""
     items: list[list] = []
-    if depth == _DEEPEST:
-        return [node.label, [["#", [], False, False]] if _blocks(node) else [], False, False]
-    for part in node.parts:
-        if isinstance(part, Node):
-            items.append(wrapper_of(part, depth + 1))
-        elif text_of(part):
-            items.append(["#", [], False, False])
+    below = _outside(node) if depth == _DEEPEST else node.parts
+    for part in below:
+        if isinstance(part, list):
+            if n := number(part):
+                items.append(["#", [n], False, False])
+        elif depth < _DEEPEST:
+            items.append(wrapper_of(part, number, depth + 1))
+    if depth == _DEEPEST and items:
+        items = [["#", [i[1][0] for i in items], False, False]]
     return [node.label, fold(items), False, False]
 
 
@@ -178,52 +207,82 @@ def fold(items: list) -> list:
                 _key(a) == _key(b) and a[0] != "#" or (period > 1 and _key(a) == _key(b))
                 for a, b in zip(out[-2 * period : -period], out[-period:])
             ):
-                pairs = [merge(a, b) for a, b in zip(out[-2 * period : -period], out[-period:])]
+                pairs = [merge(a, b, False) for a, b in zip(out[-2 * period : -period], out[-period:])]
                 del out[-2 * period :]
                 out.append([*pairs[0][:3], True] if period == 1 else ["()", pairs, False, True])
             if period > 1 and len(out) > period and out[-period - 1][0] == "()" and all(
                 _key(a) == _key(b) for a, b in zip(out[-period - 1][1], out[-period:])
             ) and len(out[-period - 1][1]) == period:
                 group = out[-period - 1]
-                group[1] = [merge(a, b) for a, b in zip(group[1], out[-period:])]
+                group[1] = [merge(a, b, False) for a, b in zip(group[1], out[-period:])]
                 del out[-period:]
         items = out
     return items
 
 
-def merge(a: list, b: list) -> list:
-    """The wrapper of what two items with one key match."""
-    return [a[0], align(a[1], b[1]), a[2] or b[2], a[3] or b[3]]
+def merge(a: list, b: list, pages: bool = True) -> list:
+    """The wrapper of what two items with one key match.
 
+    They are of different ``pages``, or repetitions within the same ones."""
+    if a[0] != "#":
+        inner = align(a[1], b[1], pages)
+    elif not pages:
+        inner = a[1] + b[1]
+    else:
+        (p, q, s), (t, u, v) = _seen(a[1]), _seen(b[1])
+        inner = _literals(p & t, (p | q | t | u) - (p & t), s or v)
+    return [a[0], inner, a[2] or b[2], a[3] or b[3]]
 
-def align(a: list, b: list) -> list:
-    """One sequence for both: common items merged, the others optional."""
+
+def _missing(item: list) -> list:
+    """The item without the claim that all pages have its literals."""
+    if item[0] == "#":
+        every, some, slot = _seen(item[1])
+        return ["#", _literals(set(), every | some, slot), *item[2:]]
+    return [item[0], [_missing(i) for i in item[1]], *item[2:]]
+
+
+def _matched(a: list, b: list) -> Iterator[tuple[list | None, list | None]]:
+    """Items of both along their longest common sequence of keys; None where one has no such item."""
     x, y = [_key(i) for i in a], [_key(i) for i in b]
     if x == y:
-        return [merge(i, j) for i, j in zip(a, b)]
+        yield from zip(a, b)
+        return
     best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     for i in range(len(x) - 1, -1, -1):
         for j in range(len(y) - 1, -1, -1):
             best[i][j] = (best[i + 1][j + 1] + 1 if x[i] == y[j]
                           else max(best[i + 1][j], best[i][j + 1]))
-    out, i, j = [], 0, 0
+    i = j = 0
     while i < len(x) or j < len(y):
         if i < len(x) and j < len(y) and x[i] == y[j]:
-            out.append(merge(a[i], b[j]))
+            yield a[i], b[j]
             i, j = i + 1, j + 1
         elif j == len(y) or (i < len(x) and best[i + 1][j] >= best[i][j + 1]):
-            out.append([*a[i][:2], True, a[i][3]])
+            yield a[i], None
             i += 1
         else:
-            out.append([*b[j][:2], True, b[j][3]])
+            yield None, b[j]
             j += 1
-    return fold(out)
+
+
+def align(a: list, b: list, pages: bool = True) -> list:
+    """One sequence for both: common items merged, the others optional."""
+    out, equal = [], True
+    for i, j in _matched(a, b):
+        if i and j:
+            out.append(merge(i, j, pages))
+        else:
+            one = _missing(i or j) if pages else i or j
+            out.append([*one[:2], True, one[3]])
+            equal = False
+    return out if equal else fold(out)
 
 
 def expression(item: list) -> str:
     """The wrapper as a regular expression over tags and slots."""
     label, items, optional, repeated = item
-    inner = " ".join(expression(i) for i in items)
+    inner = " ".join(expression(i) for i in items) if label != "#" else ""
     body = "#" if label == "#" else f"({inner})" if label == "()" else f"<{label}>{inner}</>"
     sign = "*" if optional and repeated else "?" if optional else "+" if repeated else ""
     return f"({body}){sign}" if sign and label != "()" else body + sign
@@ -242,18 +301,34 @@ def _rank(label: str) -> int:
     return 3 if tag == "article" else 2 if tag == "main" else 1 if _ARTICLE_WORDS & set(words) else 0
 
 
+def varies(wrapper: list) -> bool:
+    """Whether the host's pages differ, so that its literals are template."""
+    return _slots(wrapper, {}) > 0
+
+
+def _slots(item: list, named: dict[str, int]) -> int:
+    """Slots of an item outside asides, a repeated one twice; ``named`` gets those of every label that names an article."""
+    label, items, _, repeated = item
+    if label == "#":
+        return int(_seen(items)[2])
+    if _aside(label):
+        return 0
+    if _rank(label):
+        named.setdefault(label, 0)
+    slots = sum(_slots(i, named) for i in items) * (1 + repeated)
+    if _rank(label):
+        named[label] += slots
+    return slots
+
+
 def region(wrapper: list) -> str:
-    """Label of the elements that hold the host's articles; '' if nothing names one."""
-    best = (0, "")
-    stack = [wrapper]
-    while stack:
-        label, items, *_ = stack.pop()
-        if _aside(label):
-            continue
-        if _rank(label) > best[0]:
-            best = (_rank(label), label)
-        stack.extend(reversed(items))
-    return best[1]
+    """Label of the elements that hold the host's articles; '' if nothing names one.
+
+    Where the host's pages differ, its elements must hold slots."""
+    named: dict[str, int] = {}
+    if _slots(wrapper, named):
+        named = {label: n for label, n in named.items() if n}
+    return max(named, key=lambda label: (_rank(label), named[label]), default="")
 
 
 # --- Extraction -------------------------------------------------------------
@@ -271,9 +346,9 @@ def _outside(node: Node) -> Iterator[Node | list[str]]:
             stack.extend(reversed(part.parts))
 
 
-def _blocks(node: Node) -> list[str]:
-    """Texts of an element's blocks in page order, without asides."""
-    texts = (text_of(part) for part in _outside(node) if isinstance(part, list))
+def _blocks(node: Node, template: set[int]) -> list[str]:
+    """Texts of an element's blocks in page order, without asides and the host's template."""
+    texts = (text_of(p) for p in _outside(node) if isinstance(p, list) and id(p) not in template)
     return [text for text in texts if text]
 
 
@@ -296,83 +371,133 @@ def _find(node: Node, label: str) -> list[Node]:
     return found
 
 
-def _densest(node: Node) -> Node:
-    """The element whose own blocks (its children's direct texts) are longest."""
-    best, most = node, -1
-    stack = [node]
-    while stack:
-        here = stack.pop()
-        own = _own(here)
-        children = [p for p in here.parts if isinstance(p, Node) and not _aside(p.label)]
-        own += sum(map(_own, children))
-        if own > most:
-            best, most = here, own
-        stack.extend(children)
-    return best
-
+def _template(own: list, host: list, literals: list[int]) -> Iterator[int]:
+    """Numbers of a page's blocks whose literal all pages of the host have at the same place."""
+    if own[0] == "#":
+        every = _seen(host[1])[0]
+        yield from (n for n in own[1] if literals[n] in every)
+        return
+    for mine, theirs in _matched(own[1], host[1]):
+        if mine and theirs:
+            yield from _template(mine, theirs, literals)
+
+
+def _template_blocks(root: Node, wrapper: list) -> set[int]:
+    """Identities of the blocks that belong to the host's template, but for the article's headings."""
+    blocks, literals = [root], [0]
+
+    def number(block: list[str]) -> int:
+        if not (literal := _literal(block)):
+            return 0
+        blocks.append(block)
+        literals.append(literal)
+        return len(blocks) - 1
+
+    template = {id(blocks[n]) for n in _template(wrapper_of(root, number), wrapper, literals)}
+    heading, follows, kept = None, False, set()
+    order: list[tuple[int, bool]] = []
+    for part in _outside(root):
+        if isinstance(part, Node):
+            heading = part if part.tag in _HEADINGS else None
+        elif text_of(part):
+            order.append((id(part), heading is not None and any(p is part for p in heading.parts)))
+    for block, headed in reversed(order):
+        follows = block not in template or (headed and follows)
+        if follows:
+            kept.add(block)
+    return template - kept
 
-def _own(node: Node) -> int:
-    return sum(len(piece) for part in node.parts if isinstance(part, list) for piece in part)
 
+def main_text(page: str | None, label: str, wrapper: list | None = None) -> str:
+    """Blocks of the page's article, one to a line.
 
-def main_text(page: str | None, label: str) -> str:
-    """Blocks of the page's article, one to a line; ``label`` comes from its host's wrapper."""
+    ``label`` comes from its host's wrapper, which is given if it tells template from article."""
     root = parse(page)
     nodes = _find(root, label) if label else []
-    if not nodes:
-        own = _named(root)
-        nodes = _find(root, own) if own else [_densest(root)]
-    return "\n".join(text for node in nodes for text in _blocks(node))
+    if not nodes and (label or not wrapper):
+        label = _named(root)
+        nodes = _find(root, label) if label else []
+    if not wrapper or _rank(label) > 1 and nodes:
+        template = set()
+    else:
+        template = _template_blocks(root, wrapper)
+    return "\n".join(text for node in nodes or [root] for text in _blocks(node, template))
 
 
 # --- The operator -----------------------------------------------------------
 
 _HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 _SALTS = 16
+#: Characters of pages whose layouts a task holds to merge those of one shape, and of layouts it keeps read.
+_HELD = 32_000_000
+_LAYOUT = pa.schema([("host", pa.string()), ("shape", pa.string()), ("layout", pa.string())])
+
+
+def _dump(wrapper: list) -> str:
+    return json.dumps(wrapper, separators=(",", ":"))
 
 
 def _layouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[tuple[str, str], list] = {}
+    size = 0
+
+    def flush():
+        rows = [(host, shape, _dump(wrapper)) for (host, shape), wrapper in held.items()]
+        held.clear()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, pa.string()) for c in zip(*rows)], schema=_LAYOUT)
+
     for batch in batches:
-        hosts, layouts = [], []
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            hosts.append(host)
-            layouts.append(json.dumps(wrapper_of(parse(page)), separators=(",", ":")))
-        yield pa.RecordBatch.from_pydict({"host": hosts, "layout": layouts}, pa.schema(
-            [("host", pa.string()), ("layout", pa.string())]))
+            wrapper = wrapper_of(parse(page))
+            shape = expression(wrapper)
+            key = host, f"{len(shape):09d}{blake2b(shape.encode('utf-8', 'surrogatepass'), digest_size=12).hexdigest()}"
+            if key in held:
+                held[key] = merge(held[key], wrapper)
+                continue
+            held[key] = wrapper
+            size += len(page or "")
+            if size > _HELD:
+                yield flush()
+                size = 0
+    if held:
+        yield flush()
 
 
 def _aligned(table: pa.Table) -> pa.Table:
-    host = table.column("host")[0].as_py()
     wrapper = None
-    # The order of alignment is fixed, so that results don't depend on the partitioning.
-    for layout in sorted(table.column("layout").to_pylist(), key=lambda x: (len(x), x)):
+    # Shapes are aligned in a fixed order, so that results don't depend on the partitioning.
+    rows = sorted(zip(table.column("shape").to_pylist(), table.column("layout").to_pylist()))
+    for _, layout in rows:
         other = json.loads(layout)
         wrapper = other if wrapper is None else merge(wrapper, other)
-    return pa.table({"host": [host], "layout": [json.dumps(wrapper, separators=(",", ":"))]},
-                    pa.schema([("host", pa.string()), ("layout", pa.string())]))
+    return pa.table([[table.column("host")[0].as_py()], [rows[0][0]], [_dump(wrapper)]], schema=_LAYOUT)
 
 
 def infer(pages: DataFrame) -> DataFrame:
     """``host`` and ``layout``, the wrapper of all the host's pages as JSON."""
-    layouts = pages.mapInArrow(_layouts, "host string, layout string")
-    distinct = layouts.groupBy("host", "layout").agg(F.count("*").alias("pages"))
-    salt = F.pmod(F.xxhash64("layout"), F.lit(_SALTS))
-    some = distinct.select("host", "layout", salt.alias("salt")).groupBy("host", "salt")
-    return some.applyInArrow(_aligned, "host string, layout string").groupBy("host").applyInArrow(
-        _aligned, "host string, layout string"
-    )
+    kind = "host string, shape string, layout string"
+    shapes = pages.mapInArrow(_layouts, kind).groupBy("host", "shape").applyInArrow(_aligned, kind)
+    salt = F.pmod(F.xxhash64("shape"), F.lit(_SALTS))
+    some = shapes.withColumn("salt", salt).groupBy("host", "salt")
+    return some.applyInArrow(_aligned, kind).groupBy("host").applyInArrow(_aligned, kind).drop("shape")
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    labels: dict[str | None, str] = {}
+    known: dict[str, tuple[str, list | None]] = {}
+    size = 0
     for batch in batches:
         texts = []
         for page, layout in zip(batch.column("html").to_pylist(), batch.column("layout").to_pylist()):
-            if layout not in labels:
-                if len(labels) > 10_000:
-                    labels.clear()
-                labels[layout] = region(json.loads(layout)) if layout else ""
-            texts.append(main_text(page, labels[layout]))
+            if layout not in known:
+                if size > _HELD // 8:
+                    known.clear()
+                    size = 0
+                wrapper = json.loads(layout) if layout else None
+                known[layout] = (region(wrapper) if wrapper else "",
+                                 wrapper if wrapper and varies(wrapper) else None)
+                size += len(layout or "")
+            texts.append(main_text(page, *known[layout]))
         yield pa.RecordBatch.from_arrays([
             batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
             pa.array([len(t) for t in texts], pa.int64()),

@@ -89,3 +89,55 @@ def test_deep_elements_end_nothing_else_and_keep_their_asides_out(depth):
 def test_unclosed_tags_and_stray_end_tags_cost_no_search():
     page = "<div>" * 30_000 + "</section>" * 30_000 + "<nav>no</nav><p>a"
     assert W.main_text(page, "") == "a"
+
+
+def host(*pages):
+    """Texts of the pages of a host."""
+    wrapper = None
+    for page in pages:
+        wrapper = layout(page) if wrapper is None else W.merge(wrapper, layout(page))
+    return [W.main_text(p, W.region(wrapper), wrapper if W.varies(wrapper) else None) for p in pages]
+
+
+def unnamed(i, n=3):
+    menu = "<div><ul><li>Home</li><li>News</li><li>About us</li></ul></div>"
+    paragraphs = "".join(f"<p>par {i}.{k}</p>" for k in range(n))
+    return (f"<body>{menu}<h1>title {i}</h1><div>{paragraphs}<h2>More</h2></div>"
+            f"<div><p>last {i}</p><p>Write to us</p></div><div>All rights</div></body>")
+
+
+def test_unnamed_articles_are_what_varies():
+    page = "<h1>h</h1><div><p>A</p><p>B</p></div><div><p>C</p></div>"
+    assert W.main_text(page, "") == "h\nA\nB\nC"
+    found = host(*[unnamed(i, 2 + i % 3) for i in range(5)])
+    for i, text in enumerate(found):
+        own = [f"par {i}.{k}" for k in range(2 + i % 3)]
+        assert text.split("\n") == [f"title {i}", *own, "More", f"last {i}"]
+    # Equal pages, a single one, and texts of some pages only tell no template.
+    assert host(page, page) == ["h\nA\nB\nC"] * 2
+    assert host("<p>a1</p><div>x</div>", "<p>a2</p><div>x</div>", "<p>a3</p>")[0] == "a1\nx"
+
+
+def test_names_count_only_where_pages_differ():
+    pages = [f"<div class=content>Welcome</div><div class=story><p>text {i}</p></div>" for i in range(3)]
+    assert host(*pages) == [f"text {i}" for i in range(3)]
+    pages = [f"<div class=content>Welcome</div><div><p>text {i}</p></div>" for i in range(3)]
+    assert host(*pages) == [f"text {i}" for i in range(3)]
+    pages = [f"<div>menu</div><article><p>t{i}</p><p>same</p></article>" for i in range(3)]
+    assert host(*pages) == [f"t{i}\nsame" for i in range(3)]
+
+
+def test_literals_merge_alike_in_any_order():
+    pages = [layout(unnamed(i, 2 + i % 2)) for i in range(4)]
+    whole = W.merge(W.merge(pages[0], pages[1]), W.merge(pages[2], pages[3]))
+    assert whole == W.merge(pages[3], W.merge(pages[1], W.merge(pages[2], pages[0])))
+    assert W.merge(whole, whole) == whole
+
+
+def test_unnamed_host_by_the_operator(spark):
+    rows = [(i, f"http://h.example/{i}", unnamed(i, 2 + i % 3)) for i in range(40)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    expected = dict(enumerate(host(*[r[2] for r in rows])))
+    for parts in (1, 7):
+        found = W.extract(table.repartition(parts)).collect()
+        assert {r["page_id"]: r["text"] for r in found} == expected
