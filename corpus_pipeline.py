@@ -12,6 +12,8 @@ from tasador.plans.workspace import materialize
 
 #: A text is rejected if its language contains less than this share of its n-grams.
 LEAST_COVERED = 0.25
+#: Documents that share 80 % of their shingles of five words are near duplicates.
+NEAR = minhash.Settings(percent=80)
 
 
 def identify_language(spark, docs, sf_dir):
@@ -30,7 +32,7 @@ def identify_language(spark, docs, sf_dir):
 
 def remove_near_duplicates(spark, docs, sf_dir):
     """Keep the document with the smallest id of every group of near duplicates."""
-    return minhash.without_near_duplicates(docs)
+    return minhash.without_near_duplicates(docs, NEAR)
 
 
 def redact_personal_data(spark, docs, sf_dir):

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import corpus_pipeline as C
 from tasador.llm import queries
 
-from .conftest import lower_words
+from .conftest import DOC_SCHEMA, lower_words
 from .test_near_duplicates import brute
 from .test_pii import PLAIN
 
@@ -65,3 +65,14 @@ def test_run_equals_its_stages_and_all_are_registered(spark, sf_dir):
     assert set(queries.ORACLES) <= set(queries.QUERIES)
     packed = C.run(spark, sf_dir)
     assert {"doc_id", "sequence_id", "offset"} <= set(packed.columns) and packed.count() > 900
+
+
+def test_near_duplicates_from_four_fifths(spark):
+    """Pairs at 0.80, 0.82 and just below 0.80."""
+    rows = []
+    for i, (same, a, b) in enumerate([(40, 5, 5), (41, 4, 5), (39, 5, 5)]):
+        words = [f"w{i}x{k}" for k in range(same + 4)]
+        x, y = words + [f"a{i}x{k}" for k in range(a)], words + [f"b{i}x{k}" for k in range(b)]
+        rows += [(2 * i, " ".join(x), "en", "s", 1), (2 * i + 1, " ".join(y), "en", "s", 1)]
+    kept = C.remove_near_duplicates(spark, spark.createDataFrame(rows, DOC_SCHEMA), None)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 4, 5]
