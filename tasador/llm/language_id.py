@@ -77,8 +77,8 @@ def _letters() -> tuple[np.ndarray, np.ndarray]:
     return letter, lower
 
 
-def _grams(texts: list[str | None], orders: tuple[int, ...]):
-    """Yields (order, hashes, row of each) for words in lower case with single gaps."""
+def _signs(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Letters in lower case with single gaps around words, and the row of each; texts without a letter have none."""
     letter, lower = _letters()
     sizes = [len(t) if t else 0 for t in texts]
     joined = "".join(t for t in texts if t).encode("utf-32-le", "surrogatepass")
@@ -91,9 +91,16 @@ def _grams(texts: list[str | None], orders: tuple[int, ...]):
     keep[1:] |= real[:-1] & ~first[1:]  # the gap after a word
     signs = np.where(real, lower[points], 32)[keep].astype("u8")
     rows = rows[keep]
-    # A gap also stands before the first word of a text.
+    # A gap also stands before the first word of a text, and after a word at its end.
     starts = np.flatnonzero(np.diff(rows, prepend=-1))
-    signs, rows = np.insert(signs, starts, np.uint64(32)), np.insert(rows, starts, rows[starts])
+    last = np.flatnonzero(np.diff(rows, append=len(texts)))
+    last = last[signs[last] != 32]
+    at, of = np.concatenate([last + 1, starts]), rows[np.concatenate([last, starts])]
+    return np.insert(signs, at, np.uint64(32)), np.insert(rows, at, of)
+
+
+def _grams(signs: np.ndarray, rows: np.ndarray, orders: tuple[int, ...]):
+    """Yields (order, hashes, row of each)."""
     for order in orders:
         if len(signs) < order:
             continue
@@ -110,7 +117,7 @@ def _count(batches: Iterator[pa.RecordBatch], orders) -> Iterator[pa.RecordBatch
         langs = batch.column("lang").to_pylist()
         names = sorted(set(langs))
         code = np.asarray([names.index(x) for x in langs])
-        for order, h, rows in _grams(batch.column("text").to_pylist(), orders):
+        for order, h, rows in _grams(*_signs(batch.column("text").to_pylist()), orders):
             for k, name in enumerate(names):
                 found, n = np.unique(h[code[rows] == k], return_counts=True)
                 yield pa.RecordBatch.from_pydict({
@@ -173,11 +180,13 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> Model:
 
 
 def _scores(texts: list[str | None], model: Model, expected: np.ndarray):
-    """Of each text: index of the language or -1, and a score; (row, score) arrays."""
+    """Of each text: n-grams of every language, all n-grams, and whether it has a letter."""
     n, langs = len(texts), len(model.languages)
-    hits, total = np.zeros((n, langs)), np.zeros(n)
+    hits, total, lettered = np.zeros((n, langs)), np.zeros(n), np.zeros(n, bool)
+    signs, of = _signs(texts)
+    lettered[of] = True
     last = np.uint64(model.settings.cells - 1)
-    for _, h, rows in _grams(texts, model.settings.orders):
+    for _, h, rows in _grams(signs, of, model.settings.orders):
         if not len(rows):
             continue
         starts = np.flatnonzero(np.diff(rows, prepend=-1))
@@ -193,7 +202,7 @@ def _scores(texts: list[str | None], model: Model, expected: np.ndarray):
                 hits[here, i] += np.add.reduceat(has, starts)
     rest = np.maximum(1e-12, 1 - expected)
     true = np.clip((hits - total[:, None] * expected) / rest, 0, total[:, None])
-    return true, total
+    return true, total, lettered
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model, names) -> Iterator[pa.RecordBatch]:
@@ -203,12 +212,12 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model, names) -> Iterator
         pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
         covered = np.zeros(len(texts))
         if model.languages:
-            true, total = _scores(texts, model, expected)
+            true, total, lettered = _scores(texts, model, expected)
             best = true.argmax(axis=1)
             top = true[np.arange(len(texts)), best]
             score = np.where(total > 0, top / np.maximum(true.sum(axis=1), 1e-9), 0.0)
             covered = top / np.maximum(total, 1)
-            pred = [model.languages[b] if t else UNKNOWN for b, t in zip(best, total)]
+            pred = [model.languages[b] if has else UNKNOWN for b, has in zip(best, lettered)]
         yield pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(pred, pa.string()), pa.array(np.clip(score, 0.0, 1.0)),
              pa.array(np.clip(covered, 0.0, 1.0))], names=names,

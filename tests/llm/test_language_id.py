@@ -51,3 +51,19 @@ def test_prediction_ignores_language_and_id(docs):
     plain = {r["text"]: r["lang_pred"] for r in L.identify(docs, model).collect()}
     other = L.identify(docs.withColumns({"lang": F.lit("xx"), "doc_id": -F.col("doc_id")}), model)
     assert {r["text"]: r["lang_pred"] for r in other.collect()} == plain
+
+
+def test_one_letter_at_the_end_is_a_text(spark, docs):
+    texts = ["a", "7 b", "日", "x y", "no", "7", "", None]
+    rows = spark.createDataFrame([(i, t, None, "s", 1) for i, t in enumerate(texts)], DOC_SCHEMA)
+    for settings in (L.Settings(), L.Settings(orders=(5,))):
+        model = L.train(docs, settings)
+        found = {r["doc_id"]: r for r in L.identify(rows, model).collect()}
+        assert all((r["lang_pred"] in model.languages) == (i < 5) for i, r in found.items())
+    signs, of = L._signs(["", "a", None, "é 1", "b c"])
+    assert "".join(map(chr, signs)) == " a  é  b c " and of.tolist() == [1] * 3 + [3] * 3 + [4] * 5
+    # A word at the end of a text counts like any other.
+    train = [(1, "za be", "p", "s", 1), (2, "ze ba", "q", "s", 1)]
+    model = L.train(spark.createDataFrame(train * 2, DOC_SCHEMA))
+    ends = spark.createDataFrame([(1, "ba", None, "s", 1), (2, "be", None, "s", 1)], DOC_SCHEMA)
+    assert {r["doc_id"]: r["lang_pred"] for r in L.identify(ends, model).collect()} == {1: "q", 2: "p"}
