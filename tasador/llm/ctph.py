@@ -3,15 +3,18 @@
 A rolling hash over the last seven bytes ends a piece wherever it is ``b - 1``
 modulo the block size ``b``, so pieces follow the content and an insertion
 changes only the pieces around it. The signature is one sign for each piece.
-The block size is the least of 3, 6, 12, ... with at most ``64 b`` bytes, and
-a fingerprint holds the signatures for ``b`` and ``2 b``, so that texts whose
-sizes differ by up to twice can be compared at a common block size. Likeness is one less the edit distance of two
+The block size starts as the least of 3, 6, 12, ... with at most ``64 b``
+bytes. It is doubled while a signature has more than ``most`` pieces, and else
+halved while it has fewer than ``few`` and half as large blocks don't give more
+than ``most``. A fingerprint holds the signatures for ``b`` and ``2 b``, so that texts whose
+block sizes differ by up to twice can be compared at a common one. Likeness is one less the edit distance of two
 signatures (insertions and deletions) as a share of their signs; 0 without a
 common block size.
 
-Every sign stands for a piece's bytes to its end; the last sign of a signature
-with more than ``most`` pieces stands for all the rest, so every byte counts
-and a comparison is bounded. Equal texts have equal fingerprints.
+Every sign stands for a piece's bytes to its end. A text that repeats one short
+passage may have too many pieces with any block size up to its length; then the
+last of ``most`` signs stands for all the rest. So every byte counts and a
+comparison is bounded. Equal texts have equal fingerprints.
 
 Defined results: null text is empty, and an empty text has one empty
 signature, like that of other empty texts (likeness 1). ``edited_pairs`` takes
@@ -39,9 +42,11 @@ _SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 
 @dataclass(frozen=True)
 class Settings:
-    """``pieces``: pieces aimed at, at most. ``most``: signs of a signature, at most."""
+    """``pieces``: pieces aimed at, at most. ``few``: pieces below which blocks become
+    smaller. ``most``: signs of a signature, at most."""
 
     pieces: int = 64
+    few: int = 16
     most: int = 160
 
 
@@ -84,7 +89,26 @@ def fingerprint(text: bytes, s: Settings = Settings()) -> Print:
     if not text:
         return size, (), ()
     hashes = rolling(np.frombuffer(text, "u1"))
-    ends = np.flatnonzero(hashes % np.uint32(size) == size - 1) + 1
+
+    def cuts(b: int) -> np.ndarray:
+        return np.flatnonzero(hashes % np.uint32(b) == b - 1) + 1
+
+    def pieces(ends: np.ndarray) -> int:
+        return len(ends) + (not len(ends) or ends[-1] < len(text))
+
+    ends = cuts(size)
+    if pieces(ends) > s.most:
+        larger = size
+        while pieces(ends) > s.most and larger < len(text):
+            larger *= 2
+            ends = cuts(larger)
+        if pieces(ends) <= s.most:
+            size = larger
+        else:
+            ends = cuts(size)  # no block size avoids it
+    else:
+        while size > _LEAST and pieces(ends) < s.few and pieces(more := cuts(size // 2)) <= s.most:
+            size, ends = size // 2, more
     # What ends a piece of the double size ends one of the single size, too.
     twice = ends[hashes[ends - 1] % np.uint32(2 * size) == 2 * size - 1]
     raw = memoryview(text)

@@ -67,3 +67,26 @@ def test_whole_tables(spark, docs, no_docs, odd_columns, corpus):
     assert C.edited_pairs(odd_columns).count() == len(corpus)
     one = spark.createDataFrame([(None, "abcd", "", "", 1)], DOC_SCHEMA)
     assert C.edited_pairs(one).first()["edited_sha256"] == hashlib.sha256(b"abab").hexdigest()
+
+
+def test_block_size_follows_the_pieces():
+    s = C.Settings()
+    rng = np.random.default_rng(5)
+    # The cuts of a repeated line are as dense as those of the line.
+    many = few = 0
+    for _ in range(300):
+        line = prose("en", 6, rng).encode() + b" "
+        text = line * (6_000 // len(line))
+        first = C.block_size(len(text), s.pieces)
+        hashes = C.rolling(np.frombuffer(text, "u1"))
+        counts = {b: int((hashes % b == b - 1).sum()) + 1 for b in (first // 2, first, *(first << i for i in range(1, 8)))}
+        found = C.fingerprint(text)
+        if counts[first] > s.most + 1 and min(counts.values()) < s.most:
+            many += 1
+            assert found[0] > first and len(found[1]) <= s.most
+            changed = text[: len(text) // 2] + prose("de", 900, rng).encode()[: len(text) // 2]
+            assert C.likeness(found, C.fingerprint(changed)) < 0.9
+        elif counts[first] < s.few and counts[first // 2] < s.most:
+            few += 1
+            assert found[0] < first
+    assert many > 3 and few > 3
