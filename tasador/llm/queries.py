@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tasador.llm import (
-    chat, codes, ctph, language_id, minhash, mixing, ngram_lm, packing, pii, projections, suffix_dedup, wrappers,
+    chat, codes, ctph, language_id, lexical, minhash, mixing, ngram_lm, packing, pii, projections, suffix_dedup, wrappers,
 )
 
 
@@ -125,12 +125,19 @@ def op12_chat_formatting(spark, sf_dir):
     )
 
 
+def op13_lexical_search(spark, sf_dir):
+    """The ten best documents of every benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical.rank(_documents(spark, sf_dir), items)
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_projected_neighbours, op2_pii, op3_ctph, op4_temperature_mixing, op5_packing,
         op6_wrappers, op7_ngram_lm, op8_minhash_near_dedup, op9_suffix_array_dedup,
         op10_language_id, op11_vector_codes, op12_chat_formatting,
+        op13_lexical_search,
     )
 }
 ORACLES: dict[str, str] = {
@@ -138,4 +145,5 @@ ORACLES: dict[str, str] = {
     "op8_minhash_near_dedup": minhash.ORACLE,
     "op11_vector_codes": codes.oracle(),
     "op12_chat_formatting": chat.ORACLE,
+    "op13_lexical_search": lexical.ORACLE,
 }
