@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import oracles
 from tasador.functions import geo, markup, parsing, scoring
 from tasador.functions.markup import Element
-from tasador.layers import bronze_layer, gold_layer, pages_layer, silver_layer
+from tasador.layers import bronze_layer, gold_layer, silver_layer
 from tasador.operators import (
     cleaning, extraction, indexes, lookups, radius, sampling, serving, validation,
 )
@@ -628,11 +628,45 @@ WEB = extraction.Portal(
 )
 
 
+#: A source with one card for each menu; its values are the places of the menu's entries.
+MENU = extraction.Portal(
+    source="menu",
+    host="https://menus.example",
+    cards=(Element("ul", "results"), Element("ul")),
+    link=(Element("a", "first"), Element("a")),
+    title=(Element("li", child=1),),
+    price=(Element("li", child=2),),
+    area=(Element("span", child=1), Element("a", child=1)),
+    rooms=(Element("p"),),
+    location=(Element("nav"), Element("a")),
+    next_page=(Element("a", "next"), Element("a")),
+)
+#: A source whose one card is the page.
+BODY = extraction.Portal(
+    source="body",
+    host="https://articles.example",
+    cards=(Element("section"), Element("body")),
+    link=(Element("a"),),
+    title=(Element("h3"), Element("h1")),
+    price=(Element("li", child=2),),
+    next_page=(Element("a", "/the", "href"),),
+)
+SITES = [WEB, MENU, BODY]
+
+
 def _site_pages(spark, sf_dir) -> DataFrame:
     """The stored web pages, as pages of the source ``web``."""
     return listings.table(spark, sf_dir, "pages").withColumn("source", F.lit("Web "))
 
 
+def _pages_by_host(spark, sf_dir) -> DataFrame:
+    """The stored web pages, each of the source that its host's domain stands for."""
+    domain = F.regexp_extract("url", r"^https?://[^/]*\.([a-z]+)(?:[/:]|$)", 1)
+    return listings.table(spark, sf_dir, "pages").withColumn(
+        "source", F.when(domain == "com", "Web ").when(domain == "net", " MENU").otherwise("Body")
+    )
+
+
 @_register
 def q_extract_cards(spark, sf_dir):
     """E1, F8 on the stored web pages."""
@@ -644,8 +678,8 @@ def q_extract_cards(spark, sf_dir):
 
 @_register
 def q_extract_listings(spark, sf_dir):
-    """E1, E2, F8 on result pages rendered from all listings."""
-    return extraction.extract_cards(pages_layer(spark, sf_dir)).select(
+    """E1, E2, F8 on the stored pages of three sources with their own markup."""
+    return extraction.extract_cards(_pages_by_host(spark, sf_dir), SITES).select(
         "page_id", "position", "source", "url", "title", "raw_price", "raw_area", "raw_rooms",
         "neighborhood", "district",
     )
@@ -671,8 +705,10 @@ def q_next_page(spark, sf_dir):
 
 @_register
 def q_next_listing_page(spark, sf_dir):
-    """E3 on rendered result pages, in both portals' markup."""
-    return extraction.next_page(pages_layer(spark, sf_dir)).select("page_id", "source", "next_url")
+    """E3 on the stored pages of three sources."""
+    return extraction.next_page(_pages_by_host(spark, sf_dir), SITES).select(
+        "page_id", "source", "next_url"
+    )
 
 
 @_register
@@ -697,12 +733,12 @@ def q_blocked_defaults(spark, sf_dir):
 
 @_register
 def q_source_dispatch(spark, sf_dir):
-    """Records per source over a mixed set of pages."""
+    """Records per source, of pages that come in two batches."""
+    pages = _pages_by_host(spark, sf_dir)
     mixed = extraction.union_records(
-        pages_layer(spark, sf_dir),
-        _site_pages(spark, sf_dir).withColumn("page_id", F.col("page_id").cast("string")),
+        pages.filter("page_id % 2 = 0").drop("url"), pages.filter("page_id % 2 = 1")
     )
-    records = extraction.extract_cards(mixed, ["idealista", "fotocasa", WEB])
+    records = extraction.extract_cards(mixed, SITES)
     return records.groupBy("source").agg(
         F.count(F.lit(1)).alias("records"), F.count("raw_rooms").alias("with_rooms")
     )
@@ -711,12 +747,7 @@ def q_source_dispatch(spark, sf_dir):
 @_register
 def q_unknown_sources(spark, sf_dir):
     """E5: pages of a source without a portal are reported, with the known names."""
-    pages = pages_layer(spark, sf_dir)
-    strange = bronze_layer(spark, sf_dir).filter("raw_rooms = '3 hab.'").select(
-        F.concat_ws("#", "url", "scrape_date").alias("page_id"), F.lit(" Habitaclia").alias("source"),
-        F.lit("").alias("html"),
-    )
-    unknown = extraction.unknown_sources(pages.unionByName(strange), ["idealista", "fotocasa"])
+    unknown = extraction.unknown_sources(_pages_by_host(spark, sf_dir), [WEB, MENU])
     return unknown.groupBy("source", "available").agg(F.count("*").alias("pages"))
 
 

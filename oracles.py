@@ -187,16 +187,38 @@ def _deal_query(condition: str, n: int) -> str:
       WHERE opportunity_index > 0 AND {condition} {BEST} LIMIT {n}""")
 
 
-def _listing_fields() -> str:
-    """Records that the rendered result pages must give back."""
-    return """
-  SELECT url || '#' || scrape_date AS page_id, 0 AS position,
-    CASE WHEN source = 'portal_a' THEN 'idealista' ELSE 'fotocasa' END AS source,
-    CASE WHEN source = 'portal_a' THEN 'https://www.idealista.com'
-         ELSE 'https://www.fotocasa.es' END
-      || replace(url, 'https://listings.example', '') AS url,
-    title || ' & más' AS title, raw_price, raw_area, raw_rooms, neighborhood, district
-  FROM raw"""
+#: Pages with the source that their host's domain stands for, and their menu entries.
+SITES = r"""
+sites AS (
+  SELECT page_id, html, CASE regexp_extract(url, '^https?://[^/]*\.([a-z]+)(?:[/:]|$)', 1)
+      WHEN 'com' THEN 'web' WHEN 'net' THEN 'menu' ELSE 'body' END AS source,
+    regexp_extract_all(html, '<li><a href="([^"]*)">[^<]*</a></li>', 1) AS links,
+    regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1) AS texts,
+    replace(replace(replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1),
+      '&quot;', '"'), '&copy;', '©'), '&amp;', '&') AS head
+  FROM pages)"""
+
+
+def _place(text: str, part: int) -> str:
+    return f"coalesce(nullif(trim(split_part({text}, ',', {part})), ''), 'Desconocido')"
+
+
+def _site_records() -> str:
+    """Cards of the three sources: every entry, the whole menu, the whole page."""
+    menu_place = "texts[1]"
+    return f"""
+  SELECT page_id, unnest(range(len(links))) AS position, source,
+    'https://listings.example' || unnest(links) AS url, unnest(texts) AS title, '' AS raw_price,
+    '' AS raw_area, NULL::VARCHAR AS raw_rooms, 'Desconocido' AS neighborhood, 'Desconocido' AS district
+  FROM sites WHERE source = 'web'
+  UNION ALL
+  SELECT page_id, 0, source, 'https://menus.example' || links[1], texts[1], texts[2], texts[1], NULL,
+    {_place(menu_place, 1)}, {_place(menu_place, 2)}
+  FROM sites WHERE source = 'menu' AND len(links) > 0
+  UNION ALL
+  SELECT page_id, 0, source, 'https://articles.example' || links[1], trim(head), texts[2], '', NULL,
+    'Desconocido', 'Desconocido'
+  FROM sites WHERE source = 'body' AND len(links) > 0"""
 
 
 def _uniform(key: str, salt: str) -> str:
@@ -473,7 +495,7 @@ def statements() -> dict[str, str]:
               text AS title, '' AS raw_price, CAST(NULL AS VARCHAR) AS raw_rooms,
               'Desconocido' AS neighborhood, 'Desconocido' AS district
             FROM items""",
-        "q_extract_listings": _with(RAW, _listing_fields()),
+        "q_extract_listings": _with(SITES, _site_records()),
         "q_extract_fallback": """
             WITH found AS (
               SELECT page_id, regexp_extract_all(html, '<a href="/and">(.*?)</a>', 1) AS links,
@@ -488,14 +510,12 @@ def statements() -> dict[str, str]:
             SELECT page_id, 'https://listings.example' || CASE WHEN {the_link} <> ''
               THEN {the_link} ELSE {first_link} END AS next_url
             FROM pages""",
-        "q_next_listing_page": _with(RAW, """
-            SELECT url || '#' || scrape_date AS page_id,
-              CASE WHEN source = 'portal_a' THEN 'idealista' ELSE 'fotocasa' END AS source,
-              CASE WHEN source = 'portal_a'
-                THEN 'https://www.idealista.com' ELSE 'https://www.fotocasa.es' END
-                || replace(url, 'https://listings.example', '')
-                || CASE WHEN source = 'portal_a' THEN '/pagina-2.htm' ELSE '/l/2' END AS next_url
-            FROM raw"""),
+        "q_next_listing_page": _with(SITES, f"""
+            SELECT page_id, source, CASE source
+              WHEN 'web' THEN 'https://listings.example' || CASE WHEN {the_link} <> '' THEN {the_link} ELSE links[1] END
+              WHEN 'menu' THEN 'https://menus.example' || links[1]
+              ELSE 'https://articles.example' || nullif({the_link}, '') END AS next_url
+            FROM sites"""),
         "q_blocked_pages": f"""
             WITH reasons AS (SELECT page_id, CASE
               WHEN html LIKE '%<html lang="de"%' THEN 'CAPTCHA detected: html[lang=''de'']'
@@ -515,18 +535,17 @@ def statements() -> dict[str, str]:
               WHEN regexp_matches({title}, '403|429|Access Denied|Blocked') THEN 'title'
               ELSE '' END AS reason FROM pages)
             SELECT reason <> '' AS blocked, reason, count(*) AS n FROM reasons GROUP BY ALL""",
-        "q_source_dispatch": _with(RAW + ", records AS (" + _listing_fields() + ")", f"""
+        "q_source_dispatch": _with(SITES + ", records AS (" + _site_records() + ")", """
             SELECT source, count(*) AS records, count(raw_rooms) AS with_rooms
-            FROM records GROUP BY source
-            UNION ALL SELECT 'web', sum(len({menu})), 0 FROM pages"""),
+            FROM records GROUP BY source"""),
         "q_union_sources": _with(RAW, """
             SELECT source, url, scrape_date, raw_price, scraped_at,
               CASE WHEN source = 'portal_b' THEN latitude END AS latitude,
               CASE WHEN source = 'portal_b' THEN longitude END AS longitude
             FROM raw"""),
-        "q_unknown_sources": _with(RAW, """
-            SELECT 'habitaclia' AS source, count(*) AS pages, 'fotocasa, idealista' AS available
-            FROM raw WHERE raw_rooms = '3 hab.'"""),
+        "q_unknown_sources": _with(SITES, """
+            SELECT source, count(*) AS pages, 'menu, web' AS available
+            FROM sites WHERE source = 'body' GROUP BY source"""),
         "q_readable_pages": f"""
             SELECT page_id FROM pages WHERE NOT (contains({title}, '403') OR contains({title}, 'The'))""",
         # Sampling

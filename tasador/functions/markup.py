@@ -3,9 +3,12 @@
 ``Element`` names an element by tag and attribute. Attributes follow HTML's
 grammar: white space, a name, and optionally a value in double quotes, in
 single quotes or bare, so a ``>`` inside quotes ends no tag. An element's end
-is found by counting the tags of its kind, to any depth; where none of its own
-kind is inside, a plain pattern finds it. Repetitions are possessive or run
-over attributes, and neither backtrack nor recurse on long pages.
+is found by counting the tags of its kind, to any depth: running sums give the
+level of every tag, and the next tag of the same level is found by sorting. A
+list item without an end tag ends with the next item or its list. Where none of
+its own kind is inside, a plain pattern finds an element's end. Repetitions are
+possessive or run over attributes, and neither backtrack nor recurse on long
+pages. No array grows tag by tag.
 """
 
 import json
@@ -90,73 +93,128 @@ def without_code(html: Column) -> Column:
     )
 
 
-def _join(tags: Column, texts: Column, first: Column, last: Column) -> Column:
-    """Markup from after the tag number ``first`` (from 0) up to the tag ``last``."""
-    inner = F.transform(F.sequence(first + 1, last), lambda i: F.concat(
-        F.get(texts, i), F.when(i < last, F.get(tags, i)).otherwise(F.lit(""))
-    ))
-    return F.array_join(inner, "")
+#: Elements that end where the next one of their container begins, or the container ends.
+_CONTAINERS = {
+    "li": "ul|ol|menu", "dt": "dl", "dd": "dl", "option": "select", "tr": "table",
+}
+
+
+def _places(items: Column, test: Callable[[Column], Column]) -> Column:
+    """Numbers (from 0) of the items that pass a test."""
+    numbered = F.transform(items, lambda item, i: F.when(test(item), i))
+    return F.filter(numbered, lambda i: i.isNotNull())
 
 
-_OPEN = "struct<at:int,wanted:boolean>"
-_FOUND = "struct<at:int,last:int>"
+def _closes(tag: Column) -> Column:
+    return tag.startswith("</")
 
 
-def _spans(tags: Column, opening: str) -> Column:
-    """First and last tag of every wanted element, by their start.
+def _opens(tag: Column) -> Column:
+    return ~tag.startswith("</")
 
-    An element without an end tag reaches to the end.
+
+def _depths(tags: Column, places: Column) -> Column:
+    """``m, depth, at, closes`` of the tags at some places: how many are open after the m-th.
+
+    The k-th opening tag among them has k opening ones before it, so its number
+    tells how many closing ones there are, and no sum has to be carried along.
     """
-    def step(state, tag):
-        at, open_ = state["at"], state["open"]
-        depth = F.size(open_)
-        top = F.get(open_, depth - 1)
-        started = F.concat(open_, F.array(F.struct(
-            at.alias("at"), tag.rlike(f"(?s)^{opening}").alias("wanted")
-        ).cast(_OPEN)))
-        ended = F.when(depth > 0, F.slice(open_, 1, depth - 1)).otherwise(open_)
-        hit = F.array(F.struct(top["at"].alias("at"), at.alias("last")).cast(_FOUND))
-        closes = tag.startswith("</")
-        return F.struct(
-            (at + 1).alias("at"),
-            F.when(closes, ended).otherwise(started).alias("open"),
-            F.when(closes & (depth > 0) & top["wanted"], F.concat(state["found"], hit))
-            .otherwise(state["found"]).alias("found"),
-        )
+    def tag_at(i):
+        return F.get(tags, F.get(places, i))
 
-    start = F.struct(
-        F.lit(0).alias("at"), F.array().cast(f"array<{_OPEN}>").alias("open"),
-        F.array().cast(f"array<{_FOUND}>").alias("found"),
-    )
+    def node(m, depth, closes):
+        return F.struct(m.alias("m"), depth.alias("depth"), F.get(places, m).alias("at"),
+                        F.lit(closes).alias("closes"))
+
+    numbers = F.transform(places, lambda _, m: m)
+    opening = F.transform(_places(numbers, lambda m: _opens(tag_at(m))),
+                          lambda m, k: node(m, (k + 1) * 2 - (m + 1), False))
+    closing = F.transform(_places(numbers, lambda m: _closes(tag_at(m))),
+                          lambda m, k: node(m, (m + 1) - (k + 1) * 2, True))
+    return F.sort_array(F.concat(opening, closing))
+
+
+def _event(level: Column, at: Column, wanted: Column) -> Column:
+    return F.struct(level.alias("level"), at.alias("at"), wanted.alias("wanted"))
+
+
+def _spans(tags: Column, element: Element) -> Column:
+    """First and last tag of every wanted element, in the order of the page.
+
+    An element ends with the next event of its level: its end tag, as often as
+    elements of its kind are open; for list items and the like, also the next
+    one's tag and the end of the list. Without one it reaches to the end.
+    """
+    def wanted(place):
+        tag = F.get(tags, place)
+        return _opens(tag) & tag.rlike(f"(?s)^{element.opening}")
+
+    def events(depths, own):
+        """Ends of containers, and the element's tags by how many containers are open."""
+        ends = F.transform(F.filter(depths, lambda d: d["closes"]),
+                           lambda d: _event(d["depth"] + 1, d["at"], F.lit(False)))
+        if own is None:
+            starts = F.transform(F.filter(depths, lambda d: ~d["closes"]),
+                                 lambda d: _event(d["depth"], d["at"], wanted(d["at"])))
+            return F.concat(starts, ends)
+        items = F.transform(own, lambda at, i: _event(
+            F.coalesce(F.get(depths, at - i - 1)["depth"], F.lit(0)), at, wanted(at)
+        ))
+        return F.concat(items, ends)
+
+    def paired(found):
+        def span(e, i):
+            after = F.get(found, i + 1)
+            return F.when(e["wanted"], F.struct(e["at"].alias("at"), F.coalesce(
+                F.when(after["level"] == e["level"], after["at"]), F.size(tags)
+            ).alias("last")))
 
-    def finish(state):
-        unended = F.transform(F.filter(state["open"], lambda o: o["wanted"]), lambda o: F.struct(
-            o["at"].alias("at"), state["at"].alias("last")
-        ).cast(_FOUND))
-        return F.array_sort(F.concat(state["found"], unended))
+        return F.sort_array(F.filter(F.transform(found, span), lambda s: s.isNotNull()))
 
-    return F.aggregate(tags, start, step, finish)
+    if element.tag.lower() in _CONTAINERS:
+        kind = f"^</?(?i:{element.tag})(?=[\\s/>])"
+        own = _places(tags, lambda tag: tag.rlike(kind))
+        others = _places(tags, lambda tag: ~tag.rlike(kind))
+        depths = let(others, lambda places: _depths(tags, places))
+    else:
+        own, depths = None, let(F.transform(tags, lambda _, i: i), lambda places: _depths(tags, places))
+    return let(let(depths, lambda d: F.sort_array(events(d, own))), paired)
 
 
-def _pieces(html: Column, pattern: str, use: Callable[[Column, Column], Column]) -> Column:
-    """``use`` of the matches of a pattern and of the texts around them."""
+def _cut(pieces: Column, first: Column, last: Column) -> Column:
+    """Texts and tags after the tag number ``first`` (from 0) up to the tag ``last``.
+
+    They are taken one by one: a slice would copy the whole array first.
+    """
+    places = F.sequence(first * 2 + 2, last * 2)
+    return F.array_join(F.transform(places, lambda i: F.get(pieces, i)), "")
+
+
+def _tokens(html: Column, pattern: str, use: Callable[[Column, Column], Column]) -> Column:
+    """``use`` of the matches of a pattern, and of texts and matches in turn."""
     parts = F.struct(
         F.regexp_extract_all(html, F.lit(pattern), F.lit(0)).alias("tags"),
         F.split(html, pattern, -1).alias("texts"),
     )
-    return let(parts, lambda p: use(p["tags"], p["texts"]))
+
+    def joined(p):
+        pieces = F.flatten(F.zip_with(p["texts"], p["tags"], lambda text, tag: F.array(text, tag)))
+        return let(pieces, lambda whole: use(p["tags"], whole))
+
+    return let(parts, joined)
 
 
 def elements(html: Column, element: Element) -> Column:
-    """Contents and opening tags of all such elements, as an array of their markup."""
-    def cut(tags, texts):
-        return F.transform(_spans(tags, element.opening), lambda span: F.concat(
-            F.get(tags, span["at"]), _join(tags, texts, span["at"], span["last"]),
-            F.coalesce(F.get(tags, span["last"]), F.lit("")),
+    """Opening tags and contents of all such elements, as an array of their markup."""
+    def cut(tags, pieces):
+        return F.transform(_spans(tags, element), lambda s: F.concat(
+            F.get(tags, s["at"]), _cut(pieces, s["at"], s["last"])
         ))
 
+    container = _CONTAINERS.get(element.tag.lower())
+    kinds = f"{element.tag}|{container}" if container else element.tag
     present = html.rlike(f"(?s){element.opening}")
-    return F.when(present, _pieces(html, element.own_tags, cut)).otherwise(
+    return F.when(present, _tokens(html, f"(?s)</?(?i:{kinds})(?=[\\s/>]){_REST}", cut)).otherwise(
         F.array().cast("array<string>")
     )
 
@@ -165,81 +223,95 @@ def _first_content(html: Column, element: Element) -> Column:
     """What the first such element holds, read on from its opening tag."""
     kind = f"(?i:{element.tag})"
     flat = f"(?:[^<]++|<(?!/?{kind}[\\s/>]))*+"
-    rest = F.regexp_extract(html, f"(?s){element.opening}(.*)$", 1)
-
-    def after(text):
-        plain = F.regexp_extract(text, f"(?s)^({flat})</{kind}", 1)
-        return F.when(text.rlike(f"(?s)^{flat}</{kind}"), plain).otherwise(nested(text))
+    # One of both groups: without an element of its kind inside, or all that follows.
+    either = f"(?s){element.opening}(?:({flat})</{kind}(?=[\\s/>])|(.*)$)"
 
     def nested(text):
-        def cut(tags, texts):
-            # The whole rest is inside the element, whose own tag is put before it.
-            whole = F.concat(F.array(F.lit("<>")), tags)
-            parts = F.concat(F.array(F.lit("")), texts)
-            depth = F.aggregate(whole, F.struct(
-                F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(-1).alias("last")
-            ), lambda state, tag: F.struct(
-                (state["at"] + 1).alias("at"),
-                (state["depth"] + F.when(tag.startswith("</"), -1).otherwise(1)).alias("depth"),
-                F.when(
-                    (state["last"] < 0) & tag.startswith("</") & (state["depth"] == 1), state["at"]
-                ).otherwise(state["last"]).alias("last"),
-            ))
-            return let(depth, lambda d: _join(
-                whole, parts, F.lit(0), F.when(d["last"] < 0, d["at"]).otherwise(d["last"])
-            ))
-
-        return _pieces(text, element.own_tags, cut)
-
-    return let(rest, lambda text: F.when(text != "", after(text)).otherwise(F.lit("")))
-
-
-_NODE = "struct<at:int,tag:string,place:int,children:int>"
-_CHILD = "struct<at:int,last:int>"
+        def cut(tags, pieces):
+            # The first end tag with as many end tags as opening ones before it.
+            ends = F.transform(_places(tags, _closes), lambda at, i: F.when(at == i * 2, at))
+            end = F.array_min(ends)
+            return let(F.coalesce(end, F.size(tags)), lambda last: _cut(pieces, F.lit(-1), last))
+
+        return _tokens(text, element.own_tags, cut)
+
+    def content(plain):
+        rest = F.regexp_extract(html, either, 2)
+        return F.when(plain != "", plain).otherwise(
+            let(rest, lambda text: F.when(text != "", nested(text)).otherwise(F.lit("")))
+        )
+
+    return let(F.regexp_extract(html, either, 1), content)
+
+
+_NODE = "struct<tag:string,children:int>"
+_FOUND = "struct<at:int,depth:int,last:int>"
 _ANY_TAG = f"(?s)</?[a-zA-Z][^\\s/>]*+{_REST}|<!--.*?-->"
 
 
-def _children(tags: Column, opening: str, place: int) -> Column:
-    """First and last tag of the wanted elements that are so many-th children."""
+def child_contents(html: Column, wanted: list[Element]) -> Column:
+    """Contents of the first element of each kind that is such a child, as an array of the
+    kinds; empty texts where there is none. The markup is read once for all of them.
+
+    An end tag closes the innermost open element of its name and all inside that.
+    The pass keeps the open elements alone, so it costs the number of tags times
+    the depth.
+    """
     def step(state, tag):
         at, open_ = state["at"], state["open"]
         depth = F.size(open_)
         name = F.lower(F.regexp_extract(tag, "^</?([a-zA-Z][^\\s/>]*)", 1))
-        top = F.get(open_, depth - 1)
-        number = F.coalesce(top["children"], F.lit(0)) + 1
-        counted = F.when(depth > 0, F.concat(F.slice(open_, 1, depth - 1), F.array(F.struct(
-            top["at"].alias("at"), top["tag"].alias("tag"), top["place"].alias("place"),
-            number.alias("children"),
-        ).cast(_NODE)))).otherwise(open_)
-        wanted = (number == place) & (depth > 0) & tag.rlike(f"(?s)^{opening}")
-        node = F.array(F.struct(
-            at.alias("at"), name.alias("tag"), F.when(wanted, place).otherwise(0).alias("place"),
-            F.lit(0).alias("children"),
-        ).cast(_NODE))
-        # An end tag closes the innermost element of its name and all inside that.
-        back = F.array_position(F.reverse(F.transform(open_, lambda o: o["tag"])), name).cast("int")
-        closed = F.slice(open_, depth - back + 1, back)
-        hits = F.transform(F.filter(closed, lambda o: o["place"] > 0), lambda o: F.struct(
-            o["at"].alias("at"), at.alias("last")
-        ).cast(_CHILD))
-        ends = tag.startswith("</")
-        comment = tag.startswith("<!")
-        found = state["found"]
+        ends, comment = tag.startswith("</"), tag.startswith("<!")
+        parent = F.element_at(open_, -1)
+        number = parent["children"] + 1
+        counted = F.concat(F.slice(open_, 1, depth - 1), F.array(
+            F.struct(parent["tag"], number).cast(_NODE)
+        ))
+        back = F.array_position(F.reverse(open_["tag"]), name).cast("int")
+        starts = ~ends & ~comment
+        found = [
+            F.when(
+                state["found"][k].isNull() & starts & (number == e.child)
+                & tag.rlike(f"(?s)^{e.opening}"),
+                F.struct(at, depth, F.lit(None)).cast(_FOUND),
+            ).when(
+                ends & (back > 0) & state["found"][k]["last"].isNull()
+                & (depth - back <= state["found"][k]["depth"]),
+                F.struct(state["found"][k]["at"], state["found"][k]["depth"], at).cast(_FOUND),
+            ).otherwise(state["found"][k])
+            for k, e in enumerate(wanted)
+        ]
         return F.struct(
             (at + 1).alias("at"),
             F.when(comment, open_)
             .when(ends & (back > 0), F.slice(open_, 1, depth - back))
             .when(ends, open_)
             .when(tag.rlike(f"^<{_VOID}(?=[\\s/>])"), counted)
-            .otherwise(F.concat(counted, node)).alias("open"),
-            F.when(ends & (back > 0), F.concat(found, hits)).otherwise(found).alias("found"),
+            .otherwise(F.concat(counted, F.array(F.struct(name, F.lit(0)).cast(_NODE))))
+            .alias("open"),
+            F.array(*found).alias("found"),
         )
 
+    # The markup is the content of one more element, which is no child itself.
     start = F.struct(
-        F.lit(0).alias("at"), F.array().cast(f"array<{_NODE}>").alias("open"),
-        F.array().cast(f"array<{_CHILD}>").alias("found"),
+        F.lit(0).alias("at"), F.array(F.struct(F.lit(""), F.lit(0)).cast(_NODE)).alias("open"),
+        F.array(*[F.lit(None).cast(_FOUND) for _ in wanted]).alias("found"),
+    )
+
+    def cut(tags, pieces):
+        return F.transform(
+            F.aggregate(tags, start, step, lambda state: state["found"]),
+            lambda s: F.coalesce(
+                _cut(pieces, s["at"], F.coalesce(s["last"], F.size(tags))), F.lit("")
+            ),
+        )
+
+    present = F.lit(False)
+    for e in wanted:
+        present = present | html.rlike(f"(?s){e.opening}")
+    return F.when(present, _tokens(html, _ANY_TAG, cut)).otherwise(
+        F.array(*[F.lit("") for _ in wanted])
     )
-    return F.aggregate(tags, start, step, lambda state: F.array_sort(state["found"]))
 
 
 def opening_tag(html: Column, element: Element) -> Column:
@@ -273,17 +345,7 @@ def element_markup(html: Column, element: Element) -> Column:
     """What the first such element holds; empty when there is none."""
     if element.child is None:
         return _first_content(html, element)
-
-    def cut(tags, texts):
-        first = F.get(_children(tags, element.opening, element.child), F.lit(0))
-        return let(first, lambda span: F.when(
-            span.isNotNull(), _join(tags, texts, span["at"], span["last"])
-        ).otherwise(F.lit("")))
-
-    present = html.rlike(f"(?s){element.opening}")
-    # The piece of markup is the content of one more element, which is no child itself.
-    whole = F.concat(F.lit("<html>"), html)
-    return F.when(present, _pieces(whole, _ANY_TAG, cut)).otherwise(F.lit(""))
+    return F.get(child_contents(html, [element]), F.lit(0))
 
 
 def clean_text(markup: Column) -> Column:

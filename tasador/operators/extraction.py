@@ -30,6 +30,12 @@ class Portal:
     location: tuple[Element, ...] = ()
     next_page: tuple[Element, ...] = ()
 
+    @property
+    def children(self) -> list[Element]:
+        """Elements of a card that count by their place among their parent's children."""
+        fields = (*self.title, *self.price, *self.area, *self.rooms, *self.location)
+        return [e for e in fields if e.child is not None]
+
 
 # The markup of the two portals.
 IDEALISTA = Portal(
@@ -161,10 +167,20 @@ def extract_cards(
         ))
         return F.filter(found, lambda entry: entry["link"].isNotNull())
 
+    def markup(p, e):
+        if e.child is not None:
+            return F.get(F.col("_children"), F.lit(p.children.index(e)))
+        return M.element_markup(F.col("_card"), e)
+
     def text(kind):
-        return _per_source(portals, lambda p: first_found(getattr(p, kind), lambda e: M.clean_text(
-            M.element_markup(F.col("_card"), e)
-        )))
+        return _per_source(portals, lambda p: first_found(
+            getattr(p, kind), lambda e: M.clean_text(markup(p, e))
+        ))
+
+    def children(p):
+        if not p.children:
+            return F.lit(None).cast("array<string>")
+        return M.child_contents(F.col("_card"), p.children)
 
     named = _by_known_source(pages)
     linked = (_refuse_unknown(named, portals) if sources is None else named).select(
@@ -174,7 +190,9 @@ def extract_cards(
             lambda html: _per_source(portals, lambda p: entries(html, p)),
         )).alias("position", "_card", "_link"),
     )
-    read = linked.withColumn("_location", F.coalesce(text("location"), F.lit("")))
+    read = linked.withColumn("_children", _per_source(portals, children)).withColumn(
+        "_location", F.coalesce(text("location"), F.lit(""))
+    )
     neighborhood, district = split_location(F.col("_location"))
     no_place = F.lit(None).cast("double")
     return read.select(

@@ -68,63 +68,3 @@ def gazetteer_barrios(spark: SparkSession, sf_dir: str) -> DataFrame:
         (key * 30 + 800).cast("int").alias("price_min"),
         (key * 50 + F.length("p_type") * 100 + 1800).cast("int").alias("price_max"),
     )
-
-
-def portal_pages(raw: DataFrame) -> DataFrame:
-    """Stored result pages: each raw listing rendered in a portal's markup.
-
-    A page has the listing's card, a card without a link and a link to the next
-    page. Listings of ``portal_a`` use the first portal's markup, the others the
-    second's, half of them in its fallback form.
-    """
-    def lines(*parts):
-        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-
-    path = F.regexp_replace("url", "^https://listings.example", "")
-    place = F.concat_ws(", ", "neighborhood", "district")
-    title = F.concat(F.col("title"), F.lit(" &amp; m&aacute;s"))
-    price = F.replace(F.col("raw_price"), F.lit("€"), F.lit("<span class='unit'>&euro;</span>"))
-    area = F.replace(F.col("raw_area"), F.lit("²"), F.lit("&#178;"))
-
-    def optional(opening, value, closing):
-        return F.coalesce(lines(opening, value, closing), F.lit(""))
-
-    first = lines(
-        "<html><head><title>Pisos</title><script>var c='<article class=\"item\">';</script></head>",
-        "<body><!-- <article class=\"item\"></article> --><article class=\"item item-multimedia\">",
-        "<a class=\"item-link \" href=\"", path, "\">\n", title, "\n</a>",
-        "<span class=\"item-price h2-simulated\">", price, "</span>",
-        "<div class=\"item-detail-char\"><span class=\"item-detail\">", area, "</span>",
-        optional("<span class=\"item-detail\">", F.col("raw_rooms"), "</span>"), "</div>",
-        "<span class=\"item-detail-location\">", place, "</span></article>",
-        "<article class=\"item\"><span class=\"item-price\">1 €</span></article>",
-        "<a class=\"icon-arrow-right-after\" href=\"", path, "/pagina-2.htm\"></a></body></html>",
-    )
-
-    def second(card_open, card_close, link_class, next_attribute):
-        return lines(
-            "<html><head><title>Pisos</title></head><body><ul>", card_open,
-            "<a ", link_class, "href='https://www.fotocasa.es", path, "'>Ver</a>",
-            "<span class=\"re-CardPackPremium-title\">", title, "</span>",
-            "<span class=\"re-CardPackPrimary-price\">", price, "</span>",
-            "<ul><li data-testid=\"re-CardFeatures-feature\">", area, "</li>",
-            optional("<li data-testid=\"re-CardFeatures-feature\">", F.col("raw_rooms"), "</li>"),
-            "</ul><span class=\"re-CardPackPrimary-location\">", place, "</span>", card_close,
-            card_open, "<span>sin enlace</span>", card_close,
-            "</ul><a ", next_attribute, " href=\"", path, "/l/2\"></a></body></html>",
-        )
-
-    modern = second(
-        "<article data-testid=\"re-SearchPropertyCard\">", "</article>",
-        "class=\"re-CardPackPremium\" ", "data-testid=\"re-Pagination-nextPage\"",
-    )
-    fallback = second(
-        "<li class=\"re-SearchResult-item\">", "</li>", "", "class=\"sui-AtomButton--end\""
-    )
-    by_first = F.col("source") == "portal_a"
-    return raw.select(
-        F.concat_ws("#", "url", "scrape_date").alias("page_id"),
-        F.when(by_first, "idealista").otherwise("fotocasa").alias("source"),
-        F.when(by_first, first).when(F.col("raw_rooms").isNull(), fallback).otherwise(modern)
-        .alias("html"),
-    )

@@ -171,3 +171,70 @@ def test_block_notices_without_body_and_quotes(spark):
         "Block text detected: 'Access Denied'", "CAPTCHA detected: iframe[src*='captcha']", "",
         "Block page title: '403'", "CAPTCHA detected: #challenge-form",
     ]
+
+
+LISTED = X.Portal(source="list", host="https://x", cards=(Element("li"),), link=(Element("a"),),
+                  title=(Element("a"),), price=(Element("b", child=1),), rooms=(Element("b", child=2),))
+
+
+@pytest.mark.parametrize("html, titles", [
+    ("<ul><li><a>1</a><li><a>2</a></ul><a>out</a>", ["1", "2"]),
+    ("<ul><li><a>1</a><ul><li><a>2</a><li>none</ul><li><a>3</a></li></ul>", ["1", "2", "3"]),
+    ("<ol><li>x<ul><li><a>in</a></ul></ol><ul><li>none</ul><a>out</a>", ["in", "in"]),
+    ("<li><a>1</a></li><li><a>2</a>", ["1", "2"]),
+    ("</ul></li><ul><li><a>1</a></li></ul></ul><li><a>2</a>", ["1", "2"]),
+    ("<UL><LI CLASS=x><A>1</A><lid><li\n><a>2</a></UL>", ["1", "2"]),
+])
+def test_list_items_end_where_the_next_begins(spark, html, titles):
+    rows = X.extract_cards(pages(spark, "list", html), [LISTED]).orderBy("position").collect()
+    assert [r.title for r in rows] == titles
+
+
+@pytest.mark.parametrize("card, price, rooms", [
+    ("<p><b>1</b><b>2</b></p>", "1", "2"), ("<p>x<br><b>2</b></p>", "", "2"),
+    ("<p><i>a<b>1</b></i><b>2</b></p>", "1", "2"), ("<p><b>1<i>x</i></p><q><i></i><b>2</b></q>", "1x", "2"),
+    ("<b>1</b><!-- <b> --><b>2", "", "1"), ("</p></b><q><b><b>2</b>1</b></q>", "21", None),
+])
+def test_children_by_place(spark, card, price, rooms):
+    row = X.extract_cards(pages(spark, "list", f"<li><a href=x>t</a>{card}"), [LISTED]).first()
+    assert (row.raw_price, row.raw_rooms) == (price, rooms)
+
+
+def test_elements_equal_a_stack(spark):
+    """Spans of divs in random markup against a plain stack."""
+    import random
+
+    draw = random.Random(5)
+    htmls = []
+    for _ in range(60):
+        htmls.append("".join(
+            draw.choice(["<div class=a>", "<div>", "</div>", "x", "<p>"]) + str(i)
+            for i in range(draw.randrange(0, 40))
+        ))
+
+    def plain(html):
+        import re
+
+        tags = list(re.finditer(r"</?div[^>]*>", html))
+        open_, spans = [], []
+        for tag in tags:
+            if tag[0].startswith("</"):
+                if open_:
+                    start = open_.pop()
+                    spans.append((start.start(), html[start.start():tag.start()], start[0]))
+            else:
+                open_.append(tag)
+        spans += [(t.start(), html[t.start():], t[0]) for t in open_]
+        return [text for _, text, tag in sorted(spans) if "class=a" in tag]
+
+    rows = spark.createDataFrame(list(enumerate(htmls)), "i int, h string").select(
+        "i", M.elements(F.col("h"), Element("div", "a")).alias("e")).collect()
+    assert all(r.e == plain(htmls[r.i]) for r in rows) and sum(len(r.e) for r in rows) > 100
+
+
+@pytest.mark.parametrize("item", ["<li><a href=/z>z</a>", "<li><a href=/z>z</a></li>"])
+def test_work_grows_with_the_page(spark, item):
+    """A hundred thousand items, closed or not, and each one a card of its own."""
+    found = X.extract_cards(pages(spark, "list", "<ul>" + item * 100_000), [LISTED])
+    assert found.agg(F.count("*"), F.max("position"), F.min("title"), F.max("title")).first()[:] == (
+        100_000, 99_999, "z", "z")
