@@ -19,8 +19,8 @@ from tasador.operators import (
     cleaning, extraction, indexes, lookups, radius, sampling, serving, validation,
 )
 from tasador.plans.workspace import fresh_path, materialize
-from tasador.schemas import BRONZE_CSV, INCOMING
-from tasador.sources import listings, readers, writers
+from tasador.schemas import BRONZE_CSV, INCOMING, SILVER
+from tasador.sources import listings, readers, snapshots, writers
 
 KEY = ["url", "scrape_date"]
 CENTER = (40.4168, -3.7038)
@@ -121,6 +121,24 @@ def q_bronze_scan(spark, sf_dir):
     )
 
 
+@_register
+def q_ingest_retry(spark, sf_dir):
+    """K1: a batch that is ingested twice has the rows of one, in both folders; a batch of
+    another id adds its own."""
+    good, bad = fresh_path(spark, "bronze"), fresh_path(spark, "rejected")
+    incoming = _incoming(spark, sf_dir)
+    late = incoming.filter("scrape_date < '1996'")
+    for batch, rows in (("first", incoming), ("first", incoming), ("late", late), ("first", late)):
+        writers.ingest(rows, good, bad, scrape_date="2001-08-01", batch_id=batch)
+    kept = readers.read_bronze(spark, good).groupBy("source", "scrape_date").agg(
+        F.count(F.lit(1)).alias("n")
+    ).select(F.lit("bronze").alias("sink"), "source", "scrape_date", F.lit("").alias("reason"), "n")
+    refused = spark.read.parquet(bad).groupBy("source", "scrape_date", "reject_reason").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return kept.unionAll(refused.select(F.lit("rejected"), "source", "scrape_date", "reject_reason", "n"))
+
+
 @_register
 def q_validate_split(spark, sf_dir):
     """K1: which records are accepted, and why the others are not."""
@@ -197,6 +215,29 @@ def q_publish_count(spark, sf_dir):
     return serving.query(spark, "SELECT count(*) AS n FROM gold_listings")
 
 
+@_register
+def q_publish_rollback(spark, sf_dir):
+    """K6: Gold in three versions: whole, with changed and without some dates, whole again;
+    the second is published last. A reader of the first keeps its rows."""
+    root, gold = fresh_path(spark, "gold-versions"), gold_layer(spark, sf_dir)
+    snapshots.write_version(gold, root)
+    snapshots.publish_version(spark, root, "gold_versions")
+    running = spark.table("gold_versions")
+    changed = gold.filter("scrape_date < '1996'").withColumn("opportunity_index", -F.col("opportunity_index"))
+    second = snapshots.write_version(changed, root, removed=("1998-03",))
+    snapshots.write_version(gold, root, replace_all=True)
+    snapshots.publish_version(spark, root, "gold_versions")
+    snapshots.publish_version(spark, root, "gold_versions", second)
+
+    def per_date(table, name):
+        return table.groupBy("scrape_date").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.round(F.col("opportunity_index") * 1_000_000).cast("long")).alias("total"),
+        ).select(F.lit(name).alias("reader"), "scrape_date", "n", "total")
+
+    return per_date(running, "first").unionAll(per_date(spark.table("gold_versions"), "second"))
+
+
 @_register
 def q_adhoc_sql(spark, sf_dir):
     """SQL with bound values on the published table."""
@@ -525,7 +566,17 @@ def q_search_district(spark, sf_dir):
 
 @_register
 def q_latest_snapshot(spark, sf_dir):
-    """Rows of the newest date."""
+    """Rows of the newest date, which the catalog's partitions tell."""
+    path = fresh_path(spark, "silver-served")
+    snapshots.write_version(silver_layer(spark, sf_dir), path, order=("scrape_date", "url"))
+    version = snapshots.publish_version(spark, path, "silver_served", schema=SILVER)
+    table = snapshots.table_of("silver_served", version)
+    return snapshots.latest_snapshot(spark, table).select(*KEY, "price_eur", "area_sqm")
+
+
+@_register
+def q_latest_snapshot_of_rows(spark, sf_dir):
+    """J4 for rows that no catalog knows: a scalar subquery."""
     return serving.snapshot(silver_layer(spark, sf_dir)).select(*KEY, "price_eur", "area_sqm")
 
 
@@ -591,7 +642,7 @@ def q_require_rows(spark, sf_dir):
 def q_save_records(spark, sf_dir):
     """K7: records of a small table, saved and read by name."""
     nation = listings.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    writers.save(spark, [r.asDict() for r in nation.collect()], "saved_nations", nation.schema)
+    writers.save_rows(nation, "saved_nations")
     return spark.table("saved_nations")
 
 

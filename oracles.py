@@ -259,6 +259,11 @@ def statements() -> dict[str, str]:
             FROM checked WHERE reject_reason = ''"""),
         "q_validate_split": _with(INCOMING, """
             SELECT url, scrape_date, reject_reason = '' AS is_valid, reject_reason FROM checked"""),
+        "q_ingest_retry": _with(INCOMING, """
+            , taken AS (SELECT * FROM checked UNION ALL SELECT * FROM checked WHERE scrape_date < '1996')
+            SELECT CASE WHEN reject_reason = '' THEN 'bronze' ELSE 'rejected' END AS sink, source,
+              scrape_date, reject_reason AS reason, count(*) AS n
+            FROM taken GROUP BY ALL"""),
         "q_cleaned_bounds": _with(PARSED, """
             , moved AS (SELECT CASE WHEN rooms = 1 THEN -price_eur ELSE price_eur END AS price_eur,
                 CASE rooms WHEN 2 THEN 0.0 WHEN 3 THEN -area_sqm ELSE area_sqm END AS area_sqm,
@@ -290,6 +295,15 @@ def statements() -> dict[str, str]:
               max(opportunity_index) AS best
             FROM gold GROUP BY scrape_date"""),
         "q_publish_count": _with(GOLD, "SELECT count(*) AS n FROM gold"),
+        "q_publish_rollback": _with(GOLD, """
+            , versions AS (
+              SELECT 'first' AS reader, scrape_date, opportunity_index FROM gold
+              UNION ALL SELECT 'second', scrape_date, CASE WHEN scrape_date < '1996'
+                THEN -opportunity_index ELSE opportunity_index END
+              FROM gold WHERE scrape_date <> '1998-03')
+            SELECT reader, scrape_date, count(*) AS n,
+              sum(CAST(round(opportunity_index * 1000000) AS BIGINT))::BIGINT AS total
+            FROM versions GROUP BY ALL"""),
         "q_adhoc_sql": _with(GOLD, """
             SELECT district, count(*) AS n, max(opportunity_index) AS best FROM gold
             WHERE opportunity_index > 0.5 AND price_eur <= 50000 GROUP BY district"""),
@@ -444,6 +458,9 @@ def statements() -> dict[str, str]:
         "q_latest_snapshot": _with(SILVER, """
             SELECT url, scrape_date, price_eur, area_sqm FROM silver
             WHERE scrape_date = (SELECT max(scrape_date) FROM silver)"""),
+        "q_latest_snapshot_of_rows": _with(SILVER, """
+            SELECT url, scrape_date, price_eur, area_sqm FROM silver
+            WHERE scrape_date = (SELECT max(scrape_date) FROM silver)"""),
         "q_neighborhood_avg": _with(SILVER, """
             SELECT neighborhood, floor(avg(price_eur) * 10000 + 0.37::DOUBLE) / 10000 AS avg_neighborhood_price,
               count(*) AS listing_count

@@ -4,6 +4,7 @@ Files are laid out by a rebalance on the partition keys: small days share a
 task and a day with a third of all rows is split over several.
 """
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -14,7 +15,8 @@ from tasador.functions.parsing import source_slug
 from tasador.operators.validation import TYPE_PROBLEM, check_records
 from tasador.plans.workspace import materialize
 from tasador.schemas import BRONZE, GOLD, INCOMING, SILVER
-from tasador.sources.readers import read_gold
+from tasador.sources import snapshots
+from tasador.sources.batches import Batch, complete
 
 GOLD_TABLE = "gold_listings"
 
@@ -26,6 +28,14 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
+def _counted_by(df: DataFrame, condition: str) -> tuple[DataFrame, Observation]:
+    """The same, with the rows that meet a condition."""
+    seen = Observation()
+    return df.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(condition).alias("hits")
+    ), seen
+
+
 def bronze_rows(checked: DataFrame, date: Column) -> DataFrame:
     """Checked records in Bronze's columns, with the directory keys."""
     keyed = checked.withColumns({"source": source_slug(F.col("source")), "date": date})
@@ -38,32 +48,43 @@ def ingest(
     rejected_path: str,
     source: str | None = None,
     scrape_date: str | None = None,
+    batch_id: str | None = None,
+    allow_empty: bool = False,
 ) -> dict[str, int]:
-    """Check records, append the good ones to Bronze and the others to quarantine.
+    """Check records and add the good ones to Bronze and the others to quarantine, as one
+    batch: both or neither, and once however often a batch of that id is ingested.
 
     The directory key is ``source`` (else each record's own) and ``scrape_date``
     (else today, UTC). Returns the counts of both writes; fails when there is no
-    good record. The input is read once: checked records are stored in the shared
-    folder, and the good ones are appended last, so a failed ingest leaves Bronze
-    as it was. A second ingest of the same day adds to the first; Silver keeps
-    the latest copy of a listing.
+    good record, unless ``allow_empty``, and then leaves both folders as they
+    were. Without ``batch_id`` each call is a batch of its own: a second ingest of
+    the same day adds to the first, and Silver keeps the latest copy of a
+    listing. The input is read once: checked records are stored in the shared
+    folder.
     """
+    spark = incoming.sparkSession
+    targets = {"good": bronze_path, "bad": rejected_path}
+    complete(spark, targets)
+    batch = Batch(spark, batch_id or uuid.uuid4().hex, targets)
+    done = batch.counts()
+    if done is not None:
+        return done
     today = datetime.now(timezone.utc).strftime("%Y-%m-%d")
     date = F.lit(scrape_date or today)
-    checked = materialize(check_records(incoming), "checked")
-    bad, refused = _counted(checked.filter(~F.col("is_valid")).drop("is_valid"))
-    bad.withColumn("date", date).write.mode("append").partitionBy("date").parquet(rejected_path)
-    rejected = refused.get["rows"]
-    if checked.filter("is_valid").isEmpty():
-        raise ValueError(f"no valid record to ingest, {rejected} rejected")
-    good = checked.filter("is_valid")
-    if source is not None:
-        good = good.withColumn("source", F.lit(source))
-    rows, written = _counted(bronze_rows(good, date).hint("rebalance", "source", "date"))
-    rows.write.mode("append").option("compression", "snappy").partitionBy(
-        "source", "date"
-    ).parquet(bronze_path)
-    return {"valid": written.get["rows"], "rejected": rejected}
+    tested, seen = _counted_by(check_records(incoming), "is_valid")
+    checked = materialize(tested, "checked")
+    counts = {"valid": seen.get["hits"], "rejected": seen.get["rows"] - seen.get["hits"]}
+    if not counts["valid"] and not allow_empty:
+        raise ValueError(f"no valid record to ingest, {counts['rejected']} rejected")
+    if counts["rejected"]:
+        bad = checked.filter(~F.col("is_valid")).drop("is_valid").withColumn("date", date)
+        batch.stage("bad", bad, ("date",))
+    if counts["valid"]:
+        good = checked.filter("is_valid")
+        if source is not None:
+            good = good.withColumn("source", F.lit(source))
+        batch.stage("good", bronze_rows(good, date).hint("rebalance", "source", "date"), ("source", "date"))
+    return batch.commit(counts)
 
 
 #: Fields that need not be text.
@@ -91,6 +112,7 @@ def ingest_records(
     rejected_path: str,
     source: str,
     scrape_date: str | None = None,
+    batch_id: str | None = None,
 ) -> dict[str, int]:
     """``ingest`` for a batch of dicts; keys that Bronze does not know are ignored."""
     names = INCOMING.fieldNames()
@@ -100,7 +122,7 @@ def ingest_records(
     ]
     schema = StructType([*INCOMING.fields, StructField(TYPE_PROBLEM, StringType())])
     incoming = spark.createDataFrame(texts, schema)
-    return ingest(incoming, bronze_path, rejected_path, source, scrape_date)
+    return ingest(incoming, bronze_path, rejected_path, source, scrape_date, batch_id)
 
 
 def write_silver(silver: DataFrame, path: str, replace_all: bool = False) -> int:
@@ -148,26 +170,22 @@ def publish(spark: SparkSession, gold_path: str, name: str = GOLD_TABLE) -> int:
     """Serve the Gold files under ``name`` in the catalog, for all sessions; returns the row
     count, from file footers.
 
-    The table names the files and does not copy them. How long it lasts is up to
-    the catalog: with a metastore, other applications see it, too.
+    ``name`` is a view that is replaced in one step, so a reader never misses it.
+    The files are named, not copied; how long the catalog lasts is up to it:
+    with a metastore, other applications see the view, too. ``sources.snapshots``
+    keeps versions of the files as well.
     """
-    gold = read_gold(spark, gold_path)
-    spark.catalog.dropTempView(name)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in gold.schema)
-    location = gold_path.replace("'", "\\'")
-    spark.sql(
-        f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (scrape_date) "
-        f"LOCATION '{location}'"
-    )
-    spark.catalog.recoverPartitions(name)
-    return gold.count()
+    snapshots.publish_folder(spark, gold_path, name, GOLD)
+    return spark.table(name).count()
+
+
+def save_rows(rows: DataFrame, name: str) -> int:
+    """Create or replace a table of rows; returns their number."""
+    written, count = _counted(rows)
+    written.write.mode("overwrite").saveAsTable(name)
+    return count.get["rows"]
 
 
 def save(spark: SparkSession, records: list[dict], name: str, schema: StructType | None = None) -> int:
-    """Create or replace a table of records; none leaves the table as it is."""
-    if not records:
-        return 0
-    rows, written = _counted(spark.createDataFrame(records, schema))
-    rows.write.mode("overwrite").saveAsTable(name)
-    return written.get["rows"]
+    """``save_rows`` for records of the program; none leaves the table as it is."""
+    return save_rows(spark.createDataFrame(records, schema), name) if records else 0

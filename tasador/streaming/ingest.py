@@ -1,18 +1,18 @@
 """The Bronze ingest as a stream, for runs that take only what is new.
 
-A scheduled run starts the queries with ``availableNow``: they read the files
-that arrived since the last run and stop. Spark's file sink writes each batch
-once, also when a batch is repeated after a failure.
+A scheduled run starts the query with ``availableNow``: it reads the files
+that arrived since the last run and stops. Each micro-batch is checked once and
+ingested as a batch of its own id, so one that is repeated after a failure
+leaves no row twice, in Bronze or in quarantine.
 """
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tasador.functions.parsing import iso_date, utc_now
-from tasador.operators.validation import check_records
 from tasador.schemas import INCOMING
-from tasador.sources.writers import bronze_rows
+from tasador.sources.writers import ingest
 
 
 def incoming_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -26,25 +26,21 @@ def start_ingest(
     rejected_path: str,
     checkpoint_path: str,
     scrape_date: str | None = None,
-) -> list[StreamingQuery]:
-    """Start the two writes, good records to Bronze and the others to quarantine.
+) -> StreamingQuery:
+    """Start the writes, good records to Bronze and the others to quarantine.
 
-    The paths belong to the stream: a batch ingest must not write there too,
-    because readers of a streamed folder follow its log.
+    A stream's batches are numbered from its checkpoint, whose path names them;
+    batch ingests may write to the same folders.
     """
-    checked = check_records(incoming)
-    date = iso_date(utc_now()) if scrape_date is None else F.lit(scrape_date)
-    good = bronze_rows(checked.filter("is_valid"), date)
-    bad = checked.filter(~F.col("is_valid")).drop("is_valid").withColumn("date", date)
-    return [
-        rows.writeStream.format("parquet")
-        .option("checkpointLocation", f"{checkpoint_path}/{name}")
-        .option("path", path)
-        .partitionBy(*keys)
+    stream = hashlib.sha256(checkpoint_path.encode()).hexdigest()[:16]
+
+    def write(rows: DataFrame, number: int) -> None:
+        ingest(rows, bronze_path, rejected_path, scrape_date=scrape_date,
+               batch_id=f"stream-{stream}-{number}", allow_empty=True)
+
+    return (
+        incoming.writeStream.option("checkpointLocation", checkpoint_path)
+        .foreachBatch(write)
         .trigger(availableNow=True)
         .start()
-        for name, rows, path, keys in (
-            ("good", good, bronze_path, ("source", "date")),
-            ("bad", bad, rejected_path, ("date",)),
-        )
-    ]
+    )
