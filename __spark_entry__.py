@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 import oracles
 from tasador.functions import geo, markup, parsing, scoring
 from tasador.functions.markup import Element
-from tasador.layers import bronze_layer, gold_layer, silver_layer
+from tasador.layers import bronze_layer, gold_layer, place_layer, silver_layer
 from tasador.operators import (
     cleaning, extraction, indexes, lookups, radius, sampling, serving, validation,
 )
 from tasador.plans.workspace import fresh_path, materialize
 from tasador.schemas import BRONZE_CSV, INCOMING, SILVER
 from tasador.sources import listings, readers, snapshots, writers
+from tasador.streaming.refresh import ListingStore
 
 KEY = ["url", "scrape_date"]
 CENTER = (40.4168, -3.7038)
@@ -238,6 +239,30 @@ def q_publish_rollback(spark, sf_dir):
     return per_date(running, "first").unionAll(per_date(spark.table("gold_versions"), "second"))
 
 
+def _refreshed(spark, sf_dir) -> ListingStore:
+    """A store after three runs: most listings; new ones and other copies of early dates; the
+    second run again."""
+    store = ListingStore(spark, fresh_path(spark, "listings"))
+    rows = cleaning.clean(bronze_layer(spark, sf_dir))
+    late = (F.col("scrape_date") < "1996") & (F.col("rooms") == 1)
+    store.refresh(rows.filter(~F.coalesce(late, F.lit(False))), "first")
+    for _ in range(2):
+        store.refresh(rows.filter(late), "second")
+    return store
+
+
+@_register
+def q_refreshed_silver(spark, sf_dir):
+    """D1 over several runs: the latest copies, as of one run over all rows."""
+    return _refreshed(spark, sf_dir).table("silver")
+
+
+@_register
+def q_refreshed_gold(spark, sf_dir):
+    """W4 over several runs: index A and ranks, as of a full rebuild."""
+    return _steady(_refreshed(spark, sf_dir).table("gold"), AVERAGE)
+
+
 @_register
 def q_adhoc_sql(spark, sf_dir):
     """SQL with bound values on the published table."""
@@ -508,14 +533,14 @@ def q_price_band(spark, sf_dir):
 @_register
 def q_radius(spark, sf_dir):
     """The best 50 listings within 2 km."""
-    near = serving.nearby_deals(gold_layer(spark, sf_dir), *CENTER, radius_km=2.0, n=50)
+    near = serving.nearby_deals(place_layer(spark, sf_dir), *CENTER, radius_km=2.0, n=50)
     return _steady(near, AVERAGE)
 
 
 @_register
 def q_radius_all(spark, sf_dir):
     """every listing within 2 km, without a limit."""
-    near = radius.within_radius(gold_layer(spark, sf_dir), *CENTER, radius_km=2.0)
+    near = radius.within_radius(place_layer(spark, sf_dir), *CENTER, radius_km=2.0)
     return near.select(*KEY, scoring.tidy(F.col("distance_km"), 2).alias("distance_km"))
 
 
@@ -775,9 +800,41 @@ def q_blocked_pages(spark, sf_dir):
     return flagged.select("page_id", "blocked", "reason")
 
 
+#: Markup that carries one sign of the standard lists each, or two, of which the first counts.
+_SIGNS = (
+    '<iframe src="/x/captcha/1"></iframe>', "<iframe data-x='a>b' src=//h/recaptcha></iframe>",
+    '<div class="my-captcha box"></div>', '<div id="captcha-9"></div>',
+    '<p id="challenge-running"></p>', "<form id=challenge-form></form>",
+    '<span class="a cf-turnstile b"></span>', "<p>ACCESS <b>DENIED</b></p>", "<p>Acceso&#32;denegado</p>",
+    "<p>has sido bloqueado</p>", "<p>You have been blocked</p>", "<p>Too many requests</p>",
+    "<p>Demasiadas solicitudes</p>", "<p>Error 403</p>", "<p>error 429</p>", "<p>Rate limit</p>",
+    "<p>Please verify you are a human</p>", "<p>Verifica que eres humano</p>",
+    "<p>Rate limit</p><p>error 403</p>", '<p>rate limit</p><form id="challenge-form">',
+    "<!-- <div class='captcha'> access denied --><script>\"<div class='captcha'>\"</script>",
+)
+
+
+def _marked_pages(spark, sf_dir) -> DataFrame:
+    """The stored pages; most of them get a sign, and some a title, by their number."""
+    pages, n = listings.table(spark, sf_dir, "pages"), len(_SIGNS)
+    kind = (F.col("page_id") % (n + 3)).cast("int")
+    sign = F.coalesce(F.get(F.array(*map(F.lit, _SIGNS)), kind), F.lit(""))
+    html = F.replace(F.col("html"), F.lit("<article>"), F.concat(F.lit("<article>"), sign))
+    return pages.withColumn("html", F.when(
+        kind == n, F.replace(html, F.lit("<title>"), F.lit("<title> 403 "))
+    ).when(kind == n + 1, F.replace(html, F.lit("<title>"), F.lit("<title>Blocked: "))).otherwise(html))
+
+
 @_register
 def q_blocked_defaults(spark, sf_dir):
-    """E4 with the standard lists: how many pages per reason."""
+    """E4 with the standard lists, on the stored pages with a sign in most of them."""
+    flagged = extraction.detect_blocking(_marked_pages(spark, sf_dir))
+    return flagged.select("page_id", "blocked", "reason")
+
+
+@_register
+def q_block_reasons(spark, sf_dir):
+    """E4 with the standard lists: how many of the stored pages, as they are, have a notice."""
     flagged = extraction.detect_blocking(listings.table(spark, sf_dir, "pages"))
     return flagged.groupBy("blocked", "reason").agg(F.count(F.lit(1)).alias("n"))
 

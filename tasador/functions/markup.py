@@ -356,7 +356,9 @@ def clean_text(markup: Column) -> Column:
 # Named entities: those of the standard library's table that end with a semicolon, as one
 # literal, which is read once for a whole query.
 _NAMED = json.dumps({name[:-1]: text for name, text in html5.items() if name.endswith(";")})
-_COMMON = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "nbsp": "\u00a0"}
+#: References that texts are full of; ``amp`` comes last.
+_COMMON = {"lt": "<", "gt": ">", "quot": '"', "nbsp": "\u00a0", "amp": "&"}
+_RARE = f"&(?!(?:{'|'.join(_COMMON)});)(?:#[xX]?[0-9a-fA-F]++|[A-Za-z][A-Za-z0-9]*+);"
 _REFERENCE = "^(#[xX][0-9a-fA-F]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*);"
 
 
@@ -395,4 +397,11 @@ def decode_entities(text: Column) -> Column:
     def decoded(whole):
         return F.array_join(F.transform(F.split(whole, "&"), piece), "")
 
-    return let(text, lambda t: F.when(t.contains("&"), decoded(t)).otherwise(t))
+    def common(whole):
+        for name, sign in _COMMON.items():
+            whole = F.replace(whole, F.lit(f"&{name};"), F.lit(sign))
+        return whole
+
+    return let(text, lambda t: F.when(~t.contains("&"), t).when(
+        t.rlike(_RARE), decoded(t)
+    ).otherwise(common(t)))

@@ -10,8 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tasador.operators.cleaning import silver
 from tasador.operators.indexes import index_a
-from tasador.plans.workspace import read_stored, store
+from tasador.plans.workspace import fresh_path, read_stored, store
 from tasador.sources.listings import raw_listings
+from tasador.sources.writers import write_gold_by_place
+
+#: Ranges of the layout by place; at scale, Gold's size divided by that of a good file.
+PLACE_FILES = 16
 
 _written: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
 
@@ -43,6 +47,17 @@ def gold_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _layer(spark, sf_dir, "gold", lambda: index_a(silver_layer(spark, sf_dir)))
 
 
+def place_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mappable Gold rows, laid out by place."""
+    key = (spark.sparkContext.applicationId, sf_dir, "place")
+    if key not in _written:
+        path, gold = fresh_path(spark, "gold-by-place"), gold_layer(spark, sf_dir)
+        write_gold_by_place(gold, path, PLACE_FILES)
+        _written[key] = path, read_stored(spark, path, gold.schema)
+    path, scan = _written[key]
+    return scan if scan.sparkSession is spark else read_stored(spark, path, scan.schema)
+
+
 def forget_layers() -> None:
     """Build the layers anew on the next use (for timing)."""
     _written.clear()

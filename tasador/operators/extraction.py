@@ -239,18 +239,19 @@ def union_records(*batches: DataFrame) -> DataFrame:
 
 
 _ANY = r"[a-zA-Z][^\s/>]*+"
-# Signs of a challenge, in order, with the text of each selector.
+# Signs of a challenge, in order, with the text of each selector, its pattern and
+# a text that markup with the sign has in any case.
 CAPTCHA_SIGNS = (
-    ("iframe[src*='captcha']", M.attribute_contains("iframe", "src", "captcha")),
-    ("iframe[src*='recaptcha']", M.attribute_contains("iframe", "src", "recaptcha")),
-    ("iframe[src*='hcaptcha']", M.attribute_contains("iframe", "src", "hcaptcha")),
-    ("div[class*='captcha']", M.attribute_contains("div", "class", "captcha")),
-    ("div[id*='captcha']", M.attribute_contains("div", "id", "captcha")),
-    ("#challenge-running", M.has_attribute(_ANY, "id", "challenge-running", "challenge-running")),
-    ("#challenge-form", M.has_attribute(_ANY, "id", "challenge-form", "challenge-form")),
+    ("iframe[src*='captcha']", M.attribute_contains("iframe", "src", "captcha"), "captcha"),
+    ("iframe[src*='recaptcha']", M.attribute_contains("iframe", "src", "recaptcha"), "captcha"),
+    ("iframe[src*='hcaptcha']", M.attribute_contains("iframe", "src", "hcaptcha"), "captcha"),
+    ("div[class*='captcha']", M.attribute_contains("div", "class", "captcha"), "captcha"),
+    ("div[id*='captcha']", M.attribute_contains("div", "id", "captcha"), "captcha"),
+    ("#challenge-running", M.has_attribute(_ANY, "id", "challenge-running", "challenge-running"), "challenge-"),
+    ("#challenge-form", M.has_attribute(_ANY, "id", "challenge-form", "challenge-form"), "challenge-"),
     (".cf-turnstile", M.has_attribute(
         _ANY, "class", r"(?:[^QUOTE]*\s)?cf-turnstile(?:\s[^QUOTE]*)?", "cf-turnstile"
-    )),
+    ), "cf-turnstile"),
 )
 # Texts of block pages, compared without case.
 BLOCK_TEXTS = (
@@ -288,26 +289,37 @@ def detect_blocking(
     texts=BLOCK_TEXTS,
     titles=BLOCK_TITLES,
 ) -> DataFrame:
-    """Add ``blocked`` and ``reason``: challenge markup, then body text, then title."""
-    staged = pages.withColumns({
-        "_markup": M.without_code(F.col("html")),
+    """Add ``blocked`` and ``reason``: challenge markup, then body text, then title.
+
+    A sign is a selector's name, its pattern and, optionally, a text in lower
+    case that pages with the sign hold. Patterns are only tried on pages with
+    such a text: a page without any is read once for each text, not parsed for each pattern.
+    """
+    signs = [(*sign, None)[:3] for sign in captcha_signs]
+    needles = sorted({needle for _, _, needle in signs if needle})
+    staged = pages.withColumn("_lower", F.lower("html")).withColumns({
+        "_hints": F.array(*[F.when(F.col("_lower").contains(n), F.lit(n)) for n in needles]),
+    }).withColumns({
+        "_hinted": F.exists("_hints", lambda n: n.isNotNull()) | F.lit(any(not n for _, _, n in signs)),
+    }).withColumns({
+        "_markup": F.when(F.col("_hinted"), M.without_code(F.col("html"))),
         "_text": F.lower(body_text(F.col("html"))),
         "_title": page_title(F.col("html")),
     })
     tests = [
         F.when(F.col("_markup").rlike(pattern), F.lit(f"CAPTCHA detected: {name}"))
-        for name, pattern in captcha_signs
+        for name, pattern, _ in signs
     ]
-    tests += [
+    challenge = F.when(F.col("_hinted"), F.coalesce(*tests)) if tests else F.lit(None).cast("string")
+    notices = [
         F.when(F.col("_text").contains(text.lower()), F.lit(f"Block text detected: '{text}'"))
         for text in texts
     ]
+    headed = F.lit(None).cast("string")
     if titles:
         hit = reduce(lambda a, b: a | b, [F.col("_title").contains(t) for t in titles])
-        tests.append(F.when(hit, F.concat(
-            F.lit("Block page title: '"), F.col("_title"), F.lit("'")
-        )))
-    reason = F.coalesce(*tests, F.lit(""))
+        headed = F.when(hit, F.concat(F.lit("Block page title: '"), F.col("_title"), F.lit("'")))
+    reason = F.coalesce(challenge, *notices, headed, F.lit(""))
     return staged.withColumn("reason", reason).withColumn(
         "blocked", F.col("reason") != ""
-    ).drop("_markup", "_text", "_title")
+    ).drop("_lower", "_hints", "_hinted", "_markup", "_text", "_title")

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from tasador.functions.geo import Grid, distance_km, in_bounding_box
 from tasador.operators.cleaning import LISTING_KEY
-from tasador.plans.joins import DEFAULT_LIMITS, Limits, lookup_join
+from tasador.plans.joins import DEFAULT_LIMITS, Limits, grid_join, lookup_join
+from tasador.plans.workspace import materialize_measured
 
 # Bounds and defaults of the search.
 RADIUS_BOUNDS_KM = (0.1, 50.0)
@@ -45,25 +46,31 @@ def radius_join(
     """Pairs of a centre and a listing within the radius.
 
     ``centers`` has ``center_lat`` and ``center_lon``. Each centre is repeated
-    for the cells its circle can touch and meets only the listings of those
-    cells; a crowded cell is spread by the join.
+    for the cells its circle can touch, which are stored, and meets only the
+    listings of those cells. Few centres are broadcast. Of many, a cell where
+    listings and centres crowd is cut on both sides, by the pairs it makes.
     """
     check_radius(radius_km)
     grid = Grid(radius_km)
     row, column = grid.cell(F.col("latitude"), F.col("longitude"))
     placed = mappable(listings).withColumns({"_row": row, "_column": column})
     rows, columns = grid.cells_around(F.col("center_lat"), F.col("center_lon"))
-    reach = (
+    reach, size = materialize_measured(
         centers.dropna(subset=["center_lat", "center_lon"])
         .withColumn("_row", F.explode(rows))
-        .withColumn("_column", F.explode(columns))
+        .withColumn("_column", F.explode(columns)),
+        "radius-cells",
     )
-    pairs = lookup_join(placed, reach, ["_row", "_column"], list(LISTING_KEY), "inner", limits)
+    cell = ["_row", "_column"]
+    if size <= limits.broadcast_bytes:
+        pairs = lookup_join(placed, reach, cell, list(LISTING_KEY), "inner", limits, lookup_bytes=size)
+    else:
+        pairs = grid_join(placed, reach, cell, list(LISTING_KEY), centers.columns, limits)
     distance = distance_km(
         F.col("center_lat"), F.col("center_lon"), F.col("latitude"), F.col("longitude")
     )
     return (
         pairs.withColumn("distance_km", distance)
         .filter(F.col("distance_km") <= radius_km)
-        .drop("_row", "_column")
+        .drop(*cell)
     )

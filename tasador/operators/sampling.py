@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from tasador.functions.hashing import HASH_BITS, hash60
 from tasador.plans.workspace import materialize
 
-_LEVEL_BITS = 16
+_HASHES = 1 << HASH_BITS
+#: Half the window's width, in standard deviations of the chosen rows' share.
+_DEVIATIONS = 6
 
 
 def sample_size(rows: int, fraction: float) -> int:
@@ -19,41 +21,45 @@ def tag_exact_sample(
 ) -> DataFrame:
     """Add ``tag``, true for exactly ``sample_size`` rows chosen at random.
 
-    ``key`` must be unique; rows without one are not counted and not chosen. The rows with the smallest hashes are chosen; the
-    hash of the last one is found from counts per hash range, so the data is
-    not sorted and not shuffled: two counting passes narrow the place down to a
-    2^-32 share of the rows, and the tag itself is a comparison.
+    ``key`` must be unique; rows without one are not counted and not chosen. The
+    rows with the smallest hashes are chosen, so the last hash is close to the
+    chosen share of all hashes. One aggregate counts all rows, those below a
+    window around that place, and those of each hash inside: a few square
+    roots of the number of rows. The tag is a comparison with the hash found,
+    so the data is not sorted and not shuffled. Where the last hash is outside
+    the window (once in 10^8 times, or where many rows have no key), a wider one
+    is counted. The number of rows, for the window's width, comes from the
+    files' footers where ``df`` is a scan.
     """
-    hashed = df.filter(F.col(key).isNotNull()).select(
-        F.col(key).alias("key"), hash60(F.col(key), salt).alias("hash")
-    )
-    low, shift, wanted = 0, HASH_BITS, 0
-    scope = hashed
-    for level in range(2):
-        shift -= _LEVEL_BITS
-        cell = F.shiftright("hash", shift)
-        counts = scope.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-        if level == 0:  # the counts also tell the number of rows
-            counts = materialize(counts, "sample-cells")
-            rows = counts.agg(F.sum("n")).first()[0]
-            if not rows:
-                return df.withColumn(tag, F.lit(False))
-            wanted = min(rows, sample_size(rows, fraction))
-        # One row per cell, 65,536 at most.
-        upto = F.sum("n").over(Window.orderBy("cell"))
-        place = (
-            counts.withColumn("upto", upto)
-            .filter(F.col("upto") >= wanted)
-            .orderBy("cell")
-            .first()
-        )
-        wanted -= place["upto"] - place["n"]
-        low = place["cell"] << shift
-        scope = hashed.filter(F.col("hash").between(low, low + (1 << shift) - 1))
-
-    last = scope.orderBy("hash", "key").limit(wanted).agg(
-        F.max(F.struct("hash", "key")).alias("row")
-    ).first()["row"]
+    rows = df.count()
     own = hash60(F.col(key), salt)
-    chosen = (own < last["hash"]) | ((own == last["hash"]) & (F.col(key) <= F.lit(last["key"])))
+    hashed = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), own.alias("hash"))
+    deviations = _DEVIATIONS
+    while True:
+        if not rows:
+            return df.withColumn(tag, F.lit(False))
+        share = min(1.0, sample_size(rows, fraction) / rows)
+        reach = deviations * ((share * (1 - share) / rows) ** 0.5 + 1 / rows)
+        low, high = (int(min(1.0, max(0.0, share + s * reach)) * _HASHES) for s in (-1, 1))
+        inside = F.col("hash").between(low, high)
+        place = F.when(inside, F.col("hash")).when(F.col("hash") < low, -1).otherwise(_HASHES)
+        counts = materialize(hashed.groupBy(place.alias("hash")).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sort_array(F.collect_list(F.when(inside, F.col("key")))).alias("keys"),
+        ), "sample-window")
+        seen = counts.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.when(F.col("hash") < 0, F.col("n"))), F.lit(0)).alias("below"),
+        ).first()
+        rows = seen["rows"]
+        wanted = min(rows, sample_size(rows, fraction)) - seen["below"]
+        upto = F.sum("n").over(Window.orderBy("hash"))
+        last = counts.filter((F.col("hash") >= 0) & (F.col("hash") < _HASHES)).withColumn(
+            "upto", upto
+        ).filter(F.col("upto") >= wanted).orderBy("hash").first() if wanted > 0 else None
+        if last is not None:
+            break
+        deviations *= 16
+    upper = last["keys"][wanted - (last["upto"] - last["n"]) - 1]
+    chosen = (own < last["hash"]) | ((own == last["hash"]) & (F.col(key) <= F.lit(upper)))
     return df.withColumn(tag, F.coalesce(chosen, F.lit(False)))

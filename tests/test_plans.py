@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from tasador.layers import gold_layer, silver_layer
+from tasador.functions.geo import place_key
+from tasador.layers import gold_layer, place_layer, silver_layer
 from tasador.operators import cleaning, indexes, lookups, radius, serving
-from tasador.plans.joins import Limits, lookup_join
+from tasador.plans.joins import Limits, grid_join, lookup_join
 from tasador.plans.workspace import materialize, measured_bytes, shared_dir
 from tasador.sources import listings
 
@@ -45,6 +46,83 @@ def test_lookup_join_forms_agree(spark, skewed, how, limits):
     assert sum(1 for row in expected.elements() if row[1] == "hot") == 800
 
 
+@pytest.mark.parametrize("limits", [
+    Limits(), Limits(hot_pairs=200), Limits(hot_pairs=50, hot_rows=30), Limits(hot_pairs=10**9, hot_rows=60),
+    Limits(hot_pairs=200, broadcast_bytes=0)])
+def test_grid_join_equals_a_join(spark, skewed, limits):
+    """Hot on both sides, on one side, null keys, and keys of one side alone."""
+    right = materialize(spark.range(300).select(F.col("id").alias("v"), F.when(
+        F.col("id") % 2 == 0, "hot").when(F.col("id") % 31 == 1, None).when(F.col("id") == 7, "alone")
+        .otherwise(F.concat(F.lit("k"), (F.col("id") % 37).cast("string"))).alias("k")), "other")
+    joined = grid_join(skewed, right, ["k"], ["id"], ["v"], limits)
+    plain = skewed.alias("l").join(right.alias("r"), F.col("l.k").eqNullSafe(F.col("r.k"))).select("id", "l.k", "v")
+    assert bag(joined.select("id", "k", "v")) == bag(plain) and joined.columns == ["id", "k", "v"]
+
+
+def test_many_centres_in_one_cell(spark):
+    """10,000 centres and as many listings in a cell: all pairs, from many tasks."""
+    lon = F.lit(-3.7038) + F.col("id") % 100 * F.lit(0.0001)
+    lat = F.lit(40.4168) + F.floor(F.col("id") / 100) * F.lit(0.0001)
+    places = spark.range(10_000).select("id", lat.alias("lat"), lon.alias("lon"))
+    listings_ = materialize(places.select(
+        F.col("id").cast("string").alias("url"), F.lit("d").alias("scrape_date"),
+        F.col("lat").alias("latitude"), F.col("lon").alias("longitude")), "near-listings")
+    centers = materialize(places.select(
+        F.col("id").alias("center"), F.col("lat").alias("center_lat"), F.col("lon").alias("center_lon")), "near-centers")
+    limits = Limits(broadcast_bytes=0, hot_pairs=2_000_000)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = radius.radius_join(listings_, centers, 0.1, limits)
+        tasks = pairs.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    import numpy as np
+
+    y, x = np.radians(40.4168 + np.arange(10_000) // 100 * 1e-4), np.radians(-3.7038 + np.arange(10_000) % 100 * 1e-4)
+    found = 0
+    for k in range(0, 10_000, 500):
+        a, b = slice(k, k + 500), slice(None)
+        cosine = np.cos(y[a, None]) * np.cos(y[None, b]) * np.cos(x[a, None] - x[None, b]) + np.sin(y[a, None]) * np.sin(y[None, b])
+        found += int((6371 * np.arccos(np.clip(cosine, -1, 1)) <= 0.1).sum())
+    total = sum(r["count"] for r in tasks)
+    assert abs(total - found) <= 1e-4 * found and found > 500_000
+    assert len(tasks) == 8 and max(r["count"] for r in tasks) < 0.4 * total
+
+
+def test_place_layout_skips_row_groups(spark, sf_dir):
+    """A search around a point reads a small part of the rows, and finds them all."""
+    near = radius.within_radius(place_layer(spark, sf_dir), 40.4168, -3.7038, 1.0)
+    gold = gold_layer(spark, sf_dir)
+    assert bag(near) == bag(radius.within_radius(gold, 40.4168, -3.7038, 1.0)) != {}
+
+    nodes = []
+    near = radius.within_radius(place_layer(spark, sf_dir), 40.4168, -3.7038, 1.0)
+    frame = near._jdf.queryExecution().executedPlan()
+    near_df = frame.execute().count()
+    stack = [frame]
+    while stack:
+        node = stack.pop()
+        if "FileSourceScan" in node.getClass().getName():
+            nodes.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        stack += [children.apply(i) for i in range(children.size())]
+    mappable = radius.mappable(gold).count()
+    assert nodes and near_df > 0 and sum(nodes) < 0.35 * mappable
+
+
+def test_place_key_interleaves_bits(spark):
+    rows = [(a, b) for a in (-90.0, -45.0, 0.0, 40.4, 90.0) for b in (-180.0, -3.7, 0.0, 179.999, 180.0)] + [(None, 1.0)]
+    keys = spark.createDataFrame(rows, "a double, b double").select("a", "b", place_key(F.col("a"), F.col("b")).alias("k"))
+    for r in keys.collect():
+        if r.a is None:
+            assert r.k is None
+            continue
+        lat, lon = (max(0, min(65535, int(v * 65536))) for v in ((r.a + 90) / 180, (r.b + 180) / 360))
+        assert r.k == sum((lat >> i & 1) << (2 * i + 1) | (lon >> i & 1) << (2 * i) for i in range(16))
+
+
 def test_hot_key_is_spread_over_tasks(spark, skewed):
     lookup = spark.createDataFrame([("hot", 1)], "k string, v int")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
