@@ -12,9 +12,10 @@ in pairs. A bucket of up to ``direct`` classes is compared pair by pair. In a
 larger one, all classes are compared with one pivot: the class that shares most
 with the others, as the text has that they were derived from. Classes that are
 not linked with it can only be linked with each other where they differ from it
-in the same shingles, which an index of a few of their differences finds. So a
-bucket of near copies of one text costs one comparison for each, and no
-candidate is left out. Of other pairs, those whose whole sketches differ too
+in the same shingles, and in so many of them that a lookup of the rarest few
+finds every pair (``_candidates``). So no candidate is left out, and a bucket of near
+copies of one text, each with changes of its own, costs about one comparison for
+each. Of other pairs, those whose whole sketches differ too
 much are not verified; full sets are read only for documents that are compared.
 
 With similarity 0.85, 4 rows and 30 bands, a pair at the threshold shares no
@@ -37,9 +38,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tasador.llm.components import components
 from tasador.llm.texts import chunks, flat, mix, powers, row_starts, signed, words
+from tasador.plans.joins import lookup_join
 from tasador.plans.workspace import materialize
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -245,25 +248,28 @@ def _pairs(left: DataFrame, right: DataFrame, s: Settings, where, key: str = "ke
 
 
 def _compared(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
-    """Members against their pivots: whether they link, and how they differ from the pivot."""
+    """Members against their pivots: whether they link, and how they differ from the pivot.
+
+    Shingles that only the pivot has are left out where the others fill the longest prefix.
+    """
     for batch in batches:
-        linked, sizes, index, probe = [], [], [], []
+        linked, counts, added_, gone_ = [], [], [], []
         for x, y in zip(batch.column("set_x"), batch.column("set_y")):
             pivot, own = (np.frombuffer(v.as_buffer(), "u8") for v in (x, y))
             added = own[~_inside(own, pivot)]
             gone = pivot[~_inside(pivot, own)]
-            both = len(own) - len(added)
+            both, differ = len(own) - len(added), len(added) + len(gone)
             linked.append(100 * both >= s.percent * (len(pivot) + len(own) - both))
-            sizes.append(len(added) + len(gone))
-            most = s.difference(len(own))
-            first = signed(np.concatenate([added, gone])[: most + 1])
-            index.append(first[: most // 2 + 1])
-            probe.append(first[most // 2 + 1 :])
+            counts.append((differ, len(added)))
+            longest = differ - max(1, (differ + 2 - s.difference(len(own))) // 2) + 1
+            added_.append(signed(added))
+            gone_.append(signed(gone if longest > len(added) else gone[:0]))
+        differ, n_added = zip(*counts) if counts else ((), ())
         yield pa.RecordBatch.from_arrays([
             batch.column("pivot"), batch.column("doc_id"), batch.column("n_shingles"),
-            pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64()),
-            pa.array(index, pa.list_(pa.int64())), pa.array(probe, pa.list_(pa.int64())),
-        ], names=["pivot", "doc_id", "n_shingles", "linked", "differ", "index", "probe"])
+            pa.array(linked, pa.bool_()), pa.array(differ, pa.int64()), pa.array(n_added, pa.int64()),
+            pa.array(added_, pa.list_(pa.int64())), pa.array(gone_, pa.list_(pa.int64())),
+        ], names=["pivot", "doc_id", "n_shingles", "linked", "differ", "n_added", "added", "gone"])
 
 
 def _inside(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -278,11 +284,8 @@ def _large_links(
     Every member is compared with its bucket's pivot. Let D(x) be the shingles in
     which x and the pivot differ. Two members b, c differ in as many shingles as
     D(b) and D(c) do. If those have fewer elements together than linked texts may
-    differ in, both are linked with the pivot. Else linked members share an
-    element of D, and one of the first ones in any fixed order: with t the most
-    that a text linked with x may differ in, among the first t // 2 + 1 of the one
-    with the smaller D and the first t + 1 of the other (prefix filtering).
-    Shingles that aren't in the pivot come first; they are the rarest ones.
+    differ in, both are linked with the pivot. Else linked members share elements
+    of D, which ``_candidates`` looks up.
     """
     heads = large.groupBy("key").agg(F.min(F.struct("weight", "doc_id")).alias("head"))
     pairs = materialize(
@@ -299,28 +302,76 @@ def _large_links(
     with _few_rows(docs.sparkSession):
         compared = materialize(both.mapInArrow(
             lambda batches: _compared(batches, s),
-            "pivot long, doc_id long, n_shingles long, linked boolean, differ long, "
-            "index array<long>, probe array<long>",
+            "pivot long, doc_id long, n_shingles long, linked boolean, differ long, n_added long, "
+            "added array<long>, gone array<long>",
         ), "near-compared")
     near = compared.filter("linked").select(
         F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")
     )
     # Where all members are linked with the pivot there is nothing more to find.
-    open_ = compared.filter("NOT linked").select("pivot").distinct()
+    least = compared.filter("NOT linked").groupBy("pivot").agg(F.min("differ").alias("least"))
     groups = components(materialize(links.unionAll(near), "near-links"))
-    rest = compared.join(open_, "pivot", "left_semi").join(
+    rest = compared.join(least, "pivot").join(
         groups.withColumnRenamed("id", "doc_id"), "doc_id", "left"
     ).withColumn("component", F.coalesce("component", "doc_id"))
-    element = F.xxhash64("pivot", "element").alias("key")
-    kept = ["doc_id", "n_shingles", "differ", "component"]
-    index = rest.select("pivot", *kept, F.explode("index").alias("element")).select(element, *kept)
-    probe = rest.select("pivot", *kept, F.explode(F.concat("index", "probe")).alias("element"))
-    probe = probe.select(element, *kept)
-    shared = _pairs(index, probe, s, (F.col("component_a") != F.col("component_b")) & (
+    return near.unionAll(_links(docs, sketches, _candidates(rest, s), s))
+
+
+def _candidates(rest: DataFrame, s: Settings) -> DataFrame:
+    """Pairs (a, b) of members of one pivot, of two components, that may be linked.
+
+    With t the most that both may differ in, linked members b, c share at least
+    o = (|D(b)| + |D(c)| - t) / 2 elements of D. So in any order that is the same
+    for all members of a pivot, one of the first |D(b)| - o + 1 elements of D(b) is
+    one of the first |D(c)| - o + 1 of D(c) (prefix filtering). The order is: what
+    the pivot lacks before what only the pivot has, and rare elements before
+    frequent ones. An element that one member has takes its place in the order
+    but is never looked up; in near copies with words of their own changed, these fill
+    nearly all prefixes. The side with the smaller D is the index; of a member
+    that is linked with the pivot, only members that are not are partners, and
+    those have at least ``least`` elements.
+    """
+    d, p = F.col("differ"), s.percent
+    # The same as Settings.difference, in whole numbers.
+    most = F.expr(f"((100 - {p}) * (n_shingles + n_shingles * 100 div {p} + 1)) div (100 + {p})")
+    kept = ["pivot", "doc_id", "n_shingles", "differ", "n_added", "linked", "least", "component"]
+
+    def half_up(x):
+        return F.floor((x + 1) / 2).cast("long")
+
+    def marked(column, gone):
+        return F.transform(column, lambda e: F.struct(F.lit(gone).alias("gone"), e.alias("element")))
+
+    elements = rest.select(*kept, F.inline(F.concat(marked("added", 0), marked("gone", 1))))
+    counts = materialize(elements.groupBy("pivot", "element").agg(
+        F.count(F.lit(1)).alias("n")
+    ).filter("n > 1"), "near-elements")
+    shared = lookup_join(
+        elements, counts.withColumnRenamed("n", "held"), ["pivot", "element"], ["doc_id"], "inner",
+        key_counts=counts,
+    )
+    own = Window.partitionBy("pivot", "doc_id", "gone")
+    before = F.when(F.col("gone") == 0, F.col("n_added")).otherwise(d) - F.count(F.lit(1)).over(own)
+    placed = shared.withColumn(
+        "place", before + F.row_number().over(own.orderBy("held", "element"))
+    )
+    partner = F.greatest(d, F.when(F.col("linked"), F.col("least")).otherwise(d))
+    in_index = F.col("place") <= d - F.greatest(F.lit(1), half_up(d + partner - most)) + 1
+    in_probe = F.col("place") <= d - F.greatest(F.lit(1), half_up(d + 1 - most)) + 1
+    key = F.xxhash64("pivot", "element").alias("key")
+    columns = [key, "doc_id", "n_shingles", "differ", "component", "place"]
+    placed = materialize(placed.select(
+        *columns, in_index.alias("in_index"), in_probe.alias("in_probe")
+    ).filter("in_index OR in_probe"), "near-prefixes")
+    index = placed.filter("in_index").drop("in_index", "in_probe")
+    probe = placed.filter("in_probe").drop("in_index", "in_probe")
+    least = F.expr(f"ceil((differ_a + differ_b - (n_a + n_b) * (100 - {p}) div (100 + {p})) / 2)")
+    return _pairs(index, probe, s, (F.col("component_a") != F.col("component_b")) & (
         (F.col("differ_a") < F.col("differ_b"))
         | ((F.col("differ_a") == F.col("differ_b")) & (F.col("a") < F.col("b")))
+    ) & (F.col("place_a") <= F.col("differ_a") - least + 1) & (
+        F.col("place_b") <= F.col("differ_b") - least + 1
     ))
-    return near.unionAll(_links(docs, sketches, shared, s))
 
 
 def near_links(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, DataFrame]:

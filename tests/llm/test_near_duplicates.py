@@ -92,3 +92,57 @@ def test_no_pairs_within_a_large_group(spark):
     _, links = minhash.near_links(rows)
     assert links.count() < 2_000
     assert minhash.near_duplicates(rows).filter("kept").count() == 1
+
+
+def edited(n, seed, changes=(2, 7), words=200, shared=0):
+    """Copies of one text with words of their own; ``shared`` words are the same in all but the first."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{i}" for i in range(words)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, n):
+        own = base + [f"s{k}" for k in range(shared)]
+        for at in rng.choice(words, int(rng.integers(changes[0], changes[1] + 1)), replace=False):
+            own[at] = f"x{rng.integers(0, 3_000)}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+@pytest.mark.parametrize("shared, percent", [(0, 85), (0, 80), (40, 85)])
+def test_no_link_is_lost_in_a_large_group(spark, shared, percent):
+    """Components of 600 near copies, many just at the threshold, against all pairs."""
+    rows = edited(600, 1, shared=shared)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    links = 0
+    for i, x in enumerate(sets):
+        for j in range(i):
+            same = len(x & sets[j])
+            if 100 * same >= percent * (len(x) + len(sets[j]) - same):
+                low, high = sorted((root(i), root(j)))
+                parent[high], links = low, links + 1
+    found = minhash.near_duplicates(docs, minhash.Settings(percent=percent)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: root(i) for i in range(len(rows))}
+    assert links > 100 and len({root(i) for i in range(len(rows))}) > 10
+
+
+def test_candidates_grow_with_the_group(spark, monkeypatch):
+    """Four times as many near copies give about four times as many candidates."""
+    counts = []
+    whole = minhash._candidates
+    monkeypatch.setattr(minhash, "_candidates", lambda rest, s: _counted(whole(rest, s), counts))
+
+    def _counted(pairs, out):
+        out.append(pairs.count())
+        return pairs
+
+    for n in (400, 1_600):
+        minhash.near_duplicates(spark.createDataFrame(edited(n, 2), "doc_id long, text string")).count()
+    small, large = counts
+    assert large < 8 * max(small, 400) and large < 1_600 * 1_599 / 2 / 50
