@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tasador.llm.components import components
-from tasador.llm.texts import chunks, flat, mix, powers, row_starts, signed, words
+from tasador.llm.texts import chunks, flat, give_back, mix, powers, row_starts, signed, words
 from tasador.plans.joins import lookup_join
 from tasador.plans.workspace import materialize
 
@@ -247,12 +247,24 @@ def _pairs(left: DataFrame, right: DataFrame, s: Settings, where, key: str = "ke
     ).filter("a < b").distinct()
 
 
+#: Members whose differences are held at once.
+_ROWS_AT_ONCE = 32
+
+
+def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+        give_back()
+
+
 def _compared(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
     """Members against their pivots: whether they link, and how they differ from the pivot.
 
     Shingles that only the pivot has are left out where the others fill the longest prefix.
+    Few rows are answered at a time, as long texts may differ in all their shingles.
     """
-    for batch in batches:
+    for batch in _slices(batches, _ROWS_AT_ONCE):
         linked, counts, added_, gone_ = [], [], [], []
         for x, y in zip(batch.column("set_x"), batch.column("set_y")):
             pivot, own = (np.frombuffer(v.as_buffer(), "u8") for v in (x, y))
