@@ -14,7 +14,8 @@ texts they occur in, as arrays. Shards are ranges of the first word's hash. A
 shard adds up its pairs, asks the shards of the second words for their totals,
 and gets them back in its own order. Then it holds its part of the model as
 sorted hash arrays, which it maps into memory and searches for every cell, and
-returns sums for each text. Nothing but a few constants is the same for all
+returns one row of packed sums for each block, which the block's task adds up.
+Nothing but a few constants is the same for all
 shards, so no vocabulary is ever collected or broadcast.
 
 Words and pairs that make up more than a shard in a bounded sample are hot. A
@@ -407,16 +408,22 @@ def _look_up(keys: np.ndarray, values: np.ndarray, of: np.ndarray) -> np.ndarray
     return np.where(hit.reshape(-1, *[1] * (values.ndim - 1)), values[at], 0)
 
 
+#: What a shard knows of a block's texts: their places and sums, packed. The cell with the
+#: block's ids gives a row of its own.
+_PART = (
+    "block long, shard long, total long, texts binary, known binary, base binary, score binary, "
+    "ids binary, nulls binary, tokens binary"
+)
+_PART_NAMES = [part.split()[0] for part in _PART.split(", ")]
+_PART_TYPES = [pa.int64()] * 3 + [pa.binary()] * 7
 _SCORED = (
-    "text long, doc_id long, n_tokens long, n_known long, base_score double, score double, "
-    "train_tokens long"
+    "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 )
-_SCORED_NAMES = [part.split()[0] for part in _SCORED.split(", ")]
 
 
 def _scores(table: pa.Table, told: pa.Table, plan: _Plan) -> pa.Table:
     give_back()
-    shard = _Shard(table)
+    shard, number = _Shard(table), table.column("shard")[0].as_py()
     keys, v, w, c = shard.pairs()
     del table
     common, words_ = {}, []
@@ -468,7 +475,17 @@ def _scores(table: pa.Table, told: pa.Table, plan: _Plan) -> pa.Table:
     logs, base, is_known = mapped(logs), mapped(base), mapped((count[at_w] > 0).astype("f8"))
 
     # Every occurrence: its pair's values, summed by text, cell by cell.
-    parts = [_no_scores()]
+    rows: list[list] = [[] for _ in _PART_NAMES]
+
+    def add(block, texts=(), known=(), base=(), score=(), ids=(), nulls=(), tokens=()):
+        for column, value in zip(rows, (
+            int(block), number, int(total), np.asarray(texts, "u2").tobytes(),
+            np.asarray(known, "u4").tobytes(), np.asarray(base, "f8").tobytes(),
+            np.asarray(score, "f8").tobytes(), np.asarray(ids, "i8").tobytes(),
+            np.asarray(nulls, "u1").tobytes(), np.asarray(tokens, "u4").tobytes(),
+        )):
+            column.append(value)
+
     values = (is_known, base, logs)
     for i, block in enumerate(shard.blocks):
         own, posts = slice(*shard.edges[i : i + 2]), slice(*shard.posted[i : i + 2])
@@ -478,20 +495,33 @@ def _scores(table: pa.Table, told: pa.Table, plan: _Plan) -> pa.Table:
         times, docs = shard.pn[own], shard.docs[posts] >> 1
         here = np.flatnonzero(np.bincount(docs))
         sums = [np.bincount(docs, weights=np.repeat(x[at], times))[here] for x in values]
-        parts.append(pa.table([
-            pa.array((int(block) << 16) + here), pa.nulls(len(here), pa.int64()),
-            pa.array(np.zeros(len(here), "i8")), pa.array(np.rint(sums[0]).astype("i8")),
-            pa.array(sums[1]), pa.array(sums[2]), pa.array(np.full(len(here), int(total), "i8")),
-        ], names=_SCORED_NAMES))
+        add(block, here, np.rint(sums[0]), sums[1], sums[2])
     for block, ids, nulls, tokens in shard.heads:
-        n = len(ids)
-        zero = pa.array(np.zeros(n))
-        parts.append(pa.table([
-            pa.array((int(block) << 16) + np.arange(n)), pa.array(ids, mask=nulls.astype(bool)),
-            pa.array(tokens.astype("i8")), pa.array(np.zeros(n, "i8")), zero, zero,
-            pa.array(np.full(n, int(total), "i8")),
-        ], names=_SCORED_NAMES))
-    return pa.concat_tables(parts)
+        add(block, ids=ids, nulls=nulls, tokens=tokens)
+    return pa.table([pa.array(c, k) for c, k in zip(rows, _PART_TYPES)], names=_PART_NAMES)
+
+
+def _added_up(table: pa.Table) -> pa.Table:
+    """Scores of a block's texts, from what all shards know of them, in the order of shards.
+
+    A block has at most 30,000 texts and its tokens bound what the shards send.
+    """
+    table = table.sort_by([("shard", "ascending")])
+    columns = {name: table.column(name).to_pylist() for name in _PART_NAMES}
+    head = max(range(table.num_rows), key=lambda i: len(columns["ids"][i]))
+    ids = np.frombuffer(columns["ids"][head], "i8")
+    nulls = np.frombuffer(columns["nulls"][head], "u1").astype(bool)
+    tokens = np.frombuffer(columns["tokens"][head], "u4").astype("i8")
+    known, base, score = np.zeros(len(ids), "i8"), np.zeros(len(ids)), np.zeros(len(ids))
+    for texts, k, b, s in zip(*(columns[c] for c in ("texts", "known", "base", "score"))):
+        at = np.frombuffer(texts, "u2")
+        known[at] += np.frombuffer(k, "u4")
+        base[at] += np.frombuffer(b, "f8")
+        score[at] += np.frombuffer(s, "f8")
+    return pa.table([
+        pa.array(ids, mask=nulls), pa.array(tokens), pa.array(known),
+        pa.array(np.full(len(ids), columns["total"][head], "i8")), pa.array(base), pa.array(score),
+    ], names=[part.split()[0] for part in _SCORED.split(", ")])
 
 
 def _types(counts: np.ndarray) -> float:
@@ -548,15 +578,7 @@ def score(docs: DataFrame, train, s: Settings = Settings()) -> DataFrame:
     )
     answers = told.filter("shard >= 0").unionAll(common)
     parts = cells.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(
-        lambda own, told: _scores(own, told, plan) if own.num_rows else _no_scores(), _SCORED
+        lambda own, told: _scores(own, told, plan) if own.num_rows
+        else _table([], _PART_NAMES, _PART_TYPES), _PART
     )
-    return parts.groupBy("text").agg(
-        F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"),
-        F.sum("n_known").alias("n_known"), F.max("train_tokens").alias("train_tokens"),
-        F.sum("base_score").alias("base_score"), F.sum("score").alias("score"),
-    ).drop("text")
-
-
-def _no_scores() -> pa.Table:
-    kinds = [pa.int64()] * 4 + [pa.float64()] * 2 + [pa.int64()]
-    return _table([], _SCORED_NAMES, kinds)
+    return parts.groupBy("block").applyInArrow(_added_up, _SCORED)
