@@ -6,6 +6,7 @@ from them.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,13 +41,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _llm() -> tuple[dict[str, Query], dict[str, str]]:
-    """Queries and SQL of the subpackage ``llm`` and of the pipeline, where they exist."""
+    """Queries and SQL of the subpackage ``llm`` and of the pipeline, where they can be
+    imported; what is missing otherwise is told in a warning."""
     try:
         import corpus_pipeline
         from tasador.llm import queries as llm
     except ModuleNotFoundError as missing:
         if missing.name not in ("corpus_pipeline", "tasador.llm"):
-            raise
+            warnings.warn(f"no queries of tasador.llm: {missing}", stacklevel=2)
         return {}, {}
     return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, llm.ORACLES
 
