@@ -15,14 +15,13 @@ from pyspark.sql import functions as F
 import oracles
 from tasador.functions import geo, markup, parsing, scoring
 from tasador.functions.markup import Element
-from tasador.layers import bronze_layer, gold_layer, place_layer, silver_layer
+from tasador.layers import bronze_layer, gold_layer, place_layer, refreshed_store, silver_layer
 from tasador.operators import (
     cleaning, extraction, indexes, lookups, radius, sampling, serving, validation,
 )
 from tasador.plans.workspace import fresh_path, materialize
 from tasador.schemas import BRONZE_CSV, INCOMING, SILVER
 from tasador.sources import listings, readers, snapshots, writers
-from tasador.streaming.refresh import ListingStore
 
 KEY = ["url", "scrape_date"]
 CENTER = (40.4168, -3.7038)
@@ -241,28 +240,16 @@ def q_publish_rollback(spark, sf_dir):
     return per_date(running, "first").unionAll(per_date(spark.table("gold_versions"), "second"))
 
 
-def _refreshed(spark, sf_dir) -> ListingStore:
-    """A store after three runs: most listings; new ones and other copies of early dates; the
-    second run again."""
-    store = ListingStore(spark, fresh_path(spark, "listings"))
-    rows = cleaning.clean(bronze_layer(spark, sf_dir))
-    late = (F.col("scrape_date") < "1996") & (F.col("rooms") == 1)
-    store.refresh(rows.filter(~F.coalesce(late, F.lit(False))), "first")
-    for _ in range(2):
-        store.refresh(rows.filter(late), "second")
-    return store
-
-
 @_register
 def q_refreshed_silver(spark, sf_dir):
     """D1 over several runs: the latest copies, as of one run over all rows."""
-    return _refreshed(spark, sf_dir).table("silver")
+    return refreshed_store(spark, sf_dir).table("silver")
 
 
 @_register
 def q_refreshed_gold(spark, sf_dir):
     """W4 over several runs: index A and ranks, as of a full rebuild."""
-    return _steady(_refreshed(spark, sf_dir).table("gold"), AVERAGE)
+    return _steady(refreshed_store(spark, sf_dir).table("gold"), AVERAGE)
 
 
 @_register
