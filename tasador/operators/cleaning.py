@@ -1,13 +1,17 @@
 """Bronze to Silver: parse, keep valid rows, normalise, keep the latest copy."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasador.functions import parsing as P
+from tasador.plans.joins import DEFAULT_LIMITS
 from tasador.schemas import SILVER
 
 LISTING_KEY = ("url", "scrape_date")
 
+#: Buckets of keys that are counted to find keys with very many copies.
+KEY_BUCKETS = 4096
+
 
 def parse_values(raw: DataFrame) -> DataFrame:
     return raw.withColumns({
@@ -27,18 +31,39 @@ def normalize_names(df: DataFrame) -> DataFrame:
     })
 
 
+def _crowded(df: DataFrame, bucket: Column, hot_rows: int) -> list[int]:
+    """Buckets with more rows than twice an even share and those of a hot key; at most
+    ``KEY_BUCKETS`` counts reach the driver."""
+    counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")).collect()
+    usual = 2 * sum(r["n"] for r in counts) // KEY_BUCKETS
+    return sorted(r["bucket"] for r in counts if r["n"] > usual + hot_rows)
+
+
 def latest_copy(
-    df: DataFrame, keys: tuple[str, ...] = LISTING_KEY, latest: str = "scraped_at"
+    df: DataFrame, keys: tuple[str, ...] = LISTING_KEY, latest: str = "scraped_at",
+    hot_rows: int = DEFAULT_LIMITS.hot_rows,
 ) -> DataFrame:
     """One row per key: the one with the greatest ``latest``, then the greatest values.
 
     The order covers every column, so the survivor never depends on the
-    partitioning. As an aggregate it reduces each key before the shuffle: a key
-    with a third of all rows sends one row per task.
+    partitioning. Rows are sorted once, after their shuffle, where a task's share
+    is bounded; sorted before it, whole splits of well compressed files would
+    spill. Keys that may have more than ``hot_rows`` copies, found by counting
+    buckets of keys, are combined before their shuffle: such a key sends one row
+    per task. The keys are read once more for the count, so pass rows that are cheap to read.
     """
     rest = [c for c in df.columns if c not in (*keys, latest)]
-    chosen = F.max(F.struct(latest, *rest)).alias("_row")
-    return df.groupBy(*keys).agg(chosen).select(*keys, "_row.*").select(*df.columns)
+
+    def best(rows: DataFrame) -> DataFrame:
+        chosen = F.max(F.struct(latest, *rest)).alias("_row")
+        return rows.groupBy(*keys).agg(chosen).select(*keys, "_row.*").select(*df.columns)
+
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int")
+    crowded = _crowded(df, bucket, hot_rows)
+    if not crowded:
+        return best(df.repartition(*keys))
+    hot = bucket.isin(crowded)
+    return best(df.filter(~hot).repartition(*keys)).unionAll(best(df.filter(hot)))
 
 
 def copy_counts(df: DataFrame, keys: tuple[str, ...] = LISTING_KEY) -> DataFrame:

@@ -235,6 +235,26 @@ def test_deduplication_combines_before_its_shuffle(spark, sf_dir):
     assert "partial_max" in text and "Window" not in text
 
 
+def test_deduplication_sorts_after_its_shuffle(spark, sf_dir):
+    """A task sorts its share of the shuffle, never a whole split of a stored layer."""
+    text = plan(contract.queries()["q_dedup_latest"](spark, sf_dir), "simple")
+    above, below = text.split("Exchange hashpartitioning(url")
+    assert "Sort" in above and "Sort" not in below
+
+
+def test_hot_copies_are_combined_before_their_shuffle(spark):
+    """A third of all rows are copies of one listing: one row per task of them is shuffled."""
+    n = F.col("id")
+    rows = materialize(spark.range(90_000).select(
+        F.when(n % 3 == 0, "hot").otherwise((n % 20_000).cast("string")).alias("url"),
+        F.lit("d").alias("scrape_date"), (n * 7919 % 90_000).alias("scraped_at"), n.alias("v")), "copies")
+    plain = bag(cleaning.latest_copy(rows))
+    found = cleaning.latest_copy(rows, hot_rows=10_000)
+    text = plan(found, "simple")
+    assert "Union" in text and text.count("REPARTITION_BY_COL") == 1
+    assert bag(found) == plain and len(plain) == 20_001
+
+
 @pytest.mark.parametrize("name", [q for q in sorted(contract.queries()) if q.startswith("q_")])
 def test_no_query_leaves_the_engine(spark, sf_dir, name):
     text = plan(contract.queries()[name](spark, sf_dir), "simple")
