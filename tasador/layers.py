@@ -24,12 +24,12 @@ _written: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
 
 def _layer(
     spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
-    partition_by: tuple[str, ...] = ("scrape_date",),
+    partition_by: tuple[str, ...] = ("scrape_date",), laid_out: bool = False,
 ) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
         layer = build()
-        path, _ = store(layer, name, partition_by)
+        path, _ = store(layer, name, partition_by, laid_out)
         _written[key] = path, read_stored(spark, path, layer.schema)
     path, scan = _written[key]
     # Another session of the application reads the same files with its own scan.
@@ -37,12 +37,16 @@ def _layer(
 
 
 def bronze_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw listings."""
-    return _layer(spark, sf_dir, "bronze", lambda: raw_listings(spark, sf_dir))
+    """The raw listings. Their readers take all dates, so the files are not laid out by date
+    and the rows are not shuffled for it."""
+    return _layer(spark, sf_dir, "bronze", lambda: raw_listings(spark, sf_dir), partition_by=())
 
 
 def silver_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _layer(spark, sf_dir, "silver", lambda: silver(bronze_layer(spark, sf_dir)))
+    """Silver by date; the shuffle that removes the copies lays out the files as well."""
+    return _layer(spark, sf_dir, "silver", lambda: silver(
+        bronze_layer(spark, sf_dir), lay_out_by="scrape_date"
+    ), laid_out=True)
 
 
 def gold_layer(spark: SparkSession, sf_dir: str) -> DataFrame:

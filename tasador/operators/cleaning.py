@@ -4,13 +4,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasador.functions import parsing as P
-from tasador.plans.joins import DEFAULT_LIMITS
+from tasador.plans.joins import DEFAULT_LIMITS, lookup_join
+from tasador.plans.workspace import materialize_measured
 from tasador.schemas import SILVER
 
 LISTING_KEY = ("url", "scrape_date")
 
 #: Buckets of keys that are counted to find keys with very many copies.
 KEY_BUCKETS = 4096
+#: Rows of one date that a file takes, before copies are removed.
+PART_ROWS = 100_000
 
 
 def parse_values(raw: DataFrame) -> DataFrame:
@@ -41,7 +44,8 @@ def _crowded(df: DataFrame, bucket: Column, hot_rows: int) -> list[int]:
 
 def latest_copy(
     df: DataFrame, keys: tuple[str, ...] = LISTING_KEY, latest: str = "scraped_at",
-    hot_rows: int = DEFAULT_LIMITS.hot_rows,
+    hot_rows: int = DEFAULT_LIMITS.hot_rows, lay_out_by: str | None = None,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """One row per key: the one with the greatest ``latest``, then the greatest values.
 
@@ -51,19 +55,34 @@ def latest_copy(
     spill. Keys that may have more than ``hot_rows`` copies, found by counting
     buckets of keys, are combined before their shuffle: such a key sends one row
     per task. The keys are read once more for the count, so pass rows that are cheap to read.
+
+    With ``lay_out_by``, one of the keys, the rows of its values leave the same shuffle
+    together and in order, ``part_rows`` of a value in a task, ready to be written by it.
     """
-    rest = [c for c in df.columns if c not in (*keys, latest)]
+    columns = df.columns
+    rest = [c for c in columns if c not in (*keys, latest)]
+    shuffle, group = list(keys), list(keys)
+    if lay_out_by is not None:
+        others = [k for k in keys if k != lay_out_by]
+        parts, size = materialize_measured(df.groupBy(lay_out_by).agg(
+            F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias("_parts")
+        ), "parts")
+        df = lookup_join(df, parts, [lay_out_by], others, "inner", lookup_bytes=size).withColumn(
+            "_part", F.pmod(F.xxhash64(*others), F.col("_parts")).cast("int")
+        ).drop("_parts")
+        # The part follows from the key, so it divides no group.
+        shuffle, group = [lay_out_by, "_part"], [lay_out_by, "_part", *others]
 
     def best(rows: DataFrame) -> DataFrame:
         chosen = F.max(F.struct(latest, *rest)).alias("_row")
-        return rows.groupBy(*keys).agg(chosen).select(*keys, "_row.*").select(*df.columns)
+        return rows.groupBy(*group).agg(chosen).select(*keys, "_row.*").select(*columns)
 
     bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int")
     crowded = _crowded(df, bucket, hot_rows)
     if not crowded:
-        return best(df.repartition(*keys))
+        return best(df.repartition(*shuffle))
     hot = bucket.isin(crowded)
-    return best(df.filter(~hot).repartition(*keys)).unionAll(best(df.filter(hot)))
+    return best(df.filter(~hot).repartition(*shuffle)).unionAll(best(df.filter(hot)))
 
 
 def copy_counts(df: DataFrame, keys: tuple[str, ...] = LISTING_KEY) -> DataFrame:
@@ -83,5 +102,5 @@ def clean(raw: DataFrame) -> DataFrame:
     ).select(*SILVER.fieldNames())
 
 
-def silver(raw: DataFrame) -> DataFrame:
-    return latest_copy(clean(raw))
+def silver(raw: DataFrame, lay_out_by: str | None = None) -> DataFrame:
+    return latest_copy(clean(raw), lay_out_by=lay_out_by)

@@ -70,11 +70,14 @@ def materialize_measured(
     return read_stored(df.sparkSession, path, df.schema), size
 
 
-def store(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> tuple[str, int]:
-    """Write ``df`` to the shared folder; returns its path and the size of its rows."""
+def store(
+    df: DataFrame, name: str, partition_by: tuple[str, ...] = (), laid_out: bool = False
+) -> tuple[str, int]:
+    """Write ``df`` to the shared folder; returns its path and the size of its rows. Rows that
+    are ``laid_out`` already lie together by ``partition_by`` and are not shuffled."""
     path = fresh_path(df.sparkSession, name)
     size = Observation()
-    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    rows = df.hint("rebalance", *partition_by) if partition_by and not laid_out else df
     rows.observe(size, *_size_columns(df)).write.partitionBy(*partition_by).parquet(path)
     return path, size.get["bytes"]
 

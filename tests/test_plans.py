@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tasador.functions.geo import place_key
-from tasador.layers import gold_layer, place_layer, silver_layer
+from tasador.layers import bronze_layer, gold_layer, place_layer, silver_layer
 from tasador.operators import cleaning, indexes, lookups, radius, serving
 from tasador.plans.joins import Limits, grid_join, lookup_join
 from tasador.plans.workspace import materialize, measured_bytes, shared_dir
@@ -255,6 +255,23 @@ def test_hot_copies_are_combined_before_their_shuffle(spark):
     assert bag(found) == plain and len(plain) == 20_001
 
 
+def test_silver_is_laid_out_by_the_shuffle_that_removes_copies(spark, sf_dir):
+    """One shuffle, whose order serves the aggregate and the files by date."""
+    rows = cleaning.clean(bronze_layer(spark, sf_dir))
+    found = cleaning.latest_copy(rows, lay_out_by="scrape_date", part_rows=300)
+    text = plan(found, "simple")
+    assert text.count("Exchange hashpartitioning(") == 1 and text.count("+- Sort [") == 1
+    assert bag(found) == bag(cleaning.latest_copy(rows))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        places = found.select("scrape_date", F.spark_partition_id().alias("task")).distinct()
+        assert max(Counter(r["scrape_date"] for r in places.collect()).values()) > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert "rebalance" not in plan(bronze_layer(spark, sf_dir), "simple").lower()
+    assert not any("scrape_date=" in f for f in bronze_layer(spark, sf_dir).inputFiles())
+
+
 @pytest.mark.parametrize("name", [q for q in sorted(contract.queries()) if q.startswith("q_")])
 def test_no_query_leaves_the_engine(spark, sf_dir, name):
     text = plan(contract.queries()[name](spark, sf_dir), "simple")
