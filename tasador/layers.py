@@ -16,8 +16,8 @@ from tasador.sources.listings import raw_listings
 from tasador.sources.writers import write_gold_by_place
 from tasador.streaming.refresh import ListingStore
 
-#: Ranges of the layout by place; at scale, Gold's size divided by that of a good file.
-PLACE_FILES = 16
+#: Ranges of the layout by place, at least, and the rows that one takes.
+PLACE_FILES, PLACE_ROWS = 16, 500_000
 
 _written: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
 
@@ -53,12 +53,17 @@ def gold_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _layer(spark, sf_dir, "gold", lambda: index_a(silver_layer(spark, sf_dir)))
 
 
+def place_files(rows: int) -> int:
+    return max(PLACE_FILES, -(-rows // PLACE_ROWS))
+
+
 def place_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mappable Gold rows, laid out by place."""
     key = (spark.sparkContext.applicationId, sf_dir, "place")
     if key not in _written:
         path, gold = fresh_path(spark, "gold-by-place"), gold_layer(spark, sf_dir)
-        write_gold_by_place(gold, path, PLACE_FILES)
+        # Counted from the files' footers.
+        write_gold_by_place(gold, path, place_files(gold.count()))
         _written[key] = path, read_stored(spark, path, gold.schema)
     path, scan = _written[key]
     return scan if scan.sparkSession is spark else read_stored(spark, path, scan.schema)

@@ -13,6 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tasador.functions.geo import place_key
 from tasador.functions.parsing import source_slug
+from tasador.operators.radius import mappable
 from tasador.operators.validation import TYPE_PROBLEM, check_records
 from tasador.plans.workspace import materialize
 from tasador.schemas import BRONZE, GOLD, INCOMING, SILVER
@@ -171,7 +172,7 @@ def write_gold_by_place(gold: DataFrame, path: str, tasks: int, group_bytes: int
     Pass stored rows: the plan runs a second time for the ranges' bounds.
     """
     key = place_key(F.col("latitude"), F.col("longitude"))
-    placed = gold.select(*GOLD.fieldNames()).filter(key.isNotNull()).withColumn("_place", key)
+    placed = mappable(gold.select(*GOLD.fieldNames())).withColumn("_place", key)
     dealt = placed.repartitionByRange(tasks, "_place", "url", "scrape_date").sortWithinPartitions(
         "_place", "url", "scrape_date"
     ).drop("_place")

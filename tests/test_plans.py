@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tasador.functions.geo import place_key
-from tasador.layers import bronze_layer, gold_layer, place_layer, silver_layer
+from tasador.layers import bronze_layer, gold_layer, place_files, place_layer, silver_layer
 from tasador.operators import cleaning, indexes, lookups, radius, serving
 from tasador.plans.joins import Limits, grid_join, lookup_join
 from tasador.plans.workspace import materialize, measured_bytes, shared_dir
@@ -123,6 +123,13 @@ def test_place_key_interleaves_bits(spark):
         assert r.k == sum((lat >> i & 1) << (2 * i + 1) | (lon >> i & 1) << (2 * i) for i in range(16))
 
 
+def test_place_layout_grows_with_the_rows(spark):
+    """Ranges of bounded size, and a key that holds each coordinate once."""
+    assert [place_files(n) for n in (0, 43_000, 8_000_000, 157_000_000)] == [16, 16, 16, 314]
+    key = spark.range(1).select(place_key(F.col("id").cast("double"), F.lit(1.5)).alias("k"))
+    assert plan(key, "simple").split("== Physical Plan ==")[1].count("FLOOR") <= 1
+
+
 def test_hot_key_is_spread_over_tasks(spark, skewed):
     lookup = spark.createDataFrame([("hot", 1)], "k string, v int")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
