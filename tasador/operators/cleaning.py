@@ -67,8 +67,10 @@ def latest_copy(
         parts, size = materialize_measured(df.groupBy(lay_out_by).agg(
             F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias("_parts")
         ), "parts")
-        df = lookup_join(df, parts, [lay_out_by], others, "inner", lookup_bytes=size).withColumn(
-            "_part", F.pmod(F.xxhash64(*others), F.col("_parts")).cast("int")
+        # Left: no row goes if a second reading of ``df`` has a value that the first had not.
+        known = F.coalesce("_parts", F.lit(1))
+        df = lookup_join(df, parts, [lay_out_by], others, "left", lookup_bytes=size).withColumn(
+            "_part", F.pmod(F.xxhash64(*others), known).cast("int")
         ).drop("_parts")
         # The part follows from the key, so it divides no group.
         shuffle, group = [lay_out_by, "_part"], [lay_out_by, "_part", *others]

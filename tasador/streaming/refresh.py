@@ -22,7 +22,8 @@ change at once; a run that fails before leaves nothing that is read. Manifests
 are numbered and created once, so of two runs at a time one fails and can be
 repeated. A batch id that was taken before changes nothing.
 
-The driver holds the manifest and the dates and buckets a run touches. Prices
+The rows of a run are read several times, so pass stored ones. The driver holds the
+manifest and the dates and buckets a run touches. Prices
 per m² beyond 10 ** 27 are left out of averages.
 """
 
@@ -142,7 +143,8 @@ class ListingStore:
 
         bucket = F.pmod(F.xxhash64("url"), F.lit(self.buckets)).cast("int")
         batch = materialize(
-            latest_copy(cleaned.select(*SILVER.fieldNames())).withColumn("bucket", bucket), "run-rows"
+            latest_copy(cleaned.select(*SILVER.fieldNames()), lay_out_by=DATE).withColumn("bucket", bucket),
+            "run-rows",
         )
         # One row for each date and bucket.
         touched = {(r[DATE], r["bucket"]) for r in batch.select(DATE, "bucket").distinct().collect()}
