@@ -24,11 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tasador.llm.texts import chunks, mix, powers, signed
+from tasador.llm.texts import chunks, give_back, mix, powers, signed
 from tasador.plans.workspace import materialize
 
 UNKNOWN = "und"
 
+#: Bytes of text worked on at once: a dozen arrays have eight bytes for each sign.
+_TOGETHER = 512 << 10
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -113,7 +116,7 @@ def _grams(signs: np.ndarray, rows: np.ndarray, orders: tuple[int, ...]):
 
 
 def _count(batches: Iterator[pa.RecordBatch], orders) -> Iterator[pa.RecordBatch]:
-    for batch in chunks(batches):
+    for batch in chunks(batches, limit=_TOGETHER):
         langs = batch.column("lang").to_pylist()
         names = sorted(set(langs))
         code = np.asarray([names.index(x) for x in langs])
@@ -126,6 +129,7 @@ def _count(batches: Iterator[pa.RecordBatch], orders) -> Iterator[pa.RecordBatch
                     "gram": pa.array(signed(found)),
                     "n": pa.array(n.astype("i8")),
                 })
+    give_back()
 
 
 def train(labelled: DataFrame, settings: Settings = Settings()) -> Model:
@@ -207,7 +211,7 @@ def _scores(texts: list[str | None], model: Model, expected: np.ndarray):
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model, names) -> Iterator[pa.RecordBatch]:
     expected = model.false_positives()
-    for batch in chunks(batches):
+    for batch in chunks(batches, limit=_TOGETHER):
         texts = batch.column("text").to_pylist()
         pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
         covered = np.zeros(len(texts))
@@ -222,6 +226,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model, names) -> Iterator
             [*batch.columns, pa.array(pred, pa.string()), pa.array(np.clip(score, 0.0, 1.0)),
              pa.array(np.clip(covered, 0.0, 1.0))], names=names,
         )
+    give_back()
 
 
 def identify(docs: DataFrame, model: Model, prefix: str = "") -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tasador.llm.texts import chunks
+from tasador.llm.texts import chunks, give_back
 
 
 @dataclass(frozen=True)
@@ -73,8 +73,8 @@ def _encoder(s: Settings):
 #: A single space between signs that aren't white space always begins a new
 #: piece of the vocabulary's pattern, so such texts are encoded word by word.
 _IRREGULAR = r"(^ )|( $)|( [\s\pZ\x{85}\x0b\x1c-\x1f])|([\s\pZ\x{85}\x0b\x1c-\x1f] )"
-#: Text that shares a vocabulary of distinct words.
-_TOGETHER = 8 << 20
+#: Bytes of text that share a vocabulary of distinct words; arrays of ids grow with it.
+_TOGETHER = 1 << 20
 
 
 @cache
@@ -134,7 +134,11 @@ def encode(texts: pa.Array, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     places = np.cumsum(sizes) - sizes
     length = sizes[codes]
     ends = np.cumsum(length)
-    at = np.repeat(places[codes] - (ends - length), length) + np.arange(length.sum())
+    total = int(length.sum())
+    # Four bytes for each place, unless one text alone is longer than they count.
+    kind = "i4" if max(total, len(ids)) < 1 << 31 else "i8"
+    at = np.repeat((places[codes] - (ends - length)).astype(kind), length)
+    at += np.arange(total, dtype=kind)
     return ids[at], np.concatenate([[0], ends])[starts]
 
 
@@ -278,8 +282,12 @@ def _pack_rows(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.Re
             if own.tokens >= s.group_tokens:
                 own.pack()
                 yield own.batch()
+        # The next text's arrays are made before these names take them.
+        del ids, starts
     own.pack()
     yield own.batch()
+    # The worker is used again; what it has freed goes back to the executor.
+    give_back()
 
 
 def pack_documents(docs: DataFrame, s: Settings) -> DataFrame:

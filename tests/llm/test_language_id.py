@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tasador.llm import language_id as L
@@ -67,3 +70,24 @@ def test_one_letter_at_the_end_is_a_text(spark, docs):
     model = L.train(spark.createDataFrame(train * 2, DOC_SCHEMA))
     ends = spark.createDataFrame([(1, "ba", None, "s", 1), (2, "be", None, "s", 1)], DOC_SCHEMA)
     assert {r["doc_id"]: r["lang_pred"] for r in L.identify(ends, model).collect()} == {1: "q", 2: "p"}
+
+
+def test_memory_of_a_batch_is_bounded():
+    """4 MB of text in one batch: worked on in parts, with the results of single rows."""
+    rng = np.random.default_rng(4)
+    model = L.Model(("p", "q"), rng.integers(0, 4, (1, 1 << 18)).astype("u8"), L.Settings())
+    texts = [prose("de", 150, rng) for _ in range(20)] * 250
+    names = ["text", "lang_pred", "score", "covered"]
+
+    def predicted(rows):
+        batch = pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], names=["text"])
+        return [r for b in L._predict(iter([batch]), model, names) for r in b.to_pylist()]
+
+    single = [predicted([t])[0] for t in texts[:20]]
+    assert sum(len(t) for t in texts) > 4 << 20
+    tracemalloc.start()
+    found = predicted(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == single * 250
+    assert peak < 100 << 20, peak >> 20

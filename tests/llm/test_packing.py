@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -92,3 +93,24 @@ def test_step_groups_are_balanced():
     groups = P.step_groups(sizes, 16_384)
     sums = np.bincount(groups, weights=sizes)
     assert sums.max() - sums.min() <= 2048
+
+
+def test_memory_of_a_batch_is_bounded(monkeypatch):
+    """8 MB of text in one batch: the arrays of ids are made for a part of it at a time."""
+    rng = np.random.default_rng(5)
+    word = np.char.mod("w%d", rng.integers(0, 30_000, 400_000))
+    text = " ".join(word.tolist())
+    rows = [text[i : i + 2_000] for i in range(0, len(text), 2_000)] * 4
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(rows)), pa.int64()), pa.array(rows, pa.string())], names=["doc_id", "text"]
+    )
+    assert sum(map(len, rows)) > 8 << 20
+    monkeypatch.setattr(P.TaskContext, "get", classmethod(lambda cls: type("T", (), {"partitionId": lambda self: 0})()))
+    s = P.public_settings()
+    P.encode(batch.column("text").slice(0, 1), s)
+    tracemalloc.start()
+    packed = sum(sum(b.column("length").to_pylist()) for b in P._pack_rows(iter([batch]), s))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert packed == sum(len(ids) for ids in map(P._encoder(s).encode_ordinary, rows)) + len(rows)
+    assert peak < 64 << 20, peak >> 20
