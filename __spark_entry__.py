@@ -664,8 +664,8 @@ def q_save_records(spark, sf_dir):
 def q_gold_replaced(spark, sf_dir):
     """K4: a full rebuild that has lost a day leaves nothing of that day."""
     path, gold = fresh_path(spark, "gold-replaced"), gold_layer(spark, sf_dir)
-    writers.write_gold(gold, path)
-    writers.write_gold(gold.filter("scrape_date <> '1998-03'"), path, replace_all=True)
+    writers.write_gold(gold, path, laid_out=True)
+    writers.write_gold(gold.filter("scrape_date <> '1998-03'"), path, replace_all=True, laid_out=True)
     return readers.read_gold(spark, path).groupBy("scrape_date").agg(F.count("*").alias("n"))
 
 

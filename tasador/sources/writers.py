@@ -142,18 +142,23 @@ def write_silver(silver: DataFrame, path: str, replace_all: bool = False) -> int
 
 
 def write_gold(
-    gold: DataFrame, path: str, tasks: int | None = None, replace_all: bool = False
+    gold: DataFrame, path: str, tasks: int | None = None, replace_all: bool = False,
+    laid_out: bool = False,
 ) -> int:
     """Replace the written dates, or after a full rebuild all of them, files ordered by rank;
     returns the row count.
 
     Small days share a task and a large one is split. With ``tasks`` the rows are
     cut into that many ranges, the url included; then the plan runs a second
-    time for the ranges' bounds, so pass stored rows.
+    time for the ranges' bounds, so pass stored rows. Rows that are ``laid_out`` already
+    lie together by date, as in a stored layer, and are not shuffled.
     """
     order = ["scrape_date", "rank", "url"]
     rows = gold.select(*GOLD.fieldNames())
-    dealt = rows.hint("rebalance", "scrape_date") if tasks is None else rows.repartitionByRange(tasks, *order)
+    if tasks is not None:
+        dealt = rows.repartitionByRange(tasks, *order)
+    else:
+        dealt = rows if laid_out else rows.hint("rebalance", "scrape_date")
     rows, written = _counted(dealt.sortWithinPartitions(*order))
     (
         rows.write.mode("overwrite")

@@ -11,7 +11,7 @@ from tasador.layers import bronze_layer, gold_layer, place_files, place_layer, s
 from tasador.operators import cleaning, indexes, lookups, radius, serving
 from tasador.plans.joins import Limits, grid_join, lookup_join
 from tasador.plans.workspace import materialize, measured_bytes, shared_dir
-from tasador.sources import listings
+from tasador.sources import listings, readers, writers
 
 SPREAD = Limits(broadcast_bytes=0, hot_rows=40)
 SHUFFLED = Limits(broadcast_bytes=0)
@@ -284,3 +284,40 @@ def test_no_query_leaves_the_engine(spark, sf_dir, name):
     text = plan(contract.queries()[name](spark, sf_dir), "simple")
     for operator in ("EvalPython", "InPandas", "CartesianProduct", "NestedLoopJoin", "ExistingRDD"):
         assert operator not in text
+
+
+@pytest.mark.parametrize("part_rows", [3, 20, 100_000])
+@pytest.mark.parametrize("limits", [Limits(), SPREAD])
+def test_ranks_of_one_shuffle_equal_counting(spark, part_rows, limits):
+    """A value with very many rows, a range with many values, missing indexes, a small day."""
+    rows = [(f"a{i}", "1996-01", -1.0) for i in range(90)]
+    rows += [(f"b{i}", "1996-01", (100_000 + i % 30) / 1e6) for i in range(100)]
+    rows += [(f"c{i}", "1996-01", (i * 37_911 % 2_000_001 - 1_000_000) / 1e6) for i in range(80)]
+    rows += [(f"d{i}", "1996-01", None) for i in range(25)] + [("e", "1996-02", 1.0), ("f", "1996-02", 0.0)]
+    scored = materialize(spark.createDataFrame(rows, "url string, scrape_date string, opportunity_index double"), "scored")
+    found = {r["url"]: r["rank"] for r in indexes.laid_out_by_rank(scored, part_rows, limits).collect()}
+    low = -2.0
+    assert found == {
+        url: 1 + sum(d == day and (low if x is None else x) > (low if v is None else v) for _, d, x in rows)
+        for url, day, v in rows
+    }
+    assert len(found) == len(rows)
+
+
+def test_gold_is_ranked_and_written_without_a_shuffle_of_its_rows(spark, sf_dir, tmp_path):
+    silver = silver_layer(spark, sf_dir)
+    laid = indexes.index_a(silver, lay_out=True)
+    # The ranks are one stored table, the averages another; both are broadcast.
+    assert plan(laid, "simple").count("Exchange hashpartitioning(") == 0
+    columns = ["url", "scrape_date", "rank", "opportunity_index"]
+    expected = bag(indexes.index_a(silver).select(*columns))
+    assert bag(laid.select(*columns)) == bag(gold_layer(spark, sf_dir).select(*columns)) == expected
+    # Where they are too large, one shuffle by day and part ranks the rows.
+    ranked = indexes.index_a(silver, lay_out=True, limits=Limits(broadcast_bytes=0, hot_rows=10**9))
+    assert bag(ranked.select(*columns)) == expected
+    path = str(tmp_path / "gold")
+    assert writers.write_gold(laid, path, laid_out=True) == sum(expected.values())
+    back = readers.read_gold(spark, path)
+    assert bag(back.select(*columns)) == expected
+    files = back.select(F.input_file_name().alias("file"), "scrape_date").distinct().count()
+    assert files <= 2 * silver.select(F.input_file_name()).distinct().count()
