@@ -48,6 +48,8 @@ from tasador.plans.workspace import materialize
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOW = np.uint64(0xFFFFFFFF)
+#: Bytes of text worked on at once: a dozen arrays have eight bytes for each.
+_TOGETHER = 512 << 10
 
 
 @dataclass(frozen=True)
@@ -117,7 +119,7 @@ def sketch(sets: np.ndarray, rows: np.ndarray, n: int, size: int) -> np.ndarray:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
-    for batch in chunks(batches):
+    for batch in chunks(batches, limit=_TOGETHER):
         data, starts = flat(batch.column("text"))
         n = batch.num_rows
         sets, rows = shingle_sets(data, starts, s.shingle)
@@ -138,16 +140,18 @@ def _signatures(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.R
             ),
             pa.array([x.tobytes() for x in mix(cells).astype("u1").reshape(n, -1)], pa.binary()),
         ], names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"])
+    give_back()
 
 
 def _sets(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
-    for batch in chunks(batches):
+    for batch in chunks(batches, limit=_TOGETHER):
         sets, rows = shingle_sets(*flat(batch.column("text")), s.shingle)
         bounds = row_starts(rows, batch.num_rows)
         yield pa.RecordBatch.from_arrays([
             batch.column("doc_id"),
             pa.array([sets[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()),
         ], names=["doc_id", "shingles"])
+    give_back()
 
 
 def _verified(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:

@@ -67,7 +67,8 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     """``base`` to the power 0 .. n-1, modulo 2 to the 64."""
     known = _powers.get(int(base))
     if known is None or len(known) < n:
-        row = np.full(max(n, CHUNK_BYTES + 65536), base, "u8")
+        # As many as are asked for, and some more: a worker keeps them.
+        row = np.full(max(n + n // 8, 1 << 16), base, "u8")
         row[0] = 1
         known = np.cumprod(row, dtype="u8")
         if len(known) <= 8 * CHUNK_BYTES:

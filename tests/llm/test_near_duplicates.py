@@ -1,11 +1,15 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tasador.llm import components, minhash
+from tasador.llm import texts as T
 from tasador.llm.texts import mix
 
-from .conftest import DOC_SCHEMA, lower_words
+from .conftest import DOC_SCHEMA, lower_words, prose
 
 
 def shingles(text):
@@ -146,3 +150,29 @@ def test_candidates_grow_with_the_group(spark, monkeypatch):
         minhash.near_duplicates(spark.createDataFrame(edited(n, 2), "doc_id long, text string")).count()
     small, large = counts
     assert large < 8 * max(small, 400) and large < 1_600 * 1_599 / 2 / 50
+
+
+def test_memory_of_a_batch_is_bounded():
+    """4 MB of text in one batch, in parts: signatures of single rows, and few powers kept."""
+    rng = np.random.default_rng(6)
+    texts = [prose("de", 150, rng) for _ in range(20)] * 250
+    settings = minhash.Settings()
+
+    def signed_rows(rows):
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(range(len(rows)), pa.int64()), pa.array(rows, pa.string())], names=["doc_id", "text"]
+        )
+        return [
+            {k: v for k, v in r.items() if k != "doc_id"}
+            for b in minhash._signatures(iter([batch]), settings) for r in b.to_pylist()
+        ]
+
+    T._powers.clear()
+    single = [signed_rows([t])[0] for t in texts[:20]]
+    assert sum(p.nbytes for p in T._powers.values()) <= 2 << 20
+    tracemalloc.start()
+    found = signed_rows(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == single * 250
+    assert peak < 64 << 20, peak >> 20
