@@ -67,24 +67,39 @@ def latest_copy(
         parts, size = materialize_measured(df.groupBy(lay_out_by).agg(
             F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias("_parts")
         ), "parts")
-        # Left: no row goes if a second reading of ``df`` has a value that the first had not.
-        known = F.coalesce("_parts", F.lit(1))
-        df = lookup_join(df, parts, [lay_out_by], others, "left", lookup_bytes=size).withColumn(
-            "_part", F.pmod(F.xxhash64(*others), known).cast("int")
-        ).drop("_parts")
+        df = in_parts(df, parts, [lay_out_by], others, size)
         # The part follows from the key, so it divides no group.
         shuffle, group = [lay_out_by, "_part"], [lay_out_by, "_part", *others]
+    chosen = F.max(F.struct(latest, *rest)).alias("_row")
+    return combined(df, keys, shuffle, group, [chosen], hot_rows).select(*keys, "_row.*").select(*columns)
 
-    def best(rows: DataFrame) -> DataFrame:
-        chosen = F.max(F.struct(latest, *rest)).alias("_row")
-        return rows.groupBy(*group).agg(chosen).select(*keys, "_row.*").select(*columns)
 
+def in_parts(
+    df: DataFrame, parts: DataFrame, values: list[str], others: list[str], parts_bytes: int | None = None
+) -> DataFrame:
+    """Rows with their ``_part``: which of the ``_parts`` of their ``values`` takes them, by a
+    hash of ``others``."""
+    # Left: no row goes if a second reading of ``df`` has a value that the first had not.
+    known = F.coalesce("_parts", F.lit(1))
+    return lookup_join(df, parts, values, others, "left", lookup_bytes=parts_bytes).withColumn(
+        "_part", F.pmod(F.xxhash64(*others), known).cast("int")
+    ).drop("_parts")
+
+
+def combined(
+    df: DataFrame, keys: tuple[str, ...], shuffle: list[str], group: list[Column | str], aggregates: list[Column],
+    hot_rows: int = DEFAULT_LIMITS.hot_rows,
+) -> DataFrame:
+    """``aggregates`` of every group, which is one of ``keys``, after a shuffle by ``shuffle``;
+    only keys that may have more than ``hot_rows`` rows are combined before it."""
     bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int")
     crowded = _crowded(df, bucket, hot_rows)
     if not crowded:
-        return best(df.repartition(*shuffle))
+        return df.repartition(*shuffle).groupBy(*group).agg(*aggregates)
     hot = bucket.isin(crowded)
-    return best(df.filter(~hot).repartition(*shuffle)).unionAll(best(df.filter(hot)))
+    return df.filter(~hot).repartition(*shuffle).groupBy(*group).agg(*aggregates).unionAll(
+        df.filter(hot).groupBy(*group).agg(*aggregates)
+    )
 
 
 def copy_counts(df: DataFrame, keys: tuple[str, ...] = LISTING_KEY) -> DataFrame:

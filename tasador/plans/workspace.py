@@ -10,6 +10,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,9 @@ from pyspark.sql.types import StructType
 
 _local_dirs: dict[str, str] = {}
 
+#: Shuffle files go when their query ends; otherwise when the driver's memory is cleaned, which may be long after.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only in local mode."""
@@ -41,6 +46,20 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def without_leftovers(spark: SparkSession) -> Iterator[None]:
+    """Writes in this block delete their shuffle files at their end."""
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
+
+
 def _size_columns(df: DataFrame) -> list[Column]:
     """Aggregates for the size of the rows in memory: fixed parts and text lengths."""
     row = F.lit(16 + 16 * len(df.columns))
@@ -78,7 +97,9 @@ def store(
     path = fresh_path(df.sparkSession, name)
     size = Observation()
     rows = df.hint("rebalance", *partition_by) if partition_by and not laid_out else df
-    rows.observe(size, *_size_columns(df)).write.partitionBy(*partition_by).parquet(path)
+    with without_leftovers(df.sparkSession):
+        sized = rows.observe(size, *_size_columns(df))
+        sized.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
     return path, size.get["bytes"]
 
 

@@ -6,7 +6,9 @@ what a full rebuild over all runs would make them:
 * ``silver``: the latest copy of every listing, in buckets per date. A run looks
   its keys up in a Bloom filter for each bucket. Buckets that hold none of the keys
   get the new rows beside what they have, unread; the others are read, merged
-  and replaced.
+  and replaced. The run's rows are shuffled once, together with those that were read, and
+  lie by date and bucket then. The files also note what the run did with a row, for the
+  tables below, so no copy of the run or of its changes is stored.
 * ``filters``: the Bloom filters, 32,768 bits for each of ``chunks``.
 * ``groups``: sum and count of the price per m² for each neighbourhood and day. Sums
   are decimals, so what a changed listing adds or takes away leaves exactly what
@@ -22,7 +24,7 @@ change at once; a run that fails before leaves nothing that is read. Manifests
 are numbered and created once, so of two runs at a time one fails and can be
 repeated. A batch id that was taken before changes nothing.
 
-The rows of a run are read several times, so pass stored ones. The driver holds the
+The rows of a run are read several times, so pass stored ones that do not change. The driver holds the
 manifest and the dates and buckets a run touches. Prices
 per m² beyond 10 ** 27 are left out of averages.
 """
@@ -37,9 +39,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tasador.functions import scoring
-from tasador.operators.cleaning import LISTING_KEY, latest_copy
+from tasador.operators.cleaning import LISTING_KEY, PART_ROWS, combined, in_parts
 from tasador.plans.joins import DEFAULT_LIMITS, Limits, lookup_join
-from tasador.plans.workspace import materialize
+from tasador.plans.workspace import materialize, materialize_measured, without_leftovers
 from tasador.schemas import BIG, DBL, GOLD, INT, SILVER, STR
 from tasador.sources.batches import Folder, check_batch_id
 from tasador.sources.snapshots import DATE, _make_table, point_view
@@ -48,7 +50,11 @@ _RUNS, _DATA = "_runs", "data"
 _CHUNK_BITS = 32768  # of one bitmap of Spark's bitmap functions
 #: Bits that a key sets in its bucket's filter.
 _HASHES = 4
+#: Bits in a word of a bitmap.
+_WORD = 64
 _TOTAL = "decimal(38,10)"
+#: What a run did with a row: not asked for one in a bucket that it read, not changed, added, replaced.
+_KEPT, _SAME, _ADDED, _REPLACED = range(4)
 
 
 def _schema(**columns: T.DataType) -> T.StructType:
@@ -64,6 +70,9 @@ _SCHEMAS = {
     "values": _schema(opportunity_index=DBL, listings=BIG, scrape_date=STR),
     "gold": GOLD,
 }
+#: Silver's files also tell what their run did with a row, and what a replaced one was.
+_NOTES = _schema(_state=INT, _was=_schema(neighborhood=STR, price_per_sqm=DBL))
+_NOTED = T.StructType([*SILVER.fields, *_NOTES.fields, T.StructField("run", STR), T.StructField("bucket", INT)])
 _KEYS = {name: (DATE, "bucket") if name == "silver" else (DATE,) for name in _SCHEMAS}
 
 
@@ -91,19 +100,22 @@ class ListingStore:
 
     def _read(self, tables: dict, name: str, dates=None, parts=None) -> DataFrame:
         """A table, of all dates or some, or some of its parts; only their folders are listed."""
+        return self._scan(tables, name, _SCHEMAS[name], dates, parts)
+
+    def _scan(self, tables: dict, name: str, schema: T.StructType, dates=None, parts=None) -> DataFrame:
+        """``_read`` with other columns of the files."""
         wanted = None if dates is None else {f"{DATE}={_escaped(d)}" for d in dates}
         paths = [
             f"{self._folder.path}/{_DATA}/{name}/run={run}/{part}"
             for part, runs in sorted(tables[name].items()) for run in runs
             if (parts is None or part in parts) and (wanted is None or part.split("/")[0] in wanted)
         ]
-        schema = _SCHEMAS[name]
         if not paths:
             nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
             return self.spark.range(0).select(*nothing)
-        full = T.StructType([*schema.fields, T.StructField("run", STR)])
-        if name == "silver":
-            full.add(T.StructField("bucket", INT))
+        known = {*schema.fieldNames()}
+        folders = [T.StructField("run", STR), *([T.StructField("bucket", INT)] if name == "silver" else [])]
+        full = T.StructType([*schema.fields, *[f for f in folders if f.name not in known]])
         base = f"{self._folder.path}/{_DATA}/{name}"
         return self.spark.read.schema(full).option("basePath", base).parquet(*paths).select(
             *schema.fieldNames()
@@ -118,10 +130,16 @@ class ListingStore:
 
     def _write(self, tables: dict, name: str, rows: DataFrame, run: str, replaced) -> None:
         """Write new folders and enter them; parts in ``replaced`` lose their old ones."""
-        keys = _KEYS[name]
+        self._enter(tables, name, self._put(name, rows.hint("rebalance", *_KEYS[name]), run), run, replaced)
+
+    def _put(self, name: str, rows: DataFrame, run: str) -> set[str]:
+        """Write new folders of rows that lie together by the table's keys; returns the parts."""
         path = f"{_DATA}/{name}/run={run}"
-        rows.hint("rebalance", *keys).write.partitionBy(*keys).parquet(f"{self._folder.path}/{path}")
-        parts = {f.rpartition("/")[0] for f in self._folder.files(path) if f.endswith(".parquet")} - {""}
+        with without_leftovers(self.spark):
+            rows.write.partitionBy(*_KEYS[name]).option("compression", "zstd").parquet(f"{self._folder.path}/{path}")
+        return {f.rpartition("/")[0] for f in self._folder.files(path) if f.endswith(".parquet")} - {""}
+
+    def _enter(self, tables: dict, name: str, parts: set[str], run: str, replaced) -> None:
         own = tables[name]
         for part in list(own):
             if replaced(part):
@@ -141,27 +159,19 @@ class ListingStore:
         tables = {name: {p: list(r) for p, r in own.items()} for name, own in before["tables"].items()}
         run = uuid.uuid4().hex
 
-        bucket = F.pmod(F.xxhash64("url"), F.lit(self.buckets)).cast("int")
-        batch = materialize(
-            latest_copy(cleaned.select(*SILVER.fieldNames()), lay_out_by=DATE).withColumn("bucket", bucket),
-            "run-rows",
-        )
+        batch = self._bucketed(cleaned.select(*SILVER.fieldNames()))
         # One row for each date and bucket.
-        touched = {(r[DATE], r["bucket"]) for r in batch.select(DATE, "bucket").distinct().collect()}
-        dates = sorted({d for d, _ in touched})
+        sizes = materialize(batch.groupBy(DATE, "bucket").agg(F.count(F.lit(1)).alias("rows")), "run-sizes")
+        dates = sorted({r[DATE] for r in sizes.select(DATE).distinct().collect()})
         held = {_part(d, b) for d, b in self._may_hold(tables, batch, dates)}
-        changes = self._merge(tables, batch, held, run)
-        counts = changes.agg(
-            F.count_if(F.col("old").isNull()).alias("added"), F.count("old").alias("replaced")
-        ).first()
+        noted, counts = self._merge(tables, batch, sizes, held, dates, run)
         days = {f"{DATE}={_escaped(d)}" for d in dates}
+        changes = noted.filter(F.col("_state").isin(_ADDED, _REPLACED)).select(
+            *LISTING_KEY, F.struct("neighborhood", "price_per_sqm").alias("new"), F.col("_was").alias("old")
+        )
         if counts["added"] + counts["replaced"]:
             self._index(before["tables"], tables, changes, dates, run, lambda part: part in days)
-        total = counts["added"] + counts["replaced"]
-        taken = {
-            "added": counts["added"], "replaced": counts["replaced"],
-            "unchanged": batch.count() - total, "buckets_read": len(held), "dates": len(dates),
-        }
+        taken = {**counts, "buckets_read": len(held), "dates": len(dates)}
         manifest = {
             "run": before["run"] + 1, "tables": tables,
             "batches": {**before["batches"], batch_id: taken},
@@ -170,18 +180,25 @@ class ListingStore:
             raise ConcurrentRun(f"run {manifest['run']} took effect meanwhile")
         return taken
 
+    def _bucketed(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("bucket", F.pmod(F.xxhash64("url"), F.lit(self.buckets)).cast("int"))
+
     def _addresses(self, rows: DataFrame) -> DataFrame:
         """Chunk and bit of every hash of a key."""
         def place(i):
             at = F.pmod(F.xxhash64("url", F.lit(i)), F.lit(self.chunks * _CHUNK_BITS))
             return F.struct(
-                F.floor(at / _CHUNK_BITS).cast("int").alias("chunk"), (at % _CHUNK_BITS).alias("bit")
+                F.lit(i).alias("hash"), F.floor(at / _CHUNK_BITS).cast("int").alias("chunk"),
+                (at % _CHUNK_BITS).alias("bit"),
             )
 
         return rows.select("url", DATE, "bucket", F.inline(F.array(*[place(i) for i in range(_HASHES)])))
 
     def _may_hold(self, tables: dict, batch: DataFrame, dates: list[str]) -> list[tuple[str, int]]:
         """Date and bucket of those buckets that may hold a key of the batch."""
+        days = {f"{DATE}={_escaped(d)}" for d in dates}
+        if not days & tables["filters"].keys():
+            return []
         filters = self._read(tables, "filters", dates)
         keys = ["bucket", "chunk", DATE]
         asked = lookup_join(
@@ -189,52 +206,84 @@ class ListingStore:
         )
         byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10)
         is_set = F.call_function("shiftright", byte.cast("int"), (F.col("bit") % 8).cast("int")).bitwiseAND(1)
-        per_key = asked.groupBy("url", DATE, "bucket").agg(F.sum(is_set).alias("hits"))
-        found = per_key.filter(F.col("hits") == _HASHES).select(DATE, "bucket").distinct()
+        # The batch may have copies of a key.
+        hits = F.bit_or(F.call_function("shiftleft", is_set, F.col("hash")))
+        per_key = asked.groupBy("url", DATE, "bucket").agg(hits.alias("hits"))
+        found = per_key.filter(F.col("hits") == (1 << _HASHES) - 1).select(DATE, "bucket").distinct()
         return [(r[DATE], r["bucket"]) for r in found.collect()]
 
-    def _merge(self, tables: dict, batch: DataFrame, held: set[str], run: str) -> DataFrame:
-        """Write Silver and its filters; returns ``new`` and ``old`` of every listing that is not
-        as it was."""
+    def _filters(self, added: DataFrame) -> DataFrame:
+        """Bitmaps of keys. Words of them are combined first, by hash; whole bitmaps would
+        be sorted, with four rows for each key."""
+        byte = F.floor(F.col("bit") / 8)
+        # Of a word's hexadecimal digits, the first are its first byte.
+        shift = ((_WORD // 8 - 1 - byte % (_WORD // 8)) * 8 + F.col("bit") % 8).cast("int")
+        one = F.call_function("shiftleft", F.lit(1).cast("long"), shift)
+        words = self._addresses(added).withColumn("word", F.floor(F.col("bit") / _WORD).cast("int")).groupBy(
+            "bucket", "chunk", DATE, "word"
+        ).agg(F.bit_or(one).alias("ones"))
+        width = _WORD // 4
+        found = F.struct("word", F.lpad(F.hex("ones"), width, "0").alias("digits"))
+        bitmaps = words.groupBy("bucket", "chunk", DATE).agg(F.sort_array(F.collect_list(found)).alias("words"))
+
+        def after_gap(word, i):
+            last = F.when(i > 0, F.get("words", i - 1)["word"]).otherwise(-1)
+            return F.concat(F.repeat(F.lit("0"), (word["word"] - last - 1) * width), word["digits"])
+
+        digits = F.rpad(F.array_join(F.transform("words", after_gap), ""), _CHUNK_BITS // 4, "0")
+        return bitmaps.select("bucket", "chunk", F.unhex(digits).alias("bits"), DATE)
+
+    def _merge(
+        self, tables: dict, batch: DataFrame, sizes: DataFrame, held: set[str], dates: list[str], run: str
+    ) -> tuple[DataFrame, dict[str, int]]:
+        """Write Silver and its filters; returns the written rows with their notes, and how many
+        listings were added, replaced and left."""
         names = SILVER.fieldNames()
         rest = [c for c in names if c not in LISTING_KEY and c != "scraped_at"]
-        in_held = F.concat_ws("|", DATE, "bucket").isin([_key(p) for p in sorted(held)])
-        existing = self._read(tables, "silver", parts=held)
+        existing = self._bucketed(self._read(tables, "silver", parts=held))
         row = F.struct("scraped_at", *rest)
-        both = existing.withColumn("_known", F.lit(True)).unionByName(
-            batch.filter(in_held).drop("bucket").withColumn("_known", F.lit(False))
+        both = existing.withColumn("_known", F.lit(True)).unionByName(batch.withColumn("_known", F.lit(False)))
+        place = [DATE, "bucket"]
+        parts, size = materialize_measured(
+            sizes.unionByName(existing.groupBy(*place).agg(F.count(F.lit(1)).alias("rows"))).groupBy(*place).agg(
+                F.ceil(F.sum("rows") / PART_ROWS).cast("int").alias("_parts")
+            ), "run-parts",
+        )
+        # The part, which tells the bucket as well, follows from the key, so it divides no group.
+        part = (F.col("_part") * self.buckets + F.col("bucket")).alias("_part")
+        dealt = in_parts(both, parts, place, ["url"], size).select(*names, "_known", part)
+        bucket = F.pmod("_part", F.lit(self.buckets)).alias("bucket")
+        merged = combined(
+            dealt, LISTING_KEY, [DATE, "_part"], [DATE, bucket, "_part", "url"],
+            [F.max(row).alias("new"), F.max(F.when(F.col("_known"), row)).alias("old"),
+             F.max(~F.col("_known")).alias("given")],
+            self.limits.hot_rows,
         )
-        merged = materialize(both.groupBy(*LISTING_KEY).agg(
-            F.max(row).alias("new"), F.max(F.when(F.col("_known"), row)).alias("old")
-        ), "run-merged")
-        fresh = batch.filter(~in_held)
-        changed = merged.filter("old IS NULL OR NOT (old <=> new)")
-        bucket = F.pmod(F.xxhash64("url"), F.lit(self.buckets)).cast("int")
-        place = F.concat_ws("|", F.col(DATE), bucket)
-        # Of the buckets that were read, those that changed; one row for each.
-        stale = {_part(r[DATE], r["bucket"]) for r in
-                 changed.select(DATE, bucket.alias("bucket")).distinct().collect()}
-        rows = merged.filter(place.isin([_key(p) for p in sorted(stale)])).select(
-            *LISTING_KEY, "new.*"
-        ).select(*names).unionByName(fresh.select(*names))
-        self._write(tables, "silver", rows.withColumn("bucket", bucket), run, lambda part: part in stale)
-
-        dates = {d for d, _ in map(_split_part, held)}
-        added = self._addresses(fresh.unionByName(
-            merged.filter("old IS NULL").select(*LISTING_KEY, "new.*").withColumn("bucket", bucket)
-            .select(*fresh.columns)
-        )).groupBy("bucket", "chunk", DATE).agg(F.bitmap_construct_agg("bit").alias("bits"))
-        days = sorted({r[DATE] for r in batch.select(DATE).distinct().collect()} | dates)
-        filters = self._read(tables, "filters", days).unionByName(added).groupBy("bucket", "chunk", DATE).agg(
-            F.bitmap_or_agg("bits").alias("bits")
+        state = F.when(~F.col("given"), _KEPT).when(F.col("old").isNull(), _ADDED).when(
+            F.col("old").eqNullSafe(F.col("new")), _SAME
+        ).otherwise(_REPLACED)
+        was = F.when(F.col("_state") == _REPLACED, F.struct("old.neighborhood", "old.price_per_sqm"))
+        rows = merged.withColumn("_state", state).withColumn("_was", was).select(
+            *LISTING_KEY, "bucket", "new.*", *_NOTES.fieldNames()
         )
-        known = {f"{DATE}={_escaped(d)}" for d in days}
+        written = self._put("silver", rows.select(*names, *_NOTES.fieldNames(), "bucket"), run)
+        noted = self._scan({"silver": {part: [run] for part in written}}, "silver", _NOTED)
+        # One row for each date and bucket.
+        states = noted.groupBy(*place).agg(
+            *[F.count_if(F.col("_state") == s).alias(n) for n, s in (
+                ("added", _ADDED), ("replaced", _REPLACED), ("unchanged", _SAME))]
+        ).collect()
+        # Of the buckets that were read, those without a change keep their folders.
+        left = {_part(r[DATE], r["bucket"]) for r in states if not r["added"] + r["replaced"]} & held
+        stale = (written & held) - left
+        self._enter(tables, "silver", written - left, run, lambda part: part in stale)
+
+        filters = self._read(tables, "filters", dates).unionByName(
+            self._filters(noted.filter(F.col("_state") == _ADDED))
+        ).groupBy("bucket", "chunk", DATE).agg(F.bitmap_or_agg("bits").alias("bits"))
+        known = {f"{DATE}={_escaped(d)}" for d in dates}
         self._write(tables, "filters", filters, run, lambda part: part in known)
-
-        unknown = F.lit(None).cast(changed.schema["old"].dataType)
-        return materialize(changed.unionByName(
-            fresh.select(*LISTING_KEY, row.alias("new"), unknown.alias("old"))
-        ), "run-changes")
+        return noted, {n: sum(r[n] for r in states) for n in ("added", "replaced", "unchanged")}
 
     def _index(self, before: dict, tables: dict, changes: DataFrame, dates, run: str, replaced) -> None:
         """Write groups, values and Gold of the dates of a run."""

@@ -1,5 +1,7 @@
 """Tables that are refreshed run by run against a rebuild of everything."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,3 +129,51 @@ def test_published_gold(spark, tmp_path):
     store.publish("refreshed_gold")
     assert old.count() == n and bag(spark.table("refreshed_gold")) == bag(store.table("gold"))
     assert refresh._split_part(refresh._part("1:2%'x", 3)) == ("1:2%'x", "3")
+
+
+def many(spark, n):
+    """Listings of two days with texts of their own."""
+    one = F.col("id").cast("string")
+    values = {
+        "source": F.lit("p"), "url": F.sha2(one, 256), "title": F.sha2(F.concat(one, F.lit("t")), 256),
+        "price_eur": (F.col("id") % 977 + 100).cast("double"), "area_sqm": F.lit(10.0), "rooms": F.lit(2),
+        "price_per_sqm": (F.col("id") % 977 + 100) / 10.0, "neighborhood": F.concat(F.lit("n"), F.col("id") % 7),
+        "district": F.lit("d"), "latitude": F.lit(40.0), "longitude": F.lit(-3.0),
+        "scraped_at": F.lit("2024-01-01 10:00:00").cast("timestamp_ntz"),
+        "scrape_date": F.concat(F.lit("2024-01-0"), F.col("id") % 2 + 1),
+    }
+    return spark.range(n).select(*[values[c].alias(c) for c in SILVER.fieldNames()])
+
+
+def stored_bytes(folder):
+    return sum(f.stat().st_size for f in Path(folder).rglob("*.parquet"))
+
+
+def test_a_run_stores_no_copy_of_its_rows(spark, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    rows = materialize(many(spark, 20_000), "rows")
+    before = stored_bytes(shared)
+    ListingStore(spark, str(tmp_path / "store")).refresh(rows, "a")
+    assert stored_bytes(shared) - before < stored_bytes(tmp_path / "store" / "data" / "silver") / 4
+
+
+def test_a_bucket_without_a_change_keeps_its_files(spark, tmp_path):
+    store = ListingStore(spark, str(tmp_path / "store"), buckets=1)
+    first = runs()[0]
+    store.refresh(frame(spark, first), "a")
+    before = store._manifest()["tables"]["silver"]
+    taken = store.refresh(frame(spark, [first[0], listing("u1", DAYS[1], 1, "2024-02-01 10:00:00")]), "b")
+    assert (taken["added"], taken["replaced"], taken["unchanged"], taken["buckets_read"]) == (0, 1, 1, 2)
+    after = store._manifest()["tables"]["silver"]
+    same, new = f"scrape_date={DAYS[0]}/bucket=0", f"scrape_date={DAYS[1]}/bucket=0"
+    assert after[same] == before[same] and after[new] != before[new] and len(after[new]) == 1
+
+
+@pytest.mark.parametrize("n", [3, 5000])
+def test_filters_are_sparks_bitmaps(spark, tmp_path, n):
+    store = ListingStore(spark, str(tmp_path / "store"))
+    keys = store._bucketed(many(spark, n))
+    expected = store._addresses(keys).groupBy("bucket", "chunk", "scrape_date").agg(
+        F.bitmap_construct_agg("bit").alias("bits"))
+    assert bag(store._filters(keys).select("bucket", "chunk", "scrape_date", F.hex("bits"))) == bag(
+        expected.select("bucket", "chunk", "scrape_date", F.hex("bits")))
