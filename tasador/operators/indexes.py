@@ -91,19 +91,24 @@ def with_deal_rank(scored: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFr
     )
 
 
-def _steps(scored: DataFrame, part_rows: int, limits: Limits) -> tuple[DataFrame, list[str], DataFrame, int]:
+def _steps(
+    scored: DataFrame, part_rows: int, limits: Limits, counts: DataFrame | None = None
+) -> tuple[DataFrame, list[str], DataFrame, int]:
     """``scored`` with the key of each row's step, the key, the steps and their size.
 
     A step is a range of a day's index values, or a single value where a range has more
     than ``part_rows`` rows. A step knows the rows before it (``_ahead``), and its stretch:
     steps of about ``part_rows`` rows that follow each other, with the rows before them (``_base``).
+    ``counts``, the ``listings`` of each day and value, are read for the steps where they are known.
     """
+    rows_of = F.count(F.lit(1)) if counts is None else F.sum("listings")
     units = F.rint(F.col("opportunity_index") * 10.0**scoring.INDEX_DIGITS).cast("long")
     # Best first; a missing index is last.
     cut = F.coalesce(F.floor((F.lit(10**scoring.INDEX_DIGITS) - units) / STEP_UNITS), F.lit(NO_INDEX))
     cutted, day = scored.withColumn("_cut", cut), ["scrape_date", "_cut"]
-    ranges, size = materialize_measured(cutted.groupBy(*day).agg(
-        F.count(F.lit(1)).alias("_n"), (F.min(units) < F.max(units)).alias("_mixed"),
+    known = cutted if counts is None else counts.withColumn("_cut", cut)
+    ranges, size = materialize_measured(known.groupBy(*day).agg(
+        rows_of.alias("_n"), (F.min(units) < F.max(units)).alias("_mixed"),
     ), "index-ranges")
     wide = (F.col("_n") > part_rows) & F.coalesce("_mixed", F.lit(False))
     steps = ranges.filter(~wide).select(*day, F.lit(None).cast("long").alias("_value"), "_n")
@@ -112,11 +117,16 @@ def _steps(scored: DataFrame, part_rows: int, limits: Limits) -> tuple[DataFrame
     else:
         # At most rows / part_rows ranges, each with the values of one step.
         marks = ranges.filter(wide).select(*day, F.lit(True).alias("_wide"))
-        cutted = lookup_join(cutted, marks, day, ["url"], "left", limits, lookup_bytes=size).withColumn(
-            "_value", F.when(F.col("_wide"), units)
-        ).drop("_wide")
-        values = cutted.filter(F.col("_value").isNotNull()).groupBy(*day, "_value")
-        steps = steps.unionAll(values.agg(F.count(F.lit(1)).alias("_n")))
+
+        def marked(rows: DataFrame, spread_by: str) -> DataFrame:
+            return lookup_join(rows, marks, day, [spread_by], "left", limits, lookup_bytes=size).withColumn(
+                "_value", F.when(F.col("_wide"), units)
+            ).drop("_wide")
+
+        cutted = marked(cutted, "url")
+        known = cutted if counts is None else marked(known, "opportunity_index")
+        values = known.filter(F.col("_value").isNotNull()).groupBy(*day, "_value")
+        steps = steps.unionAll(values.agg(rows_of.alias("_n")))
     before = Window.partitionBy("scrape_date").orderBy("_cut", F.desc("_value"))
     ahead = F.coalesce(F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = steps.withColumn("_ahead", ahead).withColumn("_stretch", F.floor(F.col("_ahead") / part_rows))
@@ -127,15 +137,16 @@ def _steps(scored: DataFrame, part_rows: int, limits: Limits) -> tuple[DataFrame
 
 
 def laid_out_by_rank(
-    scored: DataFrame, part_rows: int = PART_ROWS, limits: Limits = DEFAULT_LIMITS
+    scored: DataFrame, part_rows: int = PART_ROWS, limits: Limits = DEFAULT_LIMITS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """``with_deal_rank`` for rows that are written by day: they leave one shuffle in parts of
-    a day, each in rank order.
+    a day, each in rank order. The ``listings`` of each day and index value are ``counts``, if known.
 
     Ranks are the rows before a part and the rank within it. A value with more than
     ``part_rows`` rows is a step of its own; its rank is known, so its rows are dealt out.
     """
-    scored, keys, steps, size = _steps(scored, part_rows, limits)
+    scored, keys, steps, size = _steps(scored, part_rows, limits, counts)
     known = steps.select(
         *keys, "_stretch", "_base", F.when(F.col("_n") > part_rows, F.col("_ahead") + 1).alias("_rank"),
         F.ceil(F.col("_n") / part_rows).alias("_deals"),

@@ -16,7 +16,8 @@ what a full rebuild over all runs would make them:
 * ``values``: how many listings of a day have each index value, from which ranks
   come. Only listings of neighbourhoods that changed are scored for it, once as
   they were and once as they are.
-* ``gold``: index A and ranks of the days that changed.
+* ``gold``: index A and ranks of the days that changed. Its rows are written as Silver's lie;
+  where the days' ranks are too large to be broadcast, one shuffle ranks them and lays them out.
 
 Every table is a set of folders for each date (and bucket), named by the manifest of the run.
 A run writes new folders and then its manifest, which makes all five tables
@@ -31,7 +32,6 @@ per m² beyond 10 ** 27 are left out of averages.
 
 import json
 import uuid
-from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -40,8 +40,9 @@ from pyspark.sql import types as T
 
 from tasador.functions import scoring
 from tasador.operators.cleaning import LISTING_KEY, PART_ROWS, combined, in_parts
+from tasador.operators.indexes import laid_out_by_rank
 from tasador.plans.joins import DEFAULT_LIMITS, Limits, lookup_join
-from tasador.plans.workspace import materialize, materialize_measured, without_leftovers
+from tasador.plans.workspace import materialize, materialize_measured, measured_bytes, without_leftovers
 from tasador.schemas import BIG, DBL, GOLD, INT, SILVER, STR
 from tasador.sources.batches import Folder, check_batch_id
 from tasador.sources.snapshots import DATE, _make_table, point_view
@@ -166,11 +167,8 @@ class ListingStore:
         held = {_part(d, b) for d, b in self._may_hold(tables, batch, dates)}
         noted, counts = self._merge(tables, batch, sizes, held, dates, run)
         days = {f"{DATE}={_escaped(d)}" for d in dates}
-        changes = noted.filter(F.col("_state").isin(_ADDED, _REPLACED)).select(
-            *LISTING_KEY, F.struct("neighborhood", "price_per_sqm").alias("new"), F.col("_was").alias("old")
-        )
         if counts["added"] + counts["replaced"]:
-            self._index(before["tables"], tables, changes, dates, run, lambda part: part in days)
+            self._index(before["tables"], tables, noted, dates, run, lambda part: part in days)
         taken = {**counts, "buckets_read": len(held), "dates": len(dates)}
         manifest = {
             "run": before["run"] + 1, "tables": tables,
@@ -285,67 +283,69 @@ class ListingStore:
         self._write(tables, "filters", filters, run, lambda part: part in known)
         return noted, {n: sum(r[n] for r in states) for n in ("added", "replaced", "unchanged")}
 
-    def _index(self, before: dict, tables: dict, changes: DataFrame, dates, run: str, replaced) -> None:
+    def _index(self, before: dict, tables: dict, noted: DataFrame, dates, run: str, replaced) -> None:
         """Write groups, values and Gold of the dates of a run."""
-        signed = changes.select(*LISTING_KEY, "new.neighborhood", "new.price_per_sqm", F.lit(1).alias("sign")).unionAll(
-            changes.filter("old IS NOT NULL").select(
-                *LISTING_KEY, "old.neighborhood", "old.price_per_sqm", F.lit(-1)
-            )
-        )
+        group = ["neighborhood", DATE]
         price = F.col("price_per_sqm").try_cast(_TOTAL)
         # A product with the sign would lose digits.
         amount = F.when(F.col("sign") > 0, price).otherwise(-price)
-        delta = materialize(signed.groupBy("neighborhood", DATE).agg(
+        delta = materialize(_moves(noted.filter(F.col("_state").isin(_ADDED, _REPLACED))).groupBy(*group).agg(
             F.coalesce(F.sum(amount), F.lit(0)).cast(_TOTAL).alias("total"),
             F.sum(F.when(price.isNotNull(), F.col("sign")).otherwise(0)).alias("priced"),
             F.sum("sign").alias("listings"),
         ), "run-delta")
         old_groups = self._read(before, "groups", dates)
         sums = [F.sum(c).cast(_SCHEMAS["groups"][c].dataType).alias(c) for c in ("total", "priced", "listings")]
-        groups = old_groups.unionByName(delta).groupBy("neighborhood", DATE).agg(*sums)
+        groups = old_groups.unionByName(delta).groupBy(*group).agg(*sums)
         self._write(tables, "groups", groups.filter("listings > 0"), run, replaced)
-
-        now = self._read(tables, "silver", dates)
         new_groups = self._read(tables, "groups", dates)
-        near = delta.select("neighborhood", DATE, F.lit(True).alias("_changed"))
-        group = ["neighborhood", DATE]
-        current = lookup_join(
-            now.select(*LISTING_KEY, "neighborhood", "price_per_sqm"), near, group, ["url"], "inner", self.limits
-        ).drop("_changed")
-        is_new = changes.select(*LISTING_KEY)
-        previous = current.join(is_new, list(LISTING_KEY), "left_anti").unionByName(
-            signed.filter("sign = -1").drop("sign")
+
+        # Averages of the groups that changed, as they were and as they are.
+        both = old_groups.withColumn("sign", F.lit(-1)).unionByName(new_groups.withColumn("sign", F.lit(1)))
+        near, size = materialize_measured(lookup_join(
+            both.select(*group, "sign", _average().alias("neighborhood_avg_price_per_sqm"), "listings"),
+            delta.select(*group, F.lit(True).alias("_changed")), group, ["sign"], "inner", self.limits,
+        ).drop("_changed"), "run-averages")
+        now = self._scan(tables, "silver", _NOTED, dates)
+        # What an earlier run noted is past.
+        own = F.when(F.col("run") == run, F.col("_state")).otherwise(_KEPT)
+        moved = lookup_join(
+            _moves(now.withColumn("_state", own)), near.drop("listings"), [*group, "sign"], ["url"], "inner",
+            self.limits, key_counts=near.select(*group, "sign", F.col("listings").alias("n")), lookup_bytes=size,
         )
-        value_deltas = [
-            self._scored(rows, stats).groupBy("opportunity_index", DATE).agg(
-                (F.count(F.lit(1)) * sign).alias("listings")
-            ) for rows, stats, sign in ((current, new_groups, 1), (previous, old_groups, -1))
-        ]
-        values = reduce(DataFrame.unionByName, [self._read(before, "values", dates), *value_deltas])
+        counted = _with_index(moved).select("opportunity_index", F.col("sign").cast("long").alias("listings"), DATE)
+        values = self._read(before, "values", dates).unionByName(counted)
         values = values.groupBy("opportunity_index", DATE).agg(F.sum("listings").alias("listings"))
         self._write(tables, "values", values.filter("listings <> 0"), run, replaced)
 
-        better = Window.partitionBy(DATE).orderBy(F.desc_nulls_last("opportunity_index")).rowsBetween(
-            Window.unboundedPreceding, -1
-        )
-        ranks = self._read(tables, "values", dates).withColumn(
-            "rank", F.coalesce(F.sum("listings").over(better), F.lit(0)) + 1
-        ).drop("listings")
-        scored = self._scored(now, new_groups).filter("listing_count > 1")
-        gold = lookup_join(
-            scored, materialize(ranks, "run-ranks"), ["opportunity_index", DATE], ["url"], "inner", self.limits
-        )
-        self._write(tables, "gold", gold.select(*GOLD.fieldNames()), run, replaced)
+        gold = self._ranked(now.select(*SILVER.fieldNames()), new_groups, self._read(tables, "values", dates))
+        self._enter(tables, "gold", self._put("gold", gold.select(*GOLD.fieldNames()), run), run, replaced)
 
-    def _scored(self, rows: DataFrame, groups: DataFrame) -> DataFrame:
+    def _ranked(self, now: DataFrame, groups: DataFrame, values: DataFrame) -> DataFrame:
+        """Gold's rows, ready to be written by day: as Silver lies where the averages and the ranks are
+        broadcast, else from one shuffle that ranks them."""
         stats = groups.select(
             "neighborhood", DATE, _average().alias("neighborhood_avg_price_per_sqm"),
             F.col("listings").alias("listing_count"),
         )
-        joined = lookup_join(rows, stats, ["neighborhood", DATE], ["url"], "inner", self.limits)
-        return joined.withColumn("opportunity_index", scoring.discount_to_average(
-            F.col("price_per_sqm"), F.col("neighborhood_avg_price_per_sqm")
+        size = measured_bytes(stats)
+        scored = _with_index(lookup_join(
+            now, stats, ["neighborhood", DATE], ["url"], "inner", self.limits, lookup_bytes=size,
+            key_counts=stats.select("neighborhood", DATE, F.col("listing_count").alias("n")),
         ))
+        many, few = F.col("listing_count") > 1, self.limits.broadcast_bytes
+        # A value's rank is as large as its count.
+        if size > few or (size := measured_bytes(values)) > few:
+            return laid_out_by_rank(scored, limits=self.limits, counts=values).filter(many)
+        better = Window.partitionBy(DATE).orderBy(F.desc_nulls_last("opportunity_index")).rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        ranks = materialize(values.withColumn(
+            "rank", F.coalesce(F.sum("listings").over(better), F.lit(0)) + 1
+        ).drop("listings"), "run-ranks")
+        return lookup_join(
+            scored.filter(many), ranks, ["opportunity_index", DATE], ["url"], "inner", self.limits, lookup_bytes=size
+        )
 
     # --- Serving ---
 
@@ -362,6 +362,22 @@ class ListingStore:
         point_view(self.spark, name, table)
 
 
+def _moves(rows: DataFrame) -> DataFrame:
+    """A row of Silver as it is, with the sign 1, and as it was before its run, if it was, with -1."""
+    state, columns = F.col("_state"), ("neighborhood", "price_per_sqm")
+    as_it_is = F.struct(F.lit(1).alias("sign"), *columns)
+    as_it_was = F.when(state == _REPLACED, F.struct(F.lit(-1).alias("sign"), *[f"_was.{c}" for c in columns])).when(
+        state != _ADDED, F.struct(F.lit(-1).alias("sign"), *columns)
+    )
+    return rows.select(*LISTING_KEY, F.inline(F.array_compact(F.array(as_it_is, as_it_was))))
+
+
+def _with_index(averaged: DataFrame) -> DataFrame:
+    return averaged.withColumn("opportunity_index", scoring.discount_to_average(
+        F.col("price_per_sqm"), F.col("neighborhood_avg_price_per_sqm")
+    ))
+
+
 def _average() -> Column:
     return F.try_divide(F.col("total").cast("double"), F.col("priced").cast("double"))
 

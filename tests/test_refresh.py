@@ -3,6 +3,7 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tasador.operators import cleaning, indexes
@@ -11,7 +12,7 @@ from tasador.plans.workspace import materialize
 from tasador.schemas import SILVER
 from tasador.streaming import refresh
 from tasador.streaming.refresh import ConcurrentRun, ListingStore
-from test_plans import bag
+from test_plans import bag, plan
 
 DAYS = ("2024-01-01", "2024-01-02", "2024-01-03")
 
@@ -157,6 +158,40 @@ def test_a_run_stores_no_copy_of_its_rows(spark, tmp_path):
     assert stored_bytes(shared) - before < stored_bytes(tmp_path / "store" / "data" / "silver") / 4
 
 
+def test_the_rows_of_a_run_are_shuffled_once(spark, tmp_path, monkeypatch):
+    plans, whole = {}, DataFrameWriter.parquet
+
+    def watched(self, path, *args, **kwargs):
+        if "/data/" in path:
+            plans[path.split("/data/")[1].split("/")[0]] = plan(self._df, "simple")
+        return whole(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    store = ListingStore(spark, str(tmp_path / "store"))
+    for rows, batch in zip(runs(), "abc"):
+        store.refresh(frame(spark, rows), batch)
+        shuffles = {name: text.count("Exchange ") - text.count("BroadcastExchange ") for name, text in plans.items()}
+        assert (shuffles["silver"], shuffles["gold"]) == (1, 0)
+
+
+@pytest.mark.parametrize("limits", [Limits(), Limits(hot_rows=20)])
+def test_copies_within_runs(spark, tmp_path, limits):
+    """Keys with many copies, also in buckets that are read, and rows without a key."""
+    def copies(hour, n):
+        rows = [listing(f"u{i % 9}", DAYS[0], 100 + (i * 7) % 50, f"2024-01-01 {hour}:00:00", f"n{i % 3}") for i in range(n)]
+        return rows + [listing("hot", DAYS[0], i, f"2024-01-01 {hour}:00:00") for i in range(1, 80)] + [
+            listing(None, DAYS[0], 70, f"2024-01-01 {hour}:00:00"), listing("w", DAYS[1], 1, f"2024-01-01 {hour}:00:00", None)]
+
+    store, taken = ListingStore(spark, str(tmp_path / "store"), limits=limits), []
+    for i, rows in enumerate([copies(10, 40), copies(12, 30), copies(11, 60)]):
+        taken += rows
+        store.refresh(frame(spark, rows), f"run-{i}")
+        full = materialize(cleaning.latest_copy(frame(spark, taken)), "full")
+        assert bag(store.table("silver")) == bag(full)
+        assert bag(store.table("gold").drop("neighborhood_avg_price_per_sqm")) == bag(
+            indexes.index_a(full).drop("neighborhood_avg_price_per_sqm"))
+
+
 def test_a_bucket_without_a_change_keeps_its_files(spark, tmp_path):
     store = ListingStore(spark, str(tmp_path / "store"), buckets=1)
     first = runs()[0]
