@@ -47,17 +47,19 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def without_leftovers(spark: SparkSession) -> Iterator[None]:
-    """Writes in this block delete their shuffle files at their end."""
-    before = spark.conf.get(CLEAN_UP, None)
-    spark.conf.set(CLEAN_UP, "true")
+def with_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Spark's settings for the queries that run in this block."""
+    before = {name: spark.conf.get(name, None) for name in settings}
     try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
         yield
     finally:
-        if before is None:
-            spark.conf.unset(CLEAN_UP)
-        else:
-            spark.conf.set(CLEAN_UP, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def _size_columns(df: DataFrame) -> list[Column]:
@@ -97,7 +99,7 @@ def store(
     path = fresh_path(df.sparkSession, name)
     size = Observation()
     rows = df.hint("rebalance", *partition_by) if partition_by and not laid_out else df
-    with without_leftovers(df.sparkSession):
+    with with_settings(df.sparkSession, {CLEAN_UP: "true"}):
         sized = rows.observe(size, *_size_columns(df))
         sized.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
     return path, size.get["bytes"]

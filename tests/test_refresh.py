@@ -159,10 +159,12 @@ def test_a_run_stores_no_copy_of_its_rows(spark, tmp_path):
 
 
 def test_the_rows_of_a_run_are_shuffled_once(spark, tmp_path, monkeypatch):
-    plans, whole = {}, DataFrameWriter.parquet
+    plans, whole, size = {}, DataFrameWriter.parquet, "spark.sql.files.maxPartitionBytes"
+    usual, read = spark.conf.get(size), set()
 
     def watched(self, path, *args, **kwargs):
         if "/data/" in path:
+            read.add(spark.conf.get(size))
             plans[path.split("/data/")[1].split("/")[0]] = plan(self._df, "simple")
         return whole(self, path, *args, **kwargs)
 
@@ -172,6 +174,8 @@ def test_the_rows_of_a_run_are_shuffled_once(spark, tmp_path, monkeypatch):
         store.refresh(frame(spark, rows), batch)
         shuffles = {name: text.count("Exchange ") - text.count("BroadcastExchange ") for name, text in plans.items()}
         assert (shuffles["silver"], shuffles["gold"]) == (1, 0)
+    # Gold's tasks sort what they read by date, so they read little.
+    assert read == {"32m"} and spark.conf.get(size) == usual
 
 
 @pytest.mark.parametrize("limits", [Limits(), Limits(hot_rows=20)])
