@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tasador.operators.cleaning import clean, silver
 from tasador.operators.indexes import index_a
-from tasador.plans.workspace import fresh_path, read_stored, store
+from tasador.plans.workspace import LEAN, fresh_path, read_stored, store, with_settings
 from tasador.sources.listings import raw_listings
 from tasador.sources.writers import write_gold_by_place
 from tasador.streaming.refresh import ListingStore
@@ -29,7 +29,8 @@ def _layer(
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
         layer = build()
-        path, _ = store(layer, name, partition_by, laid_out)
+        with with_settings(spark, LEAN):
+            path, _ = store(layer, name, partition_by, laid_out)
         _written[key] = path, read_stored(spark, path, layer.schema)
     path, scan = _written[key]
     # Another session of the application reads the same files with its own scan.

@@ -19,8 +19,12 @@ from pyspark.sql.types import StructType
 
 _local_dirs: dict[str, str] = {}
 
-#: Shuffle files go when their query ends; otherwise when the driver's memory is cleaned, which may be long after.
-CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: For tables that are large: files are small, and shuffle files go when their query ends; otherwise they
+#: go when the driver's memory is cleaned, which may be long after.
+LEAN = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -99,9 +103,7 @@ def store(
     path = fresh_path(df.sparkSession, name)
     size = Observation()
     rows = df.hint("rebalance", *partition_by) if partition_by and not laid_out else df
-    with with_settings(df.sparkSession, {CLEAN_UP: "true"}):
-        sized = rows.observe(size, *_size_columns(df))
-        sized.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
+    rows.observe(size, *_size_columns(df)).write.partitionBy(*partition_by).parquet(path)
     return path, size.get["bytes"]
 
 

@@ -42,7 +42,7 @@ from tasador.functions import scoring
 from tasador.operators.cleaning import LISTING_KEY, PART_ROWS, combined, in_parts
 from tasador.operators.indexes import laid_out_by_rank
 from tasador.plans.joins import DEFAULT_LIMITS, Limits, lookup_join
-from tasador.plans.workspace import CLEAN_UP, materialize, materialize_measured, measured_bytes, with_settings
+from tasador.plans.workspace import LEAN, materialize, materialize_measured, measured_bytes, with_settings
 from tasador.schemas import BIG, DBL, GOLD, INT, SILVER, STR
 from tasador.sources.batches import Folder, check_batch_id
 from tasador.sources.snapshots import DATE, _make_table, point_view
@@ -55,7 +55,7 @@ _HASHES = 4
 _WORD = 64
 _TOTAL = "decimal(38,10)"
 #: Rows that a task reads are sorted by date to be written; as rows they are about ten times as large as in files.
-_WRITING = {CLEAN_UP: "true", "spark.sql.files.maxPartitionBytes": "32m"}
+_WRITING = {**LEAN, "spark.sql.files.maxPartitionBytes": "32m"}
 #: What a run did with a row: not asked for one in a bucket that it read, not changed, added, replaced.
 _KEPT, _SAME, _ADDED, _REPLACED = range(4)
 
@@ -139,7 +139,7 @@ class ListingStore:
         """Write new folders of rows that lie together by the table's keys; returns the parts."""
         path = f"{_DATA}/{name}/run={run}"
         with with_settings(self.spark, _WRITING):
-            rows.write.partitionBy(*_KEYS[name]).option("compression", "zstd").parquet(f"{self._folder.path}/{path}")
+            rows.write.partitionBy(*_KEYS[name]).parquet(f"{self._folder.path}/{path}")
         return {f.rpartition("/")[0] for f in self._folder.files(path) if f.endswith(".parquet")} - {""}
 
     def _enter(self, tables: dict, name: str, parts: set[str], run: str, replaced) -> None:

@@ -7,11 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from tasador import layers
 from tasador.functions.geo import place_key
 from tasador.layers import bronze_layer, gold_layer, place_files, place_layer, silver_layer
 from tasador.operators import cleaning, indexes, lookups, radius, serving
 from tasador.plans.joins import Limits, grid_join, lookup_join
-from tasador.plans.workspace import CLEAN_UP, materialize, measured_bytes, shared_dir
+from tasador.plans.workspace import LEAN, materialize, measured_bytes, shared_dir
 from tasador.sources import listings, readers, writers
 
 SPREAD = Limits(broadcast_bytes=0, hot_rows=40)
@@ -324,15 +325,15 @@ def test_gold_is_ranked_and_written_without_a_shuffle_of_its_rows(spark, sf_dir,
     assert files <= 2 * silver.select(F.input_file_name()).distinct().count()
 
 
-def test_a_stored_table_leaves_no_shuffle_files(spark):
+def test_a_layer_leaves_no_shuffle_files(spark, tmp_path):
     def shuffle_files():
         files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
         names = {files.apply(i).getName() for i in range(files.size())}
         return {name for name in names if name.startswith("shuffle_")}
 
-    before, setting = shuffle_files(), spark.conf.get(CLEAN_UP, None)
-    materialize(spark.range(1000).repartition(3, "id"), "shuffled")
-    assert spark.conf.get(CLEAN_UP, None) == setting
+    before, settings = shuffle_files(), [spark.conf.get(name, None) for name in LEAN]
+    layers._layer(spark, str(tmp_path), "numbers", lambda: spark.range(1000).repartition(3, "id"), ())
+    assert [spark.conf.get(name, None) for name in LEAN] == settings
     for _ in range(50):  # the files go in the background
         if not shuffle_files() - before:
             break
